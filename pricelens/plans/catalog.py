@@ -281,3 +281,279 @@ FROM (SELECT *, crawl_date AS valid_from_date,
 def q_latest_per_key(spark, sf_dir):
     """HIS-1: latest offer per history key."""
     return H.latest_per_key(T.offers(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Anomalies
+# ---------------------------------------------------------------------------
+
+from pricelens.operators import anomalies as A  # noqa: E402
+from pricelens.operators import baselines as B  # noqa: E402
+
+SEV_SQL = ("CASE WHEN {p} >= 0.25 THEN 'HIGH' WHEN {p} >= 0.15 THEN 'MEDIUM' "
+           "WHEN {p} >= 0.10 THEN 'LOW' END")
+C_SQL = "CAST({x} * 100 AS BIGINT)"
+
+STAT_SQL = T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + f""",
+hagg AS (
+  SELECT product_model_id, country_code, valid_from_date AS d, count(*) AS hn,
+         CAST(sum({C_SQL.format(x='effective_total_usd')}) AS HUGEINT) AS hs,
+         sum(CAST({C_SQL.format(x='effective_total_usd')} AS HUGEINT) * {C_SQL.format(x='effective_total_usd')}) AS hss
+  FROM history GROUP BY 1, 2, 3
+),
+probes AS (SELECT DISTINCT product_model_id, country_code, crawl_date FROM offers),
+stats AS (
+  SELECT p.product_model_id, p.country_code, p.crawl_date,
+         sum(hn) AS n, sum(hs) AS s, sum(hss) AS ss
+  FROM probes p JOIN hagg h
+    ON p.product_model_id = h.product_model_id AND p.country_code = h.country_code
+   AND h.d >= p.crawl_date - 30
+  GROUP BY 1, 2, 3 HAVING sum(hn) >= 2
+),
+scored AS (
+  SELECT o.offer_id, o.effective_total_usd, s.n, s.s, s.ss,
+         CAST(abs(CAST({C_SQL.format(x='o.effective_total_usd')} AS HUGEINT) * s.n - s.s) AS DOUBLE)
+           / CAST(s.s AS DOUBLE) AS p
+  FROM offers o JOIN stats s USING (product_model_id, country_code, crawl_date)
+  WHERE s.s > 0
+)
+SELECT offer_id, 'STATISTICAL' AS anomaly_type, {SEV_SQL.format(p='p')} AS severity,
+       round(least(p, 1.0), 3) AS signal_score, effective_total_usd AS observed_price_usd,
+       CAST(((s * 2 + n) // (n * 2)) / 100 AS DECIMAL(12,2)) AS baseline_mean,
+       round(sqrt(CAST(n * ss - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE) / 10000.0), 2) AS baseline_stddev,
+       CAST(n AS BIGINT) AS sample_size
+FROM scored WHERE p >= 0.10
+"""
+
+
+@query("anom_statistical", STAT_SQL)
+def q_anom_statistical(spark, sf_dir):
+    """ANO-1: offers vs the 30-day (model, country) history mean."""
+    o = T.offers(spark, sf_dir)
+    return A.detect_statistical(o, H.scd2_rebuild(o)).select(
+        *A.ANOMALY_COLS, "baseline_mean", "baseline_stddev", "sample_size")
+
+
+@query("anom_temporal", T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + f""",
+probes AS (SELECT DISTINCT {KEYS}, crawl_date FROM offers),
+ref AS (
+  SELECT p.*, h.effective_total_usd AS ref_usd, h.valid_from_date AS ref_date
+  FROM probes p ASOF JOIN history h
+    ON p.product_model_id = h.product_model_id AND p.partner_id = h.partner_id
+   AND p.country_code = h.country_code AND p.payment_type = h.payment_type
+   AND p.crawl_date > h.valid_from_date
+),
+scored AS (
+  SELECT o.offer_id, o.effective_total_usd, r.ref_usd, r.ref_date,
+         CAST(abs({C_SQL.format(x='o.effective_total_usd')} - {C_SQL.format(x='r.ref_usd')}) AS DOUBLE)
+           / CAST({C_SQL.format(x='r.ref_usd')} AS DOUBLE) AS p
+  FROM offers o JOIN ref r USING ({KEYS}, crawl_date)
+  WHERE r.ref_usd <> 0
+)
+SELECT offer_id, 'TEMPORAL' AS anomaly_type, {SEV_SQL.format(p='p')} AS severity,
+       round(least(p, 1.0), 3) AS signal_score, effective_total_usd AS observed_price_usd,
+       ref_usd, ref_date
+FROM scored WHERE p >= 0.10
+""")
+def q_anom_temporal(spark, sf_dir):
+    """ANO-2: offers vs the key's last price that started strictly before the crawl day."""
+    o = T.offers(spark, sf_dir)
+    return A.detect_temporal(o, H.scd2_rebuild(o)).select(*A.ANOMALY_COLS, "ref_usd", "ref_date")
+
+
+@query("anom_cross_partner", T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + f""",
+cur AS (SELECT * FROM history WHERE valid_to_date IS NULL),
+mkt AS (SELECT product_model_id, country_code, payment_type, count(DISTINCT partner_id) AS partner_count
+        FROM cur GROUP BY 1, 2, 3),
+peers AS (
+  SELECT o.offer_id, o.effective_total_usd, count(*) AS peer_count,
+         CAST(2 * median(CAST({C_SQL.format(x='c.effective_total_usd')} AS DOUBLE)) AS BIGINT) AS pair_c
+  FROM offers o
+  JOIN mkt m ON o.product_model_id = m.product_model_id AND o.country_code = m.country_code
+            AND o.payment_type = m.payment_type AND m.partner_count >= 2
+  JOIN cur c ON o.product_model_id = c.product_model_id AND o.country_code = c.country_code
+            AND o.payment_type = c.payment_type AND c.partner_id <> o.partner_id
+  GROUP BY o.offer_id, o.effective_total_usd
+),
+scored AS (
+  SELECT *, CAST(abs({C_SQL.format(x='effective_total_usd')} * 2 - pair_c) AS DOUBLE) / CAST(pair_c AS DOUBLE) AS p
+  FROM peers WHERE pair_c > 0
+)
+SELECT offer_id, 'CROSS_PARTNER' AS anomaly_type, {SEV_SQL.format(p='p')} AS severity,
+       round(least(p, 1.0), 3) AS signal_score, effective_total_usd AS observed_price_usd,
+       CAST(pair_c * 0.005 AS DECIMAL(13,3)) AS peer_median, CAST(peer_count AS BIGINT) AS peer_count
+FROM scored WHERE p >= 0.10
+""")
+def q_anom_cross_partner(spark, sf_dir):
+    """ANO-3: offers vs the median of the other partners' current prices."""
+    o = T.offers(spark, sf_dir)
+    return A.detect_cross_partner(o, H.scd2_rebuild(o)).select(
+        *A.ANOMALY_COLS, "peer_median", "peer_count")
+
+
+VARIANCE_GROUP = ["product_model_id", "country_code", "payment_type", "crawl_month"]
+
+VARIANCE_SQL = T.with_sql(T.OFFERS_SQL) + f""",
+o2 AS (SELECT *, date_trunc('month', crawl_date) AS crawl_month FROM offers),
+mom AS (
+  SELECT product_model_id, country_code, payment_type, crawl_month, count(*) AS gn,
+         CAST(sum({C_SQL.format(x='effective_total_usd')}) AS HUGEINT) AS gs,
+         sum(CAST({C_SQL.format(x='effective_total_usd')} AS HUGEINT) * {C_SQL.format(x='effective_total_usd')}) AS gss
+  FROM o2 GROUP BY 1, 2, 3, 4 HAVING count(*) >= 3
+),
+mom2 AS (SELECT *, sqrt(CAST(gn * gss - gs * gs AS DOUBLE) / CAST(gn * (gn - 1) AS DOUBLE)) AS gstd_c FROM mom),
+scored AS (
+  SELECT o.offer_id, o.effective_total_usd, m.gn, m.gs, m.gstd_c,
+         CAST(abs(CAST({C_SQL.format(x='o.effective_total_usd')} AS HUGEINT) * m.gn - m.gs) AS DOUBLE)
+           / CAST(m.gn AS DOUBLE) / m.gstd_c AS z
+  FROM o2 o JOIN mom2 m USING (product_model_id, country_code, payment_type, crawl_month)
+  WHERE m.gstd_c > 0
+)
+SELECT offer_id, 'SKU_VARIANCE' AS anomaly_type,
+       CASE WHEN z >= 4.0 THEN 'HIGH' WHEN z >= 2.5 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
+       round(least(z / 10, 1.0), 3) AS signal_score, effective_total_usd AS observed_price_usd,
+       CAST(gn AS BIGINT) AS group_size,
+       CAST(((gs * 2 + gn) // (gn * 2)) / 100 AS DECIMAL(12,2)) AS group_mean,
+       round(gstd_c / 100, 2) AS group_stddev, round(z, 6) AS z_score
+FROM scored WHERE z >= 1.5
+"""
+
+
+def _variance(spark, sf_dir):
+    o = T.offers(spark, sf_dir).withColumn("crawl_month", F.trunc("crawl_date", "month"))
+    return A.detect_sku_variance(o, VARIANCE_GROUP)
+
+
+@query("anom_variance", VARIANCE_SQL)
+def q_anom_variance(spark, sf_dir):
+    """ANO-4: z-score outliers within (model, country, payment, month) groups."""
+    return _variance(spark, sf_dir).select(*A.ANOMALY_COLS, "group_size", "group_mean",
+                                           "group_stddev", "z_score")
+
+
+# ---------------------------------------------------------------------------
+# Baselines and time aggregates
+# ---------------------------------------------------------------------------
+
+AS_OF = "2000-06-30"
+
+BASELINE_SQL = T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + f""",
+win AS (SELECT * FROM (VALUES (7), (30), (90)) t(window_days)),
+days AS (
+  SELECT window_days, CAST(unnest(generate_series(DATE '{AS_OF}' - (window_days - 1), DATE '{AS_OF}',
+                                                  INTERVAL 1 DAY)) AS DATE) AS obs_date
+  FROM win
+),
+dp AS (
+  SELECT d.window_days, h.product_model_id, h.country_code, {C_SQL.format(x='h.effective_total_usd')} AS pc
+  FROM days d JOIN history h
+    ON d.obs_date BETWEEN h.valid_from_date AND COALESCE(h.valid_to_date, DATE '{AS_OF}')
+)
+SELECT DATE '{AS_OF}' AS baseline_as_of, product_model_id, country_code, window_days,
+       count(*) AS sample_size,
+       CAST(((CAST(sum(pc) AS HUGEINT) * 2 + count(*)) // (count(*) * 2)) / 100 AS DECIMAL(12,2)) AS mean_price_usd,
+       round(sqrt(CAST(count(*) * sum(CAST(pc AS HUGEINT) * pc) - CAST(sum(pc) AS HUGEINT) * sum(pc) AS DOUBLE)
+                  / CAST(count(*) * (count(*) - 1) AS DOUBLE)) / 100, 2) AS stddev_price_usd,
+       CAST(round(quantile_cont(CAST(pc AS DOUBLE), 0.05), 0) / 100 AS DECIMAL(12,2)) AS p05_price_usd,
+       CAST(round(quantile_cont(CAST(pc AS DOUBLE), 0.50), 0) / 100 AS DECIMAL(12,2)) AS p50_price_usd,
+       CAST(round(quantile_cont(CAST(pc AS DOUBLE), 0.95), 0) / 100 AS DECIMAL(12,2)) AS p95_price_usd
+FROM dp GROUP BY product_model_id, country_code, window_days HAVING count(*) >= 3
+"""
+
+
+@query("baselines", BASELINE_SQL)
+def q_baselines(spark, sf_dir):
+    """AGG-1: 7/30/90-day rolling baselines per (model, country) as of a fixed day."""
+    return B.baselines(history(spark, sf_dir), AS_OF)
+
+
+DAILY_SQL = T.with_sql(T.OFFERS_SQL) + f"""
+SELECT CAST(crawl_ts_utc AS DATE) AS utc_date, partner_id, country_code, product_model_id, payment_type,
+       count(*) AS offer_count,
+       min(effective_total_usd) AS min_price_usd,
+       CAST(((CAST(sum({C_SQL.format(x='effective_total_usd')}) AS HUGEINT) * 2 + count(*)) // (count(*) * 2)) / 100
+            AS DECIMAL(12,2)) AS avg_price_usd,
+       CAST(round(quantile_cont(CAST({C_SQL.format(x='effective_total_usd')} AS DOUBLE), 0.5), 0) / 100
+            AS DECIMAL(12,2)) AS median_price_usd,
+       max(effective_total_usd) AS max_price_usd,
+       CASE WHEN count(*) >= 2 THEN
+         round(sqrt(CAST(count(*) * sum(CAST({C_SQL.format(x='effective_total_usd')} AS HUGEINT) * {C_SQL.format(x='effective_total_usd')})
+                    - CAST(sum({C_SQL.format(x='effective_total_usd')}) AS HUGEINT) * sum({C_SQL.format(x='effective_total_usd')}) AS DOUBLE)
+                    / CAST(count(*) * (count(*) - 1) AS DOUBLE)) / 100, 2) END AS stddev_price_usd
+FROM offers GROUP BY 1, 2, 3, 4, 5
+"""
+
+
+@query("daily_prices", DAILY_SQL)
+def q_daily_prices(spark, sf_dir):
+    """AGG-3: daily UTC aggregate per (partner, country, model, payment)."""
+    return B.daily_prices(T.offers(spark, sf_dir))
+
+
+HOURLY_SQL_CTE = f"""
+hourly AS (
+  SELECT date_trunc('hour', crawl_ts_utc) AS utc_hour, partner_id, country_code, product_model_id, payment_type,
+         count(*) AS offer_count, sum({C_SQL.format(x='effective_total_usd')}) AS sum_cents,
+         CAST(((sum({C_SQL.format(x='effective_total_usd')}) * 2 + count(*)) // (count(*) * 2)) / 100 AS DECIMAL(12,2)) AS avg_price_usd,
+         min(effective_total_usd) AS min_price_usd, max(effective_total_usd) AS max_price_usd
+  FROM offers GROUP BY 1, 2, 3, 4, 5
+)"""
+
+
+@query("hourly_prices", T.with_sql(T.OFFERS_SQL, HOURLY_SQL_CTE) + """
+SELECT utc_hour, partner_id, country_code, product_model_id, payment_type, offer_count,
+       CAST(sum_cents AS BIGINT) AS sum_cents, avg_price_usd, min_price_usd, max_price_usd FROM hourly
+""")
+def q_hourly_prices(spark, sf_dir):
+    """AGG-4: hourly UTC aggregate."""
+    return B.hourly_prices(T.offers(spark, sf_dir))
+
+
+@query("rezone_daily", T.with_sql(T.OFFERS_SQL, HOURLY_SQL_CTE) + f"""
+SELECT CAST(timezone('America/New_York', utc_hour AT TIME ZONE 'UTC') AS DATE) AS local_date,
+       partner_id, country_code, product_model_id, payment_type,
+       CAST(sum(offer_count) AS BIGINT) AS offer_count,
+       CAST(((CAST(sum({C_SQL.format(x='avg_price_usd')}) AS HUGEINT) * 2 + count(*)) // (count(*) * 2)) / 100
+            AS DECIMAL(12,2)) AS avg_of_hourly_avg
+FROM hourly GROUP BY 1, 2, 3, 4, 5
+""")
+def q_rezone_daily(spark, sf_dir):
+    """AGG-5: hourly aggregates re-cut into New York days."""
+    return B.rezone_daily(B.hourly_prices(T.offers(spark, sf_dir)), "America/New_York")
+
+
+CAL_SQL = """
+bounds AS (SELECT CAST(min(ts) AS DATE) AS s, CAST(max(ts) AS DATE) AS e FROM events),
+cal AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS date_value FROM bounds)"""
+
+
+def _events_calendar(spark, sf_dir):
+    ev = T.read(spark, sf_dir, "events")
+    bounds = ev.agg(F.to_date(F.min("ts")).alias("start_date"), F.to_date(F.max("ts")).alias("end_date"))
+    return B.calendar_from(bounds)
+
+
+@query("calendar", "WITH " + CAL_SQL.strip() + """
+SELECT date_value, CAST(year(date_value) AS INTEGER) AS year, CAST(quarter(date_value) AS INTEGER) AS quarter,
+       CAST(month(date_value) AS INTEGER) AS month, monthname(date_value) AS month_name,
+       CAST(weekofyear(date_value) AS INTEGER) AS iso_week, CAST(isodow(date_value) AS INTEGER) AS iso_day_of_week,
+       dayname(date_value) AS day_name, isodow(date_value) >= 6 AS is_weekend
+FROM cal
+""")
+def q_calendar(spark, sf_dir):
+    """SRC-8: calendar dimension over the span of the events table."""
+    return _events_calendar(spark, sf_dir)
+
+
+@query("fiscal", "WITH " + CAL_SQL.strip() + """
+SELECT date_value,
+       CAST(year(date_value + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_year,
+       CAST(quarter(date_value + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_quarter,
+       CAST(month(date_value + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month,
+       month(date_value) IN (3, 6, 9, 12) AND date_value = last_day(date_value) AS is_fiscal_quarter_end
+FROM cal
+""")
+def q_fiscal(spark, sf_dir):
+    """AGG-8: fiscal calendar (FQ1 = Oct–Dec) over the span of the events table."""
+    return B.fiscal_calendar(_events_calendar(spark, sf_dir)).select(
+        "date_value", "fiscal_year", "fiscal_quarter", "fiscal_month", "is_fiscal_quarter_end")
