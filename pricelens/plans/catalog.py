@@ -557,3 +557,299 @@ def q_fiscal(spark, sf_dir):
     """AGG-8: fiscal calendar (FQ1 = Oct–Dec) over the span of the events table."""
     return B.fiscal_calendar(_events_calendar(spark, sf_dir)).select(
         "date_value", "fiscal_year", "fiscal_quarter", "fiscal_month", "is_fiscal_quarter_end")
+
+
+# ---------------------------------------------------------------------------
+# Product-name matching
+# ---------------------------------------------------------------------------
+
+from pricelens.functions import text as X  # noqa: E402
+from pricelens.operators import harmonise as HM  # noqa: E402
+
+# FIXED VALUES (testbed) — category keywords of the part-name test dictionary
+TEST_CATEGORIES = [("anvil", "ANVIL"), ("bolt", "BOLT"), ("gear", "GEAR"), ("gizmo", "GIZMO"),
+                   ("plate", "PLATE"), ("ring", "RING"), ("rod", "ROD"), ("widget", "WIDGET")]
+TEST_DICT = X.DEFAULT.with_categories(TEST_CATEGORIES)
+
+
+def testbed_registry_rows(spark, sf_dir):
+    """Registry CSV shape from ``part``: category, short and long description, id."""
+    p = T.read(spark, sf_dir, "part")
+    return p.select(F.col("p_type").alias("category"), F.col("p_name").alias("short_desc"),
+                    F.concat_ws(" ", F.upper("p_name"), F.concat(F.col("p_size").cast("string"), F.lit("GB")),
+                                F.col("p_brand")).alias("long_desc"),
+                    F.col("p_partkey").alias("product_id"), F.col("p_partkey").alias("ord"))
+
+
+def testbed_names(spark, sf_dir):
+    """Offer names as partners would write them: part name plus size in GB."""
+    li = T.read(spark, sf_dir, "lineitem").select("l_partkey")
+    p = T.read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    return li.join(p, li.l_partkey == p.p_partkey).select(
+        F.concat(F.col("p_name"), F.lit(" "), F.col("p_size").cast("string"), F.lit("gb")).alias("name"))
+
+
+def _sql_list(xs):
+    return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+
+
+def _sql_re(p: str) -> str:
+    return p.replace("(?U)", "").replace("'", "''")
+
+
+def _sql_rep(r: str) -> str:
+    return r.replace("$1", "\\1").replace("'", "''")
+
+
+def normalise_sql(src: str, col: str, d=TEST_DICT) -> str:
+    """CTE chain (DuckDB) turning ``src.col`` into ``tokens``; keeps all src columns."""
+    pats = d.pattern_expansions
+    steps = [f"n0 AS (SELECT *, regexp_replace(lower(coalesce({col}, '')), '[,()+\\[\\]{{}}]', ' ', 'g') AS s FROM {src})"]
+    cur = "n0"
+    for i, (p, r) in enumerate(pats[:3]):
+        steps.append(f"na{i} AS (SELECT * REPLACE (regexp_replace(s, '{_sql_re(p)}', '{_sql_rep(r)}', 'g') AS s) FROM {cur})")
+        cur = f"na{i}"
+    steps.append(
+        f"ntb AS (SELECT * REPLACE (array_to_string(list_transform(string_split("
+        f"regexp_replace(s, '{_sql_re(d.terabyte_pattern)}', chr(1) || '\\1' || chr(1), 'g'), chr(1)), "
+        f"lambda x, i: CASE WHEN i % 2 = 0 THEN CAST(CAST(x AS HUGEINT) * 1024 AS VARCHAR) || 'gb' ELSE x END), '') AS s) FROM {cur})")
+    cur = "ntb"
+    for i, (p, r) in enumerate(pats[3:]):
+        steps.append(f"nb{i} AS (SELECT * REPLACE (regexp_replace(s, '{_sql_re(p)}', '{_sql_rep(r)}', 'g') AS s) FROM {cur})")
+        cur = f"nb{i}"
+    arms = " ".join(f"WHEN t = '{k}' THEN {_sql_list(v.split())}" for k, v in d.token_abbreviations.items())
+    steps.append(
+        f"ntok AS (SELECT * EXCLUDE (s), list_filter(flatten(list_transform(list_filter(list_transform("
+        f"list_filter(regexp_split_to_array(s, '\\s+'), lambda t: t <> ''), "
+        f"lambda t: regexp_replace(t, '^[\\-.,;:''\"]+|[\\-.,;:''\"]+$', '', 'g')), lambda t: t <> ''), "
+        f"lambda t: CASE {arms} ELSE [t] END)), lambda t: NOT list_contains({_sql_list(d.noise_words)}, t)) AS tokens "
+        f"FROM {cur})")
+    return ",\n".join(steps)
+
+
+def attributes_sql(src: str, d=TEST_DICT) -> str:
+    """CTE (DuckDB) adding category … model_line from ``tokens``; output CTE ``attrs``."""
+    cat = " ".join(f"WHEN contains(j, '{k}') THEN '{c}'" for k, c in d.category_keywords)
+    sizes = ", ".join(str(s) for s in d.storage_sizes)
+    chip = " ".join(
+        f"WHEN regexp_matches(j, '{_sql_re(p)}') THEN " +
+        (f"'{lab}'" if g is None else f"'{lab}' || regexp_extract(j, '{_sql_re(p)}', {g})")
+        for p, lab, g in d.chip_patterns)
+    conn = " ".join(f"WHEN contains(j, '{k}') THEN '{lab}'" for k, lab in d.connectivity)
+    by_cat = {}
+    for k, c in d.category_keywords:
+        by_cat.setdefault(c, []).append(k)
+    cskip = " ".join(f"WHEN '{c}' THEN {_sql_list(ks)}" for c, ks in by_cat.items())
+    sint = "CASE WHEN size_inch = floor(size_inch) THEN CAST(CAST(floor(size_inch) AS BIGINT) AS VARCHAR) ELSE CAST(size_inch AS VARCHAR) END"
+    return f"""
+a0 AS (SELECT *, array_to_string(tokens, ' ') AS j FROM {src}),
+a1 AS (
+  SELECT *,
+    CASE {cat} END AS category,
+    CASE WHEN regexp_extract(j, '{_sql_re(d.storage_pattern)}', 1) <> ''
+         THEN TRY_CAST(regexp_extract(j, '{_sql_re(d.storage_pattern)}', 1) AS BIGINT)
+         ELSE TRY_CAST(list_filter(tokens, lambda t: regexp_matches(t, '^[0-9]+$') AND TRY_CAST(t AS BIGINT) IN ({sizes}))[1] AS BIGINT) END AS storage_gb,
+    CASE WHEN regexp_extract(j, '{_sql_re(d.size_pattern)}', 1) <> ''
+         THEN TRY_CAST(regexp_extract(j, '{_sql_re(d.size_pattern)}', 1) AS DOUBLE) END AS size_inch,
+    CASE {chip} END AS chip,
+    CASE {conn} END AS connectivity
+  FROM a0
+),
+a2 AS (
+  SELECT *, list_concat(
+      COALESCE(CASE category {cskip} END, []::VARCHAR[]),
+      CASE WHEN storage_gb IS NOT NULL AND storage_gb <> 0 THEN ['gb', CAST(storage_gb AS VARCHAR)] ELSE []::VARCHAR[] END,
+      CASE WHEN connectivity IS NOT NULL THEN [lower(connectivity)] ELSE []::VARCHAR[] END,
+      CASE WHEN size_inch IS NOT NULL AND size_inch <> 0 THEN [{sint} || 'inch', {sint}] ELSE []::VARCHAR[] END) AS skip
+  FROM a1
+),
+a3 AS (SELECT *, list_filter(tokens, lambda t: NOT list_contains(skip, t)) AS kept FROM a2),
+attrs AS (
+  SELECT * EXCLUDE (j, skip, kept),
+    CASE WHEN len(kept) > 0 THEN array_to_string(list_filter(kept, lambda x, i: list_position(kept, x) = i), ' ') END AS model_line
+  FROM a3
+)"""
+
+
+def signature_sql() -> str:
+    stext = "CASE WHEN size_inch = floor(size_inch) THEN CAST(CAST(floor(size_inch) AS BIGINT) AS VARCHAR) || '.0' ELSE CAST(size_inch AS VARCHAR) END"
+    return ("array_to_string(list_filter([lower(COALESCE(category, '?')), "
+            "lower(replace(COALESCE(model_line, ''), ' ', '_')), lower(COALESCE(chip, '')), "
+            "CASE WHEN storage_gb IS NOT NULL AND storage_gb <> 0 THEN CAST(storage_gb AS VARCHAR) || 'gb' ELSE '' END, "
+            "lower(COALESCE(connectivity, '')), "
+            f"CASE WHEN size_inch IS NOT NULL AND size_inch <> 0 THEN {stext} || 'in' ELSE '' END], "
+            "lambda x: x <> ''), '|')")
+
+
+NAMES_SQL = """
+names_src AS (
+  SELECT DISTINCT p_name || ' ' || CAST(p_size AS VARCHAR) || 'gb' AS name
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+)"""
+
+REG_SRC_SQL = """
+reg_src AS (
+  SELECT trim(p_type) AS _cat, trim(p_name) AS _short,
+         trim(concat_ws(' ', upper(p_name), CAST(p_size AS VARCHAR) || 'GB', p_brand)) AS _long,
+         p_partkey AS _pid, p_partkey AS _ord,
+         concat_ws(' ', trim(p_type), trim(p_name), trim(concat_ws(' ', upper(p_name), CAST(p_size AS VARCHAR) || 'GB', p_brand))) AS combined
+  FROM part
+)"""
+
+
+def _registry_sql() -> str:
+    fallback = ("CASE WHEN lower(trim(_cat)) = 'iphone' THEN 'IPHONE' WHEN lower(trim(_cat)) = 'ipad' THEN 'IPAD' "
+                "WHEN lower(trim(_cat)) = 'airpods' THEN 'AIRPODS' WHEN lower(trim(_cat)) = 'watch' THEN 'WATCH' "
+                "WHEN starts_with(lower(trim(_cat)), 'mac') THEN 'MAC' END")
+    return (REG_SRC_SQL.strip() + ",\n" + normalise_sql("reg_src", "combined") + ",\n"
+            + attributes_sql("ntok").strip() + f""",
+reg1 AS (SELECT * REPLACE (COALESCE(category, {fallback}) AS category) FROM attrs),
+reg2 AS (SELECT *, {signature_sql()} AS model_key FROM reg1),
+registry AS (
+  SELECT model_key, arg_min(_short, _ord) AS canonical_name,
+         arg_min(COALESCE(category, _cat), _ord) AS entry_category,
+         arg_min(category, _ord) AS category, arg_min(storage_gb, _ord) AS storage_gb,
+         arg_min(chip, _ord) AS chip, arg_min(model_line, _ord) AS model_line,
+         arg_min(connectivity, _ord) AS connectivity, arg_min(size_inch, _ord) AS size_inch,
+         arg_min(tokens, _ord) AS tokens, min(_ord) AS registry_order, count(*) AS n_skus
+  FROM reg2 GROUP BY model_key
+)""")
+
+
+def _registry(spark, sf_dir):
+    return HM.build_registry(testbed_registry_rows(spark, sf_dir), TEST_DICT)
+
+
+@query("name_tokens", "WITH " + NAMES_SQL.strip() + ",\n" + normalise_sql("names_src", "name") + """
+SELECT name, array_to_string(tokens, ' ') AS token_text, CAST(len(tokens) AS INTEGER) AS n_tokens FROM ntok
+""")
+def q_name_tokens(spark, sf_dir):
+    """HRM-1: normalised tokens of every distinct offer name."""
+    n = testbed_names(spark, sf_dir).distinct()
+    t = HM.normalise_names(n, "name", TEST_DICT)
+    return t.select("name", F.array_join("tokens", " ").alias("token_text"),
+                    F.size("tokens").alias("n_tokens"))
+
+
+@query("name_attributes", "WITH " + NAMES_SQL.strip() + ",\n" + normalise_sql("names_src", "name") + ","
+       + attributes_sql("ntok") + f"""
+SELECT name, category, storage_gb, size_inch, chip, connectivity, model_line, {signature_sql()} AS signature
+FROM attrs
+""")
+def q_name_attributes(spark, sf_dir):
+    """HRM-2/3/4: attributes, model line and signature of every distinct offer name."""
+    n = HM.prepare_names(testbed_names(spark, sf_dir), "name", TEST_DICT)
+    return n.select("name", "category", "storage_gb", "size_inch", "chip", "connectivity",
+                    "model_line", X.signature().alias("signature"))
+
+
+@query("registry", "WITH " + _registry_sql() + """
+SELECT model_key, canonical_name, entry_category, category, storage_gb, chip, model_line,
+       connectivity, size_inch, array_to_string(tokens, ' ') AS token_text, registry_order,
+       CAST(n_skus AS INTEGER) AS n_skus
+FROM registry
+""")
+def q_registry(spark, sf_dir):
+    """HRM-4 / SRC-4: SKU rows collapsed into one registry entry per model signature."""
+    r = _registry(spark, sf_dir)
+    return r.select("model_key", "canonical_name", "entry_category", "category", "storage_gb", "chip",
+                    "model_line", "connectivity", "size_inch",
+                    F.array_join("tokens", " ").alias("token_text"), "registry_order",
+                    F.size("sku_ids").alias("n_skus"))
+
+
+@query("registry_summary", "WITH " + _registry_sql() + """
+SELECT COALESCE(entry_category, 'UNKNOWN') AS category, count(*) AS models, CAST(sum(n_skus) AS BIGINT) AS skus
+FROM registry GROUP BY 1
+UNION ALL
+SELECT 'TOTAL', count(*), CAST(sum(n_skus) AS BIGINT) FROM registry
+""")
+def q_registry_summary(spark, sf_dir):
+    """HRM-11: models and SKUs per category."""
+    return HM.registry_summary(_registry(spark, sf_dir))
+
+
+TOPK = 3
+
+
+def _topk_sql() -> str:
+    eq = ("CASE WHEN {a} IS NULL AND {b} IS NULL THEN NULL WHEN {a} IS NULL OR {b} IS NULL THEN 0.5::DOUBLE "
+          "WHEN {a} = {b} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END")
+    ml = ("CASE WHEN q.model_line IS NULL AND r.model_line IS NULL THEN NULL "
+          "WHEN q.model_line IS NULL OR r.model_line IS NULL THEN 0.5::DOUBLE "
+          "WHEN q.model_line = r.model_line OR (len(list_distinct(string_split(q.model_line, ' '))) = len(list_intersect(list_distinct(string_split(q.model_line, ' ')), list_distinct(string_split(r.model_line, ' ')))) "
+          "  AND len(list_distinct(string_split(r.model_line, ' '))) = len(list_intersect(list_distinct(string_split(q.model_line, ' ')), list_distinct(string_split(r.model_line, ' '))))) THEN 1.0::DOUBLE "
+          "ELSE CAST(len(list_intersect(list_distinct(string_split(q.model_line, ' ')), list_distinct(string_split(r.model_line, ' ')))) AS DOUBLE) "
+          "     / greatest(len(list_distinct(string_split(q.model_line, ' '))), len(list_distinct(string_split(r.model_line, ' ')))) END")
+    sims = [("category", eq.format(a="q.category", b="r.category"), 1.5),
+            ("storage_gb", eq.format(a="q.storage_gb", b="r.storage_gb"), 2.0),
+            ("chip", eq.format(a="q.chip", b="r.chip"), 1.0),
+            ("model_line", ml, 1.5),
+            ("connectivity", eq.format(a="q.connectivity", b="r.connectivity"), 0.5),
+            ("size_inch", eq.format(a="q.size_inch", b="r.size_inch"), 0.5)]
+    sim_cols = ", ".join(f"{s} AS s_{n}" for n, s, _ in sims)
+    earned = "0.0::DOUBLE" + "".join(f" + CASE WHEN s_{n} IS NOT NULL THEN s_{n} * {w} ELSE 0.0::DOUBLE END" for n, _, w in sims)
+    possible = "0.0::DOUBLE" + "".join(f" + CASE WHEN s_{n} IS NOT NULL THEN {w}::DOUBLE ELSE 0.0::DOUBLE END" for n, _, w in sims)
+    return ("WITH " + NAMES_SQL.strip() + ",\n" + normalise_sql("names_src", "name") + ","
+            + attributes_sql("ntok").replace("attrs AS (", "qattrs AS (")
+              .replace("a0 AS (", "qa0 AS (").replace("FROM a0", "FROM qa0")
+              .replace("a1 AS (", "qa1 AS (").replace("FROM a1", "FROM qa1")
+              .replace("a2 AS (", "qa2 AS (").replace("FROM a2", "FROM qa2")
+              .replace("a3 AS (", "qa3 AS (").replace("FROM a3", "FROM qa3")
+            + ",\n" + _registry_sql().replace("n0 AS (", "rn0 AS (").replace("FROM n0", "FROM rn0")
+              .replace("na0 AS (", "rna0 AS (").replace("FROM na0", "FROM rna0")
+              .replace("na1 AS (", "rna1 AS (").replace("FROM na1", "FROM rna1")
+              .replace("na2 AS (", "rna2 AS (").replace("FROM na2", "FROM rna2")
+              .replace("ntb AS (", "rntb AS (").replace("FROM ntb", "FROM rntb")
+              .replace("nb", "rnb").replace("ntok AS (", "rntok AS (").replace("FROM ntok", "FROM rntok")
+            + f""",
+pairs AS (
+  SELECT q.name, r.model_key, r.registry_order, {sim_cols},
+         CASE WHEN len(q.tokens) = 0 OR len(r.tokens) = 0 THEN 0.0::DOUBLE
+              ELSE CAST(len(list_intersect(list_distinct(q.tokens), list_distinct(r.tokens))) AS DOUBLE)
+                   / len(list_distinct(list_concat(q.tokens, r.tokens))) END AS jacc,
+         CASE WHEN length(array_to_string(q.tokens, ' ')) = 0 OR length(array_to_string(r.tokens, ' ')) = 0 THEN 0.0::DOUBLE
+              ELSE 1.0 - CAST(levenshtein(array_to_string(q.tokens, ' '), array_to_string(r.tokens, ' ')) AS DOUBLE)
+                   / greatest(length(array_to_string(q.tokens, ' ')), length(array_to_string(r.tokens, ' '))) END AS fuzz,
+         q.category AS qc, r.category AS rc
+  FROM qattrs q JOIN registry r ON q.category IS NULL OR r.category IS NULL OR q.category = r.category
+),
+scored AS (
+  SELECT *, CASE WHEN possible > 0 THEN earned / possible ELSE 0.0::DOUBLE END AS attr
+  FROM (SELECT *, {earned} AS earned, {possible} AS possible FROM pairs)
+),
+comb AS (SELECT *, 0.5 * attr + 0.3 * jacc + 0.2 * fuzz AS c FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY round(c, 3) DESC, registry_order ASC) AS rank
+  FROM comb
+)
+SELECT name, CAST(rank AS INTEGER) AS rank, model_key, round(c, 3) AS score,
+       CASE WHEN attr >= 0.95 THEN 'HIGH' WHEN c >= 0.85 THEN 'HIGH' WHEN c >= 0.60 THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
+       round(attr, 3) AS attr_match, round(jacc, 3) AS token_jaccard, round(fuzz, 3) AS char_fuzz
+FROM ranked WHERE rank <= {TOPK}
+""")
+
+
+@query("name_topk", _topk_sql())
+def q_name_topk(spark, sf_dir):
+    """HRM-5..9: top-3 registry matches per distinct offer name (Levenshtein character signal)."""
+    m = HM.match_top_k(testbed_names(spark, sf_dir), _registry(spark, sf_dir), TOPK, None, TEST_DICT,
+                       "levenshtein")
+    return m.select("name", "rank", "model_key", "score", "confidence", "attr_match",
+                    "token_jaccard", "char_fuzz")
+
+
+@query("name_match_exact")
+def q_name_match_exact(spark, sf_dir):
+    """HRM-7/8/10: top match per name with the exact difflib character signal (no SQL form)."""
+    m = HM.match_top_k(testbed_names(spark, sf_dir), _registry(spark, sf_dir), 1, None, TEST_DICT, "difflib")
+    return m.select("name", "model_key", "score", "confidence", "attr_match", "token_jaccard", "char_fuzz")
+
+
+@query("name_color", "SELECT p_partkey, CASE list_filter(string_split_regex(upper(COALESCE(p_name, '')), '\\s+'), "
+       "lambda t: list_contains(" + _sql_list(list(config.COLOR_CODES)) + ", t))[1] "
+       + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in config.COLOR_CODES.items()) + " END AS color FROM part")
+def q_name_color(spark, sf_dir):
+    """PRJ-9: colour from the upper-cased description (first token in the colour-code map)."""
+    p = T.read(spark, sf_dir, "part")
+    return p.select("p_partkey", X.extract_color(F.col("p_name")).alias("color"))
