@@ -853,3 +853,358 @@ def q_name_color(spark, sf_dir):
     """PRJ-9: colour from the upper-cased description (first token in the colour-code map)."""
     p = T.read(spark, sf_dir, "part")
     return p.select("p_partkey", X.extract_color(F.col("p_name")).alias("color"))
+
+
+# ---------------------------------------------------------------------------
+# DQ reports, payments, FX, local time, history reports
+# ---------------------------------------------------------------------------
+
+SEM_FLAGS = {
+    "DQ_HARM_001": "harmonise_confidence = 'LOW'",
+    "DQ_PRICE_001": "min_usd IS NOT NULL AND (effective_total_usd < min_usd OR effective_total_usd > max_usd)",
+}
+BANDS_SQL = "bands AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', {lo}, {hi})" for c, lo, hi in T.TESTBED_PRICE_BANDS) + ") t(band_category, min_usd, max_usd))"
+
+GATED_FACTS_SQL = T.with_sql(T.OFFERS_SQL, T.STAGING_SQL, T.COUNTRIES_SQL, T.PARTNERS_SQL, CATALOG_SQL,
+                             STAGED_SQL, RATES_SQL, BANDS_SQL,
+                             FACTS_SQL.format(gate="dq_status = 'PRE_FACT_PASSED' AND")) + f""",
+gated AS (
+  SELECT f.offer_id, f.source_batch_id, f.category_code, f.harmonise_confidence, f.harmonise_score,
+         f.raw_product_name, f.product_model_id, f.partner_id, f.country_code, f.payment_type,
+         CAST(round(f.effective_total_local * COALESCE(f.fx_rate, CAST(1 AS DECIMAL(16,8))), 2) AS DECIMAL(12,2)) AS effective_total_usd
+  FROM facts f
+),
+sem AS (
+  SELECT g.*, b.min_usd, b.max_usd, {_flag_cols(SEM_FLAGS)}
+  FROM gated g LEFT JOIN bands b ON g.category_code = b.band_category
+)"""
+
+
+def gated_facts(spark, sf_dir):
+    return FX.build_facts(staged(spark, sf_dir), testbed_rates(spark, sf_dir), gate=True)
+
+
+def semantic_eval(spark, sf_dir):
+    return Q.evaluate(Q.prepare_semantic(gated_facts(spark, sf_dir),
+                                         Q.price_bands(spark, T.TESTBED_PRICE_BANDS)), "SEMANTIC")
+
+
+@query("dq_semantic_rules", GATED_FACTS_SQL + "," + _stage_sql(SEM_FLAGS, "sem"))
+def q_dq_semantic(spark, sf_dir):
+    """DQ-12/13 + DQE-1: SEMANTIC rules on gated facts; total = fact rows."""
+    return Q.stage_output(semantic_eval(spark, sf_dir), "SEMANTIC", Q.catalog(spark))
+
+
+ALL_OUTPUT_SQL_PARTS = {
+    "ing": (INGEST_FLAGS, "ing_all"),
+    "pre": (PREFACT_FLAGS, "staged"),
+    "sem": (SEM_FLAGS, "sem"),
+}
+
+
+def _long_sql(flags, src, tag):
+    sums = ", ".join(f"CAST(sum(CASE WHEN f_{r} THEN 1 ELSE 0 END) AS BIGINT) AS {r}" for r in flags)
+    return (f"agg_{tag} AS (SELECT source_batch_id, CAST(count(*) AS BIGINT) AS total_records, {sums} "
+            f"FROM {src} GROUP BY source_batch_id),\n"
+            f"long_{tag} AS (UNPIVOT agg_{tag} ON {', '.join(flags)} INTO NAME rule_id VALUE failed_records)")
+
+
+ALL_OUTPUT_SQL = GATED_FACTS_SQL + f""",
+ing_all AS (SELECT source_batch_id, {_flag_cols(INGEST_FLAGS)} FROM staging),
+{_long_sql(INGEST_FLAGS, 'ing_all', 'i')},
+{_long_sql(PREFACT_FLAGS, 'staged', 'p')},
+{_long_sql(SEM_FLAGS, 'sem', 's')},
+dq_output AS (
+  SELECT l.source_batch_id, l.rule_id, c.rule_name, c.rule_category, c.severity, c.target_stage,
+         l.total_records, l.failed_records
+  FROM (SELECT * FROM long_i UNION ALL SELECT * FROM long_p UNION ALL SELECT * FROM long_s) l
+  JOIN catalog c USING (rule_id)
+)"""
+
+
+def dq_output(spark, sf_dir):
+    cat = Q.catalog(spark)
+    stg = T.staging(spark, sf_dir)
+    out_i = Q.stage_output(Q.evaluate(stg, "INGEST"), "INGEST", cat)
+    stg_ing = Q.evaluate(stg, "INGEST")
+    s1 = stg_ing.withColumn("dq_status", Q.ingest_status(stg_ing)).drop("_hits")
+    pre = Q.evaluate(Q.prepare_prefact(s1, T.countries(spark, sf_dir), T.partners(spark, sf_dir)),
+                     "PRE_FACT", eligible=F.col("dq_status") == "INGEST_PASSED")
+    out_p = Q.stage_output(pre, "PRE_FACT", cat)
+    out_s = Q.stage_output(semantic_eval(spark, sf_dir), "SEMANTIC", cat)
+    return out_i.unionByName(out_p).unionByName(out_s)
+
+
+@query("dq_pass_rates", ALL_OUTPUT_SQL + """
+SELECT c.rule_id, c.rule_name, c.target_stage, c.severity,
+       CAST(COALESCE(sum(o.total_records), 0) AS BIGINT) AS total_records,
+       CAST(COALESCE(sum(o.failed_records), 0) AS BIGINT) AS failed_records,
+       CASE WHEN COALESCE(sum(o.total_records), 0) = 0 THEN 1.0
+            ELSE round(1.0 - CAST(COALESCE(sum(o.failed_records), 0) AS DOUBLE) / sum(o.total_records), 4) END AS pass_rate
+FROM catalog c LEFT JOIN dq_output o USING (rule_id)
+GROUP BY c.rule_id, c.rule_name, c.target_stage, c.severity
+""")
+def q_dq_pass_rates(spark, sf_dir):
+    """RPT-5: pass rate per active rule over all batches (rules that never ran included)."""
+    return Q.rule_pass_rates(Q.catalog(spark), dq_output(spark, sf_dir))
+
+
+@query("dq_by_stage", ALL_OUTPUT_SQL + """
+SELECT s.target_stage, s.stage_order,
+       CAST(COALESCE(sum(o.failed_records), 0) AS BIGINT) AS failed_records,
+       CAST(COALESCE(sum(o.total_records), 0) AS BIGINT) AS total_records
+FROM (VALUES ('INGEST', 0), ('PRE_FACT', 1), ('SEMANTIC', 2)) s(target_stage, stage_order)
+LEFT JOIN dq_output o USING (target_stage)
+GROUP BY s.target_stage, s.stage_order
+""")
+def q_dq_by_stage(spark, sf_dir):
+    """DQE-8: failed records per stage, all three stages present."""
+    return Q.dq_by_stage(dq_output(spark, sf_dir), spark)
+
+
+@query("dq_latest", ALL_OUTPUT_SQL + """
+SELECT rule_id, arg_max(source_batch_id, source_batch_id) AS source_batch_id,
+       arg_max(failed_records, source_batch_id) AS failed_records,
+       arg_max(total_records, source_batch_id) AS total_records
+FROM dq_output GROUP BY rule_id
+""")
+def q_dq_latest(spark, sf_dir):
+    """DQE-6: the newest result per rule (newest batch)."""
+    out = dq_output(spark, sf_dir).withColumn("run_ts", F.col("source_batch_id"))
+    return Q.latest_rule_results(out).select("rule_id", "source_batch_id", "failed_records", "total_records")
+
+
+@query("dq_summary", ALL_OUTPUT_SQL + """
+SELECT count(DISTINCT rule_id) AS rules_run, CAST(max(total_records) AS BIGINT) AS max_total_records,
+       CAST(COALESCE(sum(CASE WHEN severity = 'HIGH' THEN failed_records END), 0) AS BIGINT) AS violations_high,
+       CAST(COALESCE(sum(CASE WHEN severity NOT IN ('HIGH', 'LOW') THEN failed_records END), 0) AS BIGINT) AS violations_medium,
+       CAST(COALESCE(sum(CASE WHEN severity = 'LOW' THEN failed_records END), 0) AS BIGINT) AS violations_low
+FROM dq_output
+""")
+def q_dq_summary(spark, sf_dir):
+    """DQE-7: rules run, largest total, violations by severity."""
+    return Q.dq_summary(dq_output(spark, sf_dir))
+
+
+BAD_SQL = ALL_OUTPUT_SQL + f""",
+bad AS (
+  SELECT source_batch_id, offer_id, rule_id FROM (
+    SELECT source_batch_id, offer_id, {', '.join('f_' + r for r in INGEST_FLAGS)} FROM (
+      SELECT offer_id, source_batch_id, {_flag_cols(INGEST_FLAGS)} FROM staging))
+  UNPIVOT (hit FOR rule_id IN ({', '.join('f_' + r for r in INGEST_FLAGS)})) WHERE hit
+  UNION ALL
+  SELECT source_batch_id, offer_id, rule_id FROM (
+    SELECT source_batch_id, offer_id, {', '.join('f_' + r for r in PREFACT_FLAGS)} FROM staged)
+  UNPIVOT (hit FOR rule_id IN ({', '.join('f_' + r for r in PREFACT_FLAGS)})) WHERE hit
+  UNION ALL
+  SELECT source_batch_id, offer_id, rule_id FROM (
+    SELECT source_batch_id, offer_id, {', '.join('f_' + r for r in SEM_FLAGS)} FROM sem)
+  UNPIVOT (hit FOR rule_id IN ({', '.join('f_' + r for r in SEM_FLAGS)})) WHERE hit
+),
+bad_records AS (
+  SELECT b.source_batch_id, b.offer_id, substr(b.rule_id, 3) AS rule_id, c.severity, c.target_stage
+  FROM bad b JOIN catalog c ON substr(b.rule_id, 3) = c.rule_id
+)"""
+
+
+def bad_records(spark, sf_dir):
+    cat = Q.catalog(spark)
+    stg = T.staging(spark, sf_dir)
+    ing = Q.evaluate(stg, "INGEST")
+    s1 = ing.withColumn("dq_status", Q.ingest_status(ing))
+    pre = Q.evaluate(Q.prepare_prefact(s1.drop("_hits"), T.countries(spark, sf_dir), T.partners(spark, sf_dir)),
+                     "PRE_FACT", eligible=F.col("dq_status") == "INGEST_PASSED")
+    keys = ["offer_id"]
+    return (Q.bad_records(ing, cat, keys).unionByName(Q.bad_records(pre, cat, keys))
+            .unionByName(Q.bad_records(semantic_eval(spark, sf_dir), cat, keys)))
+
+
+@query("violations_by", BAD_SQL + """
+SELECT rule_id, target_stage, severity, 'NEW' AS status, count(*) AS violations
+FROM bad_records GROUP BY 1, 2, 3
+""")
+def q_violations_by(spark, sf_dir):
+    """AGG-9 / RPT-4: violations per rule, stage, severity and status."""
+    c = F.broadcast(Q.catalog(spark).select("rule_id", "target_stage"))
+    return Q.violations_by(bad_records(spark, sf_dir).join(c, "rule_id"),
+                           "rule_id", "target_stage", "severity", "status")
+
+
+@query("blocked_count", BAD_SQL + """
+SELECT count(DISTINCT (source_batch_id, offer_id)) AS blocked_rows FROM bad_records WHERE target_stage = 'PRE_FACT'
+""")
+def q_blocked_count(spark, sf_dir):
+    """RPT-2: distinct rows blocked at PRE_FACT."""
+    return Q.blocked_count(bad_records(spark, sf_dir), Q.catalog(spark), ["source_batch_id", "offer_id"])
+
+
+@query("clean_facts", BAD_SQL + """
+SELECT g.source_batch_id, count(*) AS clean_offers
+FROM gated g WHERE NOT EXISTS (SELECT 1 FROM bad_records b WHERE b.offer_id = g.offer_id)
+GROUP BY g.source_batch_id
+""")
+def q_clean_facts(spark, sf_dir):
+    """DQE-9: gated facts without any bad record, counted per batch."""
+    clean = Q.clean_facts(gated_facts(spark, sf_dir), bad_records(spark, sf_dir), ["offer_id"])
+    return clean.groupBy("source_batch_id").agg(F.count(F.lit(1)).alias("clean_offers"))
+
+
+@query("payment_split", T.with_sql(T.OFFERS_SQL) + """
+SELECT offer_id, payment_type,
+       CASE WHEN payment_type = 'FULL' THEN full_price END AS pay_full_price,
+       CASE WHEN payment_type = 'INSTALMENT' THEN monthly_amount END AS pay_monthly_amount,
+       CASE WHEN payment_type = 'INSTALMENT' THEN instalment_months END AS pay_instalment_months
+FROM offers
+""")
+def q_payment_split(spark, sf_dir):
+    """SNK-2: split payments into child tables and re-join them 1:1."""
+    o = T.offers(spark, sf_dir)
+    full, inst = FX.split_payments(o)
+    return FX.with_payment(o.select("offer_id", "payment_type"), full, inst)
+
+
+@query("effective_totals", T.with_sql(T.OFFERS_SQL) + """
+SELECT offer_id,
+       CAST(CASE WHEN payment_type = 'FULL' THEN COALESCE(full_price, 0)
+                 ELSE COALESCE(monthly_amount, 0) * COALESCE(instalment_months, 0) END AS DECIMAL(12,2)) AS effective_total_local
+FROM offers
+""")
+def q_effective_totals(spark, sf_dir):
+    """PRJ-5: effective local total (full price, or monthly × months)."""
+    o = T.offers(spark, sf_dir)
+    return o.select("offer_id", FX.effective_total(o).alias("effective_total_local"))
+
+
+@query("asof_fx", T.with_sql(T.OFFERS_SQL, RATES_SQL) + """
+SELECT o.offer_id, r.rate AS fx_rate, r.effective_date AS fx_rate_date
+FROM offers o ASOF LEFT JOIN rates r ON o.currency_code = r.from_currency_code AND o.crawl_date >= r.effective_date
+""")
+def q_asof_fx(spark, sf_dir):
+    """FX-1: latest rate on or before each offer's crawl day (rows without one kept)."""
+    return FX.asof_fx(T.offers(spark, sf_dir), testbed_rates(spark, sf_dir)).select(
+        "offer_id", "fx_rate", "fx_rate_date")
+
+
+@query("cross_rate", T.with_sql(RATES_SQL) + """,
+iv AS (SELECT *, lead(effective_date) OVER (PARTITION BY from_currency_code ORDER BY effective_date) AS nxt FROM rates),
+daily AS (
+  SELECT from_currency_code, CAST(unnest(generate_series(effective_date, COALESCE(nxt - 1, effective_date), INTERVAL 1 DAY)) AS DATE) AS rate_day, rate
+  FROM iv
+)
+SELECT a.from_currency_code, 'CUR0' AS to_currency_code, a.rate_day,
+       round(CAST(a.rate AS DOUBLE) / CAST(b.rate AS DOUBLE), 8) AS cross_rate
+FROM daily a JOIN daily b ON a.rate_day = b.rate_day AND b.from_currency_code = 'CUR0'
+""")
+def q_cross_rate(spark, sf_dir):
+    """FX-2/3: forward-filled daily rates, expressed in units of CUR0."""
+    return FX.cross_rate(FX.daily_rates(testbed_rates(spark, sf_dir)), "CUR0")
+
+
+# FIXED VALUES (testbed) — market time zone per region
+REGION_TZ = [(0, "Africa/Cairo"), (1, "America/New_York"), (2, "Asia/Tokyo"),
+             (3, "Europe/London"), (4, "Asia/Dubai")]
+
+
+@query("local_time", T.with_sql(T.OFFERS_SQL) + """,
+zones AS (SELECT * FROM (VALUES """ + ", ".join(f"({k}, '{z}')" for k, z in REGION_TZ) + """) t(country_code, iana_name))
+SELECT o.offer_id, timezone(COALESCE(z.iana_name, 'UTC'), o.crawl_ts_utc AT TIME ZONE 'UTC') AS crawl_ts_local,
+       CAST(timezone(COALESCE(z.iana_name, 'UTC'), o.crawl_ts_utc AT TIME ZONE 'UTC') AS DATE) AS crawl_date_local
+FROM offers o LEFT JOIN zones z USING (country_code)
+""")
+def q_local_time(spark, sf_dir):
+    """PRJ-7: market-local crawl time and day through the country's zone."""
+    zones = spark.createDataFrame(REGION_TZ, "country_code int, iana_name string")
+    return FX.with_local_time(T.offers(spark, sf_dir), zones, "market").select(
+        "offer_id", "crawl_ts_local", "crawl_date_local")
+
+
+@query("price_as_of", T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + f"""
+SELECT * FROM history
+WHERE valid_from_date <= DATE '{AS_OF}' AND (valid_to_date IS NULL OR valid_to_date >= DATE '{AS_OF}')
+""")
+def q_price_as_of(spark, sf_dir):
+    """HIS-4: history rows valid on a fixed day."""
+    return H.price_as_of(history(spark, sf_dir), AS_OF)
+
+
+@query("top_spreads", T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + """,
+cur AS (
+  SELECT product_model_id, country_code, payment_type, count(DISTINCT partner_id) AS partner_count,
+         min(effective_total_usd) AS cheapest_price_usd,
+         CAST(max(effective_total_usd) - min(effective_total_usd) AS DECIMAL(12,2)) AS price_spread_usd,
+         CASE WHEN avg(CAST(effective_total_usd AS DOUBLE)) > 0
+              THEN round(CAST(max(effective_total_usd) - min(effective_total_usd) AS DOUBLE)
+                         / avg(CAST(effective_total_usd AS DOUBLE)), 6) END AS price_spread_pct
+  FROM history WHERE valid_to_date IS NULL GROUP BY 1, 2, 3
+)
+SELECT * FROM cur WHERE partner_count > 1
+ORDER BY price_spread_pct DESC NULLS LAST, product_model_id, country_code, payment_type LIMIT 10
+""")
+def q_top_spreads(spark, sf_dir):
+    """HIS-7: the ten widest cross-partner spreads (a top-k report)."""
+    return H.top_spreads(H.current_prices(history(spark, sf_dir)), 10)
+
+
+@query("history_timeline", T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + """
+SELECT *, CASE WHEN valid_to_date IS NULL THEN 'CURRENT' ELSE 'HISTORICAL' END AS status FROM history
+""")
+def q_history_timeline(spark, sf_dir):
+    """HIS-6: history with CURRENT/HISTORICAL labels."""
+    return H.price_timeline(history(spark, sf_dir))
+
+
+@query("history_rows", T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + f""",
+touched AS (SELECT DISTINCT source_batch_id, {KEYS} FROM offers),
+per_key AS (SELECT {KEYS}, count(*) AS n FROM history GROUP BY ALL)
+SELECT t.source_batch_id, CAST(sum(p.n) AS BIGINT) AS history_rows
+FROM touched t JOIN per_key p USING ({KEYS}) GROUP BY t.source_batch_id
+""")
+def q_history_rows(spark, sf_dir):
+    """HIS-8: history rows for the keys each batch touched."""
+    return H.history_rows_for_batch(history(spark, sf_dir), T.offers(spark, sf_dir))
+
+
+INCR_BATCH = 2001
+
+
+@query("scd2_incremental", T.with_sql(T.OFFERS_SQL) + ",\n" + HISTORY_SQL
+       .replace("FROM offers) WHERE rn = 1", f"FROM offers WHERE source_batch_id < {INCR_BATCH}) WHERE rn = 1")
+       + f""",
+latest AS (
+  SELECT {KEYS}, currency_code, effective_total_local, effective_total_usd, crawl_date AS valid_from_date FROM (
+    SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY crawl_ts_utc DESC, offer_id DESC) AS rn
+    FROM offers WHERE source_batch_id = {INCR_BATCH}) WHERE rn = 1
+),
+changed AS (
+  SELECT l.*, e.effective_total_usd AS e_usd FROM latest l
+  LEFT JOIN (SELECT * FROM history WHERE valid_to_date IS NULL) e USING ({KEYS})
+  WHERE e.effective_total_usd IS NULL
+     OR (e.effective_total_usd <> l.effective_total_usd AND l.valid_from_date > e.valid_from_date)
+)
+SELECT h.{KEYS.replace(', ', ', h.')}, h.currency_code, h.effective_total_local, h.effective_total_usd, h.valid_from_date,
+       CASE WHEN h.valid_to_date IS NULL AND c.valid_from_date IS NOT NULL AND c.e_usd IS NOT NULL
+                 AND h.effective_total_usd <> c.effective_total_usd
+            THEN c.valid_from_date - 1 ELSE h.valid_to_date END AS valid_to_date
+FROM history h LEFT JOIN changed c USING ({KEYS})
+UNION ALL
+SELECT {KEYS}, currency_code, effective_total_local, effective_total_usd, valid_from_date, NULL FROM changed
+""")
+def q_scd2_incremental(spark, sf_dir):
+    """HIS-2: history of earlier batches, then one batch merged in."""
+    o = T.offers(spark, sf_dir)
+    base = H.scd2_rebuild(o.filter(F.col("source_batch_id") < INCR_BATCH))
+    return H.scd2_apply(base, o.filter(F.col("source_batch_id") == INCR_BATCH))
+
+
+@query("anom_counts", STAT_SQL.split("\nSELECT offer_id, 'STATISTICAL'")[0] + """
+SELECT 'STATISTICAL' AS anomaly_type,
+       count(*) FILTER (WHERE p >= 0.25) AS n_high,
+       count(*) FILTER (WHERE p >= 0.15 AND p < 0.25) AS n_medium,
+       count(*) FILTER (WHERE p >= 0.10 AND p < 0.15) AS n_low
+FROM scored
+""")
+def q_anom_counts(spark, sf_dir):
+    """ANO-7: anomaly counts by severity (STATISTICAL signal)."""
+    o = T.offers(spark, sf_dir)
+    return A.anomaly_counts(A.detect_statistical(o, H.scd2_rebuild(o)))
