@@ -1208,3 +1208,226 @@ def q_anom_counts(spark, sf_dir):
     """ANO-7: anomaly counts by severity (STATISTICAL signal)."""
     o = T.offers(spark, sf_dir)
     return A.anomaly_counts(A.detect_statistical(o, H.scd2_rebuild(o)))
+
+
+# ---------------------------------------------------------------------------
+# Batch summaries, funnels, review, config context, calibration, pipeline
+# ---------------------------------------------------------------------------
+
+from pricelens.operators import context as CX  # noqa: E402
+from pricelens.operators import reports as R  # noqa: E402
+from pricelens.operators import review as RV  # noqa: E402
+from pricelens.plans import pipeline as P  # noqa: E402
+
+SUMMARY_SQL = BAD_SQL + f""",
+tot AS (SELECT source_batch_id, count(*) AS total_records FROM staging GROUP BY 1),
+ld AS (SELECT source_batch_id, count(*) AS loaded_records,
+              count(*) FILTER (WHERE harmonise_confidence = 'HIGH') AS harmonise_high,
+              count(*) FILTER (WHERE harmonise_confidence = 'MEDIUM') AS harmonise_medium,
+              count(*) FILTER (WHERE harmonise_confidence = 'LOW') AS harmonise_low,
+              count(DISTINCT product_model_id) AS unique_products_covered
+       FROM gated GROUP BY 1),
+bd AS (SELECT source_batch_id, count(*) AS bad_records_count FROM bad_records GROUP BY 1),
+summary AS (
+  SELECT t.source_batch_id, t.total_records,
+         COALESCE(l.loaded_records, 0) AS loaded_records, COALESCE(b.bad_records_count, 0) AS bad_records_count,
+         COALESCE(l.harmonise_high, 0) AS harmonise_high, COALESCE(l.harmonise_medium, 0) AS harmonise_medium,
+         COALESCE(l.harmonise_low, 0) AS harmonise_low,
+         COALESCE(l.unique_products_covered, 0) AS unique_products_covered,
+         CAST(0 AS BIGINT) AS anomalies_detected,
+         greatest(0, t.total_records - COALESCE(l.loaded_records, 0) - COALESCE(b.bad_records_count, 0)) AS rows_unchanged,
+         CASE WHEN t.total_records = 0 THEN 1.0 ELSE round(CAST(COALESCE(l.loaded_records, 0) AS DOUBLE) / t.total_records, 4) END AS load_success_rate,
+         CASE WHEN COALESCE(l.loaded_records, 0) = 0 THEN 0.0
+              ELSE round(CAST(l.harmonise_high AS DOUBLE) / l.loaded_records, 4) END AS harmonise_high_pct
+  FROM tot t LEFT JOIN ld l USING (source_batch_id) LEFT JOIN bd b USING (source_batch_id)
+)"""
+
+
+def testbed_summary(spark, sf_dir):
+    return R.batch_summary(T.staging(spark, sf_dir), gated_facts(spark, sf_dir), bad_records(spark, sf_dir))
+
+
+@query("batch_summary", SUMMARY_SQL + "\nSELECT * FROM summary")
+def q_batch_summary(spark, sf_dir):
+    """AGG-6: per-batch load summary (anomaly count filled by the pipeline)."""
+    return testbed_summary(spark, sf_dir)
+
+
+@query("low_success", SUMMARY_SQL + "\nSELECT source_batch_id, load_success_rate FROM summary WHERE load_success_rate < 0.95")
+def q_low_success(spark, sf_dir):
+    """AGG-7: batches whose load rate is below a bar (0.95 on the testbed)."""
+    return R.low_success_batches(testbed_summary(spark, sf_dir), 0.95).select(
+        "source_batch_id", "load_success_rate")
+
+
+@query("batch_funnel", BAD_SQL + """
+SELECT s.source_batch_id, s.staged, COALESCE(f.in_fact, 0) AS in_fact, COALESCE(b.flagged, 0) AS flagged
+FROM (SELECT source_batch_id, count(*) AS staged FROM staging GROUP BY 1) s
+LEFT JOIN (SELECT source_batch_id, count(*) AS in_fact FROM gated GROUP BY 1) f USING (source_batch_id)
+LEFT JOIN (SELECT source_batch_id, count(DISTINCT offer_id) AS flagged FROM bad_records GROUP BY 1) b USING (source_batch_id)
+""")
+def q_batch_funnel(spark, sf_dir):
+    """AGG-10: staged → in fact → flagged per batch."""
+    return R.batch_funnel(T.staging(spark, sf_dir), gated_facts(spark, sf_dir), bad_records(spark, sf_dir))
+
+
+@query("funnel", GATED_FACTS_SQL + """
+SELECT 'staged' AS step, 1 AS step_order, count(*) AS rows FROM staged
+UNION ALL SELECT 'ingest_passed', 2, count(*) FILTER (WHERE dq_status IN ('INGEST_PASSED', 'PRE_FACT_PASSED')) FROM staged
+UNION ALL SELECT 'matched', 3, count(*) FILTER (WHERE product_model_id IS NOT NULL) FROM staged
+UNION ALL SELECT 'prefact_passed', 4, count(*) FILTER (WHERE dq_status = 'PRE_FACT_PASSED') FROM staged
+UNION ALL SELECT 'fact', 5, count(*) FROM gated
+""")
+def q_funnel(spark, sf_dir):
+    """RPT-6: staged → ingest-passed → matched → pre-fact-passed → fact."""
+    f = R.funnel(staged(spark, sf_dir), gated_facts(spark, sf_dir), gated_facts(spark, sf_dir).limit(0))
+    return f.filter(F.col("step") != "history")
+
+
+@query("review_page", BAD_SQL + """
+SELECT source_batch_id, offer_id, rule_id, severity FROM bad_records
+WHERE severity = 'HIGH'
+ORDER BY source_batch_id DESC, offer_id DESC, rule_id DESC LIMIT 25 OFFSET 50
+""")
+def q_review_page(spark, sf_dir):
+    """REV-1: third page (25 per page) of the HIGH-severity queue, newest first."""
+    page, _ = RV.review_queue(bad_records(spark, sf_dir), status="NEW", severity="HIGH", page=3, size=25)
+    return page.select("source_batch_id", "offer_id", "rule_id", "severity")
+
+
+@query("resolutions", BAD_SQL + """
+SELECT rule_id, CASE WHEN rule_id = 'DQ_NULL_002' THEN 'RESOLVED' WHEN rule_id = 'DQ_FMT_001' THEN 'IGNORED'
+                     ELSE 'NEW' END AS status, count(*) AS records
+FROM bad_records GROUP BY 1, 2
+""")
+def q_resolutions(spark, sf_dir):
+    """REV-2: resolve every blank-country record, ignore every unknown-country record."""
+    bad = bad_records(spark, sf_dir)
+    acts = bad.filter(F.col("rule_id").isin("DQ_NULL_002", "DQ_FMT_001")).select(
+        "offer_id", "rule_id",
+        F.when(F.col("rule_id") == "DQ_NULL_002", "RESOLVED").otherwise("IGNORED").alias("action"),
+        F.lit("reviewed").alias("notes"), F.lit(None).cast("timestamp").alias("resolved_at"))
+    out, _ = RV.apply_resolutions(bad, acts)
+    return out.groupBy("rule_id", "status").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("rule_trend", ALL_OUTPUT_SQL + """
+SELECT rule_id, source_batch_id,
+       CASE WHEN total_records = 0 THEN 1.0 ELSE round(1.0 - CAST(failed_records AS DOUBLE) / total_records, 4) END AS pass_rate,
+       lag(CASE WHEN total_records = 0 THEN 1.0 ELSE round(1.0 - CAST(failed_records AS DOUBLE) / total_records, 4) END)
+         OVER (PARTITION BY rule_id ORDER BY source_batch_id) AS prev_pass_rate,
+       round((CASE WHEN total_records = 0 THEN 1.0 ELSE round(1.0 - CAST(failed_records AS DOUBLE) / total_records, 4) END)
+             - lag(CASE WHEN total_records = 0 THEN 1.0 ELSE round(1.0 - CAST(failed_records AS DOUBLE) / total_records, 4) END)
+               OVER (PARTITION BY rule_id ORDER BY source_batch_id), 4) AS pass_rate_change
+FROM dq_output
+""")
+def q_rule_trend(spark, sf_dir):
+    """RPT-12: pass rate per rule and batch with the previous batch's rate."""
+    return R.rule_trend(dq_output(spark, sf_dir).withColumn(
+        "pass_rate", F.when(F.col("total_records") == 0, F.lit(1.0)).otherwise(
+            F.round(F.lit(1.0) - F.col("failed_records").cast("double") / F.col("total_records"), 4))))
+
+
+# FIXED VALUES (testbed) — threshold config rows (key, value, category?, country?)
+TEST_THRESHOLDS = [("stat_bar", 0.25, None, None), ("stat_bar", 0.30, "MAC", None),
+                   ("stat_bar", 0.20, None, 2), ("stat_bar", 0.35, "WATCH", 3),
+                   ("z_bar", 1.5, None, None), ("z_bar", 2.0, "IPAD", None)]
+
+
+def _sql_v(v):
+    return "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v))
+
+
+@query("thresholds", T.with_sql(T.OFFERS_SQL) + """,
+cfg AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"('{k}', {v}::DOUBLE, {_sql_v(c)}::VARCHAR, {_sql_v(n)}::INTEGER)" for k, v, c, n in TEST_THRESHOLDS) + """)
+        t(config_key, config_value, c_cat, c_cty)),
+keys AS (SELECT DISTINCT category_code, country_code FROM offers),
+m AS (
+  SELECT k.category_code, k.country_code, c.config_key, c.config_value,
+         (CASE WHEN c.c_cat IS NOT NULL THEN 2 ELSE 0 END) + (CASE WHEN c.c_cty IS NOT NULL THEN 1 ELSE 0 END) AS specificity
+  FROM keys k JOIN cfg c ON (c.c_cat IS NULL OR c.c_cat = k.category_code) AND (c.c_cty IS NULL OR c.c_cty = k.country_code)
+)
+SELECT config_key, category_code, country_code, arg_max(config_value, specificity) AS config_value,
+       max(specificity) AS specificity
+FROM m GROUP BY 1, 2, 3
+""")
+def q_thresholds(spark, sf_dir):
+    """ANO-13: most specific threshold per (key, category, country) in the offers."""
+    cfg = spark.createDataFrame(TEST_THRESHOLDS, "config_key string, config_value double, "
+                                                 "category_code string, country_code int")
+    return CX.resolve_thresholds(cfg, T.offers(spark, sf_dir))
+
+
+# FIXED VALUES (testbed) — lifecycle months per testbed category
+TEST_LIFECYCLE = [("IPHONE", 12), ("IPAD", 18), ("MAC", 24), ("AIRPODS", 24), ("WATCH", 12)]
+LIFE_AS_OF = "1996-01-10"
+
+
+@query("lifecycle", T.with_sql(T.OFFERS_SQL) + """,
+cats AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', {m})" for c, m in TEST_LIFECYCLE) + """) t(category_code, lifecycle_months)),
+models AS (SELECT product_model_id, category_code, partner_id, min(crawl_date) AS launch_date,
+                  CAST(NULL AS DATE) AS eol_date FROM offers GROUP BY 1, 2, 3)
+SELECT m.product_model_id, m.partner_id, m.launch_date,
+       CASE WHEN m.launch_date IS NULL THEN 'STABLE'
+            WHEN DATE '""" + LIFE_AS_OF + """' - m.launch_date < 14 THEN 'NEW'
+            WHEN m.eol_date IS NOT NULL AND m.eol_date <= DATE '""" + LIFE_AS_OF + """' THEN 'EOL'
+            WHEN c.lifecycle_months IS NOT NULL AND m.launch_date + to_months(c.lifecycle_months - 3) <= DATE '""" + LIFE_AS_OF + """' THEN 'LEGACY'
+            ELSE 'STABLE' END AS lifecycle_status
+FROM models m LEFT JOIN cats c USING (category_code)
+""")
+def q_lifecycle(spark, sf_dir):
+    """ANO-14: lifecycle status of each (model, partner) line, launch = first offer day."""
+    o = T.offers(spark, sf_dir)
+    models = o.groupBy("product_model_id", "category_code", "partner_id").agg(
+        F.min("crawl_date").alias("launch_date")).withColumn("eol_date", F.lit(None).cast("date"))
+    cats = spark.createDataFrame(TEST_LIFECYCLE, "category_code string, lifecycle_months int")
+    return CX.lifecycle_status(models, cats, LIFE_AS_OF).select(
+        "product_model_id", "partner_id", "launch_date", "lifecycle_status")
+
+
+@query("calibrate_cross_partner", T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + """,
+m AS (SELECT product_model_id, country_code, payment_type, count(DISTINCT partner_id) AS k,
+             min(effective_total_usd) AS mn, max(effective_total_usd) AS mx
+      FROM history WHERE valid_to_date IS NULL GROUP BY 1, 2, 3),
+s AS (SELECT CAST(mx - mn AS DOUBLE) / CAST(mn AS DOUBLE) AS spread FROM m WHERE k >= 2 AND mn > 0)
+SELECT round(quantile_cont(spread, 0.5), 6) AS p50, round(quantile_cont(spread, 0.9), 6) AS p90,
+       round(quantile_cont(spread, 0.99), 6) AS p99, count(*) AS n FROM s
+""")
+def q_calibrate_cross_partner(spark, sf_dir):
+    """CAL-1: cross-partner spread percentiles over open prices."""
+    return CX.calibrate_cross_partner(history(spark, sf_dir))
+
+
+@query("calibrate_temporal", T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + f""",
+c AS (SELECT CAST(abs(effective_total_usd - lag(effective_total_usd) OVER w) AS DOUBLE) AS d,
+             CAST(lag(effective_total_usd) OVER w AS DOUBLE) AS p
+      FROM history WINDOW w AS (PARTITION BY {KEYS} ORDER BY valid_from_date)),
+s AS (SELECT d / p AS change FROM c WHERE p IS NOT NULL AND p > 0)
+SELECT round(quantile_cont(change, 0.5), 6) AS p50, round(quantile_cont(change, 0.9), 6) AS p90,
+       round(quantile_cont(change, 0.99), 6) AS p99, count(*) AS n FROM s
+""")
+def q_calibrate_temporal(spark, sf_dir):
+    """CAL-2: percentiles of relative change between successive prices."""
+    return CX.calibrate_temporal(history(spark, sf_dir))
+
+
+@query("calibrate_severity", STAT_SQL.split("\nSELECT offer_id, 'STATISTICAL'")[0] + """
+SELECT round(quantile_cont(round(least(p, 1.0), 3), 0.80), 6) AS medium_bar,
+       round(quantile_cont(round(least(p, 1.0), 3), 0.95), 6) AS high_bar, count(*) AS n
+FROM scored WHERE p >= 0.10
+""")
+def q_calibrate_severity(spark, sf_dir):
+    """CAL-4: severity bars from the STATISTICAL score distribution."""
+    o = T.offers(spark, sf_dir)
+    return CX.calibrate_severity(A.detect_statistical(o, H.scd2_rebuild(o)))
+
+
+@query("pipeline_summary")
+def q_pipeline_summary(spark, sf_dir):
+    """PIPE-1: full Path A over the testbed staging (all batches), summary rows."""
+    ctx = P.Context(countries=T.countries(spark, sf_dir), partners=T.partners(spark, sf_dir),
+                    rates=testbed_rates(spark, sf_dir),
+                    bands=Q.price_bands(spark, T.TESTBED_PRICE_BANDS), catalog=Q.catalog(spark),
+                    sku_group=("product_model_id", "country_code", "payment_type", "crawl_date"))
+    return P.run_pipeline(T.staging(spark, sf_dir), ctx)["summary"]
