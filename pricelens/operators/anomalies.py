@@ -91,7 +91,10 @@ def detect_statistical(offers: DataFrame, history: DataFrame, profile: str = "li
                       F.lit(None).cast("decimal(38,0)").alias("hs"),
                       F.lit(None).cast("decimal(38,0)").alias("hss"), F.lit(True).alias("probe")))
     u = h.unionByName(probes).withColumn("dn", day)
-    w = Window.partitionBy(*mk).orderBy("dn").rangeBetween(-window_days, Window.unboundedFollowing)
+    # descending order turns the open-ended suffix into a growing prefix frame,
+    # which Spark evaluates incrementally (an unbounded-following frame is
+    # recomputed for every row)
+    w = Window.partitionBy(*mk).orderBy(F.desc("dn")).rangeBetween(Window.unboundedPreceding, window_days)
     stats = (u.select(*mk, "d", "probe",
                       F.sum("hn").over(w).alias("n"), F.sum("hs").over(w).alias("s"),
                       F.sum("hss").over(w).alias("ss"))
