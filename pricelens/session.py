@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,11 +53,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and
+    return a DataFrame reading it back.
 
-    Survives executor loss, unlike a local checkpoint.
+    One computation, columnar storage, and the result survives executor loss
+    (unlike a local checkpoint); later steps start from the table instead of
+    the whole lineage.
     """
     spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
