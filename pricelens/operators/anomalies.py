@@ -318,3 +318,18 @@ def explain_anomalies(anoms: DataFrame) -> DataFrame:
                 F.format_number(F.col("z_score"), 1), F.col("group_size").cast("string"),
                 F.format_number(F.col("group_mean"), 2), F.format_number(F.col("group_stddev"), 2))))
     return anoms.withColumn("explanation", text)
+
+
+def top_anomalies(anoms: DataFrame, as_of=None, n: int = 20, days: int = 30,
+                  ts_col: str = "crawl_ts_utc") -> DataFrame:
+    """ANO-18: the n most severe anomalies of the ``days`` before ``as_of``
+    (default: the newest crawl among them), by severity, score, then time.
+
+    The default as-of is a scalar subquery, evaluated once; the cut itself is
+    a top-n sort (each task keeps its own n before the final merge).
+    """
+    a = F.lit(as_of).cast("timestamp") if as_of is not None else anoms.select(F.max(ts_col)).scalar()
+    rank = F.when(F.col("severity") == "HIGH", 3).when(F.col("severity") == "MEDIUM", 2).otherwise(1)
+    recent = anoms.filter(F.col(ts_col) >= a - F.expr(f"INTERVAL {int(days)} DAYS"))
+    return recent.orderBy(rank.desc(), F.desc("signal_score"), F.desc(ts_col), F.desc("offer_id"),
+                          F.desc("anomaly_type")).limit(n)

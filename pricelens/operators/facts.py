@@ -68,9 +68,11 @@ def ffill_fx(rates: DataFrame, start, end, to_currency: str = "USD") -> DataFram
     Days before the first rate have a NULL rate.
     """
     cur = rates.filter(F.col("to_currency_code") == to_currency).select("from_currency_code").distinct()
+    s = start if isinstance(start, Column) else F.lit(start)
+    e = end if isinstance(end, Column) else F.lit(end)
     grid = cur.select(
         F.col("from_currency_code").alias("currency_code"),
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day"))
+        F.explode(F.sequence(s.cast("date"), e.cast("date"))).alias("day"))
     r = asof_fx(grid, rates,
                 "currency_code", "day", to_currency)
     return r.select("currency_code", "day", "fx_rate", "fx_rate_date")

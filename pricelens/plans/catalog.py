@@ -1431,3 +1431,242 @@ def q_pipeline_summary(spark, sf_dir):
                     bands=Q.price_bands(spark, T.TESTBED_PRICE_BANDS), catalog=Q.catalog(spark),
                     sku_group=("product_model_id", "country_code", "payment_type", "crawl_date"))
     return P.run_pipeline(T.staging(spark, sf_dir), ctx)["summary"]
+
+
+# ---------------------------------------------------------------------------
+# Rollups, reports, dimension builds, promotions, detector union
+# ---------------------------------------------------------------------------
+
+from pricelens.sources import sinks as SK  # noqa: E402
+
+PARTNER_BATCH_SQL = """
+pb AS (SELECT partner_id, source_batch_id, max(crawl_ts_utc) AS loaded_at, count(*) AS total_records
+       FROM offers GROUP BY 1, 2)"""
+
+
+def partner_batches(spark, sf_dir):
+    """One summary row per (partner, batch) of the testbed, loaded at its last crawl."""
+    return T.offers(spark, sf_dir).groupBy("partner_id", "source_batch_id").agg(
+        F.max("crawl_ts_utc").alias("loaded_at"), F.count(F.lit(1)).alias("total_records"),
+        F.lit(0).cast("bigint").alias("loaded_records"), F.lit(0).cast("bigint").alias("bad_records_count"))
+
+
+@query("daily_batches", T.with_sql(T.OFFERS_SQL, PARTNER_BATCH_SQL) + """
+SELECT partner_id, CAST(loaded_at AS DATE) AS load_date, count(*) AS batches,
+       CAST(sum(total_records) AS BIGINT) AS total_records
+FROM pb GROUP BY 1, 2
+""")
+def q_daily_batches(spark, sf_dir):
+    """AGG-11: batch summaries rolled up per partner and load day."""
+    return R.daily_batches(partner_batches(spark, sf_dir)).select(
+        "partner_id", "load_date", "batches", "total_records")
+
+
+@query("recent_batches", T.with_sql(T.OFFERS_SQL, PARTNER_BATCH_SQL) + """
+SELECT partner_id, source_batch_id, loaded_at, CAST(recency AS INTEGER) AS recency FROM (
+  SELECT *, row_number() OVER (PARTITION BY partner_id ORDER BY loaded_at DESC, source_batch_id DESC) AS recency
+  FROM pb) WHERE recency <= 3
+""")
+def q_recent_batches(spark, sf_dir):
+    """AGG-12: the three most recent batches of each partner."""
+    return R.recent_batches(partner_batches(spark, sf_dir), 3).select(
+        "partner_id", "source_batch_id", "loaded_at", "recency")
+
+
+@query("regional_daily", T.with_sql(T.OFFERS_SQL) + """,
+zones AS (SELECT * FROM (VALUES """ + ", ".join(f"({k}, '{z}')" for k, z in REGION_TZ) + """) t(country_code, iana_name))
+SELECT o.country_code, CAST(timezone(z.iana_name, o.crawl_ts_utc AT TIME ZONE 'UTC') AS DATE) AS crawl_date_local,
+       count(*) AS offer_count
+FROM offers o JOIN zones z USING (country_code) GROUP BY 1, 2
+""")
+def q_regional_daily(spark, sf_dir):
+    """AGG-13: offers per country and market-local day."""
+    zones = spark.createDataFrame(REGION_TZ, "country_code int, iana_name string")
+    return B.regional_daily(FX.with_local_time(T.offers(spark, sf_dir), zones, "market"))
+
+
+@query("confidence_distribution", GATED_FACTS_SQL + """
+SELECT t.harmonise_confidence, COALESCE(c.offers, 0) AS offers
+FROM (VALUES ('HIGH'), ('MEDIUM'), ('LOW'), ('MANUAL')) t(harmonise_confidence)
+LEFT JOIN (SELECT harmonise_confidence, count(*) AS offers FROM gated GROUP BY 1) c USING (harmonise_confidence)
+""")
+def q_confidence_distribution(spark, sf_dir):
+    """RPT-3: gated facts per match tier, every tier present."""
+    return R.confidence_distribution(gated_facts(spark, sf_dir), spark)
+
+
+@query("report_totals", BAD_SQL + """,
+hist_rows AS (SELECT count(*) AS n FROM (SELECT DISTINCT product_model_id, partner_id, country_code, payment_type, crawl_date FROM facts)),
+t AS (
+  SELECT 'staging_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM staging
+  UNION ALL SELECT 'fact_rows', CAST(count(*) AS DOUBLE) FROM gated
+  UNION ALL SELECT 'bad_records', CAST(count(*) AS DOUBLE) FROM bad_records
+  UNION ALL SELECT 'batches', CAST(count(DISTINCT source_batch_id) AS DOUBLE) FROM staging
+  UNION ALL SELECT 'active_rules', CAST(count(*) AS DOUBLE) FROM catalog
+  UNION ALL SELECT 'high_share', round(CAST(count(*) FILTER (WHERE harmonise_confidence = 'HIGH') AS DOUBLE) / count(*), 4) FROM gated
+)
+SELECT * FROM t
+""")
+def q_report_totals(spark, sf_dir):
+    """RPT-1: table sizes, batches, active rules and HIGH share."""
+    f = gated_facts(spark, sf_dir)
+    out = R.report_totals(T.staging(spark, sf_dir), f, f.limit(0), bad_records(spark, sf_dir), Q.catalog(spark))
+    return out.filter(F.col("metric") != "history_rows")
+
+
+@query("recent_bad", BAD_SQL + """
+SELECT source_batch_id, offer_id, rule_id, target_stage FROM bad_records
+ORDER BY source_batch_id DESC, offer_id DESC, rule_id DESC LIMIT 20
+""")
+def q_recent_bad(spark, sf_dir):
+    """RPT-7: the twenty newest bad records with their stage (a top-n report)."""
+    return R.recent_bad(bad_records(spark, sf_dir), Q.catalog(spark), 20).select(
+        "source_batch_id", "offer_id", "rule_id", "target_stage")
+
+
+@query("blocked_rows", BAD_SQL + """
+SELECT source_batch_id, offer_id, min(rule_id) AS rule_id FROM bad_records
+WHERE target_stage = 'PRE_FACT' GROUP BY 1, 2
+""")
+def q_blocked_rows(spark, sf_dir):
+    """RPT-8: first PRE_FACT violation of every blocked row."""
+    return R.blocked_rows(bad_records(spark, sf_dir), Q.catalog(spark)).select(
+        "source_batch_id", "offer_id", "rule_id")
+
+
+@query("low_confidence", BAD_SQL + """
+SELECT source_batch_id, offer_id FROM bad_records WHERE rule_id = 'DQ_HARM_001'
+""")
+def q_low_confidence(spark, sf_dir):
+    """RPT-9: offers flagged for LOW match confidence."""
+    return R.low_confidence(bad_records(spark, sf_dir)).select("source_batch_id", "offer_id")
+
+
+@query("batch_rule_report", ALL_OUTPUT_SQL + f"""
+SELECT source_batch_id, rule_id, target_stage, failed_records,
+       CASE WHEN total_records = 0 THEN 1.0 ELSE round(1.0 - CAST(failed_records AS DOUBLE) / total_records, 4) END AS pass_rate
+FROM dq_output WHERE source_batch_id = {INCR_BATCH}
+""")
+def q_batch_rule_report(spark, sf_dir):
+    """RPT-11: rule results of one batch with their stage."""
+    out = dq_output(spark, sf_dir).filter(F.col("source_batch_id") == INCR_BATCH)
+    return out.select("source_batch_id", "rule_id", "target_stage", "failed_records",
+                      F.when(F.col("total_records") == 0, F.lit(1.0)).otherwise(
+                          F.round(F.lit(1.0) - F.col("failed_records").cast("double") / F.col("total_records"), 4))
+                      .alias("pass_rate"))
+
+
+@query("promotions", BAD_SQL + """
+SELECT s.source_batch_id, s.offer_id,
+       CASE WHEN i.offer_id IS NULL AND p.offer_id IS NULL THEN 'PRE_FACT_PASSED'
+            WHEN i.offer_id IS NULL THEN 'INGEST_PASSED' ELSE 'PENDING' END AS dq_status
+FROM staging s
+LEFT JOIN (SELECT DISTINCT offer_id FROM bad_records WHERE target_stage = 'INGEST') i USING (offer_id)
+LEFT JOIN (SELECT DISTINCT offer_id FROM bad_records WHERE target_stage = 'PRE_FACT') p USING (offer_id)
+""")
+def q_promotions(spark, sf_dir):
+    """DQE-4/5: promotions driven by a stored bad-record table (anti-join on the row key)."""
+    bad = bad_records(spark, sf_dir)
+    cat = Q.catalog(spark)
+    ing_ids = [r[0] for r in config.RULES if r[4] == "INGEST"]
+    pre_ids = [r[0] for r in config.RULES if r[4] == "PRE_FACT"]
+    s = T.staging(spark, sf_dir).select("source_batch_id", "offer_id").withColumn("dq_status", F.lit("PENDING"))
+    s = Q.mark_passed(s, bad, ["offer_id"], "INGEST_PASSED", rule_ids=ing_ids)
+    s = Q.mark_passed(s, bad, ["offer_id"], "PRE_FACT_PASSED", only_from="INGEST_PASSED", rule_ids=pre_ids)
+    return s.select("source_batch_id", "offer_id", "dq_status")
+
+
+@query("ffill_fx", T.with_sql(RATES_SQL) + """,
+bounds AS (SELECT min(effective_date) AS s, max(effective_date) + 30 AS e FROM rates),
+cur AS (SELECT DISTINCT from_currency_code AS currency_code FROM rates),
+grid AS (SELECT currency_code, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day FROM cur, bounds)
+SELECT g.currency_code, g.day, r.rate AS fx_rate, r.effective_date AS fx_rate_date
+FROM grid g ASOF LEFT JOIN rates r ON g.currency_code = r.from_currency_code AND g.day >= r.effective_date
+""")
+def q_ffill_fx(spark, sf_dir):
+    """FX-2: one forward-filled rate per currency and day, through 30 days past the last rate."""
+    rates = testbed_rates(spark, sf_dir)
+    start = rates.select(F.min("effective_date")).scalar()
+    end = rates.select(F.date_add(F.max("effective_date"), 30)).scalar()
+    return FX.ffill_fx(rates, start, end).select("currency_code", "day", "fx_rate", "fx_rate_date")
+
+
+@query("daily_fx", T.with_sql(RATES_SQL) + """,
+last AS (SELECT from_currency_code, arg_max(rate, effective_date) AS rate, max(effective_date) AS d FROM rates GROUP BY 1)
+SELECT from_currency_code, 'USD' AS to_currency_code, rate,
+       CAST(unnest(generate_series(d, d + 6, INTERVAL 1 DAY)) AS DATE) AS effective_date
+FROM last
+""")
+def q_daily_fx(spark, sf_dir):
+    """SRC-7: seven daily rows per currency from its latest rate."""
+    rates = testbed_rates(spark, sf_dir)
+    last = FX.last_rates(rates).select("from_currency_code", F.lit("USD").alias("to_currency_code"),
+                                       F.col("last_rate").alias("rate"), "last_date")
+    return last.select("from_currency_code", "to_currency_code", "rate",
+                       F.explode(F.sequence("last_date", F.date_add("last_date", 6))).alias("effective_date"))
+
+
+@query("product_dims", "WITH " + _registry_sql() + """
+SELECT r.model_key, r.entry_category AS category_code, CAST(r.n_skus AS INTEGER) AS n_skus
+FROM registry r WHERE r.entry_category IN ('RING', 'GEAR', 'WIDGET', 'ROD')
+""")
+def q_product_dims(spark, sf_dir):
+    """SRC-6: model and SKU dimensions for the registry entries of known categories."""
+    cats = spark.createDataFrame([(c,) for c in ("RING", "GEAR", "WIDGET", "ROD")], "category_code string")
+    models, skus = SK.build_product_dims(_registry(spark, sf_dir), cats)
+    n = skus.groupBy("model_key").agg(F.count(F.lit(1)).cast("int").alias("n_skus"))
+    return models.join(n, "model_key").select("model_key", "category_code", "n_skus")
+
+
+@query("append_new", T.with_sql(T.PARTNERS_SQL) + """
+SELECT DISTINCT partner_code FROM partners WHERE country_code >= 2
+  AND partner_code NOT IN (SELECT partner_code FROM partners WHERE country_code < 2)
+""")
+def q_append_new(spark, sf_dir):
+    """SRC-5: rows of one region's partners not yet in the dimension of the other regions."""
+    pa = T.partners(spark, sf_dir)
+    target = pa.filter(F.col("country_code") < 2).select("partner_code")
+    rows = pa.filter(F.col("country_code") >= 2).select("partner_code")
+    return SK.append_new(target, rows, ["partner_code"])
+
+
+def _offers_month(spark, sf_dir):
+    return T.offers(spark, sf_dir).withColumn("crawl_month", F.trunc("crawl_date", "month"))
+
+
+def _all_anoms(spark, sf_dir, min_sev="MEDIUM"):
+    o = _offers_month(spark, sf_dir)
+    return A.detect(o, H.scd2_rebuild(o), "live", min_sev, sku_group=VARIANCE_GROUP)
+
+
+def _sub(sql: str) -> str:
+    return "(" + sql + ")"
+
+
+ANOM_ALL_SQL = ("SELECT offer_id, anomaly_type, severity, signal_score, observed_price_usd FROM " + _sub(STAT_SQL)
+                + " UNION ALL SELECT offer_id, anomaly_type, severity, signal_score, observed_price_usd FROM "
+                + _sub(ORACLE["anom_temporal"])
+                + " UNION ALL SELECT offer_id, anomaly_type, severity, signal_score, observed_price_usd FROM "
+                + _sub(ORACLE["anom_cross_partner"])
+                + " UNION ALL SELECT offer_id, anomaly_type, severity, signal_score, observed_price_usd FROM "
+                + _sub(VARIANCE_SQL))
+
+
+@query("anom_all", "SELECT * FROM (" + ANOM_ALL_SQL + ") WHERE severity IN ('HIGH', 'MEDIUM')")
+def q_anom_all(spark, sf_dir):
+    """ANO-6: all four detectors, minimum severity MEDIUM, one row per (offer, signal)."""
+    return _all_anoms(spark, sf_dir).select(*A.ANOMALY_COLS)
+
+
+@query("anom_top", "WITH a AS (SELECT * FROM (" + ANOM_ALL_SQL + """)),
+j AS (SELECT a.*, o.crawl_ts_utc FROM a JOIN (""" + T.with_sql(T.OFFERS_SQL) + """ SELECT offer_id, crawl_ts_utc FROM offers) o USING (offer_id)),
+w AS (SELECT * FROM j WHERE crawl_ts_utc >= (SELECT max(crawl_ts_utc) FROM j) - INTERVAL 30 DAY)
+SELECT offer_id, anomaly_type, severity, signal_score FROM w
+ORDER BY CASE severity WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 ELSE 1 END DESC, signal_score DESC,
+         crawl_ts_utc DESC, offer_id DESC, anomaly_type DESC
+LIMIT 20
+""")
+def q_anom_top(spark, sf_dir):
+    """ANO-18: the twenty most severe anomalies of the last 30 days (a top-n report)."""
+    a = _all_anoms(spark, sf_dir, "LOW")
+    return A.top_anomalies(a, n=20).select("offer_id", "anomaly_type", "severity", "signal_score")
