@@ -215,3 +215,11 @@ FEED_COLUMNS = {
     "monthly": "MONTHLY_INSTALMENT_AMT",
     "months": "INSTALMENT_MONTH",
 }
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES — context factors for adjusted anomaly scores
+# ---------------------------------------------------------------------------
+LIFECYCLE_FACTORS = {"NEW": 0.30, "STABLE": 1.00, "LEGACY": 0.60, "EOL": 0.00}
+EVENT_SUPPRESSION = {"APPLE_LAUNCH": 0.40, "BLACK_FRIDAY": 0.50, "BOXING_DAY": 0.50}
+CATEGORY_SENSITIVITY = {"LOW": 1.00, "MEDIUM": 1.30, "HIGH": 1.80}
+NEW_PRODUCT_DAYS = 14

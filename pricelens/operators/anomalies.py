@@ -55,7 +55,7 @@ def _finish(df: DataFrame, kind: str, p: Column, profile: str) -> DataFrame:
               .withColumn("anomaly_type", F.lit(kind))
               .withColumn("signal_score", _score(F.col("_p")))
               .withColumn("observed_price_usd", F.col("effective_total_usd"))
-              .drop("_p"))
+              .withColumnRenamed("_p", "deviation"))
 
 
 def _round_half_up_div(num: Column, den: Column) -> Column:
@@ -301,22 +301,25 @@ def with_snapshots(anoms: DataFrame, profile: str = "live") -> DataFrame:
 
 
 def explain_anomalies(anoms: DataFrame) -> DataFrame:
-    """ANO-10: human explanation per anomaly type."""
-    pct = F.format_number(F.col("signal_score") * 100, 1)
+    """ANO-10: explanation text per anomaly type (deviation in percent, one decimal)."""
+    have = set(anoms.columns)
+
+    def col(c):
+        return F.col(c) if c in have else F.lit(None)
+
+    pct = F.round(F.col("deviation") * 100, 1).cast("string")
     t = F.col("anomaly_type")
-    text = (F.when(t == "STATISTICAL", F.format_string(
-                "%s%% deviation from 30-day mean ($%s)", pct,
-                F.format_number(F.col("baseline_mean"), 2)))
-             .when(t == "TEMPORAL", F.format_string(
-                "%s%% jump from last valid price ($%s on %s)", pct,
-                F.format_number(F.col("ref_usd"), 2), F.col("ref_date").cast("string")))
-             .when(t == "CROSS_PARTNER", F.format_string(
-                "%s%% off the %s-peer median ($%s)", pct, F.col("peer_count").cast("string"),
-                F.format_number(F.col("peer_median"), 2)))
-             .when(t == "SKU_VARIANCE", F.format_string(
-                "%sσ outlier within %s-observation same-model group (mean $%s, σ $%s)",
-                F.format_number(F.col("z_score"), 1), F.col("group_size").cast("string"),
-                F.format_number(F.col("group_mean"), 2), F.format_number(F.col("group_stddev"), 2))))
+    money = lambda c: F.format_number(col(c), 2)
+    text = (F.when(t == "STATISTICAL", F.concat(pct, F.lit("% deviation from 30-day mean ($"),
+                                                money("baseline_mean"), F.lit(")")))
+             .when(t == "TEMPORAL", F.concat(pct, F.lit("% jump from last valid price ($"), money("ref_usd"),
+                                             F.lit(" on "), col("ref_date").cast("string"), F.lit(")")))
+             .when(t == "CROSS_PARTNER", F.concat(pct, F.lit("% off the "), col("peer_count").cast("string"),
+                                                  F.lit("-peer median ($"), money("peer_median"), F.lit(")")))
+             .when(t == "SKU_VARIANCE", F.concat(F.round(col("z_score"), 1).cast("string"),
+                                                 F.lit("σ outlier within "), col("group_size").cast("string"),
+                                                 F.lit("-observation same-model group (mean $"), money("group_mean"),
+                                                 F.lit(", σ $"), money("group_stddev"), F.lit(")"))))
     return anoms.withColumn("explanation", text)
 
 
@@ -333,3 +336,60 @@ def top_anomalies(anoms: DataFrame, as_of=None, n: int = 20, days: int = 30,
     recent = anoms.filter(F.col(ts_col) >= a - F.expr(f"INTERVAL {int(days)} DAYS"))
     return recent.orderBy(rank.desc(), F.desc("signal_score"), F.desc(ts_col), F.desc("offer_id"),
                           F.desc("anomaly_type")).limit(n)
+
+
+def anomaly_series(anoms: DataFrame, history: DataFrame, days: int = 30,
+                   key=("product_model_id", "partner_id", "country_code", "payment_type")) -> DataFrame:
+    """ANO-11: chart rows for STATISTICAL anomalies: the key's history prices that
+    started in the ``days`` before the crawl day, the anomaly point itself, and
+    the band mean ± 1σ (floored at 0). An equi-join on the key, then a filter on
+    the day: bounded by one key's history per anomaly."""
+    key = list(key)
+    a = anoms.filter(F.col("anomaly_type") == "STATISTICAL").select(
+        "offer_id", *key, F.to_date("crawl_ts_utc").alias("_d"), "observed_price_usd",
+        "baseline_mean", "baseline_stddev")
+    band_lo = F.greatest(F.lit(0.0), F.col("baseline_mean").cast("double") - F.col("baseline_stddev"))
+    band_hi = F.col("baseline_mean").cast("double") + F.col("baseline_stddev")
+    h = history.select(*key, "valid_from_date", "effective_total_usd")
+    pts = (a.join(h, key)
+            .filter((F.col("valid_from_date") >= F.date_sub("_d", days)) & (F.col("valid_from_date") <= F.col("_d")))
+            .select("offer_id", F.col("valid_from_date").alias("point_date"),
+                    F.col("effective_total_usd").alias("price_usd"), F.lit(False).alias("is_anomaly"),
+                    F.round(band_lo, 2).alias("band_lower"), F.round(band_hi, 2).alias("band_upper")))
+    me = a.select("offer_id", F.col("_d").alias("point_date"), F.col("observed_price_usd").alias("price_usd"),
+                  F.lit(True).alias("is_anomaly"), F.round(band_lo, 2).alias("band_lower"),
+                  F.round(band_hi, 2).alias("band_upper"))
+    return pts.unionByName(me)
+
+
+def baseline_illustration(fact: DataFrame, bad: DataFrame,
+                          key=("product_model_id", "partner_id", "country_code", "payment_type")) -> DataFrame:
+    """ANO-12: the group with n >= 3 and the largest price stddev (non-zero first,
+    then n, then key), excluding offers flagged DQ_PRICE_001; its daily average
+    prices and the band mean ± σ of those averages (floored at 0)."""
+    key = list(key)
+    flagged = bad.filter(F.col("rule_id") == "DQ_PRICE_001").select("offer_id")
+    clean = fact.join(flagged, "offer_id", "left_anti")
+    c = cents("effective_total_usd")
+    g = clean.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.sum(c).cast("decimal(38,0)").alias("s"),
+                                F.sum(c.cast("decimal(38,0)") * c).alias("ss"))
+    g = g.filter(F.col("n") >= 3).withColumn(
+        "var_c", ((F.col("n").cast("decimal(38,0)") * F.col("ss") - F.col("s") * F.col("s")).cast("double")
+                  / (F.col("n") * (F.col("n") - 1)).cast("double")))
+    best = g.orderBy((F.col("var_c") > 0).desc(), F.desc("var_c"), F.desc("n"), *key).limit(1).select(*key)
+    daily = (clean.join(best, key)
+                  .groupBy(F.to_date("crawl_ts_utc").alias("series_date"))
+                  .agg(F.count(F.lit(1)).alias("_k"), F.sum(c).alias("_s")))
+    daily = daily.withColumn("price_usd", (F.floor((F.col("_s") * 2 + F.col("_k")) / (F.col("_k") * 2)) / 100)
+                             .cast("decimal(12,2)")).drop("_k", "_s")
+    pc = cents("price_usd")
+    m = daily.agg(F.count(F.lit(1)).alias("n"), F.sum(pc).cast("decimal(38,0)").alias("s"),
+                  F.sum(pc.cast("decimal(38,0)") * pc).alias("ss"))
+    n, s, ss = m.select("n").scalar(), m.select("s").scalar(), m.select("ss").scalar()
+    mean_c = s.cast("double") / n
+    std_c = F.when(n > 1, F.sqrt((n.cast("decimal(38,0)") * ss - s * s).cast("double")
+                                 / (n * (n - 1)).cast("double"))).otherwise(F.lit(0.0))
+    return daily.select("series_date", "price_usd",
+                        F.round(mean_c / 100, 2).alias("band_mean"),
+                        F.round(F.greatest(F.lit(0.0), (mean_c - std_c) / 100), 2).alias("band_lower"),
+                        F.round((mean_c + std_c) / 100, 2).alias("band_upper"))

@@ -37,16 +37,16 @@ def resolve_thresholds(cfg: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def lifecycle_status(models: DataFrame, categories: DataFrame, as_of) -> DataFrame:
-    """ANO-14: NEW (< 14 days since launch), EOL, LEGACY (launch + lifecycle − 3
-    months reached), STABLE; NULL launch → STABLE."""
+    """ANO-14: NEW (launched within 14 days), EOL (end date passed), LEGACY
+    (launch + lifecycle − 3 months passed), else STABLE; NULL launch → STABLE."""
     a = F.lit(as_of).cast("date")
     m = models.join(F.broadcast(categories.select("category_code", "lifecycle_months")), "category_code", "left")
     launch = F.col("launch_date")
     status = (F.when(launch.isNull(), "STABLE")
                .when(F.datediff(a, launch) < 14, "NEW")
-               .when(F.col("eol_date").isNotNull() & (F.col("eol_date") <= a), "EOL")
+               .when(F.col("eol_date").isNotNull() & (F.col("eol_date") < a), "EOL")
                .when(F.col("lifecycle_months").isNotNull()
-                     & (F.add_months(launch, F.col("lifecycle_months") - 3) <= a), "LEGACY")
+                     & (F.add_months(launch, F.col("lifecycle_months") - 3) < a), "LEGACY")
                .otherwise("STABLE"))
     return m.withColumn("lifecycle_status", status)
 

@@ -1371,8 +1371,8 @@ models AS (SELECT product_model_id, category_code, partner_id, min(crawl_date) A
 SELECT m.product_model_id, m.partner_id, m.launch_date,
        CASE WHEN m.launch_date IS NULL THEN 'STABLE'
             WHEN DATE '""" + LIFE_AS_OF + """' - m.launch_date < 14 THEN 'NEW'
-            WHEN m.eol_date IS NOT NULL AND m.eol_date <= DATE '""" + LIFE_AS_OF + """' THEN 'EOL'
-            WHEN c.lifecycle_months IS NOT NULL AND m.launch_date + to_months(c.lifecycle_months - 3) <= DATE '""" + LIFE_AS_OF + """' THEN 'LEGACY'
+            WHEN m.eol_date IS NOT NULL AND m.eol_date < DATE '""" + LIFE_AS_OF + """' THEN 'EOL'
+            WHEN c.lifecycle_months IS NOT NULL AND m.launch_date + to_months(c.lifecycle_months - 3) < DATE '""" + LIFE_AS_OF + """' THEN 'LEGACY'
             ELSE 'STABLE' END AS lifecycle_status
 FROM models m LEFT JOIN cats c USING (category_code)
 """)
@@ -1670,3 +1670,245 @@ def q_anom_top(spark, sf_dir):
     """ANO-18: the twenty most severe anomalies of the last 30 days (a top-n report)."""
     a = _all_anoms(spark, sf_dir, "LOW")
     return A.top_anomalies(a, n=20).select("offer_id", "anomaly_type", "severity", "signal_score")
+
+
+# ---------------------------------------------------------------------------
+# Anomaly bookkeeping, context and calibration
+# ---------------------------------------------------------------------------
+
+LIVE_SEV = "CASE WHEN p >= 0.25 THEN 'HIGH' WHEN p >= 0.15 THEN 'MEDIUM' WHEN p >= 0.10 THEN 'LOW' END"
+CONFIG_SEV = "CASE WHEN p >= 0.8 THEN 'HIGH' WHEN p >= 0.5 THEN 'MEDIUM' WHEN p >= 0.25 THEN 'LOW' END"
+TEMPORAL_CONFIG_SQL = ORACLE["anom_temporal"].replace(LIVE_SEV, CONFIG_SEV).replace("WHERE p >= 0.10", "WHERE p >= 0.25")
+assert TEMPORAL_CONFIG_SQL != ORACLE["anom_temporal"]
+
+
+def _temporal(spark, sf_dir, profile="live"):
+    o = T.offers(spark, sf_dir)
+    return A.detect_temporal(o, H.scd2_rebuild(o), profile)
+
+
+@query("anom_upsert", "WITH st AS (SELECT *, CASE WHEN severity = 'HIGH' THEN 'IN_REVIEW' ELSE 'NEW' END AS status, "
+       "CASE WHEN severity = 'HIGH' THEN 'analyst-1' END AS assignee FROM (" + ORACLE["anom_temporal"] + ") "
+       "WHERE CAST(substr(split_part(offer_id, ':', 5), 1, 4) AS INTEGER) < " + str(INCR_BATCH) + "), "
+       "nw AS (SELECT * FROM (" + TEMPORAL_CONFIG_SQL + """))
+SELECT COALESCE(nw.offer_id, st.offer_id) AS offer_id, COALESCE(nw.anomaly_type, st.anomaly_type) AS anomaly_type,
+       CASE WHEN nw.severity IS NOT NULL THEN nw.severity ELSE st.severity END AS severity,
+       CASE WHEN nw.severity IS NOT NULL THEN nw.signal_score ELSE st.signal_score END AS signal_score,
+       COALESCE(st.status, 'NEW') AS status, st.assignee,
+       CASE WHEN nw.severity IS NOT NULL THEN TIMESTAMP '2021-01-01 00:00:00' ELSE TIMESTAMP '2020-01-01 00:00:00' END AS detected_at
+FROM st FULL OUTER JOIN nw ON st.offer_id = nw.offer_id AND st.anomaly_type = nw.anomaly_type
+""")
+def q_anom_upsert(spark, sf_dir):
+    """ANO-8: earlier-batch anomalies under review, merged with a re-run under the config bars."""
+    old = _temporal(spark, sf_dir).filter(F.col("source_batch_id") < INCR_BATCH)
+    old = old.select("offer_id", "anomaly_type", "severity", "signal_score", "observed_price_usd",
+                     F.when(F.col("severity") == "HIGH", "IN_REVIEW").otherwise("NEW").alias("status"),
+                     F.when(F.col("severity") == "HIGH", "analyst-1").alias("assignee"),
+                     F.lit(None).cast("string").alias("resolution_notes"),
+                     F.lit("2020-01-01 00:00:00").cast("timestamp").alias("detected_at"))
+    new = _temporal(spark, sf_dir, "config").withColumn("detected_at", F.lit("2021-01-01 00:00:00").cast("timestamp"))
+    up = A.upsert_anomalies(old, new)
+    return up.select("offer_id", "anomaly_type", "severity", "signal_score", "status", "assignee", "detected_at")
+
+
+@query("anom_explained", """
+SELECT offer_id, CAST(round(p * 100, 1) AS VARCHAR) || '% jump from last valid price ($' || format('{:,.2f}', ref_usd)
+       || ' on ' || CAST(ref_date AS VARCHAR) || ')' AS explanation,
+       '{"profile":"live","low":0.1,"medium":0.15,"high":0.25}' AS threshold_snapshot
+FROM (""" + ORACLE["anom_temporal"].replace("ref_usd, ref_date\nFROM scored", "ref_usd, ref_date, p\nFROM scored") + ")")
+def q_anom_explained(spark, sf_dir):
+    """ANO-9/10: explanation text and frozen thresholds of TEMPORAL anomalies."""
+    a = A.explain_anomalies(A.with_snapshots(_temporal(spark, sf_dir)))
+    return a.select("offer_id", "explanation", F.to_json("threshold_snapshot").alias("threshold_snapshot"))
+
+
+@query("anom_series", "WITH s AS (" + STAT_SQL.replace(
+    "SELECT offer_id, 'STATISTICAL' AS anomaly_type,",
+    "SELECT offer_id, product_model_id, partner_id, country_code, payment_type, crawl_ts_utc, 'STATISTICAL' AS anomaly_type,")
+    .replace("  SELECT o.offer_id, o.effective_total_usd, s.n, s.s, s.ss,",
+             "  SELECT o.offer_id, o.effective_total_usd, o.product_model_id, o.partner_id, o.country_code, o.payment_type, o.crawl_ts_utc, s.n, s.s, s.ss,")
+    + """),
+top AS (SELECT * FROM s ORDER BY CASE severity WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 ELSE 1 END DESC,
+        signal_score DESC, crawl_ts_utc DESC, offer_id DESC LIMIT 1),
+hist AS (""" + T.with_sql(T.OFFERS_SQL, HISTORY_SQL) + """ SELECT * FROM history)
+SELECT t.offer_id, h.valid_from_date AS point_date, h.effective_total_usd AS price_usd, FALSE AS is_anomaly,
+       round(greatest(0.0, CAST(t.baseline_mean AS DOUBLE) - t.baseline_stddev), 2) AS band_lower,
+       round(CAST(t.baseline_mean AS DOUBLE) + t.baseline_stddev, 2) AS band_upper
+FROM top t JOIN hist h USING (product_model_id, partner_id, country_code, payment_type)
+WHERE h.valid_from_date >= CAST(t.crawl_ts_utc AS DATE) - 30 AND h.valid_from_date <= CAST(t.crawl_ts_utc AS DATE)
+UNION ALL
+SELECT offer_id, CAST(crawl_ts_utc AS DATE), observed_price_usd, TRUE,
+       round(greatest(0.0, CAST(baseline_mean AS DOUBLE) - baseline_stddev), 2),
+       round(CAST(baseline_mean AS DOUBLE) + baseline_stddev, 2)
+FROM top
+""")
+def q_anom_series(spark, sf_dir):
+    """ANO-11: chart rows (30-day partner series, anomaly point, band) of the top STATISTICAL anomaly."""
+    o = T.offers(spark, sf_dir)
+    h = H.scd2_rebuild(o)
+    a = A.detect_statistical(o, h)
+    top = A.top_anomalies(a, as_of=None, n=1, days=100000)
+    return A.anomaly_series(top, h)
+
+
+@query("baseline_illustration", BAD_SQL + """,
+clean AS (SELECT * FROM gated g WHERE NOT EXISTS (SELECT 1 FROM bad_records b WHERE b.rule_id = 'DQ_PRICE_001' AND b.offer_id = g.offer_id)),
+grp AS (
+  SELECT product_model_id, partner_id, country_code, payment_type, count(*) AS n,
+         CAST(count(*) * sum(CAST(CAST(effective_total_usd * 100 AS BIGINT) AS HUGEINT) * CAST(effective_total_usd * 100 AS BIGINT))
+              - CAST(sum(CAST(effective_total_usd * 100 AS BIGINT)) AS HUGEINT) * sum(CAST(effective_total_usd * 100 AS BIGINT)) AS DOUBLE)
+           / CAST(count(*) * (count(*) - 1) AS DOUBLE) AS var_c
+  FROM clean GROUP BY 1, 2, 3, 4 HAVING count(*) >= 3
+),
+best AS (SELECT * FROM grp ORDER BY var_c > 0 DESC, var_c DESC, n DESC, product_model_id, partner_id, country_code, payment_type LIMIT 1),
+daily AS (
+  SELECT CAST(f.crawl_date AS DATE) AS series_date,
+         CAST(((sum(CAST(f.effective_total_usd * 100 AS BIGINT)) * 2 + count(*)) // (count(*) * 2)) / 100 AS DECIMAL(12,2)) AS price_usd
+  FROM (SELECT c.*, CAST(c2.crawl_ts_utc AS DATE) AS crawl_date FROM clean c JOIN facts c2 USING (offer_id)) f
+  JOIN best b USING (product_model_id, partner_id, country_code, payment_type)
+  GROUP BY 1
+),
+m AS (SELECT count(*) AS n, CAST(sum(CAST(price_usd * 100 AS BIGINT)) AS HUGEINT) AS s,
+             sum(CAST(CAST(price_usd * 100 AS BIGINT) AS HUGEINT) * CAST(price_usd * 100 AS BIGINT)) AS ss FROM daily),
+band AS (SELECT CAST(s AS DOUBLE) / n AS mean_c,
+                CASE WHEN n > 1 THEN sqrt(CAST(n * ss - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)) ELSE 0.0 END AS std_c FROM m)
+SELECT d.series_date, d.price_usd, round(mean_c / 100, 2) AS band_mean,
+       round(greatest(0.0, (mean_c - std_c) / 100), 2) AS band_lower, round((mean_c + std_c) / 100, 2) AS band_upper
+FROM daily d, band
+""")
+def q_baseline_illustration(spark, sf_dir):
+    """ANO-12: daily prices and band of the most volatile clean (model, partner, country, payment) group."""
+    return A.baseline_illustration(gated_facts(spark, sf_dir), bad_records(spark, sf_dir))
+
+
+EVENTS_SQL = """
+mevents AS (
+  SELECT o_orderkey AS event_id, CAST(o_orderdate AS DATE) AS event_date,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'APPLE_LAUNCH' WHEN '2-HIGH' THEN 'BLACK_FRIDAY' ELSE 'BOXING_DAY' END AS event_type,
+         CASE WHEN o_orderstatus = 'F' THEN n_regionkey END AS affected_country_code,
+         CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'IPHONE' END AS affected_category_code,
+         3 AS suppression_window_days,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 0.40 WHEN '2-HIGH' THEN 0.50 ELSE 0.50 END::DOUBLE AS suppression_factor
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  WHERE o_totalprice >= 499000
+)"""
+
+
+def market_events(spark, sf_dir):
+    """Market events derived from the largest orders (type by priority, scope by status)."""
+    o = T.read(spark, sf_dir, "orders").filter(F.col("o_totalprice") >= 499000)
+    c = T.read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = F.broadcast(T.read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+    pr = F.col("o_orderpriority")
+    etype = F.when(pr == "1-URGENT", "APPLE_LAUNCH").when(pr == "2-HIGH", "BLACK_FRIDAY").otherwise("BOXING_DAY")
+    fac = F.create_map(*[x for k, v in config.EVENT_SUPPRESSION.items() for x in (F.lit(k), F.lit(v))])
+    return j.select(F.col("o_orderkey").alias("event_id"), F.to_date("o_orderdate").alias("event_date"),
+                    etype.alias("event_type"),
+                    F.when(F.col("o_orderstatus") == "F", F.col("n_regionkey")).alias("affected_country_code"),
+                    F.when(pr == "3-MEDIUM", F.lit("IPHONE")).alias("affected_category_code"),
+                    F.lit(3).alias("suppression_window_days"), fac[etype].alias("suppression_factor"))
+
+
+def _anoms_with_offer(spark, sf_dir):
+    a = _all_anoms(spark, sf_dir).select(*A.ANOMALY_COLS)
+    o = T.offers(spark, sf_dir).select("offer_id", "category_code", "country_code", "crawl_date", "crawl_ts_utc")
+    return a.join(o, "offer_id")
+
+
+ANOMS_WITH_OFFER_SQL = ("aw AS (SELECT a.*, o.category_code, o.country_code, o.crawl_date, o.crawl_ts_utc FROM ("
+                        + "SELECT * FROM (" + ANOM_ALL_SQL + ") WHERE severity IN ('HIGH', 'MEDIUM')) a JOIN ("
+                        + T.with_sql(T.OFFERS_SQL) + " SELECT * FROM offers) o USING (offer_id))")
+
+
+@query("suppression", "WITH " + EVENTS_SQL.strip() + ",\n" + ANOMS_WITH_OFFER_SQL + """,
+m AS (
+  SELECT aw.offer_id, aw.anomaly_type, e.event_id, e.suppression_factor
+  FROM aw JOIN mevents e
+    ON aw.crawl_date BETWEEN e.event_date - e.suppression_window_days AND e.event_date + e.suppression_window_days
+   AND (e.affected_country_code IS NULL OR e.affected_country_code = aw.country_code)
+   AND (e.affected_category_code IS NULL OR e.affected_category_code = aw.category_code)
+),
+best AS (SELECT offer_id, anomaly_type, min(suppression_factor) AS f,
+                arg_min(event_id, suppression_factor * 1e12 + event_id) AS ev FROM m GROUP BY 1, 2)
+SELECT aw.offer_id, aw.anomaly_type, COALESCE(b.f, 1.0) AS suppression_factor, b.ev AS suppressing_event_id,
+       b.ev IS NOT NULL AS suppression_applied
+FROM aw LEFT JOIN best b USING (offer_id, anomaly_type)
+""")
+def q_suppression(spark, sf_dir):
+    """ANO-15: anomalies inside a market event window of their country/category; lowest factor wins."""
+    s = CX.suppress_events(_anoms_with_offer(spark, sf_dir), market_events(spark, sf_dir))
+    return s.select("offer_id", "anomaly_type", "suppression_factor", "suppressing_event_id", "suppression_applied")
+
+
+# FIXED VALUES (testbed) — alert policies
+# (policy_id, min_severity, anomaly_type, country_code, category_code, channel, recipient,
+#  quiet_start, quiet_end (minutes), is_active)
+TEST_POLICIES = [
+    (1, "HIGH", None, None, None, "slack", "team-high", 1320, 360, True),
+    (2, "MEDIUM", "CROSS_PARTNER", None, None, "email", "team-cross", None, None, True),
+    (3, "LOW", "SKU_VARIANCE", 2, None, "teams", "team-region-2", 0, 480, True),
+    (4, "MEDIUM", None, None, "MAC", "webhook", "team-mac", None, None, True),
+    (5, "LOW", None, None, None, "email", "team-all", None, None, False),
+]
+
+
+@query("alert_routes", "WITH " + ANOMS_WITH_OFFER_SQL + """,
+pol AS (SELECT * FROM (VALUES """ + ", ".join(
+    "(" + ", ".join(_sql_v(v) if not isinstance(v, bool) else ("TRUE" if v else "FALSE") for v in row) + ")"
+    for row in TEST_POLICIES) + """) t(policy_id, min_severity, p_type, p_country, p_category, channel, recipient,
+                                    quiet_start, quiet_end, is_active)),
+r AS (SELECT CASE severity WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 ELSE 1 END AS lvl, * FROM aw)
+SELECT r.offer_id, r.anomaly_type, p.policy_id, p.channel,
+       CASE WHEN p.quiet_start IS NULL OR p.quiet_end IS NULL THEN FALSE
+            WHEN p.quiet_start <= p.quiet_end THEN (hour(r.crawl_ts_utc) * 60 + minute(r.crawl_ts_utc)) >= p.quiet_start
+                                               AND (hour(r.crawl_ts_utc) * 60 + minute(r.crawl_ts_utc)) < p.quiet_end
+            ELSE (hour(r.crawl_ts_utc) * 60 + minute(r.crawl_ts_utc)) >= p.quiet_start
+              OR (hour(r.crawl_ts_utc) * 60 + minute(r.crawl_ts_utc)) < p.quiet_end END AS in_quiet_hours
+FROM r JOIN pol p
+  ON p.is_active AND r.lvl >= CASE p.min_severity WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 ELSE 1 END
+ AND (p.p_type IS NULL OR p.p_type = r.anomaly_type)
+ AND (p.p_country IS NULL OR p.p_country = r.country_code)
+ AND (p.p_category IS NULL OR p.p_category = r.category_code)
+""")
+def q_alert_routes(spark, sf_dir):
+    """ANO-17: every active policy each anomaly matches, with the quiet-hours flag."""
+    pol = spark.createDataFrame(TEST_POLICIES, "policy_id int, min_severity string, anomaly_type string, "
+                                               "country_code int, category_code string, channel string, "
+                                               "recipient string, quiet_start int, quiet_end int, is_active boolean")
+    r = CX.route_alerts(_anoms_with_offer(spark, sf_dir), pol)
+    return r.select("offer_id", "anomaly_type", "policy_id", "channel", "in_quiet_hours")
+
+
+PREV_DAY = "2000-06-29"
+
+
+@query("baselines_dedup", "WITH nw AS (SELECT * FROM (" + BASELINE_SQL + ")), st AS (SELECT * FROM ("
+       + BASELINE_SQL.replace(AS_OF, PREV_DAY) + """))
+SELECT n.* FROM nw n
+WHERE NOT EXISTS (SELECT 1 FROM st s WHERE s.baseline_as_of + 1 = n.baseline_as_of
+                  AND s.product_model_id = n.product_model_id AND s.country_code = n.country_code
+                  AND s.window_days = n.window_days AND s.mean_price_usd = n.mean_price_usd
+                  AND s.stddev_price_usd = n.stddev_price_usd AND s.p95_price_usd = n.p95_price_usd)
+  AND NOT EXISTS (SELECT 1 FROM st s WHERE s.baseline_as_of = n.baseline_as_of
+                  AND s.product_model_id = n.product_model_id AND s.country_code = n.country_code
+                  AND s.window_days = n.window_days)
+""")
+def q_baselines_dedup(spark, sf_dir):
+    """AGG-2: today's baselines to append (unchanged-from-yesterday rows skipped)."""
+    h = history(spark, sf_dir)
+    return B.append_baselines(B.baselines(h, PREV_DAY), B.baselines(h, AS_OF))
+
+
+@query("volatility", "WITH b AS (SELECT * FROM (" + BASELINE_SQL + ")), " + T.OFFERS_SQL.strip() + """,
+cats AS (SELECT DISTINCT product_model_id, category_code FROM offers),
+per AS (SELECT c.category_code, round(stddev_samp(CAST(b.stddev_price_usd AS DOUBLE) / CAST(b.mean_price_usd AS DOUBLE)), 6) AS volatility
+        FROM b JOIN cats c USING (product_model_id) WHERE b.window_days = 30 GROUP BY 1)
+SELECT category_code, volatility,
+       CASE ntile(3) OVER (ORDER BY volatility, category_code) WHEN 1 THEN 'LOW' WHEN 2 THEN 'MEDIUM' ELSE 'HIGH' END AS volatility_class
+FROM per
+""")
+def q_volatility(spark, sf_dir):
+    """CAL-3: category volatility from 30-day baselines, split into terciles."""
+    cats = T.offers(spark, sf_dir).select("product_model_id", "category_code").distinct()
+    return CX.calibrate_volatility(B.baselines(history(spark, sf_dir), AS_OF), cats)
