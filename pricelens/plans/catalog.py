@@ -1912,3 +1912,177 @@ def q_volatility(spark, sf_dir):
     """CAL-3: category volatility from 30-day baselines, split into terciles."""
     cats = T.offers(spark, sf_dir).select("product_model_id", "category_code").distinct()
     return CX.calibrate_volatility(B.baselines(history(spark, sf_dir), AS_OF), cats)
+
+
+# ---------------------------------------------------------------------------
+# Feeds, batch harmonisation, as-of events, streaming, Path B, replay
+# ---------------------------------------------------------------------------
+
+from pricelens.functions import asof as AS  # noqa: E402
+from pricelens.sources import feeds as FD  # noqa: E402
+from pricelens.streaming import feeds as ST  # noqa: E402
+
+# FIXED VALUES (testbed) — how each region writes its country in the feed
+FEED_COUNTRY = [(0, "Australia"), (1, "NZ"), (2, "United States"), (3, "GB"), (4, "Atlantis")]
+
+
+def feed_text(spark, sf_dir):
+    """The testbed rendered as a partner feed: every column text, as in the CSV."""
+    o = T.offers(spark, sf_dir)
+    p = T.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku_id"), "p_name")
+    o = o.join(p, "sku_id")
+    country = None
+    for k, v in FEED_COUNTRY:
+        country = F.when(F.col("country_code") == k, v) if country is None else country.when(F.col("country_code") == k, v)
+    k = F.col("l_orderkey")
+    full = F.col("payment_type") == "FULL"
+    return o.select(
+        "offer_id", F.col("l_orderkey").alias("row_num"),
+        F.when(k % 97 == 0, F.lit("not-a-date")).otherwise(
+            F.date_format("crawl_ts_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("CRAWL_TS"),
+        country.alias("COUNTRY_VAL"), F.col("partner_code").alias("PARTNER"),
+        F.col("p_name").alias("PRODUCT_NAME_VAL"),
+        F.when(full, F.when(k % 67 == 0, F.lit("abc")).otherwise(F.col("full_price").cast("string")))
+         .otherwise(F.lit("")).alias("FULL PRICE"),
+        F.when(~full, F.col("monthly_amount").cast("string")).otherwise(F.lit("")).alias("MONTHLY_INSTALMENT_AMT"),
+        F.when(~full, F.when(k % 61 == 0, F.lit("0")).otherwise(F.col("instalment_months").cast("string")))
+         .otherwise(F.lit("")).alias("INSTALMENT_MONTH"),
+        F.upper(F.split("p_name", " ").getItem(0)).alias("COLOR"))
+
+
+FEED_TEXT_SQL = """
+feed AS (
+  SELECT o.offer_id, o.l_orderkey AS row_num,
+         CASE WHEN o.l_orderkey % 97 = 0 THEN 'not-a-date' ELSE strftime(o.crawl_ts_utc, '%Y-%m-%dT%H:%M:%SZ') END AS CRAWL_TS,
+         CASE o.country_code """ + " ".join(f"WHEN {k} THEN '{v}'" for k, v in FEED_COUNTRY) + """ END AS COUNTRY_VAL,
+         o.partner_code AS PARTNER, p.p_name AS PRODUCT_NAME_VAL,
+         CASE WHEN o.payment_type = 'FULL' THEN CASE WHEN o.l_orderkey % 67 = 0 THEN 'abc' ELSE CAST(o.full_price AS VARCHAR) END ELSE '' END AS "FULL PRICE",
+         CASE WHEN o.payment_type <> 'FULL' THEN CAST(o.monthly_amount AS VARCHAR) ELSE '' END AS MONTHLY_INSTALMENT_AMT,
+         CASE WHEN o.payment_type <> 'FULL' THEN CASE WHEN o.l_orderkey % 61 = 0 THEN '0' ELSE CAST(o.instalment_months AS VARCHAR) END ELSE '' END AS INSTALMENT_MONTH,
+         upper(split_part(p.p_name, ' ', 1)) AS COLOR
+  FROM offers o JOIN part p ON o.sku_id = p.p_partkey
+)"""
+
+CMAP_SQL = "CASE trim(COUNTRY_VAL) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in config.COUNTRY_NAME_TO_CODE.items()) + " END"
+CUR_SQL = "CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in config.COUNTRY_CURRENCY.items()) + " END"
+NUM_SQL = ("CASE WHEN regexp_matches(trim({x}), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') "
+           "THEN TRY_CAST(TRY_CAST(trim({x}) AS DOUBLE) AS DECIMAL(12,2)) END")
+
+
+@query("feed_parse", T.with_sql(T.OFFERS_SQL, FEED_TEXT_SQL) + f"""
+SELECT offer_id, {CMAP_SQL} AS country_code, {CUR_SQL.format(c=CMAP_SQL)} AS currency_code,
+       TRY_STRPTIME(CRAWL_TS, '%Y-%m-%dT%H:%M:%SZ') AS crawl_ts_utc,
+       CASE WHEN "FULL PRICE" IS NOT NULL AND "FULL PRICE" <> '' THEN 'FULL'
+            WHEN MONTHLY_INSTALMENT_AMT IS NOT NULL AND MONTHLY_INSTALMENT_AMT <> '' THEN 'INSTALMENT' END AS payment_type,
+       CASE WHEN "FULL PRICE" <> '' THEN {NUM_SQL.format(x='"FULL PRICE"')} END AS full_price,
+       CASE WHEN NOT ("FULL PRICE" <> '') AND MONTHLY_INSTALMENT_AMT <> '' THEN {NUM_SQL.format(x='MONTHLY_INSTALMENT_AMT')} END AS monthly_amount,
+       CASE WHEN NOT ("FULL PRICE" <> '') AND MONTHLY_INSTALMENT_AMT <> ''
+             AND regexp_matches(trim(INSTALMENT_MONTH), '^[+-]?[0-9]+$') AND TRY_CAST(trim(INSTALMENT_MONTH) AS INTEGER) <> 0
+            THEN TRY_CAST(trim(INSTALMENT_MONTH) AS INTEGER) END AS instalment_months,
+       PRODUCT_NAME_VAL || CASE WHEN trim(COLOR) <> '' THEN ' ' || trim(COLOR) ELSE '' END AS match_text,
+       COLOR AS color_field
+FROM feed
+""")
+def q_feed_parse(spark, sf_dir):
+    """SRC-1..3, PRJ-1..4, PRJ-8, PRJ-10: typed staging from the all-text feed."""
+    raw = feed_text(spark, sf_dir)
+    t = FD.payment_fields(FD.with_raw_payload(raw, exclude=("row_num", "offer_id")))
+    code = FD.country_code(F.col("COUNTRY_VAL"))
+    return t.select("offer_id", code.alias("country_code"), FD.currency_code(code).alias("currency_code"),
+                    FD.parse_crawl_ts(F.col("CRAWL_TS")).alias("crawl_ts_utc"),
+                    "payment_type", "full_price", "monthly_amount", "instalment_months",
+                    HM.harmonise_text(t, "PRODUCT_NAME_VAL").alias("match_text"),
+                    FD.payload_field(t, "COLOR").alias("color_field"))
+
+
+def _offer_names(spark, sf_dir):
+    """Offer rows whose product text is the partner-style name (part name + size)."""
+    o = T.offers(spark, sf_dir).select("offer_id", "sku_id")
+    p = T.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku_id"), "p_name", "p_size")
+    return o.join(p, "sku_id").select(
+        "offer_id", F.concat(F.col("p_name"), F.lit(" "), F.col("p_size").cast("string"), F.lit("gb"))
+        .alias("match_text"))
+
+
+@query("harmonise_batch", "WITH top1 AS (" + ORACLE["name_topk"].replace(f"WHERE rank <= {TOPK}", "WHERE rank <= 1")
+       + "), o AS (" + T.with_sql(T.OFFERS_SQL) + """ SELECT o.offer_id, p.p_name || ' ' || CAST(p.p_size AS VARCHAR) || 'gb' AS match_text
+        FROM offers o JOIN part p ON o.sku_id = p.p_partkey)
+SELECT o.offer_id, t.model_key, CAST(t.score AS DECIMAL(4,3)) AS harmonise_score, t.confidence AS harmonise_confidence
+FROM o LEFT JOIN top1 t ON o.match_text = t.name
+""")
+def q_harmonise_batch(spark, sf_dir):
+    """HRM-10: every offer gets its top registry match (distinct names scored once, joined back)."""
+    h = HM.harmonise_batch(_offer_names(spark, sf_dir), _registry(spark, sf_dir), None, TEST_DICT, "levenshtein")
+    return h.select("offer_id", "model_key", "harmonise_score", "harmonise_confidence")
+
+
+@query("asof_events", """
+SELECT e.event_id, p.event_id AS prev_event_id, p.ts AS prev_ts, p.value AS prev_value
+FROM events e ASOF LEFT JOIN events p ON e.user_id = p.user_id AND e.ts > p.ts
+""")
+def q_asof_events(spark, sf_dir):
+    """ANO-2 shape on events: the same user's latest earlier event (user × day buckets)."""
+    ev = T.read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    ev = ev.withColumn("event_ts", F.col("ts"))
+    out = AS.previous_before(ev, ["user_id"], "ts", ["event_id", "event_ts", "value"], "event_id")
+    return out.select("event_id", F.col("prev_event_id"), F.col("prev_event_ts").alias("prev_ts"),
+                      F.col("prev_value"))
+
+
+@query("stream_feeds", "SELECT event_type, count(*) AS events, round(sum(value), 2) AS total_value FROM events GROUP BY 1")
+def q_stream_feeds(spark, sf_dir):
+    """PIPE-3: events written as feed files, loaded by the streaming loader in
+    bounded chunks (availableNow), then summarised; equals the batch result."""
+    import uuid
+    from pyspark.sql import types as TT
+    from pricelens.session import checkpoint_dir
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    ev = T.read(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    ev.repartition(4).write.option("header", True).csv(f"{base}/src")
+    schema = TT.StructType([TT.StructField(c, TT.StringType()) for c in ("event_id", "event_type", "value")])
+    ST.stream_feeds(spark, f"{base}/src", schema, f"{base}/out", lambda b, bid: b, max_files=1, name="events")
+    out = spark.read.parquet(f"{base}/out")
+    cents_sum = F.sum(F.round(F.col("value").cast("double") * 100).cast("bigint"))
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
+                                         (cents_sum / 100).cast("double").alias("total_value"))
+
+
+UNGATED_SEM_SQL = GATED_FACTS_SQL.replace("dq_status = 'PRE_FACT_PASSED' AND", "")
+
+
+@query("path_b_rules", UNGATED_SEM_SQL + ",\n" + _long_sql(SEM_FLAGS, "sem", "s") + """
+SELECT l.rule_id, CAST(sum(l.total_records) AS BIGINT) AS total_records, CAST(sum(l.failed_records) AS BIGINT) AS failed_records
+FROM long_s l GROUP BY 1
+""")
+def q_path_b_rules(spark, sf_dir):
+    """PIPE-2: Path B — ungated load, then the SEMANTIC rules over all loaded facts."""
+    ctx = P.Context(countries=T.countries(spark, sf_dir), partners=T.partners(spark, sf_dir),
+                    rates=testbed_rates(spark, sf_dir), bands=Q.price_bands(spark, T.TESTBED_PRICE_BANDS),
+                    catalog=Q.catalog(spark))
+    stg = staged(spark, sf_dir)
+    fact = P.load_batch(stg, ctx)["facts"]
+    out = P.check_batch(stg, fact, ctx)["dq_output"].filter(F.col("target_stage") == "SEMANTIC")
+    return out.groupBy("rule_id").agg(F.sum("total_records").cast("bigint").alias("total_records"),
+                                      F.sum("failed_records").cast("bigint").alias("failed_records"))
+
+
+REPLAY_BATCH = 1999
+
+
+@query("replay", T.with_sql(T.OFFERS_SQL, T.STAGING_SQL) + f""",
+fixed AS (SELECT * REPLACE (CASE WHEN country_name = 'Atlantis' THEN 0 ELSE country_code END AS country_code)
+          FROM staging WHERE source_batch_id = {REPLAY_BATCH}),
+ing AS (SELECT source_batch_id, {_flag_cols(INGEST_FLAGS)} FROM fixed)
+SELECT rule_id, failed_records FROM (
+  SELECT {', '.join(f'CAST(sum(CASE WHEN f_{r} THEN 1 ELSE 0 END) AS BIGINT) AS {r}' for r in INGEST_FLAGS)} FROM ing)
+UNPIVOT (failed_records FOR rule_id IN ({', '.join(INGEST_FLAGS)}))
+""")
+def q_replay(spark, sf_dir):
+    """REV-3: re-run one batch's INGEST rules from its stored rows with an updated
+    country map (the unknown name now resolves)."""
+    def run(b):
+        b = b.withColumn("country_code", F.when(F.col("country_name") == "Atlantis", F.lit(0))
+                         .otherwise(F.col("country_code")))
+        return Q.stage_output(Q.evaluate(b, "INGEST"), "INGEST", Q.catalog(spark))
+    out = RV.replay_batch(T.staging(spark, sf_dir), REPLAY_BATCH, run)
+    return out.select("rule_id", "failed_records")
