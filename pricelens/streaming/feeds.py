@@ -9,6 +9,7 @@ in the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,10 @@ def stream_feeds(spark: SparkSession, src_dir: str, schema: T.StructType, out_di
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("source_batch_id").parquet(out_dir))
 
-    ckpt = f"{checkpoint_dir(spark)}/stream-{name}"
+    # one checkpoint per source folder: a restart on the same folder resumes,
+    # a different folder never inherits another stream's offsets
+    tag = hashlib.sha1(src_dir.encode()).hexdigest()[:16]
+    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{tag}"
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
