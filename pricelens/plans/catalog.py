@@ -2086,3 +2086,47 @@ def q_replay(spark, sf_dir):
         return Q.stage_output(Q.evaluate(b, "INGEST"), "INGEST", Q.catalog(spark))
     out = RV.replay_batch(T.staging(spark, sf_dir), REPLAY_BATCH, run)
     return out.select("rule_id", "failed_records")
+
+
+# FIXED VALUES (testbed) — price volatility class per testbed category
+TEST_VOLATILITY = {"IPHONE": "MEDIUM", "IPAD": "LOW", "MAC": "LOW", "AIRPODS": "HIGH",
+                   "WATCH": "MEDIUM", "ACCESSORY": "HIGH"}
+
+
+@query("adjusted_scores", "WITH sup AS (" + ORACLE["suppression"] + "), life AS (" + ORACLE["lifecycle"] + "), "
+       + ANOMS_WITH_OFFER_SQL.replace("o.crawl_ts_utc FROM", "o.crawl_ts_utc, o.product_model_id AS pm, o.partner_id AS pid FROM") + """,
+x AS (
+  SELECT aw.offer_id, aw.anomaly_type, aw.signal_score,
+         CASE l.lifecycle_status """ + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in config.LIFECYCLE_FACTORS.items()) + """ END AS lf,
+         s.suppression_factor AS sf,
+         CASE aw.category_code """ + " ".join(f"WHEN '{k}' THEN {config.CATEGORY_SENSITIVITY[v]}::DOUBLE" for k, v in TEST_VOLATILITY.items()) + """ END AS cs
+  FROM aw
+  LEFT JOIN life l ON l.product_model_id = aw.pm AND l.partner_id = aw.pid
+  LEFT JOIN sup s ON s.offer_id = aw.offer_id AND s.anomaly_type = aw.anomaly_type
+)
+SELECT offer_id, anomaly_type,
+       round(signal_score * COALESCE(lf, 1.0) * COALESCE(sf, 1.0) / COALESCE(cs, 1.0), 3) AS adjusted_score,
+       CASE WHEN round(signal_score * COALESCE(lf, 1.0) * COALESCE(sf, 1.0) / COALESCE(cs, 1.0), 3) >= 0.8 THEN 'HIGH'
+            WHEN round(signal_score * COALESCE(lf, 1.0) * COALESCE(sf, 1.0) / COALESCE(cs, 1.0), 3) >= 0.5 THEN 'MEDIUM'
+            WHEN round(signal_score * COALESCE(lf, 1.0) * COALESCE(sf, 1.0) / COALESCE(cs, 1.0), 3) >= 0.25 THEN 'LOW' END AS adjusted_severity
+FROM x
+""")
+def q_adjusted_scores(spark, sf_dir):
+    """ANO-16: signal × lifecycle factor × event suppression ÷ category sensitivity, config bars."""
+    a = _anoms_with_offer(spark, sf_dir)
+    sup = CX.suppress_events(a, market_events(spark, sf_dir)).select(
+        "offer_id", "anomaly_type", "suppression_factor")
+    o = T.offers(spark, sf_dir)
+    models = o.groupBy("product_model_id", "category_code", "partner_id").agg(
+        F.min("crawl_date").alias("launch_date")).withColumn("eol_date", F.lit(None).cast("date"))
+    cats = spark.createDataFrame(TEST_LIFECYCLE, "category_code string, lifecycle_months int")
+    life = CX.lifecycle_status(models, cats, LIFE_AS_OF)
+    lmap = F.create_map(*[x for k, v in config.LIFECYCLE_FACTORS.items() for x in (F.lit(k), F.lit(v))])
+    life = life.select("product_model_id", "partner_id", lmap[F.col("lifecycle_status")].alias("lifecycle_factor"))
+    smap = F.create_map(*[x for k, v in TEST_VOLATILITY.items()
+                          for x in (F.lit(k), F.lit(config.CATEGORY_SENSITIVITY[v]))])
+    keyed = a.join(o.select("offer_id", "product_model_id", "partner_id"), "offer_id")
+    x = (keyed.join(life, ["product_model_id", "partner_id"], "left")
+              .join(sup, ["offer_id", "anomaly_type"], "left")
+              .withColumn("category_sensitivity", smap[F.col("category_code")]))
+    return CX.adjust_scores(x, "config").select("offer_id", "anomaly_type", "adjusted_score", "adjusted_severity")
