@@ -159,3 +159,31 @@ def report_totals(stg: DataFrame, fact: DataFrame, history: DataFrame, bad: Data
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def sample_names(fact: DataFrame, name_col: str = "raw_product_name") -> DataFrame:
+    """RPT-10 (picking): one name per stratum — top-scoring HIGH (shortest on
+    ties), longest HIGH of at least 60 characters (skipped if it is the same
+    name), best MEDIUM, lowest LOW. One global aggregate with partial
+    aggregation; no stratum is gathered into one task."""
+    n, sc, conf = F.col(name_col), F.col("harmonise_score"), F.col("harmonise_confidence")
+    ln = F.length(n)
+    picks = fact.agg(
+        F.min_by(n, F.when(conf == "HIGH", F.struct(-sc, ln, n))).alias("top_high"),
+        F.min_by(n, F.when((conf == "HIGH") & (ln >= 60), F.struct(-ln, n))).alias("verbose_high"),
+        F.min_by(n, F.when(conf == "MEDIUM", F.struct(-sc, n))).alias("medium"),
+        F.min_by(n, F.when(conf == "LOW", F.struct(sc, n))).alias("low"))
+    rows = picks.selectExpr("stack(4, 'top_high', 1, top_high, 'verbose_high', 2, "
+                            "CASE WHEN verbose_high = top_high THEN NULL ELSE verbose_high END, "
+                            "'medium', 3, medium, 'low', 4, low) AS (stratum, stratum_order, name)")
+    return rows.filter(F.col("name").isNotNull())
+
+
+def harmonise_samples(fact: DataFrame, registry: DataFrame, match, name_col: str = "raw_product_name") -> DataFrame:
+    """RPT-10: the stratum samples re-scored with the full signal breakdown.
+
+    ``match(names_df) -> top-1 matches`` is the matcher to use (see
+    ``operators.harmonise.match_top_k``)."""
+    s = sample_names(fact, name_col)
+    m = match(s.select("name"))
+    return s.join(m, "name")

@@ -772,7 +772,7 @@ def q_registry_summary(spark, sf_dir):
 TOPK = 3
 
 
-def _topk_sql() -> str:
+def _topk_sql(names_cte: str = NAMES_SQL) -> str:
     eq = ("CASE WHEN {a} IS NULL AND {b} IS NULL THEN NULL WHEN {a} IS NULL OR {b} IS NULL THEN 0.5::DOUBLE "
           "WHEN {a} = {b} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END")
     ml = ("CASE WHEN q.model_line IS NULL AND r.model_line IS NULL THEN NULL "
@@ -790,7 +790,7 @@ def _topk_sql() -> str:
     sim_cols = ", ".join(f"{s} AS s_{n}" for n, s, _ in sims)
     earned = "0.0::DOUBLE" + "".join(f" + CASE WHEN s_{n} IS NOT NULL THEN s_{n} * {w} ELSE 0.0::DOUBLE END" for n, _, w in sims)
     possible = "0.0::DOUBLE" + "".join(f" + CASE WHEN s_{n} IS NOT NULL THEN {w}::DOUBLE ELSE 0.0::DOUBLE END" for n, _, w in sims)
-    return ("WITH " + NAMES_SQL.strip() + ",\n" + normalise_sql("names_src", "name") + ","
+    return ("WITH " + names_cte.strip() + ",\n" + normalise_sql("names_src", "name") + ","
             + attributes_sql("ntok").replace("attrs AS (", "qattrs AS (")
               .replace("a0 AS (", "qa0 AS (").replace("FROM a0", "FROM qa0")
               .replace("a1 AS (", "qa1 AS (").replace("FROM a1", "FROM qa1")
@@ -2130,3 +2130,36 @@ def q_adjusted_scores(spark, sf_dir):
               .join(sup, ["offer_id", "anomaly_type"], "left")
               .withColumn("category_sensitivity", smap[F.col("category_code")]))
     return CX.adjust_scores(x, "config").select("offer_id", "anomaly_type", "adjusted_score", "adjusted_severity")
+
+
+
+SAMPLES_CTE = """
+names_src AS (
+  SELECT name FROM (""" + GATED_FACTS_SQL + """,
+  g AS (SELECT raw_product_name AS name, harmonise_score AS sc, harmonise_confidence AS conf FROM gated),
+  picks AS (
+    SELECT 'top_high' AS stratum, 1 AS stratum_order, (SELECT name FROM g WHERE conf = 'HIGH' ORDER BY sc DESC, length(name), name LIMIT 1) AS name
+    UNION ALL SELECT 'verbose_high', 2, (SELECT name FROM g WHERE conf = 'HIGH' AND length(name) >= 60 ORDER BY length(name) DESC, name LIMIT 1)
+    UNION ALL SELECT 'medium', 3, (SELECT name FROM g WHERE conf = 'MEDIUM' ORDER BY sc DESC, name LIMIT 1)
+    UNION ALL SELECT 'low', 4, (SELECT name FROM g WHERE conf = 'LOW' ORDER BY sc ASC, name LIMIT 1)
+  )
+  SELECT p.* FROM picks p WHERE p.name IS NOT NULL
+    AND NOT (p.stratum = 'verbose_high' AND p.name = (SELECT name FROM picks WHERE stratum = 'top_high')))
+)"""
+
+SAMPLES_PICKS_SQL = SAMPLES_CTE.replace("names_src AS (\n  SELECT name FROM (", "picks_src AS (\n  SELECT * FROM (")
+
+
+@query("harmonise_samples", "WITH " + SAMPLES_PICKS_SQL.strip() + ", top1 AS ("
+       + _topk_sql(SAMPLES_CTE).replace(f"WHERE rank <= {TOPK}", "WHERE rank <= 1") + """)
+SELECT p.stratum, CAST(p.stratum_order AS INTEGER) AS stratum_order, p.name, t.model_key, t.score, t.confidence,
+       t.attr_match, t.token_jaccard, t.char_fuzz
+FROM picks_src p JOIN top1 t ON p.name = t.name
+""")
+def q_harmonise_samples(spark, sf_dir):
+    """RPT-10: stratified sample names from the gated facts, re-scored against the registry."""
+    reg = _registry(spark, sf_dir)
+    out = R.harmonise_samples(gated_facts(spark, sf_dir), reg,
+                              lambda names: HM.match_top_k(names, reg, 1, None, TEST_DICT, "levenshtein"))
+    return out.select("stratum", F.col("stratum_order").cast("int").alias("stratum_order"), "name",
+                      "model_key", "score", "confidence", "attr_match", "token_jaccard", "char_fuzz")
