@@ -155,9 +155,10 @@ def market_middles(current_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     mk = ["product_model_id", "country_code", "payment_type"]
     w = Window.partitionBy(*mk).orderBy("effective_total_usd", "partner_id")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     r = current_rows.select(*mk, "partner_id", "effective_total_usd",
                             F.row_number().over(w).alias("rk"),
-                            F.count(F.lit(1)).over(Window.partitionBy(*mk)).alias("n"))
+                            F.count(F.lit(1)).over(whole).alias("n"))
     lo = F.floor((F.col("n") - 2) / 2).cast("int") + 1
     r = r.withColumn("lo", lo)
     mid = r.groupBy(*mk).agg(
