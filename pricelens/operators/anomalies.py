@@ -386,7 +386,8 @@ def baseline_illustration(fact: DataFrame, bad: DataFrame,
     pc = cents("price_usd")
     m = daily.agg(F.count(F.lit(1)).alias("n"), F.sum(pc).cast("decimal(38,0)").alias("s"),
                   F.sum(pc.cast("decimal(38,0)") * pc).alias("ss"))
-    n, s, ss = m.select("n").scalar(), m.select("s").scalar(), m.select("ss").scalar()
+    st = m.select(F.struct("n", "s", "ss").alias("st")).scalar()   # one subquery, reused
+    n, s, ss = st["n"], st["s"], st["ss"]
     mean_c = s.cast("double") / n
     std_c = F.when(n > 1, F.sqrt((n.cast("decimal(38,0)") * ss - s * s).cast("double")
                                  / (n * (n - 1)).cast("double"))).otherwise(F.lit(0.0))

@@ -1777,8 +1777,18 @@ SELECT d.series_date, d.price_usd, round(mean_c / 100, 2) AS band_mean,
 FROM daily d, band
 """)
 def q_baseline_illustration(spark, sf_dir):
-    """ANO-12: daily prices and band of the most volatile clean (model, partner, country, payment) group."""
-    return A.baseline_illustration(gated_facts(spark, sf_dir), bad_records(spark, sf_dir))
+    """ANO-12: daily prices and band of the most volatile clean (model, partner, country, payment) group.
+
+    The operator reads its inputs several times (ranking, series, band), so the
+    facts and the price flags are written once to the shared checkpoint folder.
+    """
+    from pricelens.session import cut_lineage
+    fact = cut_lineage(gated_facts(spark, sf_dir).select(
+        "offer_id", "product_model_id", "partner_id", "country_code", "payment_type",
+        "effective_total_usd", "crawl_ts_utc"), name="illustration-facts")
+    flags = cut_lineage(bad_records(spark, sf_dir).filter(F.col("rule_id") == "DQ_PRICE_001")
+                        .select("offer_id", "rule_id"), name="illustration-flags")
+    return A.baseline_illustration(fact, flags)
 
 
 EVENTS_SQL = """
@@ -2113,9 +2123,8 @@ FROM x
 """)
 def q_adjusted_scores(spark, sf_dir):
     """ANO-16: signal × lifecycle factor × event suppression ÷ category sensitivity, config bars."""
-    a = _anoms_with_offer(spark, sf_dir)
-    sup = CX.suppress_events(a, market_events(spark, sf_dir)).select(
-        "offer_id", "anomaly_type", "suppression_factor")
+    # suppression keeps every anomaly column, so the detectors run once
+    sup = CX.suppress_events(_anoms_with_offer(spark, sf_dir), market_events(spark, sf_dir))
     o = T.offers(spark, sf_dir)
     models = o.groupBy("product_model_id", "category_code", "partner_id").agg(
         F.min("crawl_date").alias("launch_date")).withColumn("eol_date", F.lit(None).cast("date"))
@@ -2125,9 +2134,8 @@ def q_adjusted_scores(spark, sf_dir):
     life = life.select("product_model_id", "partner_id", lmap[F.col("lifecycle_status")].alias("lifecycle_factor"))
     smap = F.create_map(*[x for k, v in TEST_VOLATILITY.items()
                           for x in (F.lit(k), F.lit(config.CATEGORY_SENSITIVITY[v]))])
-    keyed = a.join(o.select("offer_id", "product_model_id", "partner_id"), "offer_id")
+    keyed = sup.join(o.select("offer_id", "product_model_id", "partner_id"), "offer_id")
     x = (keyed.join(life, ["product_model_id", "partner_id"], "left")
-              .join(sup, ["offer_id", "anomaly_type"], "left")
               .withColumn("category_sensitivity", smap[F.col("category_code")]))
     return CX.adjust_scores(x, "config").select("offer_id", "anomaly_type", "adjusted_score", "adjusted_severity")
 
