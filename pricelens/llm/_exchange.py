@@ -39,6 +39,33 @@ def packs(hashes: np.ndarray, records: np.ndarray, buckets: int) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(key[first]), pack], names=["key", "pack"])
 
 
+def tabled_packs(hashes: np.ndarray, records: np.ndarray, buckets: int, table: np.ndarray) -> pa.RecordBatch:
+    """Like :func:`packs` for records whose field ``doc`` numbers a row of
+    ``table``; each pack starts with the table's rows that it needs."""
+    key = (hashes >> np.uint64(64 - int(buckets).bit_length() + 1)).astype(np.int64)
+    order = np.argsort(key, kind="stable")
+    key, records = key[order], records[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    out = []
+    for a, b in zip(first, np.append(first[1:], len(key))):
+        part = records[a:b].copy()
+        docs, part["doc"] = np.unique(part["doc"], return_inverse=True)
+        out.append(np.uint32(len(docs)).tobytes() + table[docs].tobytes() + part.tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(key[first], pa.int64()), pa.array(out, pa.binary())], names=["key", "pack"])
+
+
+def open_tabled(pack: bytes, table: np.dtype, record: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(pack, "<u4", 1)[0])
+    return np.frombuffer(pack, table, n, 4), np.frombuffer(pack, record, -1, 4 + n * table.itemsize)
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, so that 16 bits number them."""
+    for b in batches:
+        for a in range(0, len(b), rows):
+            yield b.slice(a, rows)
+
+
 def aside(records: np.ndarray, spread: int) -> pa.RecordBatch:
     """Records that are results already: they pass under negative keys."""
     if not len(records):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Sequence
 
@@ -32,6 +33,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: it does so when
+    the driver collects its garbage, which a small driver heap may put off until
+    a long job has ended."""
+    gc.collect()
+    jvm = getattr(getattr(spark, "sparkContext", None), "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path) of a URI; a bare path is local storage, which
     only a local session gets from :func:`pricelens.session.checkpoint_dir`."""

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_quality, mixing, ngram_join, quality_fm, token_counts, token_output, warc
+from . import decontam, line_quality, mixing, ngram_join, quality_fm, substring_dedup, suffix_dedup, token_counts, token_output, warc
 from ._shared import read, scratch
+from .oracles import ORACLE as ORACLE
 
 #: Production parameters.
 MIX = {"weights": (5, 2, 1), "share": 1.5, "max_repeats": 2.0, "seed": 11}
@@ -47,10 +48,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(placed, ["path", "ordinal"]).select("doc_id", "part", "seq", "ordinal", "start", "n_tokens", "terminated")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_earlier(read(spark, sf_dir, "documents"), n=50, digest=True)
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(read(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), n=35, digest=True)
+
+
 def op7_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     machine = quality_fm.train(docs, read(spark, sf_dir, "labels"), ~held_out(), metadata=METADATA)
@@ -77,11 +86,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_join": op5_ngram_join,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_fm": op7_quality_fm,
     "op8_warc": op8_warc,
     "op9_token_output": op9_token_output,
     "op10_line_quality": op10_line_quality,
 }
-
-ORACLE: dict[str, str] = {}
