@@ -23,6 +23,8 @@ from ._tokens import encoder
 from .token_output import in_order
 
 BLOCK_TOKENS, FILE_BYTES = 1 << 20, 1 << 28
+#: Blocks that a task searches, roughly.
+TASK_BLOCKS = 8
 
 
 def write_flat(docs: DataFrame, tokenizer: str, folder: str, separator: int, id_col: str = "doc_id", text_col: str = "text",
@@ -74,7 +76,8 @@ def file_sizes(paths: DataFrame) -> DataFrame:
                 sizes.append(fs.get_file_info(local).size)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64())], names=["path", "n_bytes"])
 
-    return paths.select("path").mapInArrow(look, "path string, n_bytes bigint")
+    n = paths.count()
+    return paths.select("path").repartition(max(1, -(-n // 100)), "path").mapInArrow(look, "path string, n_bytes bigint")
 
 
 def count_tokens(paths: DataFrame, separator: int, item_bytes: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -100,7 +103,9 @@ def count_tokens(paths: DataFrame, separator: int, item_bytes: int = 2, block_to
                 found.append(np.flatnonzero(ids == separator) + first)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int64()))], names=["path", "n", "block", "ends"])
 
-    ends = settle(blocks.repartition("path", "block").mapInArrow(search, "path string, n bigint, block bigint, ends array<bigint>"), "separators")
+    total = blocks.count()
+    blocks = blocks.repartition(max(1, -(-total // TASK_BLOCKS)), "path", "block")
+    ends = settle(blocks.mapInArrow(search, "path string, n bigint, block bigint, ends array<bigint>"), "separators")
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     summary = ends.select("path", "n", "block", F.size("ends").alias("found"), F.try_element_at("ends", F.lit(-1)).alias("final"))
     carried = summary.select("path", "block", F.coalesce(F.last("final", ignorenulls=True).over(earlier), F.lit(-1)).alias("carry"), F.coalesce(F.sum("found").over(earlier), F.lit(0)).alias("numbered"))
