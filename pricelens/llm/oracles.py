@@ -28,7 +28,7 @@ i AS (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM b WHERE m
 g AS (SELECT DISTINCT item_id, m, array_to_string(w[p:p + m - 1], ' ') AS gram FROM i),
 x AS (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM d, (SELECT DISTINCT m FROM g) WHERE len(w) >= m),
 h AS (SELECT x.doc_id, x.p, x.m, g.item_id FROM x JOIN g ON g.m = x.m AND g.gram = array_to_string(x.w[x.p:x.p + x.m - 1], ' ')),
-n AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS at FROM h) GROUP BY doc_id),
+n AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS place FROM h) GROUP BY doc_id),
 f AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
@@ -53,8 +53,8 @@ NGRAM_JOIN = f"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_LOW.format('text')}, {_BLANK}), []) AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
-l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * both >= 90 * (na.n + nb.n - both)),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 90 * (na.n + nb.n - common)),
 r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
 SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
@@ -64,9 +64,9 @@ SUBSTRING_DEDUP = f"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, {_BLANK}), []) AS w FROM documents),
 x AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
 f AS (SELECT g FROM x GROUP BY g HAVING count(*) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS at FROM x SEMI JOIN f USING (g)),
-u AS (SELECT doc_id, at, w[at] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS at FROM d)),
-k AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY at) AS kept FROM u ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id)
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS place FROM x SEMI JOIN f USING (g)),
+u AS (SELECT doc_id, place, w[place] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS place FROM d)),
+k AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept FROM u ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, len(d.w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
 """
@@ -74,10 +74,9 @@ FROM d LEFT JOIN k USING (doc_id)
 WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, upper(sha1(coalesce(html, ''))) AS h FROM pages),
 f AS (SELECT body, min(page_id) AS first FROM p GROUP BY body),
-b AS (SELECT page_id, body, first, list_transform(range(8), i -> ('0x' || substr(h, (i * 5 + 1)::BIGINT, 5))::BIGINT) AS q FROM p JOIN f USING (body))
+b AS (SELECT page_id, body, first, [('0x' || substr(h, (i * 5 + 1)::BIGINT, 5))::BIGINT for i in range(8)] AS q FROM p JOIN f USING (body))
 SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
-  array_to_string(list_transform(q, v -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 15) & 31) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 10) & 31) + 1, 1)
-    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 5) & 31) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v & 31) + 1, 1)), '') AS payload_digest,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 15) & 31) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 10) & 31) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 5) & 31) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 0) & 31) + 1, 1) for v in q], '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM b
 """
@@ -92,8 +91,8 @@ c AS (SELECT m.source, norm FROM m JOIN h ON m.source IS NOT DISTINCT FROM h.sou
 o AS (SELECT doc_id, sum(k)::BIGINT AS lost FROM m JOIN c ON m.source IS NOT DISTINCT FROM c.source AND m.norm = c.norm GROUP BY doc_id),
 x AS (SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8)),
 y AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS times FROM x),
-r AS (SELECT doc_id, count(DISTINCT at) AS n_repeat FROM (SELECT doc_id, unnest(range(p, p + 8)) AS at FROM y WHERE times > 1) GROUP BY doc_id),
-e AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, z -> length(z))), 0)::BIGINT AS word_chars,
+r AS (SELECT doc_id, count(DISTINCT place) AS n_repeat FROM (SELECT doc_id, unnest(range(p, p + 8)) AS place FROM y WHERE times > 1) GROUP BY doc_id),
+e AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum([length(z) for z in w]), 0)::BIGINT AS word_chars,
         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words, coalesce(lost, 0) AS n_common_words
       FROM d LEFT JOIN u USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN o USING (doc_id)),
