@@ -289,10 +289,11 @@ def upsert_anomalies(store: DataFrame, new: DataFrame, now_col: Column | None =
 
 
 def with_snapshots(anoms: DataFrame, profile: str = "live") -> DataFrame:
-    """ANO-9: freeze the bars used and the baseline with each anomaly."""
-    low, med, high = config.SEVERITY_PROFILES[profile]
-    thr = F.struct(F.lit(profile).alias("profile"), F.lit(low).alias("low"),
-                   F.lit(med).alias("medium"), F.lit(high).alias("high"))
+    """ANO-9: freeze the bars used and the baseline with each anomaly. SKU_VARIANCE
+    is graded by z-scores, so its own bars are frozen."""
+    z = F.col("anomaly_type") == "SKU_VARIANCE"
+    bars = [F.when(z, F.lit(float(b))).otherwise(F.lit(float(a))) for a, b in zip(config.SEVERITY_PROFILES[profile], config.Z_BARS)]
+    thr = F.struct(F.when(z, F.lit("z")).otherwise(F.lit(profile)).alias("profile"), *[b.alias(n) for b, n in zip(bars, ("low", "medium", "high"))])
     cols = [c for c in ("window_days", "sample_size", "baseline_mean", "baseline_stddev")
             if c in anoms.columns]
     out = anoms.withColumn("threshold_snapshot", thr)
@@ -324,17 +325,20 @@ def explain_anomalies(anoms: DataFrame) -> DataFrame:
     return anoms.withColumn("explanation", text)
 
 
-def top_anomalies(anoms: DataFrame, as_of=None, n: int = 20, days: int = 30,
+def top_anomalies(anoms: DataFrame, as_of=None, n: int = 20, days: int | None = 30,
                   ts_col: str = "crawl_ts_utc") -> DataFrame:
     """ANO-18: the n most severe anomalies of the ``days`` before ``as_of``
-    (default: the newest crawl among them), by severity, score, then time.
+    (default: the newest crawl among them; ``days=None``: of all time), by
+    severity, score, then time.
 
     The default as-of is a scalar subquery, evaluated once; the cut itself is
     a top-n sort (each task keeps its own n before the final merge).
     """
-    a = F.lit(as_of).cast("timestamp") if as_of is not None else anoms.select(F.max(ts_col)).scalar()
     rank = F.when(F.col("severity") == "HIGH", 3).when(F.col("severity") == "MEDIUM", 2).otherwise(1)
-    recent = anoms.filter(F.col(ts_col) >= a - F.expr(f"INTERVAL {int(days)} DAYS"))
+    recent = anoms
+    if days is not None:
+        a = F.lit(as_of).cast("timestamp") if as_of is not None else anoms.select(F.max(ts_col)).scalar()
+        recent = anoms.filter(F.col(ts_col) >= a - F.expr(f"INTERVAL {int(days)} DAYS"))
     return recent.orderBy(rank.desc(), F.desc("signal_score"), F.desc(ts_col), F.desc("offer_id"),
                           F.desc("anomaly_type")).limit(n)
 

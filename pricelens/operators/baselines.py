@@ -94,7 +94,7 @@ def append_baselines(store: DataFrame, new: DataFrame,
 GRAIN = ["partner_id", "country_code", "product_model_id", "payment_type"]
 
 
-def daily_prices(fact: DataFrame, exact: bool = True) -> DataFrame:
+def daily_prices(fact: DataFrame) -> DataFrame:
     """AGG-3: per UTC day and grain: count, min, avg, median, max, stddev.
 
     Rows are first reduced to (day, grain, price) counts, so the median's
@@ -105,8 +105,7 @@ def daily_prices(fact: DataFrame, exact: bool = True) -> DataFrame:
                        cents("effective_total_usd").alias("pc"))
     per = base.groupBy(*g, "pc").agg(F.count(F.lit(1)).alias("k"))
     pc = F.col("pc").cast("double")
-    med = (F.percentile(pc, F.lit(0.5), F.col("k")) if exact
-           else F.percentile_approx(pc, 0.5, 100000))
+    med = F.percentile(pc, F.lit(0.5), F.col("k"))
     agg = per.groupBy(*g).agg(
         F.sum("k").cast("bigint").alias("n"),
         F.sum(F.col("pc").cast("decimal(38,0)") * F.col("k")).alias("s"),

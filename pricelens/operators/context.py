@@ -56,7 +56,9 @@ def suppress_events(anoms: DataFrame, events: DataFrame) -> DataFrame:
     their country and category (NULL = all); the lowest factor wins.
 
     Events are expanded to one row per covered day (bounded by the event
-    calendar) and joined on the crawl day, so no range join is needed.
+    calendar), reduced to one per day and scope, and joined on the crawl day, so
+    no range join is needed and an anomaly keeps one row. Of equal factors the
+    smallest event id counts; events that do not cover an anomaly leave it as it is.
     """
     e = events.select(F.explode(F.sequence(F.date_sub("event_date", F.col("suppression_window_days")),
                                            F.date_add("event_date", F.col("suppression_window_days"))))
@@ -64,18 +66,21 @@ def suppress_events(anoms: DataFrame, events: DataFrame) -> DataFrame:
                       F.col("affected_country_code").alias("_cty"),
                       F.col("affected_category_code").alias("_cat"),
                       "suppression_factor", "event_id")
-    j = anoms.join(e, "crawl_date", "left")
-    ok = ((F.col("_cty").isNull() | (F.col("_cty") == F.col("country_code")))
-          & (F.col("_cat").isNull() | (F.col("_cat") == F.col("category_code"))))
-    j = j.withColumn("suppression_factor", F.when(ok, F.col("suppression_factor"))) \
-         .withColumn("event_id", F.when(ok, F.col("event_id")))
-    keys = [c for c in anoms.columns]
-    best = F.min_by(F.struct("suppression_factor", "event_id"), F.struct("suppression_factor", "event_id"))
-    g = j.groupBy(*keys).agg(F.min("suppression_factor").alias("suppression_factor"),
-                             best.alias("_b"))
-    return g.select(*keys, F.coalesce("suppression_factor", F.lit(1.0)).alias("suppression_factor"),
-                    F.col("_b.event_id").alias("suppressing_event_id"),
-                    F.col("_b.event_id").isNotNull().alias("suppression_applied"))
+    # the best event of each (day, country or all, category or all): at most a
+    # row per day and scope, however many events fall on a day
+    best = e.groupBy("crawl_date", "_cty", "_cat").agg(F.min(F.struct("suppression_factor", "event_id")).alias("_b"))
+    # the best event for each (day, country, category) that anomalies ask for
+    asked = anoms.select("crawl_date", "country_code", "category_code").distinct()
+    hit = asked.join(best, "crawl_date").filter(
+        (F.col("_cty").isNull() | (F.col("_cty") == F.col("country_code")))
+        & (F.col("_cat").isNull() | (F.col("_cat") == F.col("category_code"))))
+    hit = hit.groupBy("crawl_date", "country_code", "category_code").agg(F.min("_b").alias("_b"))
+    hit = hit.select(*[F.col(c).alias(f"_h_{c}") for c in ("crawl_date", "country_code", "category_code")], "_b")
+    on = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in ("crawl_date", "country_code", "category_code")]
+    out = anoms.join(hit, on, "left")
+    return out.select(*anoms.columns, F.coalesce("_b.suppression_factor", F.lit(1.0)).alias("suppression_factor"),
+                      F.col("_b.event_id").alias("suppressing_event_id"),
+                      F.col("_b").isNotNull().alias("suppression_applied"))
 
 
 def adjust_scores(anoms: DataFrame, profile: str = "config") -> DataFrame:

@@ -162,17 +162,24 @@ def _has_rule(rid: str) -> Column:
 
 
 def stage_output(evaluated: DataFrame, stage: str, cat: DataFrame,
-                 batch_col: str = "source_batch_id") -> DataFrame:
+                 batch_col: str = "source_batch_id", batches: DataFrame | None = None) -> DataFrame:
     """Per (batch, active rule of stage): total, failed, pass_rate.
 
     One partial-aggregated group-by on the batch column; the wide per-rule
     counts are unpivoted with ``stack``. pass_rate = round(1 - failed/total, 4)
-    and 1.0 for an empty batch.
+    and 1.0 for a batch without rows in this stage. ``batches`` (one column,
+    the batch ids) names batches that must have rows even if the stage got none
+    of theirs.
     """
     stage_ids = [r.rule_id for r in rules() if r.stage == stage]
     aggs = [F.count(F.lit(1)).alias("total_records")] + [
         F.sum(F.when(_has_rule(rid), 1).otherwise(0)).alias(f"f_{rid}") for rid in stage_ids]
     wide = evaluated.groupBy(batch_col).agg(*aggs)
+    if batches is not None:
+        ids = batches.select(F.col(batch_col).alias("_b")).distinct()
+        counts = [c for c in wide.columns if c != batch_col]
+        wide = ids.join(wide, F.col("_b").eqNullSafe(F.col(batch_col)), "left").select(
+            F.col("_b").alias(batch_col), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
     pairs = ", ".join(f"'{rid}', f_{rid}" for rid in stage_ids)
     long = wide.selectExpr(batch_col, "total_records",
                            f"stack({len(stage_ids)}, {pairs}) AS (rule_id, failed_records)")
@@ -197,13 +204,25 @@ def bad_records(evaluated: DataFrame, cat: DataFrame, keys: list[str],
               .withColumn("status", F.lit("NEW")))
 
 
+def stamped(df: DataFrame, run_id: str | None, run_ts, column: str) -> DataFrame:
+    """Rule output or bad records of one run: its id, and its time as ``column``."""
+    if run_id is None:
+        return df
+    return df.withColumn("run_id", F.lit(run_id)).withColumn(column, F.lit(run_ts).cast("timestamp"))
+
+
 def run_stage(df: DataFrame, stage: str, cat: DataFrame, keys: list[str],
-              eligible: Column | None = None, batch_col: str = "source_batch_id"):
-    """DQE-1: run all active rules of one stage → (rule output, bad records)."""
+              eligible: Column | None = None, batch_col: str = "source_batch_id",
+              batches: DataFrame | None = None, run_id: str | None = None, run_ts=None):
+    """DQE-1: run all active rules of one stage → (rule output, bad records).
+
+    With ``run_id`` and ``run_ts`` both outputs are stamped (run_ts, detected_at),
+    so that several runs of one batch can be kept side by side. Catalogue
+    activation is applied by the joins in both outputs.
+    """
     ev = evaluate(df, stage, eligible=eligible)
-    # catalogue activation is applied by the joins in both outputs
-    return (stage_output(ev, stage, cat, batch_col),
-            bad_records(ev, active_rules(cat), keys, batch_col))
+    return (stamped(stage_output(ev, stage, cat, batch_col, batches), run_id, run_ts, "run_ts"),
+            stamped(bad_records(ev, active_rules(cat), keys, batch_col), run_id, run_ts, "detected_at"))
 
 
 def ingest_status(stg_eval: DataFrame) -> Column:
@@ -232,19 +251,24 @@ def mark_passed(stg: DataFrame, bad: DataFrame, keys: list[str], status: str,
 
 def run_all(stg: DataFrame, countries: DataFrame, partners: DataFrame,
             fact_builder, bands: DataFrame, cat: DataFrame, keys: list[str],
-            batch_col: str = "source_batch_id"):
+            batch_col: str = "source_batch_id", batches: DataFrame | None = None,
+            run_id: str | None = None, run_ts=None):
     """DQE-2: INGEST → PRE_FACT → SEMANTIC for a staged batch.
 
-    ``fact_builder`` turns PRE_FACT_PASSED staging rows into fact rows.
-    Returns (staging with dq_status, facts, rule output, bad records).
+    ``fact_builder`` turns PRE_FACT_PASSED staging rows into fact rows. Every
+    staged batch (and every one in ``batches``) has a row per active rule in
+    each stage, also when no row reached it. Returns (staging with dq_status,
+    facts, rule output, bad records).
     """
+    ids = stg.select(batch_col)
+    batches = ids.distinct() if batches is None else batches.select(batch_col).unionByName(ids).distinct()
     ing = evaluate(stg, "INGEST")
-    out_i = stage_output(ing, "INGEST", cat, batch_col)
+    out_i = stage_output(ing, "INGEST", cat, batch_col, batches)
     bad_i = bad_records(ing, active_rules(cat), keys, batch_col)
     stg1 = ing.withColumn("dq_status", ingest_status(ing)).drop("_hits")
     pre = evaluate(prepare_prefact(stg1, countries, partners), "PRE_FACT",
                    eligible=F.col("dq_status") == "INGEST_PASSED")
-    out_p = stage_output(pre, "PRE_FACT", cat, batch_col)
+    out_p = stage_output(pre, "PRE_FACT", cat, batch_col, batches)
     bad_p = bad_records(pre, active_rules(cat), keys, batch_col)
     stg2 = pre.withColumn("dq_status", F.when(
         (F.col("dq_status") == "INGEST_PASSED") & (F.size("_hits") == 0),
@@ -252,10 +276,10 @@ def run_all(stg: DataFrame, countries: DataFrame, partners: DataFrame,
         .drop("_hits", "expected_currency", "partner_country")
     fact = fact_builder(stg2.filter(F.col("dq_status") == "PRE_FACT_PASSED"))
     sem = evaluate(prepare_semantic(fact, bands), "SEMANTIC")
-    out_s = stage_output(sem, "SEMANTIC", cat, batch_col)
+    out_s = stage_output(sem, "SEMANTIC", cat, batch_col, batches)
     bad_s = bad_records(sem, active_rules(cat), keys, batch_col)
-    return (stg2, fact, out_i.unionByName(out_p).unionByName(out_s),
-            bad_i.unionByName(bad_p).unionByName(bad_s))
+    return (stg2, fact, stamped(out_i.unionByName(out_p).unionByName(out_s), run_id, run_ts, "run_ts"),
+            stamped(bad_i.unionByName(bad_p).unionByName(bad_s), run_id, run_ts, "detected_at"))
 
 
 # ---------------------------------------------------------------------------
@@ -263,9 +287,10 @@ def run_all(stg: DataFrame, countries: DataFrame, partners: DataFrame,
 # ---------------------------------------------------------------------------
 
 def latest_rule_results(output: DataFrame, order_col: str = "run_ts") -> DataFrame:
-    """DQE-6: newest result row per rule (ties broken by batch id)."""
+    """DQE-6: newest result row per rule (ties broken by batch id, then run id)."""
     cols = [c for c in output.columns if c != "rule_id"]
-    best = F.max_by(F.struct(*cols), F.struct(order_col, "source_batch_id"))
+    order = [c for c in (order_col, "source_batch_id", "run_id") if c in cols]
+    best = F.max_by(F.struct(*cols), F.struct(*order))
     return output.groupBy("rule_id").agg(best.alias("r")).select("rule_id", "r.*")
 
 

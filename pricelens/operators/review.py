@@ -35,12 +35,15 @@ def by_severity(bad: DataFrame) -> DataFrame:
 def apply_resolutions(bad: DataFrame, actions: DataFrame, key=("offer_id", "rule_id")):
     """REV-2: apply (key, action RESOLVED|IGNORED, notes, resolved_at) to bad records.
 
+    Of several valid actions on one key the latest counts (of equal times the
+    alphabetically last action, then note); other actions change nothing.
     Returns (updated bad records, actions whose key matches no record).
     """
     key = list(key)
-    a = actions.select(*key, F.col("action").alias("_action"), F.col("notes").alias("_notes"),
-                       F.col("resolved_at").alias("_at"))
-    ok = F.col("_action").isin("RESOLVED", "IGNORED")
+    a = (actions.filter(F.col("action").isin("RESOLVED", "IGNORED")).groupBy(*key)
+         .agg(F.max(F.struct("resolved_at", "action", "notes")).alias("_a"))
+         .select(*key, F.col("_a.action").alias("_action"), F.col("_a.notes").alias("_notes"), F.col("_a.resolved_at").alias("_at")))
+    ok = F.col("_action").isNotNull()
     out = bad.join(a, key, "left")
     for c, t in (("resolution_notes", "string"), ("resolved_at", "timestamp")):
         if c not in out.columns:

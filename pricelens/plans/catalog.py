@@ -39,9 +39,9 @@ KEYS = "product_model_id, partner_id, country_code, payment_type"
 
 
 def testbed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse daily FX table derived from urgent orders per customer region."""
-    o = T.read(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT") \
-        .select("o_custkey", "o_totalprice", "o_orderdate")
+    """Sparse daily FX table derived from all orders per customer region; the days
+    left without a rate follow a fixed rule on the derived table."""
+    o = T.read(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
     c = T.read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = F.broadcast(T.read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
@@ -49,7 +49,9 @@ def testbed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.to_date("o_orderdate").alias("effective_date"))
              .agg((F.lit(0.5) + (F.round(F.min("o_totalprice")).cast("bigint") % 997) / F.lit(1000.0))
                   .cast("decimal(16,8)").alias("rate"))
-             .withColumn("to_currency_code", F.lit("USD")))
+             .withColumn("to_currency_code", F.lit("USD"))
+             .filter(F.pmod(F.datediff("effective_date", F.lit("1970-01-01").cast("date")) * 3
+                            + F.substring("from_currency_code", 4, 9).cast("int"), F.lit(5)) < 2))
 
 
 RATES_SQL = """
@@ -59,8 +61,8 @@ rates AS (
          CAST(0.5 + (CAST(round(min(o_totalprice)) AS BIGINT) % 997) / 1000.0 AS DECIMAL(16,8)) AS rate,
          'USD' AS to_currency_code
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE o_orderpriority = '1-URGENT'
-  GROUP BY 1, 2
+  GROUP BY n_regionkey, CAST(o_orderdate AS DATE)
+  HAVING ((CAST(o_orderdate AS DATE) - DATE '1970-01-01') * 3 + n_regionkey) % 5 < 2
 )"""
 
 
@@ -963,16 +965,21 @@ def q_dq_by_stage(spark, sf_dir):
     return Q.dq_by_stage(dq_output(spark, sf_dir), spark)
 
 
-@query("dq_latest", ALL_OUTPUT_SQL + """
-SELECT rule_id, arg_max(source_batch_id, source_batch_id) AS source_batch_id,
-       arg_max(failed_records, source_batch_id) AS failed_records,
-       arg_max(total_records, source_batch_id) AS total_records
-FROM dq_output GROUP BY rule_id
+@query("dq_latest", ALL_OUTPUT_SQL + f""",
+runs AS (
+  SELECT *, 'first' AS run_id, TIMESTAMP '2024-01-01 00:00:00' AS run_ts FROM dq_output
+  UNION ALL
+  SELECT *, 'again', TIMESTAMP '2024-01-02 00:00:00' FROM dq_output WHERE source_batch_id <= 1996 AND target_stage <> 'SEMANTIC'
+)
+SELECT rule_id, run_id, run_ts, source_batch_id, failed_records, total_records FROM (
+  SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY run_ts DESC, source_batch_id DESC) AS rn FROM runs) WHERE rn = 1
 """)
 def q_dq_latest(spark, sf_dir):
-    """DQE-6: the newest result per rule (newest batch)."""
-    out = dq_output(spark, sf_dir).withColumn("run_ts", F.col("source_batch_id"))
-    return Q.latest_rule_results(out).select("rule_id", "source_batch_id", "failed_records", "total_records")
+    """DQE-6: the newest result per rule, where some batches and stages have been run twice."""
+    out = dq_output(spark, sf_dir)
+    again = out.filter((F.col("source_batch_id") <= 1996) & (F.col("target_stage") != "SEMANTIC"))
+    runs = Q.stamped(out, "first", "2024-01-01 00:00:00", "run_ts").unionByName(Q.stamped(again, "again", "2024-01-02 00:00:00", "run_ts"))
+    return Q.latest_rule_results(runs).select("rule_id", "run_id", "run_ts", "source_batch_id", "failed_records", "total_records")
 
 
 @query("dq_summary", ALL_OUTPUT_SQL + """
@@ -1197,19 +1204,6 @@ def q_scd2_incremental(spark, sf_dir):
     return H.scd2_apply(base, o.filter(F.col("source_batch_id") == INCR_BATCH))
 
 
-@query("anom_counts", STAT_SQL.split("\nSELECT offer_id, 'STATISTICAL'")[0] + """
-SELECT 'STATISTICAL' AS anomaly_type,
-       count(*) FILTER (WHERE p >= 0.25) AS n_high,
-       count(*) FILTER (WHERE p >= 0.15 AND p < 0.25) AS n_medium,
-       count(*) FILTER (WHERE p >= 0.10 AND p < 0.15) AS n_low
-FROM scored
-""")
-def q_anom_counts(spark, sf_dir):
-    """ANO-7: anomaly counts by severity (STATISTICAL signal)."""
-    o = T.offers(spark, sf_dir)
-    return A.anomaly_counts(A.detect_statistical(o, H.scd2_rebuild(o)))
-
-
 # ---------------------------------------------------------------------------
 # Batch summaries, funnels, review, config context, calibration, pipeline
 # ---------------------------------------------------------------------------
@@ -1271,17 +1265,34 @@ def q_batch_funnel(spark, sf_dir):
     return R.batch_funnel(T.staging(spark, sf_dir), gated_facts(spark, sf_dir), bad_records(spark, sf_dir))
 
 
-@query("funnel", GATED_FACTS_SQL + """
+GATED_HISTORY_SQL = f"""
+gated_history AS (
+  SELECT * FROM (
+    SELECT *, lag(usd) OVER (PARTITION BY {KEYS} ORDER BY crawl_date) AS prev FROM (
+      SELECT {KEYS}, crawl_date,
+             CAST(round(effective_total_local * COALESCE(fx_rate, CAST(1 AS DECIMAL(16,8))), 2) AS DECIMAL(12,2)) AS usd,
+             row_number() OVER (PARTITION BY {KEYS}, crawl_date ORDER BY crawl_ts_utc DESC, offer_id DESC) AS rn
+      FROM facts) WHERE rn = 1)
+  WHERE prev IS NULL OR prev <> usd
+)"""
+
+
+def gated_history(spark, sf_dir):
+    """SCD-2 history of the gated facts."""
+    return H.scd2_rebuild(gated_facts(spark, sf_dir).withColumn("crawl_date", F.to_date("crawl_ts_utc")))
+
+
+@query("funnel", GATED_FACTS_SQL + "," + GATED_HISTORY_SQL + """
 SELECT 'staged' AS step, 1 AS step_order, count(*) AS rows FROM staged
 UNION ALL SELECT 'ingest_passed', 2, count(*) FILTER (WHERE dq_status IN ('INGEST_PASSED', 'PRE_FACT_PASSED')) FROM staged
 UNION ALL SELECT 'matched', 3, count(*) FILTER (WHERE product_model_id IS NOT NULL) FROM staged
 UNION ALL SELECT 'prefact_passed', 4, count(*) FILTER (WHERE dq_status = 'PRE_FACT_PASSED') FROM staged
 UNION ALL SELECT 'fact', 5, count(*) FROM gated
+UNION ALL SELECT 'history', 6, count(*) FROM gated_history
 """)
 def q_funnel(spark, sf_dir):
-    """RPT-6: staged → ingest-passed → matched → pre-fact-passed → fact."""
-    f = R.funnel(staged(spark, sf_dir), gated_facts(spark, sf_dir), gated_facts(spark, sf_dir).limit(0))
-    return f.filter(F.col("step") != "history")
+    """RPT-6: staged → ingest-passed → matched → pre-fact-passed → fact → history."""
+    return R.funnel(staged(spark, sf_dir), gated_facts(spark, sf_dir), gated_history(spark, sf_dir))
 
 
 @query("review_page", BAD_SQL + """
@@ -1440,37 +1451,47 @@ def q_pipeline_summary(spark, sf_dir):
 from pricelens.sources import sinks as SK  # noqa: E402
 
 PARTNER_BATCH_SQL = """
-pb AS (SELECT partner_id, source_batch_id, max(crawl_ts_utc) AS loaded_at, count(*) AS total_records
-       FROM offers GROUP BY 1, 2)"""
+pb AS (
+  SELECT t.*, COALESCE(l.loaded_records, 0) AS loaded_records, COALESCE(b.bad_records_count, 0) AS bad_records_count
+  FROM (SELECT partner_id, source_batch_id, max(crawl_ts_utc) AS loaded_at, count(*) AS total_records FROM offers GROUP BY 1, 2) t
+  LEFT JOIN (SELECT partner_id, source_batch_id, count(*) AS loaded_records FROM gated GROUP BY 1, 2) l USING (partner_id, source_batch_id)
+  LEFT JOIN (SELECT s.partner_id, b.source_batch_id, count(*) AS bad_records_count
+             FROM bad_records b JOIN staging s USING (offer_id) GROUP BY 1, 2) b USING (partner_id, source_batch_id)
+)"""
 
 
 def partner_batches(spark, sf_dir):
-    """One summary row per (partner, batch) of the testbed, loaded at its last crawl."""
-    return T.offers(spark, sf_dir).groupBy("partner_id", "source_batch_id").agg(
-        F.max("crawl_ts_utc").alias("loaded_at"), F.count(F.lit(1)).alias("total_records"),
-        F.lit(0).cast("bigint").alias("loaded_records"), F.lit(0).cast("bigint").alias("bad_records_count"))
+    """One summary row per (partner, batch) of the testbed, loaded at its last crawl,
+    with its gated facts and its bad records."""
+    grain = ["partner_id", "source_batch_id"]
+    total = T.offers(spark, sf_dir).groupBy(*grain).agg(F.max("crawl_ts_utc").alias("loaded_at"), F.count(F.lit(1)).alias("total_records"))
+    loaded = gated_facts(spark, sf_dir).groupBy(*grain).agg(F.count(F.lit(1)).alias("loaded_records"))
+    whose = T.staging(spark, sf_dir).select("offer_id", "partner_id")
+    bad = bad_records(spark, sf_dir).join(whose, "offer_id").groupBy(*grain).agg(F.count(F.lit(1)).alias("bad_records_count"))
+    return total.join(loaded, grain, "left").join(bad, grain, "left").na.fill(0, ["loaded_records", "bad_records_count"])
 
 
-@query("daily_batches", T.with_sql(T.OFFERS_SQL, PARTNER_BATCH_SQL) + """
+@query("daily_batches", BAD_SQL + "," + PARTNER_BATCH_SQL + """
 SELECT partner_id, CAST(loaded_at AS DATE) AS load_date, count(*) AS batches,
-       CAST(sum(total_records) AS BIGINT) AS total_records
+       CAST(sum(total_records) AS BIGINT) AS total_records, CAST(sum(loaded_records) AS BIGINT) AS loaded_records,
+       CAST(sum(bad_records_count) AS BIGINT) AS bad_records_count
 FROM pb GROUP BY 1, 2
 """)
 def q_daily_batches(spark, sf_dir):
     """AGG-11: batch summaries rolled up per partner and load day."""
     return R.daily_batches(partner_batches(spark, sf_dir)).select(
-        "partner_id", "load_date", "batches", "total_records")
+        "partner_id", "load_date", "batches", "total_records", "loaded_records", "bad_records_count")
 
 
-@query("recent_batches", T.with_sql(T.OFFERS_SQL, PARTNER_BATCH_SQL) + """
-SELECT partner_id, source_batch_id, loaded_at, CAST(recency AS INTEGER) AS recency FROM (
+@query("recent_batches", BAD_SQL + "," + PARTNER_BATCH_SQL + """
+SELECT partner_id, source_batch_id, loaded_at, loaded_records, bad_records_count, CAST(recency AS INTEGER) AS recency FROM (
   SELECT *, row_number() OVER (PARTITION BY partner_id ORDER BY loaded_at DESC, source_batch_id DESC) AS recency
   FROM pb) WHERE recency <= 3
 """)
 def q_recent_batches(spark, sf_dir):
     """AGG-12: the three most recent batches of each partner."""
     return R.recent_batches(partner_batches(spark, sf_dir), 3).select(
-        "partner_id", "source_batch_id", "loaded_at", "recency")
+        "partner_id", "source_batch_id", "loaded_at", "loaded_records", "bad_records_count", "recency")
 
 
 @query("regional_daily", T.with_sql(T.OFFERS_SQL) + """,
@@ -1495,11 +1516,11 @@ def q_confidence_distribution(spark, sf_dir):
     return R.confidence_distribution(gated_facts(spark, sf_dir), spark)
 
 
-@query("report_totals", BAD_SQL + """,
-hist_rows AS (SELECT count(*) AS n FROM (SELECT DISTINCT product_model_id, partner_id, country_code, payment_type, crawl_date FROM facts)),
+@query("report_totals", BAD_SQL + "," + GATED_HISTORY_SQL + """,
 t AS (
   SELECT 'staging_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM staging
   UNION ALL SELECT 'fact_rows', CAST(count(*) AS DOUBLE) FROM gated
+  UNION ALL SELECT 'history_rows', CAST(count(*) AS DOUBLE) FROM gated_history
   UNION ALL SELECT 'bad_records', CAST(count(*) AS DOUBLE) FROM bad_records
   UNION ALL SELECT 'batches', CAST(count(DISTINCT source_batch_id) AS DOUBLE) FROM staging
   UNION ALL SELECT 'active_rules', CAST(count(*) AS DOUBLE) FROM catalog
@@ -1508,10 +1529,9 @@ t AS (
 SELECT * FROM t
 """)
 def q_report_totals(spark, sf_dir):
-    """RPT-1: table sizes, batches, active rules and HIGH share."""
-    f = gated_facts(spark, sf_dir)
-    out = R.report_totals(T.staging(spark, sf_dir), f, f.limit(0), bad_records(spark, sf_dir), Q.catalog(spark))
-    return out.filter(F.col("metric") != "history_rows")
+    """RPT-1: table sizes, history rows, batches, active rules and HIGH share."""
+    return R.report_totals(T.staging(spark, sf_dir), gated_facts(spark, sf_dir), gated_history(spark, sf_dir),
+                           bad_records(spark, sf_dir), Q.catalog(spark))
 
 
 @query("recent_bad", BAD_SQL + """
@@ -1602,17 +1622,17 @@ def q_daily_fx(spark, sf_dir):
     rates = testbed_rates(spark, sf_dir)
     last = FX.last_rates(rates).select("from_currency_code", F.lit("USD").alias("to_currency_code"),
                                        F.col("last_rate").alias("rate"), "last_date")
-    return last.select("from_currency_code", "to_currency_code", "rate",
-                       F.explode(F.sequence("last_date", F.date_add("last_date", 6))).alias("effective_date"))
+    return SK.daily_fx(last, F.col("last_date"), F.date_add("last_date", 6))
 
 
 @query("product_dims", "WITH " + _registry_sql() + """
 SELECT r.model_key, r.entry_category AS category_code, CAST(r.n_skus AS INTEGER) AS n_skus
-FROM registry r WHERE r.entry_category IN ('RING', 'GEAR', 'WIDGET', 'ROD')
+FROM registry r WHERE r.entry_category IS NOT NULL
 """)
 def q_product_dims(spark, sf_dir):
     """SRC-6: model and SKU dimensions for the registry entries of known categories."""
-    cats = spark.createDataFrame([(c,) for c in ("RING", "GEAR", "WIDGET", "ROD")], "category_code string")
+    known = _registry(spark, sf_dir).select(F.col("entry_category").alias("category_code")).where("category_code IS NOT NULL").distinct()
+    cats = known.unionByName(spark.createDataFrame([("NOT SOLD",)], "category_code string"))
     models, skus = SK.build_product_dims(_registry(spark, sf_dir), cats)
     n = skus.groupBy("model_key").agg(F.count(F.lit(1)).cast("int").alias("n_skus"))
     return models.join(n, "model_key").select("model_key", "category_code", "n_skus")
@@ -1658,6 +1678,35 @@ def q_anom_all(spark, sf_dir):
     return _all_anoms(spark, sf_dir).select(*A.ANOMALY_COLS)
 
 
+@query("anom_counts", """
+SELECT anomaly_type, count(*) FILTER (WHERE severity = 'HIGH') AS n_high, count(*) FILTER (WHERE severity = 'MEDIUM') AS n_medium,
+       count(*) FILTER (WHERE severity = 'LOW') AS n_low
+FROM (""" + ANOM_ALL_SQL + """) GROUP BY 1
+""")
+def q_anom_counts(spark, sf_dir):
+    """ANO-7: anomaly counts by type and severity, all four signals."""
+    return A.anomaly_counts(_all_anoms(spark, sf_dir, "LOW"))
+
+
+@query("fact_store", T.with_sql(T.OFFERS_SQL) + """
+SELECT strftime(crawl_ts_utc, '%Y-%m') AS crawl_month, CAST(l_orderkey % 3 AS INTEGER) AS source_batch_id, count(*) AS facts,
+       CAST(sum(CAST(effective_total_usd * 100 AS BIGINT)) AS BIGINT) AS total_cents
+FROM offers GROUP BY 1, 2
+""")
+def q_fact_store(spark, sf_dir):
+    """SNK-1: three batches that share every month, written one after the other, the
+    first of them twice; all rows read back."""
+    from pricelens.session import checkpoint_dir
+    import uuid
+    path = f"{checkpoint_dir(spark).rstrip('/')}/facts-{uuid.uuid4().hex}"
+    o = T.offers(spark, sf_dir).withColumn("source_batch_id", F.pmod("l_orderkey", F.lit(3)).cast("int"))
+    for batch in (0, 1, 2, 0):
+        SK.write_fact(o.filter(F.col("source_batch_id") == batch), path)
+    back = spark.read.schema("effective_total_usd decimal(12,2), crawl_month string, source_batch_id int").parquet(path)
+    return back.groupBy("crawl_month", "source_batch_id").agg(
+        F.count(F.lit(1)).alias("facts"), F.sum((F.col("effective_total_usd") * 100).cast("bigint")).alias("total_cents"))
+
+
 @query("anom_top", "WITH a AS (SELECT * FROM (" + ANOM_ALL_SQL + """)),
 j AS (SELECT a.*, o.crawl_ts_utc FROM a JOIN (""" + T.with_sql(T.OFFERS_SQL) + """ SELECT offer_id, crawl_ts_utc FROM offers) o USING (offer_id)),
 w AS (SELECT * FROM j WHERE crawl_ts_utc >= (SELECT max(crawl_ts_utc) FROM j) - INTERVAL 30 DAY)
@@ -1747,7 +1796,7 @@ def q_anom_series(spark, sf_dir):
     o = T.offers(spark, sf_dir)
     h = H.scd2_rebuild(o)
     a = A.detect_statistical(o, h)
-    top = A.top_anomalies(a, as_of=None, n=1, days=100000)
+    top = A.top_anomalies(a, as_of=None, n=1, days=None)
     return A.anomaly_series(top, h)
 
 
@@ -1800,13 +1849,13 @@ mevents AS (
          3 AS suppression_window_days,
          CASE o_orderpriority WHEN '1-URGENT' THEN 0.40 WHEN '2-HIGH' THEN 0.50 ELSE 0.50 END::DOUBLE AS suppression_factor
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE o_totalprice >= 499000
 )"""
 
 
 def market_events(spark, sf_dir):
-    """Market events derived from the largest orders (type by priority, scope by status)."""
-    o = T.read(spark, sf_dir, "orders").filter(F.col("o_totalprice") >= 499000)
+    """Market events derived from all orders (type by priority, scope by status): many
+    overlap on a day with different scopes."""
+    o = T.read(spark, sf_dir, "orders")
     c = T.read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = F.broadcast(T.read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
@@ -1832,15 +1881,21 @@ ANOMS_WITH_OFFER_SQL = ("aw AS (SELECT a.*, o.category_code, o.country_code, o.c
 
 
 @query("suppression", "WITH " + EVENTS_SQL.strip() + ",\n" + ANOMS_WITH_OFFER_SQL + """,
+days AS (
+  SELECT event_id, suppression_factor, affected_country_code AS cty, affected_category_code AS cat,
+         CAST(unnest(generate_series(event_date - suppression_window_days, event_date + suppression_window_days, INTERVAL 1 DAY)) AS DATE) AS day
+  FROM mevents
+),
+scoped AS (SELECT day, cty, cat, min(suppression_factor) AS f, min(event_id) FILTER (WHERE first) AS ev
+           FROM (SELECT *, suppression_factor = min(suppression_factor) OVER (PARTITION BY day, cty, cat) AS first FROM days)
+           GROUP BY day, cty, cat),
 m AS (
-  SELECT aw.offer_id, aw.anomaly_type, e.event_id, e.suppression_factor
-  FROM aw JOIN mevents e
-    ON aw.crawl_date BETWEEN e.event_date - e.suppression_window_days AND e.event_date + e.suppression_window_days
-   AND (e.affected_country_code IS NULL OR e.affected_country_code = aw.country_code)
-   AND (e.affected_category_code IS NULL OR e.affected_category_code = aw.category_code)
+  SELECT aw.offer_id, aw.anomaly_type, s.f, s.ev
+  FROM aw JOIN scoped s ON aw.crawl_date = s.day
+   AND (s.cty IS NULL OR s.cty = aw.country_code) AND (s.cat IS NULL OR s.cat = aw.category_code)
 ),
-best AS (SELECT offer_id, anomaly_type, min(suppression_factor) AS f,
-                arg_min(event_id, suppression_factor * 1e12 + event_id) AS ev FROM m GROUP BY 1, 2)
+best AS (SELECT offer_id, anomaly_type, min(f) AS f, min(ev) FILTER (WHERE first) AS ev
+         FROM (SELECT *, f = min(f) OVER (PARTITION BY offer_id, anomaly_type) AS first FROM m) GROUP BY 1, 2)
 SELECT aw.offer_id, aw.anomaly_type, COALESCE(b.f, 1.0) AS suppression_factor, b.ev AS suppressing_event_id,
        b.ev IS NOT NULL AS suppression_applied
 FROM aw LEFT JOIN best b USING (offer_id, anomaly_type)

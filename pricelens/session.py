@@ -6,49 +6,70 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
+#: What the library wants where nobody has said otherwise.
+WANTED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "pricelens", driver_memory: str = "8g") -> SparkSession:
+              app: str = "pricelens", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with UTC time, AQE and skew handling on.
 
-    On a cluster the master and resources come from spark-submit; the
-    settings here only fill in what is not already configured.
+    Settings that are configured already (submit arguments, defaults file) stay
+    as they are; the master, the memory and the number of shuffle partitions
+    are set only when the caller names them, as ``bench.py`` and tests do. Only
+    a bare Python process without any master falls back to ``local[*]``.
     """
-    cpus = os.environ.get("BENCH_CPUS")
-    builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or (f"local[{cpus}]" if cpus else "local[*]"))
-    parts = shuffle_partitions or int(os.environ.get("PRICELENS_SHUFFLE_PARTITIONS", "8"))
-    spark = (
-        builder
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", driver_memory)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .getOrCreate()
-    )
+    have = SparkConf()
+    builder = SparkSession.builder
+    if not have.contains("spark.app.name"):
+        builder = builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    elif not have.contains("spark.master") and not os.environ.get("SPARK_REMOTE"):
+        builder = builder.master("local[*]")
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
+    for k, v in WANTED.items():
+        if not have.contains(k):
+            builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM does all the work, so a folder of this machine is seen by all of it."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) is a private folder created.
+    On a cluster the setting must name storage that the driver and all
+    executors share; it is used as is. Only a local session without the setting
+    (tests) gets a private folder; anything else is an error, because executors
+    would write to their own disks.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_pricelens_checkpoint", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="pricelens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = spark._pricelens_checkpoint = tempfile.mkdtemp(prefix="pricelens-ckpt-")
     spark.sparkContext.setCheckpointDir(current)
     return current
 
@@ -59,9 +80,26 @@ def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
 
     One computation, columnar storage, and the result survives executor loss
     (unlike a local checkpoint); later steps start from the table instead of
-    the whole lineage.
+    the whole lineage. :func:`drop_lineage` removes a session's tables.
     """
     spark = spark or df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    kept = getattr(spark, "_pricelens_tables", None)
+    if kept is None:
+        kept = spark._pricelens_tables = []
+    kept.append(path)
     return spark.read.parquet(path)
+
+
+def drop_lineage(spark: SparkSession) -> int:
+    """Delete the tables that :func:`cut_lineage` wrote in this session, once
+    their results are published; returns how many."""
+    kept = getattr(spark, "_pricelens_tables", [])
+    jvm = spark.sparkContext._jvm
+    for path in kept:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    n = len(kept)
+    kept.clear()
+    return n
