@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,8 @@ import pyarrow as pa
 
 from . import _words as W
 
-#: Pieces that a worker remembers at most (some 100 to 150 MB).
-MAX_PIECES = 500_000
+#: Pieces that a worker remembers at most (some 200 MB).
+MAX_PIECES = 1_000_000
 
 _U, _A, _D, _P, _S, _W, _X, _L, _Q = range(9)  # unknown, letter, digit, punctuation, space, line or tab, two-byte, Latin letter, apostrophe
 _CLASS = np.zeros(256, np.uint8)
@@ -75,10 +76,11 @@ class Encoder:
                          and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not told["model"].get("dropout"))
         self.special = [] if special_as_text else [t["content"].encode() for t in told.get("added_tokens", [])]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.known: dict[bytes, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text, in order; a null text has none."""
@@ -87,7 +89,10 @@ class Encoder:
             if not self.by_piece:
                 yield from self.whole([raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:])])
                 continue
-            starts = np.unique(np.concatenate([offsets[:-1][offsets[:-1] < len(data)], piece_starts(data, offsets)])) if len(data) else np.zeros(0, np.int64)
+            begins = np.zeros(len(data) + 1, bool)
+            begins[offsets] = True
+            begins[piece_starts(data, offsets)] = True
+            starts = np.flatnonzero(begins[:-1])
             pieces = np.insert(data, starts[1:], 0xFF).tobytes().split(b"\xff") if len(data) else []
             new = list(set(pieces).difference(self.known))
             if new:
