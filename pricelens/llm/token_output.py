@@ -165,7 +165,8 @@ def read_documents(manifest: DataFrame, id_type: str = "bigint") -> DataFrame:
     from pyspark.sql.types import _parse_datatype_string
 
     types = {"doc_id": to_arrow_type(_parse_datatype_string(id_type))}
-    files = manifest.select("path", "tokens_before").repartition("path")
+    files = manifest.select("path", "tokens_before")
+    files = files.repartition(max(1, files.count()), "path")  # a task for each file; paths alone would be coalesced
     return files.mapInArrow(scan, f"doc_id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
