@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import filesystem, join_null_safe, settle
+from ._shared import filesystem, settle
 
 #: Magic number of the skippable frame that holds a dictionary.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -37,12 +37,14 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def dictionary(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from the sampled records with the smallest hashes of their
-    ids; the sample's bytes themselves where it is too small to train on."""
+    """A dictionary from records sampled by the hashes of their ids and payloads;
+    the sample's bytes themselves where it is too small to train on."""
     import zstandard
 
-    rows = (pages.where(F.length(html_col) > 0).select(F.xxhash64(id_col).alias("h"), F.encode(F.substring(html_col, 1, SAMPLE_BYTES), "UTF-8").alias("b"))
-            .orderBy("h", "b").limit(SAMPLE_RECORDS).select("b").collect())
+    share = min(1.0, SAMPLE_RECORDS / max(1, pages.count()))
+    chosen = F.pmod(F.xxhash64(id_col, html_col), F.lit(1 << 30)) < int(share * (1 << 30))
+    rows = (pages.where(chosen & (F.length(html_col) > 0)).select(F.encode(F.substring(html_col, 1, SAMPLE_BYTES), "UTF-8").alias("b"))
+            .limit(SAMPLE_RECORDS).collect())
     samples = [bytes(r[0])[:SAMPLE_BYTES] for r in rows]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes() if samples else b""
@@ -58,18 +60,23 @@ def _coder(kind: str, data: bytes):
 
 
 def plan_records(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """(_ll_id, _ll_sum, _ll_first): for each distinct page id and payload that
-    has an equal payload elsewhere, the smallest id with that payload.
+    """(_ll_key, _ll_grouped, _ll_first): for each distinct page id and payload
+    (by their hash) that has an equal payload elsewhere, the smallest id with it.
 
     Payloads of fewer than ``min_bytes`` bytes are left out. Only ids and
     digests move; a payload that a third of the pages share is grouped with
     partial aggregates.
     """
     body = F.coalesce(F.col(html_col), F.lit(""))
-    slim = settle(pages.select(F.col(id_col).alias("_ll_id"), F.sha2(body, 256).alias("_ll_sum"), F.octet_length(body).alias("_ll_bytes")), "payload-sums")
+    slim = settle(pages.select(_key(id_col, html_col).alias("_ll_key"), F.col(id_col).alias("_ll_id"), F.sha2(body, 256).alias("_ll_sum"), F.octet_length(body).alias("_ll_bytes")), "payload-sums")
     firsts = (slim.where(F.col("_ll_bytes") >= min_bytes).groupBy("_ll_sum")
               .agg(F.min("_ll_id").alias("_ll_first"), F.count(F.lit(1)).alias("_ll_n")).where("_ll_n > 1").drop("_ll_n"))
-    return slim.join(firsts, "_ll_sum").select("_ll_id", "_ll_sum", "_ll_first").distinct()
+    return slim.join(firsts, "_ll_sum").select("_ll_key", "_ll_first").distinct().withColumn("_ll_grouped", F.lit(True))
+
+
+def _key(id_col: str, html_col: str):
+    """Identity of a record: null payloads are empty ones."""
+    return F.sha2(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(html_col), F.lit(""))), 256)
 
 
 def _record(kind: str, page_id: str, number: int, url: str | None, body: bytes, digest: str, first: str | None, date: str) -> bytes:
@@ -100,10 +107,9 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     """
     words = dictionary(pages, id_col, html_col)
     plan = plan_records(pages, id_col, html_col, min_bytes)
-    rows = pages.select(F.col(id_col).alias("_ll_id"), F.sha2(F.coalesce(F.col(html_col), F.lit("")), 256).alias("_ll_sum"), F.col(url_col).alias("url"),
-                        F.col(html_col).alias("html")).repartition("_ll_id", "_ll_sum")
-    planned = join_null_safe(rows, plan.withColumn("_ll_grouped", F.lit(True)), ["_ll_id", "_ll_sum"], "left")
-    again = Window.partitionBy("_ll_id", "_ll_sum").orderBy("url")
+    rows = pages.select(_key(id_col, html_col).alias("_ll_key"), F.col(id_col).alias("_ll_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    planned = rows.join(plan, "_ll_key", "left")  # payloads are moved once, by the key of join and window
+    again = Window.partitionBy("_ll_key").orderBy("url")
     text_id, text_first = F.coalesce(F.col("_ll_id").cast("string"), F.lit(NO_ID)), F.coalesce(F.col("_ll_first").cast("string"), F.lit(NO_ID))
     is_first = F.col("_ll_grouped").isNull() | (F.col("_ll_id").eqNullSafe(F.col("_ll_first")) & (F.col("_ll_k") == 1))
     planned = planned.withColumn("_ll_k", F.row_number().over(again)).select(
@@ -200,7 +206,9 @@ def read(manifest: DataFrame, id_type: str = "bigint", payloads: bool = True) ->
                     if rows:
                         yield batch(rows)
 
-    found = manifest.select("path").repartition("path").mapInArrow(
+    paths = manifest.select("path")
+    paths = paths.repartition(max(1, paths.count()), "path")  # a task for each file; paths alone would be coalesced
+    found = paths.mapInArrow(
         scan, "page_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, url string, payload binary")
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c).cast(id_type)).alias(c)
     return found.select(back("page_id"), "payload_bytes", "payload_digest", "record_type", back("refers_to"), "url", "payload")
