@@ -1434,16 +1434,6 @@ def q_calibrate_severity(spark, sf_dir):
     return CX.calibrate_severity(A.detect_statistical(o, H.scd2_rebuild(o)))
 
 
-@query("pipeline_summary")
-def q_pipeline_summary(spark, sf_dir):
-    """PIPE-1: full Path A over the testbed staging (all batches), summary rows."""
-    ctx = P.Context(countries=T.countries(spark, sf_dir), partners=T.partners(spark, sf_dir),
-                    rates=testbed_rates(spark, sf_dir),
-                    bands=Q.price_bands(spark, T.TESTBED_PRICE_BANDS), catalog=Q.catalog(spark),
-                    sku_group=("product_model_id", "country_code", "payment_type", "crawl_date"))
-    return P.run_pipeline(T.staging(spark, sf_dir), ctx)["summary"]
-
-
 # ---------------------------------------------------------------------------
 # Rollups, reports, dimension builds, promotions, detector union
 # ---------------------------------------------------------------------------
@@ -1678,6 +1668,31 @@ def q_anom_all(spark, sf_dir):
     return _all_anoms(spark, sf_dir).select(*A.ANOMALY_COLS)
 
 
+# offers as the pipeline sees them: its own gated facts at USD
+PIPELINE_OFFERS_SQL = ",\n".join(c.strip() for c in (
+    T.OFFERS_SQL.replace("offers AS (", "raw_offers AS (", 1), T.STAGING_SQL.replace("FROM offers)", "FROM raw_offers)"),
+    T.COUNTRIES_SQL, T.PARTNERS_SQL, STAGED_SQL, RATES_SQL, FACTS_SQL.format(gate="dq_status = 'PRE_FACT_PASSED' AND"))) + """,
+offers AS (
+  SELECT * REPLACE (CAST(round(effective_total_local * COALESCE(fx_rate, CAST(1 AS DECIMAL(16,8))), 2) AS DECIMAL(12,2)) AS effective_total_usd)
+  FROM (SELECT *, CAST(NULL AS DECIMAL(12,2)) AS effective_total_usd FROM facts)
+)"""
+PIPELINE_ANOMS_SQL = ANOM_ALL_SQL.replace(T.OFFERS_SQL.strip(), PIPELINE_OFFERS_SQL)
+assert PIPELINE_ANOMS_SQL != ANOM_ALL_SQL
+
+
+@query("pipeline_summary", SUMMARY_SQL + ",\nfound AS (SELECT DISTINCT offer_id FROM (" + PIPELINE_ANOMS_SQL + """)),
+per AS (SELECT s.source_batch_id, count(*) AS k FROM found JOIN staging s USING (offer_id) GROUP BY 1)
+SELECT s.* REPLACE (COALESCE(p.k, 0) AS anomalies_detected) FROM summary s LEFT JOIN per p USING (source_batch_id)
+""")
+def q_pipeline_summary(spark, sf_dir):
+    """PIPE-1: full Path A over the testbed staging (all batches), summary rows."""
+    ctx = P.Context(countries=T.countries(spark, sf_dir), partners=T.partners(spark, sf_dir),
+                    rates=testbed_rates(spark, sf_dir),
+                    bands=Q.price_bands(spark, T.TESTBED_PRICE_BANDS), catalog=Q.catalog(spark),
+                    sku_group=tuple(VARIANCE_GROUP), run_id="run-1", run_ts="2024-01-01 00:00:00")
+    return P.run_pipeline(T.staging(spark, sf_dir), ctx)["summary"]
+
+
 @query("anom_counts", """
 SELECT anomaly_type, count(*) FILTER (WHERE severity = 'HIGH') AS n_high, count(*) FILTER (WHERE severity = 'MEDIUM') AS n_medium,
        count(*) FILTER (WHERE severity = 'LOW') AS n_low
@@ -2112,23 +2127,23 @@ def q_stream_feeds(spark, sf_dir):
                                          (cents_sum / 100).cast("double").alias("total_value"))
 
 
-UNGATED_SEM_SQL = GATED_FACTS_SQL.replace("dq_status = 'PRE_FACT_PASSED' AND", "")
+UNGATED_SEM_SQL = ALL_OUTPUT_SQL.replace("dq_status = 'PRE_FACT_PASSED' AND", "")
 
 
-@query("path_b_rules", UNGATED_SEM_SQL + ",\n" + _long_sql(SEM_FLAGS, "sem", "s") + """
-SELECT l.rule_id, CAST(sum(l.total_records) AS BIGINT) AS total_records, CAST(sum(l.failed_records) AS BIGINT) AS failed_records
-FROM long_s l GROUP BY 1
+@query("path_b_rules", UNGATED_SEM_SQL + """
+SELECT target_stage, rule_id, CAST(sum(total_records) AS BIGINT) AS total_records, CAST(sum(failed_records) AS BIGINT) AS failed_records
+FROM dq_output GROUP BY 1, 2
 """)
 def q_path_b_rules(spark, sf_dir):
-    """PIPE-2: Path B — ungated load, then the SEMANTIC rules over all loaded facts."""
+    """PIPE-2: Path B — ungated load, then the rules of all three stages."""
     ctx = P.Context(countries=T.countries(spark, sf_dir), partners=T.partners(spark, sf_dir),
                     rates=testbed_rates(spark, sf_dir), bands=Q.price_bands(spark, T.TESTBED_PRICE_BANDS),
                     catalog=Q.catalog(spark))
     stg = staged(spark, sf_dir)
     fact = P.load_batch(stg, ctx)["facts"]
-    out = P.check_batch(stg, fact, ctx)["dq_output"].filter(F.col("target_stage") == "SEMANTIC")
-    return out.groupBy("rule_id").agg(F.sum("total_records").cast("bigint").alias("total_records"),
-                                      F.sum("failed_records").cast("bigint").alias("failed_records"))
+    out = P.check_batch(stg.drop("dq_status"), fact, ctx)["dq_output"]
+    return out.groupBy("target_stage", "rule_id").agg(F.sum("total_records").cast("bigint").alias("total_records"),
+                                                      F.sum("failed_records").cast("bigint").alias("failed_records"))
 
 
 REPLAY_BATCH = 1999
