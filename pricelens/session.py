@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark import SparkConf
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 #: What the library wants where nobody has said otherwise.
@@ -28,21 +27,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
     Settings that are configured already (submit arguments, defaults file) stay
     as they are; the master, the memory and the number of shuffle partitions
-    are set only when the caller names them, as ``bench.py`` and tests do. Only
-    a bare Python process without any master falls back to ``local[*]``.
+    are set only when the caller names them, as ``bench.py`` and tests do.
     """
+    if SparkContext._jvm is None:  # what was submitted is known once the JVM runs
+        start = SparkConf(loadDefaults=False)
+        if driver_memory:
+            start.set("spark.driver.memory", driver_memory)
+        SparkContext._ensure_initialized(conf=start)
     have = SparkConf()
     builder = SparkSession.builder
-    if not have.contains("spark.app.name"):
+    if not have.contains("spark.app.name") or have.get("spark.app.name") == "pyspark-shell":
         builder = builder.appName(app)
     if master:
         builder = builder.master(master)
-    elif not have.contains("spark.master") and not os.environ.get("SPARK_REMOTE"):
-        builder = builder.master("local[*]")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    if driver_memory:
-        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in WANTED.items():
         if not have.contains(k):
             builder = builder.config(k, v)
