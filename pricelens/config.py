@@ -203,6 +203,9 @@ COLOR_CODES = {
 CATEGORY_LIFECYCLE = [
     ("IPHONE", 12, "MEDIUM"),
     ("IPAD", 18, "LOW"),
+    ("MAC", 24, "LOW"),
+    ("AIRPODS", 24, "HIGH"),
+    ("WATCH", 12, "MEDIUM"),
 ]
 
 # Feed column names.

@@ -150,8 +150,8 @@ def market_middles(current_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per market (model, country, payment): partner count n and the values at
     ranks lo..lo+2 where lo = (n-2) div 2 + 1; plus each partner's rank.
 
-    Those three values give the median of the market with any one partner
-    left out, and of the whole market.
+    Those three values, as an array, give the median of the market with any one
+    partner left out, and of the whole market.
     """
     mk = ["product_model_id", "country_code", "payment_type"]
     w = Window.partitionBy(*mk).orderBy("effective_total_usd", "partner_id")
@@ -163,9 +163,7 @@ def market_middles(current_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     r = r.withColumn("lo", lo)
     mid = r.groupBy(*mk).agg(
         F.first("n").alias("n"),
-        F.max(F.when(F.col("rk") == F.col("lo"), F.col("effective_total_usd"))).alias("v0"),
-        F.max(F.when(F.col("rk") == F.col("lo") + 1, F.col("effective_total_usd"))).alias("v1"),
-        F.max(F.when(F.col("rk") == F.col("lo") + 2, F.col("effective_total_usd"))).alias("v2"))
+        F.array(*[F.max(F.when(F.col("rk") == F.col("lo") + i, F.col("effective_total_usd"))) for i in range(3)]).alias("v"))
     ranks = r.select(*mk, "partner_id", "rk")
     return mid, ranks
 
@@ -187,8 +185,7 @@ def detect_cross_partner(offers: DataFrame, history: DataFrame, profile: str = "
 
     def at(k):
         shifted = F.when(rk.isNotNull() & (k >= rk), k + 1).otherwise(k)
-        return (F.when(shifted == lo, F.col("v0")).when(shifted == lo + 1, F.col("v1"))
-                 .when(shifted == lo + 2, F.col("v2")))
+        return F.get("v", (shifted - lo).cast("int"))
 
     pair_c = cents(at(k1)) + cents(at(k2))          # 2 × median, in cents
     j = j.withColumn("_pair", pair_c).withColumn("peer_count", m.cast("bigint"))
@@ -198,7 +195,7 @@ def detect_cross_partner(offers: DataFrame, history: DataFrame, profile: str = "
     out = _finish(j, "CROSS_PARTNER", p, profile)
     return (out.withColumn("peer_median", (F.col("_pair").cast("decimal(20,0)") * F.lit(Decimal("0.005")))
                            .cast("decimal(13,3)"))
-               .drop("_pair", "n", "v0", "v1", "v2", "rk"))
+               .drop("_pair", "n", "v", "rk"))
 
 
 # ---------------------------------------------------------------------------
@@ -309,9 +306,9 @@ def explain_anomalies(anoms: DataFrame) -> DataFrame:
     def col(c):
         return F.col(c) if c in have else F.lit(None)
 
-    pct = F.round(F.col("deviation") * 100, 1).cast("string")
+    pct = F.round(col("deviation") * 100, 1).cast("string")
     t = F.col("anomaly_type")
-    money = lambda c: F.format_number(col(c), 2)
+    money = lambda c: F.format_number(F.round(col(c), 2), 2)
     text = (F.when(t == "STATISTICAL", F.concat(pct, F.lit("% deviation from 30-day mean ($"),
                                                 money("baseline_mean"), F.lit(")")))
              .when(t == "TEMPORAL", F.concat(pct, F.lit("% jump from last valid price ($"), money("ref_usd"),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens import config
+from pricelens.session import cut_lineage
 
 
 def resolve_thresholds(cfg: DataFrame, keys: DataFrame) -> DataFrame:
@@ -40,7 +41,7 @@ def lifecycle_status(models: DataFrame, categories: DataFrame, as_of) -> DataFra
     """ANO-14: NEW (launched within 14 days), EOL (end date passed), LEGACY
     (launch + lifecycle − 3 months passed), else STABLE; NULL launch → STABLE."""
     a = F.lit(as_of).cast("date")
-    m = models.join(F.broadcast(categories.select("category_code", "lifecycle_months")), "category_code", "left")
+    m = models.join(categories.select("category_code", "lifecycle_months"), "category_code", "left")
     launch = F.col("launch_date")
     status = (F.when(launch.isNull(), "STABLE")
                .when(F.datediff(a, launch) < 14, "NEW")
@@ -107,7 +108,7 @@ def route_alerts(anoms: DataFrame, policies: DataFrame) -> DataFrame:
     # one policy row per severity level it accepts (at most 3), then equi-join
     p = p.withColumn("_lvl", F.explode(F.sequence(F.col("_min"), F.lit(3))))
     a = anoms.withColumn("_lvl", rank[F.col("severity")])
-    j = a.join(F.broadcast(p.select("_lvl", "policy_id", F.col("anomaly_type").alias("_t"),
+    j = a.join((p.select("_lvl", "policy_id", F.col("anomaly_type").alias("_t"),
                                     F.col("country_code").alias("_c"), F.col("category_code").alias("_g"),
                                     "channel", "recipient", "quiet_start", "quiet_end")), "_lvl")
     j = j.filter((F.col("_t").isNull() | (F.col("_t") == F.col("anomaly_type")))
@@ -122,11 +123,29 @@ def route_alerts(anoms: DataFrame, policies: DataFrame) -> DataFrame:
 
 
 def _pcts(df: DataFrame, col: str, ps=(0.5, 0.9, 0.99)) -> DataFrame:
-    """Exact percentiles from (value, count) pairs: the final single-task
-    aggregate holds distinct values, not rows."""
+    """Exact percentiles by rank: distinct values with their counts are range-
+    partitioned, the partitions' totals (a row each) give the rank at which each
+    starts, and only the values at the wanted ranks reach the final aggregate."""
     v = df.groupBy(col).agg(F.count(F.lit(1)).alias("_k"))
-    return v.agg(*[F.round(F.percentile(F.col(col), F.lit(p), F.col("_k")), 6).alias(f"p{int(round(p * 100)):02d}")
-                   for p in ps], F.sum("_k").cast("bigint").alias("n"))
+    # written once, so that the partition numbers are the same wherever they are read
+    v = cut_lineage(v.repartitionByRange(col).withColumn("_part", F.spark_partition_id()), name="ranges")
+    per = v.groupBy("_part").agg(F.sum("_k").alias("_of"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("_part", F.coalesce(F.sum("_of").over(before), F.lit(0)).alias("_before"), F.sum("_of").over(Window.partitionBy()).alias("_n"))
+    r = v.join(per, "_part").withColumn("_end", F.col("_before") + F.sum("_k").over(Window.partitionBy("_part").orderBy(col)))
+
+    def at(pos):
+        return F.max(F.when((F.col("_end") - F.col("_k") <= pos) & (pos < F.col("_end")), F.col(col)))
+
+    places = [F.lit(float(p)) * (F.col("_n") - 1) for p in ps]
+    got = r.agg(*[at(F.floor(x)).alias(f"lo{i}") for i, x in enumerate(places)], *[at(F.ceil(x)).alias(f"hi{i}") for i, x in enumerate(places)],
+                F.max("_n").alias("_n"))
+    out = []
+    for i, p in enumerate(ps):
+        x = F.lit(float(p)) * (F.col("_n") - 1)
+        between = (F.ceil(x) - x) * F.col(f"lo{i}") + (x - F.floor(x)) * F.col(f"hi{i}")
+        out.append(F.round(F.when(F.ceil(x) == F.floor(x), F.col(f"lo{i}")).otherwise(between), 6).alias(f"p{int(round(p * 100)):02d}"))
+    return got.select(*out, F.coalesce("_n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def calibrate_cross_partner(history: DataFrame) -> DataFrame:

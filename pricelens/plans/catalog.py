@@ -1371,7 +1371,7 @@ def q_thresholds(spark, sf_dir):
 
 
 # FIXED VALUES (testbed) — lifecycle months per testbed category
-TEST_LIFECYCLE = [("IPHONE", 12), ("IPAD", 18), ("MAC", 24), ("AIRPODS", 24), ("WATCH", 12)]
+TEST_LIFECYCLE = [(code, months) for code, months, _ in config.CATEGORY_LIFECYCLE]
 LIFE_AS_OF = "1996-01-10"
 
 
@@ -1732,7 +1732,8 @@ LIMIT 20
 """)
 def q_anom_top(spark, sf_dir):
     """ANO-18: the twenty most severe anomalies of the last 30 days (a top-n report)."""
-    a = _all_anoms(spark, sf_dir, "LOW")
+    from pricelens.session import cut_lineage
+    a = cut_lineage(_all_anoms(spark, sf_dir, "LOW"), name="anomalies")  # read for the newest crawl and for the cut
     return A.top_anomalies(a, n=20).select("offer_id", "anomaly_type", "severity", "signal_score")
 
 
@@ -1775,15 +1776,35 @@ def q_anom_upsert(spark, sf_dir):
     return up.select("offer_id", "anomaly_type", "severity", "signal_score", "status", "assignee", "detected_at")
 
 
+_LIVE_BARS = "'{\"profile\":\"live\",\"low\":0.1,\"medium\":0.15,\"high\":0.25}' AS threshold_snapshot"
+
+
 @query("anom_explained", """
-SELECT offer_id, CAST(round(p * 100, 1) AS VARCHAR) || '% jump from last valid price ($' || format('{:,.2f}', ref_usd)
-       || ' on ' || CAST(ref_date AS VARCHAR) || ')' AS explanation,
-       '{"profile":"live","low":0.1,"medium":0.15,"high":0.25}' AS threshold_snapshot
-FROM (""" + ORACLE["anom_temporal"].replace("ref_usd, ref_date\nFROM scored", "ref_usd, ref_date, p\nFROM scored") + ")")
+SELECT offer_id, anomaly_type, CAST(round(p * 100, 1) AS VARCHAR) || '% jump from last valid price ($' || format('{:,.2f}', ref_usd)
+       || ' on ' || CAST(ref_date AS VARCHAR) || ')' AS explanation, """ + _LIVE_BARS + """
+FROM (""" + ORACLE["anom_temporal"].replace("ref_usd, ref_date\nFROM scored", "ref_usd, ref_date, p\nFROM scored") + """)
+UNION ALL
+SELECT offer_id, anomaly_type, CAST(round(p * 100, 1) AS VARCHAR) || '% deviation from 30-day mean ($' || format('{:,.2f}', baseline_mean) || ')', """ + _LIVE_BARS + """
+FROM (""" + STAT_SQL.replace("AS sample_size\nFROM scored", "AS sample_size, p\nFROM scored") + """)
+UNION ALL
+SELECT offer_id, anomaly_type, CAST(round(p * 100, 1) AS VARCHAR) || '% off the ' || CAST(peer_count AS VARCHAR) || '-peer median ($'
+       || format('{:,.2f}', round(peer_median, 2)) || ')', """ + _LIVE_BARS + """
+FROM (""" + ORACLE["anom_cross_partner"].replace("AS peer_count\nFROM scored", "AS peer_count, p\nFROM scored") + """)
+UNION ALL
+SELECT offer_id, anomaly_type, CAST(round(z_score, 1) AS VARCHAR) || 'σ outlier within ' || CAST(group_size AS VARCHAR) || '-observation same-model group (mean $'
+       || format('{:,.2f}', group_mean) || ', σ $' || format('{:,.2f}', group_stddev) || ')',
+       '{"profile":"z","low":1.5,"medium":2.5,"high":4.0}'
+FROM (""" + VARIANCE_SQL + ")")
 def q_anom_explained(spark, sf_dir):
-    """ANO-9/10: explanation text and frozen thresholds of TEMPORAL anomalies."""
-    a = A.explain_anomalies(A.with_snapshots(_temporal(spark, sf_dir)))
-    return a.select("offer_id", "explanation", F.to_json("threshold_snapshot").alias("threshold_snapshot"))
+    """ANO-9/10: explanation text and frozen thresholds of all four signals."""
+    o = _offers_month(spark, sf_dir)
+    h = H.scd2_rebuild(o)
+    out = None
+    for found in (A.detect_temporal(o, h), A.detect_statistical(o, h), A.detect_cross_partner(o, h), A.detect_sku_variance(o, VARIANCE_GROUP)):
+        a = A.explain_anomalies(A.with_snapshots(found)).select(
+            "offer_id", "anomaly_type", "explanation", F.to_json("threshold_snapshot").alias("threshold_snapshot"))
+        out = a if out is None else out.unionByName(a)
+    return out
 
 
 @query("anom_series", "WITH s AS (" + STAT_SQL.replace(
@@ -2087,13 +2108,18 @@ def _offer_names(spark, sf_dir):
 @query("harmonise_batch", "WITH top1 AS (" + ORACLE["name_topk"].replace(f"WHERE rank <= {TOPK}", "WHERE rank <= 1")
        + "), o AS (" + T.with_sql(T.OFFERS_SQL) + """ SELECT o.offer_id, p.p_name || ' ' || CAST(p.p_size AS VARCHAR) || 'gb' AS match_text
         FROM offers o JOIN part p ON o.sku_id = p.p_partkey)
-SELECT o.offer_id, t.model_key, CAST(t.score AS DECIMAL(4,3)) AS harmonise_score, t.confidence AS harmonise_confidence
+SELECT o.offer_id, t.model_key, CASE WHEN m.registry_order % 7 <> 0 THEN 'M-' || t.model_key END AS product_model_id,
+       CAST(t.score AS DECIMAL(4,3)) AS harmonise_score, t.confidence AS harmonise_confidence
 FROM o LEFT JOIN top1 t ON o.match_text = t.name
+LEFT JOIN (WITH """ + _registry_sql() + """ SELECT model_key, registry_order FROM registry) m ON m.model_key = t.model_key
 """)
 def q_harmonise_batch(spark, sf_dir):
-    """HRM-10: every offer gets its top registry match (distinct names scored once, joined back)."""
-    h = HM.harmonise_batch(_offer_names(spark, sf_dir), _registry(spark, sf_dir), None, TEST_DICT, "levenshtein")
-    return h.select("offer_id", "model_key", "harmonise_score", "harmonise_confidence")
+    """HRM-10: every offer gets its top registry match (distinct names scored once, joined
+    back) and the id of that model, where the model dimension has it."""
+    reg = _registry(spark, sf_dir)
+    models = reg.filter(F.col("registry_order") % 7 != 0).select("model_key", F.concat(F.lit("M-"), "model_key").alias("product_model_id"))
+    h = HM.harmonise_batch(_offer_names(spark, sf_dir), reg, models, TEST_DICT, "levenshtein")
+    return h.select("offer_id", "model_key", "product_model_id", "harmonise_score", "harmonise_confidence")
 
 
 @query("asof_events", """
