@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -37,10 +38,12 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now: it does so when
     the driver collects its garbage, which a small driver heap may put off until
     a long job has ended."""
-    gc.collect()
     jvm = getattr(getattr(spark, "sparkContext", None), "_jvm", None)
-    if jvm is not None:
-        jvm.System.gc()
+    for _ in range(2):  # the second time what the first has let go of
+        gc.collect()
+        if jvm is not None:
+            jvm.System.gc()
+            time.sleep(0.2)
 
 
 def filesystem(uri: str):

@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 from . import _words as W
 from ._components import components
 from ._exchange import SCHEMA, aside, buckets_for, exchange, groups, packs
-from ._shared import settle
+from ._shared import release, settle
 
 _U = np.uint64
 #: Members of a failed star that are compared in one task.
 CELL = 1000
+#: Words of the fixed sketches that candidates are filtered by before their sets are compared.
+PARTS = 16
 _DOC_BITS = 12  # texts in a run at most 2**12; shingle hashes keep the other 52 bits
 _SHINGLE = _U((1 << 64 - _DOC_BITS) - 1)
 
@@ -117,10 +119,6 @@ def _star_batch(star: np.ndarray) -> pa.RecordBatch:
                                       names=["sig", "node", "pivot", "join"])
 
 
-def _meets(a, b, inter, num: int, den: int):
-    return inter * den >= (a + b - inter) * num
-
-
 def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int) -> DataFrame:
     """One row per row of ``docs``: _ll_key (hash of id and text), _ll_id,
     n_shingles and root (the class of linked sets; null for the empty set)."""
@@ -176,59 +174,63 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
                 yield _star_batch(star)
 
     stars = settle(exchange(narrow.select("_ll_text").mapInArrow(sign, SCHEMA), meet, "sig bigint, node bigint, pivot bigint, join int"), "sketch-stars")
+    release(docs.sparkSession)
+    pairs = settle(stars.select("node", "pivot").distinct(), "star-pairs")
 
-    # the sets of all candidates, one text for each
-    wanted = stars.select("node").unionByName(stars.select(F.col("pivot").alias("node"))).distinct()
+    # the sets of all candidates, from one text for each
+    wanted = pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct()
     texts = slim.join(wanted, "node").groupBy("node").agg(F.min("_ll_key").alias("_ll_key")).select("_ll_key").distinct()
+    one = F.row_number().over(Window.partitionBy("_ll_key").orderBy("_ll_key"))
+    texts = narrow.select("_ll_key", "_ll_text").join(texts, "_ll_key").withColumn("_ll_k", one).where("_ll_k = 1").select("_ll_text")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, _, at, s in shingle_sets(b.column(0), n):
-                yield pa.RecordBatch.from_arrays([pa.array(nodes_of(at, s).view(np.int64)), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(s.view(np.int64)))], names=["node", "shingles"])
-
-    sets = narrow.select("_ll_key", "_ll_text").join(texts, "_ll_key").select("_ll_text").mapInArrow(load, "node bigint, shingles array<bigint>")
-    sets = settle(sets.groupBy("node").agg(F.any_value("shingles").alias("shingles")), "candidate-sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("node").alias("node"), F.col("shingles").alias("_ll_a"))
-        b = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("_ll_b"))
-        both = pairs.join(a, "node").join(b, "pivot")
-        inter = F.size(F.array_intersect("_ll_a", "_ll_b"))
-        return both.where(_meets(F.size("_ll_a"), F.size("_ll_b"), inter, num, den)).select("node", "pivot")
-
-    links = settle(verified(stars.select("node", "pivot").distinct()), "links")
+                _, words = sketch(at, s, np.full(len(at) - 1, PARTS))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes_of(at, s).view(np.int64)), pa.array(np.diff(at)), _lists(words.view(np.int64), np.arange(len(at)) * PARTS), _lists(s.view(np.int64), at)],
+                                                 names=["node", "n", "sketch", "shingles"])
+
+    sets = settle(texts.mapInArrow(load, "node bigint, n bigint, sketch array<bigint>, shingles array<bigint>"), "candidate-sets")
+    release(docs.sparkSession)
+    links = settle(_verified(_near(pairs, sets, num, den), sets, num, den), "links")
+    release(docs.sparkSession)
     roots = settle(components(links, "node", "pivot"), "roots")
 
     # stars whose members did not all come together
-    def root(of: str, out: str) -> tuple[DataFrame, F.Column]:
-        return roots.select(F.col("node").alias(of), F.col("root").alias(out)), F.coalesce(out, of)
-
-    (rn, root_n), (rp, root_p) = root("node", "_ll_rn"), root("pivot", "_ll_rp")
-    told = stars.join(rn, "node", "left").join(rp, "pivot", "left").select("sig", "join", "node", "pivot", root_n.alias("rn"), root_p.alias("rp"))
-    members = told.select("sig", "join", "node", F.col("rn").alias("root")).unionByName(told.select("sig", "join", F.col("pivot").alias("node"), F.col("rp").alias("root"))).distinct()
-    failed = (members.groupBy("sig").agg(F.count(F.lit(1)).alias("_ll_m"), F.min("root").alias("_ll_lo"), F.max("root").alias("_ll_hi"))
-              .where("_ll_m > 2 and _ll_lo <> _ll_hi").withColumn("_ll_cells", F.ceil(F.col("_ll_m") / CELL).cast("int")).select("sig", "_ll_cells"))
-    cell = F.pmod(F.xxhash64("node"), F.col("_ll_cells")).cast("int")
-    again = (members.join(failed, "sig").withColumn("_ll_c", cell)
-             .withColumn("_ll_o", F.explode(F.sequence(F.lit(0), F.col("_ll_cells") - 1)))
-             .select("sig", F.least("_ll_c", "_ll_o").alias("x"), F.greatest("_ll_c", "_ll_o").alias("y"), "join", "node", "root", (F.col("_ll_c") == F.least("_ll_c", "_ll_o")).alias("left")))
+    apart = pairs.join(roots.select("node", F.col("root").alias("rn")), "node", "left").join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("rp")), "pivot", "left")
+    apart = apart.where(F.coalesce("rn", "node") != F.coalesce("rp", "pivot")).select("node", "pivot")
+    failed = stars.join(apart, ["node", "pivot"], "left_semi").select("sig").distinct()
+    failed = settle(stars.join(failed, "sig"), "failed-stars")
+    members = failed.select("sig", "node").unionByName(failed.select("sig", F.col("pivot").alias("node"))).distinct()
+    large = members.groupBy("sig").agg(F.count(F.lit(1)).alias("_ll_m")).where("_ll_m > 2")  # two members have been compared
+    large = large.select("sig", F.ceil(F.col("_ll_m") / CELL).cast("int").alias("_ll_cells"))
+    members = members.join(large, "sig").join(roots, "node", "left").join(sets.select("node", "n", "sketch"), "node").withColumn("root", F.coalesce("root", "node"))
+    mine, other = F.pmod(F.xxhash64("node"), F.col("_ll_cells")).cast("int"), F.col("_ll_o")
+    again = (members.withColumn("_ll_c", mine).withColumn("_ll_o", F.explode(F.sequence(F.lit(0), F.col("_ll_cells") - 1)))
+             .select("sig", F.least("_ll_c", other).alias("x"), F.greatest("_ll_c", other).alias("y"), "node", "root", "n", (F.col("_ll_c") <= other).alias("left"), "sketch"))
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, last, held = Bands(num, den), None, []
+        last, held = None, []
         for b in batches:
-            for r in b.to_pylist():
-                key = (r["sig"], r["x"], r["y"])
-                if key != last:
-                    yield from _across(held, bands)
-                    held, last = [], key
-                held.append(r)
-        yield from _across(held, bands)
-
-    dealt = again.join(sets, "node").repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
+            keys = list(zip(*(b.column(i).to_pylist() for i in range(3))))
+            at = 0
+            while at < len(keys):
+                end = at
+                while end < len(keys) and keys[end] == keys[at]:
+                    end += 1
+                if keys[at] != last:
+                    yield from _across(last, held, num, den)
+                    last, held = keys[at], []
+                held.append(b.slice(at, end - at))
+                at = end
+        yield from _across(last, held, num, den)
+
+    dealt = again.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
     more = settle(dealt.mapInArrow(across, "node bigint, pivot bigint").distinct(), "second-pairs")
-    every = links.unionByName(verified(more))
+    release(docs.sparkSession)
+    every = settle(links.unionByName(_verified(more, sets, num, den)), "all-links")
+    release(docs.sparkSession)
     roots = settle(components(every, "node", "pivot"), "roots")
-
     return slim.join(roots, "node", "left").select("_ll_key", "_ll_id", "n_shingles", F.when(F.col("node") != 0, F.coalesce("root", "node")).alias("root"))
 
 
@@ -264,25 +266,46 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     return chosen.withColumn("_ll_k", again).where("_ll_k = 1 or not _ll_one").select(*docs.columns)
 
 
-def _across(held: list[dict], bands: Bands) -> Iterator[pa.RecordBatch]:
-    """Pairs of members in different components whose sketches are near enough."""
-    if len(held) < 2 or len({r["root"] for r in held}) < 2:
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+
+
+def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that sizes and sketches of ``PARTS`` words do not rule out."""
+    a = sets.select("node", F.col("n").alias("_ll_na"), F.col("sketch").alias("_ll_sa"))
+    b = sets.select(F.col("node").alias("pivot"), F.col("n").alias("_ll_nb"), F.col("sketch").alias("_ll_sb"))
+    na, nb = F.col("_ll_na"), F.col("_ll_nb")
+    apart = F.aggregate(F.zip_with("_ll_sa", "_ll_sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    return (pairs.join(a, "node").join(b, "pivot")
+            .where((na * den >= nb * num) & (nb * den >= na * num) & (apart * (den + num) <= (na + nb) * (den - num))).select("node", "pivot"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sets meet the threshold."""
+    a = sets.select("node", F.col("shingles").alias("_ll_a"))
+    b = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("_ll_b"))
+    both = pairs.join(a, "node").join(b, "pivot")
+    inter = F.size(F.array_intersect("_ll_a", "_ll_b"))
+    return both.where(inter * den >= (F.size("_ll_a") + F.size("_ll_b") - inter) * num).select("node", "pivot")
+
+
+def _across(key: tuple | None, held: list[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of members in different components whose sizes and sketches are near enough."""
+    if not held:
+        return
+    table = pa.Table.from_batches(held).combine_chunks()
+    node, root, size, left = (table[c].to_numpy() for c in ("node", "root", "n", "left"))
+    if len(node) < 2 or (root == root[0]).all():
         return
-    sets = [np.array(r["shingles"], np.int64).view(np.uint64) for r in held]
-    join = np.array([held[0]["join"]])
-    far = int(bands.difference(join)[0])
-    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    _, words = sketch(at, np.concatenate(sets), np.full(len(sets), far + 1))
-    words = words.reshape(len(sets), far + 1)
-    node, root, left = (np.array([r[k] for r in held]) for k in ("node", "root", "left"))
-    same = held[0]["x"] == held[0]["y"]
-    for i in range(len(held)):
+    words = table["sketch"].chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(node), PARTS)
+    same = key[1] == key[2]
+    for i in range(len(node)):
         if not same and not left[i]:
             continue
-        other = (root != root[i]) & ((node > node[i]) if same else ~left)
-        at = np.flatnonzero(other)
+        at = np.flatnonzero((root != root[i]) & ((node > node[i]) if same else ~left))
+        at = at[(size[at] * den >= size[i] * num) & (size[i] * den >= size[at] * num)]
         if len(at):
-            at = at[np.bitwise_count(words[at] ^ words[i]).sum(1) <= far]
+            apart = np.bitwise_count(words[at] ^ words[i]).sum(1, dtype=np.int64)
+            at = at[apart * (den + num) <= (size[at] + size[i]) * (den - num)]
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), node[i])), pa.array(node[at])], names=["node", "pivot"])
-
