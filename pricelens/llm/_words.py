@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 
 #: ASCII white space parts words: U+0020 and U+0009 to U+000D.
 BLANK = np.zeros(256, bool)

@@ -23,6 +23,7 @@ passage that a third of the documents share costs one suffix per batch.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,8 @@ _REF = np.dtype([("doc", "<u2"), ("p", "<u4"), ("lcp", "u1")])
 _TOLD = np.dtype([("key", "<i8"), ("a", "<u4"), ("n", "<u4")])
 _SEEN = np.dtype([("key", "<i8"), ("h", "<u4")])
 _ASIDE = 1 << 62
+#: Documents whose suffixes are sorted into one run (some 5 to 10 MB of text).
+BATCH_ROWS = 2048
 #: Stands for a null id: larger than any other.
 NO_ID = np.iinfo(np.int64).max
 
@@ -72,7 +75,7 @@ def shared_anchors(keyed: DataFrame, n: int, k: int, buckets: int) -> DataFrame:
     another document too (a few more, where fingerprints collide)."""
 
     def fingers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches):
+        for b in small_batches(batches, BATCH_ROWS):
             keys, hashes, docs = b.column(0).to_numpy(), [], []
             for first, _, data, offsets in W.runs(b.column(2)):
                 gram = byte_grams(data, k)
@@ -136,14 +139,22 @@ def front_code(sorted_rows: np.ndarray) -> tuple[np.ndarray, bytes]:
     return shared, sorted_rows[np.arange(width) >= shared[:, None]].tobytes()
 
 
-def front_decode(shared: np.ndarray, rests: bytes, width: int) -> list[bytes]:
-    out, last, at = [], b"", 0
-    for s in shared.tolist():
-        if s < width:
-            last = last[:s] + rests[at:at + width - s]
-            at += width - s
-        out.append(last)
-    return out
+class FrontCoded:
+    """A front-coded run that is read once from its start; ``last`` is the string
+    read last, and only that one is held."""
+
+    def __init__(self, shared: list[int], rests: bytes, width: int):
+        self.shared, self.rests, self.width, self.last, self.at = shared, rests, width, b"", 0
+
+    def __len__(self) -> int:
+        return len(self.shared)
+
+    def __getitem__(self, i: int) -> bytes:
+        rest = self.width - self.shared[i]
+        if rest:
+            self.last = self.last[:self.width - rest] + self.rests[self.at:self.at + rest]
+            self.at += rest
+        return self.last
 
 
 def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int, int, int]]:
@@ -244,12 +255,13 @@ def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_
     keyed = docs.select(F.xxhash64(id_col, text_col).alias("_ll_key"), F.col(id_col).cast("bigint").alias("_ll_id"), F.col(text_col).alias("_ll_text"))
     size = keyed.agg(F.sum(F.octet_length("_ll_text"))).first()[0] or 0
     buckets = max(32, buckets_for(size * 2 / (w + 1)) // 8)
+    parts = buckets * 4  # of the key space: a merge holds the strings of one part
     shared = shared_anchors(keyed, n, k, buckets)
     release(docs.sparkSession)
 
     def sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=1)
-        for b in small_batches(batches):
+        for b in small_batches(batches, BATCH_ROWS):
             table, found = np.zeros(len(b), _DOC), []
             table["key"], table["id"] = b.column(0).to_numpy(), b.column(1).fill_null(NO_ID).to_numpy()
             wanted = list(of_rows(b.column(3), np.dtype("<u4")))
@@ -264,7 +276,7 @@ def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_
             if not found:
                 continue
             rows, gram, doc, p = (np.concatenate(x) for x in zip(*found))
-            bucket = gram >> _U(64 - buckets.bit_length() + 1)
+            bucket = gram >> _U(64 - parts.bit_length() + 1)
             order = np.argsort(np.ascontiguousarray(rows).view(f"S{width}").ravel(), kind="stable")
             order = order[np.argsort(bucket[order], kind="stable")]
             rows, bucket, doc, p = rows[order], bucket[order], doc[order], p[order]
@@ -298,12 +310,18 @@ def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_
             table = np.frombuffer(pack, _DOC, docs_n, 8)
             ref = np.frombuffer(pack, _REF, rows_n, 8 + docs_n * _DOC.itemsize)
             rests = coder.decompress(pack[8 + docs_n * _DOC.itemsize + rows_n * _REF.itemsize:], max_output_size=rows_n * width)
-            runs.append((front_decode(ref["lcp"], rests, width), ref["lcp"].tolist()))
+            shared = ref["lcp"].tolist()
+            runs.append((FrontCoded(shared, rests, width), shared))
             tables.append(table[ref["doc"]])
             refs.append(ref["p"])
         base = np.concatenate([[0], np.cumsum([len(r) for r in refs])])
-        merged = np.fromiter((x for run, at, lcp in merge_runs(runs) for x in (base[run] + at, lcp)), np.int64, 2 * int(base[-1])).reshape(-1, 2)
-        order, lcp = merged[:, 0], merged[:, 1]
+        starts, places, prefixes, strings = base.tolist(), array("q"), bytearray(), []
+        for run, at, lcp in merge_runs(runs):
+            places.append(starts[run] + at)
+            prefixes.append(lcp)
+            if lcp < width:
+                strings.append(runs[run][0].last)
+        order, lcp = np.frombuffer(places, np.int64), np.frombuffer(prefixes, np.uint8)
         who, p = np.concatenate(tables)[order], np.concatenate(refs)[order].astype(np.int64)
         new = lcp < width
         new[0] = True
@@ -312,8 +330,8 @@ def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_
         opens = lcp < k
         opens[0] = True
         group = (np.cumsum(opens) - 1)[first]  # of each distinct block
-        flat = [s for r, _ in runs for s in r]
-        distinct = np.frombuffer(b"".join([flat[i] for i in order[first].tolist()]), np.uint8).reshape(-1, width)
+        distinct = np.frombuffer(b"".join(strings), np.uint8).reshape(-1, width)
+        del strings, runs
         windows, left = distinct[:, -2].astype(np.int64), distinct[:, -1].astype(np.int64)
         whole = who["id"] > least[block]
         out = [(who["key"][whole], (p - left[block])[whole], windows[block][whole])]

@@ -60,10 +60,11 @@ def test_merge_of_front_coded_runs():
         for run in runs:
             rows = np.frombuffer(b"".join(run), np.uint8).reshape(-1, width)
             shared, rests = suffix_dedup.front_code(rows)
-            assert suffix_dedup.front_decode(shared, rests, width) == run
-            coded.append((run, shared.tolist()))
-        kept = [c for c in coded if c[0]]
-        out = [(kept[i][0][at], lcp) for i, at, lcp in suffix_dedup.merge_runs(coded)]
+            again = suffix_dedup.FrontCoded(shared.tolist(), rests, width)
+            assert [again[i] for i in range(len(again))] == run
+            if run:
+                coded.append((suffix_dedup.FrontCoded(shared.tolist(), rests, width), shared.tolist()))
+        out = [(coded[i][0].last, lcp) for i, _, lcp in suffix_dedup.merge_runs(coded)]
         assert [s for s, _ in out] == sorted(s for run in runs for s in run)
         for (a, _), (b, lcp) in zip(out, out[1:]):
             assert lcp == next((i for i in range(width) if a[i] != b[i]), width)
