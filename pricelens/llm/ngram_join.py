@@ -1,12 +1,15 @@
 """N-gram Jaccard join by parity sketches.
 
-A text is the set of its hashed word shingles. A sketch has one 64-bit word per
-part: shingles are dealt to the parts by hash, and each flips one bit of its
-part's word, so the Hamming distance of two sketches never exceeds the sets'
-symmetric difference. Sets that meet the threshold differ in at most D shingles
-(D from the sizes of their band), so sketches of D + 1 parts agree in one part
-at least. Texts are joined on (band, part, word); candidates are verified on the
-sets themselves.
+A text is the set of its hashed word shingles. Shingles are dealt to the parts of
+a sketch by hash, and each flips one bit of its part, so the Hamming distance of
+two sketches never exceeds the sets' symmetric difference. Sets that meet the
+threshold differ in at most D shingles (D from the sizes of their band), so of
+more than D parts one is untouched at least and agrees. A set with more than D
+parts of two shingles or more joins on those alone, as one of them is untouched;
+other sets join on all of their parts. (It is enough that one of two sets is of
+the first kind, since equal parts are equally full.) This keeps empty parts, which
+agree by chance, out of the join. Texts are joined on (band, part, XOR-hash of the
+part); candidates are verified on the sets themselves.
 
 Equal sets are one node. Within a batch, and then within a bucket, the nodes of
 one sketch word are linked to the smallest of them only (a star). Stars whose
@@ -87,17 +90,32 @@ class Bands:
 
 
 def sketch(offsets: np.ndarray, shingles: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first word of each set, words): parity sketches of ``parts`` words each."""
+    """(first word of each set, words): parity sketches of ``parts`` words of 64 bits."""
     first = np.concatenate([[0], np.cumsum(parts)]).astype(np.int64)
     owner = np.repeat(np.arange(len(parts)), np.diff(offsets))
     part = ((shingles >> _U(20)) * parts[owner].astype(np.uint64)) >> _U(32)
-    slot = (first[owner] + part.astype(np.int64)) * 64 + (shingles & _U(63)).astype(np.int64)
-    odd = (np.bincount(slot, minlength=first[-1] * 64) & 1).astype(np.uint8)
+    word = first[owner] + part.astype(np.int64)
+    odd = (np.bincount(word * 64 + (shingles & _U(63)).astype(np.int64), minlength=first[-1] * 64) & 1).astype(np.uint8)
     return first, np.packbits(odd, bitorder="little").view("<u8")
 
 
-_SIGNED = np.dtype([("sig", "<u8"), ("node", "<u8"), ("join", "<i4")])
-_STAR = np.dtype([("sig", "<u8"), ("node", "<u8"), ("pivot", "<u8"), ("join", "<i4")])
+def part_words(offsets: np.ndarray, shingles: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first part of each set, words, shingles dealt to each part) of sketches
+    with 2**20 bits a part, each part given by its XOR-hash: the exclusive or of a
+    fixed random word for each of its odd bits. (Parts of 64 bits with a few
+    shingles each would agree by chance.)"""
+    first = np.concatenate([[0], np.cumsum(parts)]).astype(np.int64)
+    owner = np.repeat(np.arange(len(parts)), np.diff(offsets))
+    part = first[owner] + (((shingles >> _U(20)) * parts[owner].astype(np.uint64)) >> _U(32)).astype(np.int64)
+    at, _ = groups(part)  # parts do not decrease, as each set's shingles are sorted
+    words = np.zeros(first[-1], np.uint64)
+    if len(part):
+        words[part[at]] = np.bitwise_xor.reduceat(W.mix64(shingles & _U((1 << 20) - 1)), at)
+    return first, words, np.bincount(part, minlength=first[-1])
+
+
+_SIGNED = np.dtype([("sig", "<u8"), ("node", "<u8")])
+_STAR = np.dtype([("sig", "<u8"), ("node", "<u8"), ("pivot", "<u8")])
 
 
 def _stars(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,15 +126,14 @@ def _stars(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     pivot = rec["node"][first][group]
     other = rec["node"] != pivot
     star = np.zeros(int(other.sum()), _STAR)
-    for f in ("sig", "node", "join"):
+    for f in ("sig", "node"):
         star[f] = rec[f][other]
     star["pivot"] = pivot[other]
     return star, rec[first]
 
 
 def _star_batch(star: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*[pa.array(star[f].astype(np.uint64).view(np.int64)) for f in ("sig", "node", "pivot")], pa.array(star["join"].astype(np.int32))],
-                                      names=["sig", "node", "pivot", "join"])
+    return pa.RecordBatch.from_arrays([pa.array(star[f].astype(np.uint64).view(np.int64)) for f in ("sig", "node", "pivot")], names=["sig", "node", "pivot"])
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int) -> DataFrame:
@@ -153,12 +170,15 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
                 mine, where = shingles[np.repeat(own, size)], np.concatenate([[0], np.cumsum(size[fresh])])
                 for more in (0, 1):
                     join = bands.of(size[fresh]) + more
-                    parts = bands.difference(join) + 1
-                    first, words = sketch(where, mine, parts)
+                    far = bands.difference(join)
+                    parts = (far + 1) * 6 // 5 + 1
+                    first, words, dealt = part_words(where, mine, parts)
                     owner = np.repeat(np.arange(len(fresh)), parts)
-                    rec = np.zeros(len(words), _SIGNED)
                     place = W.mix64(join[owner].astype(np.uint64) << _U(32) | (np.arange(len(words)) - first[owner]).astype(np.uint64))
-                    rec["sig"], rec["node"], rec["join"] = W.mix64(words ^ place), node[fresh][owner], join[owner]
+                    rich = dealt > 1
+                    send = rich | (np.add.reduceat(rich, first[:-1], dtype=np.int64) <= far)[owner]
+                    rec = np.zeros(int(send.sum()), _SIGNED)
+                    rec["sig"], rec["node"] = W.mix64(words ^ place)[send], node[fresh][owner[send]]
                     out.append(rec)
             if out:
                 star, rest = _stars(np.concatenate(out))
@@ -173,7 +193,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
             if len(star):
                 yield _star_batch(star)
 
-    stars = settle(exchange(narrow.select("_ll_text").mapInArrow(sign, SCHEMA), meet, "sig bigint, node bigint, pivot bigint, join int"), "sketch-stars")
+    stars = settle(exchange(narrow.select("_ll_text").mapInArrow(sign, SCHEMA), meet, "sig bigint, node bigint, pivot bigint"), "sketch-stars")
     release(docs.sparkSession)
     pairs = settle(stars.select("node", "pivot").distinct(), "star-pairs")
 
@@ -181,7 +201,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
     wanted = pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct()
     texts = slim.join(wanted, "node").groupBy("node").agg(F.min("_ll_key").alias("_ll_key")).select("_ll_key").distinct()
     one = F.row_number().over(Window.partitionBy("_ll_key").orderBy("_ll_key"))
-    texts = narrow.select("_ll_key", "_ll_text").join(texts, "_ll_key").withColumn("_ll_k", one).where("_ll_k = 1").select("_ll_text")
+    # the candidates' ids grow with the corpus: the join is shuffled at every size
+    texts = narrow.select("_ll_key", "_ll_text").join(texts.hint("merge"), "_ll_key").withColumn("_ll_k", one).where("_ll_k = 1").select("_ll_text")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
