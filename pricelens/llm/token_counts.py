@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ._shared import filesystem, settle
 from ._tokens import encoder
-from .token_output import in_order
 
 BLOCK_TOKENS, FILE_BYTES = 1 << 20, 1 << 28
 #: Blocks that a task searches, roughly.
@@ -29,12 +28,13 @@ TASK_BLOCKS = 8
 
 def write_flat(docs: DataFrame, tokenizer: str, folder: str, separator: int, id_col: str = "doc_id", text_col: str = "text",
                file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write flat token files in ascending id order; returns one row per document
-    with its place: path, part, seq, ordinal (its number in the file) and doc_id.
+    """Write flat token files in the order of the table, without moving a text;
+    returns one row per document with its place: path, part, seq, ordinal (its
+    number in the file) and doc_id.
 
     Special tokens' strings are encoded as ordinary text, so the separator
-    occurs only at the ends. A null text is an empty document; null ids come
-    first; repeated rows are written each time; an empty table writes nothing.
+    occurs only at the ends. A null text is an empty document; null ids are
+    allowed; repeated rows are written each time; an empty table writes nothing.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -62,7 +62,8 @@ def write_flat(docs: DataFrame, tokenizer: str, folder: str, separator: int, id_
             if sink is not None:
                 sink.close()
 
-    return settle(in_order(docs, id_col, text_col).mapInArrow(encode, f"path string, part int, seq int, ordinal bigint, doc_id {id_type}"), "flat-documents")
+    narrow = docs.select(F.col(id_col).alias("_ll_id"), F.col(text_col).alias("_ll_text"))
+    return settle(narrow.mapInArrow(encode, f"path string, part int, seq int, ordinal bigint, doc_id {id_type}"), "flat-documents")
 
 
 def file_sizes(paths: DataFrame) -> DataFrame:
