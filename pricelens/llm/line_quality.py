@@ -2,9 +2,10 @@
 
 Every line is normalised (A-Z lower-cased, white space collapsed) and hashed;
 for each host the distinct documents of a line are counted; a line found in
-more than ``max_share`` of a host's documents (and in more than ``min_docs``)
-is boilerplate and is removed; a document is rejected when too little is left
-of it, or when it fails the base rules.
+more than ``max_share`` of a host's documents (and in more than ``min_docs``),
+or in more than ``max_docs`` of them whatever their share, is boilerplate and
+is removed; a document is rejected when too little is left of it, or when it
+fails the base rules.
 
 One pass in numpy over the texts gives counts and line hashes; counting,
 limits and verdicts are joins and aggregations over those. A line that a third
@@ -116,13 +117,18 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, min_left_share: float = MIN_LEFT_SHARE) -> tuple[DataFrame, DataFrame]:
+          max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, min_left_share: float = MIN_LEFT_SHARE, max_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(verdicts, common lines).
 
     Verdicts, one per row of ``docs``: the id, the host, n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, n_common_words (words in removed
     lines), base_failed and kept. Common lines: (_ll_host, _ll_line).
 
+    The bar of ``max_share`` rises with the host; ``max_docs`` is a limit that
+    does not: with it a line of a large host needs no share. Without it (the
+    rule that the SQL states) only the share counts. ``min_docs`` bounds the
+    share alone: each line of a host's only document is in all of its documents.
+
     Null and empty texts have no words and fail the base rules. Null hosts are
     one host. Repeated rows are documents of their own. An empty table gives
     empty results. Other columns of ``docs`` are not read.
@@ -133,8 +139,11 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     prof = settle(narrow.mapInArrow(_profiles, schema), "line-profiles")
     lines = prof.select("_ll_row", "_ll_host", F.explode("_ll_lines").alias("_ll_l")).select("_ll_row", "_ll_host", F.col("_ll_l.h").alias("_ll_line"), F.col("_ll_l.w").alias("_ll_w"))
     hosts = prof.groupBy("_ll_host").agg(F.count(F.lit(1)).alias("_ll_docs"))
-    found = lines.groupBy("_ll_host", "_ll_line").agg(F.count(F.lit(1)).alias("_ll_in")).where(F.col("_ll_in") > min_docs)
-    common = settle(join_null_safe(found, hosts, ["_ll_host"]).where(F.col("_ll_in") > F.col("_ll_docs") * F.lit(float(max_share))).select("_ll_host", "_ll_line"), "common-lines")
+    found = lines.groupBy("_ll_host", "_ll_line").agg(F.count(F.lit(1)).alias("_ll_in")).where(F.col("_ll_in") > (min_docs if max_docs is None else min(min_docs, max_docs)))
+    often = (F.col("_ll_in") > min_docs) & (F.col("_ll_in") > F.col("_ll_docs") * F.lit(float(max_share)))
+    if max_docs is not None:
+        often = often | (F.col("_ll_in") > max_docs)
+    common = settle(join_null_safe(found, hosts, ["_ll_host"]).where(often).select("_ll_host", "_ll_line"), "common-lines")
     lost = (join_null_safe(lines, common.withColumn("_ll_hit", F.lit(True)), ["_ll_host", "_ll_line"])
             .groupBy("_ll_row").agg(F.sum("_ll_w").alias("_ll_lost")))
     out = prof.drop("_ll_lines").join(lost, "_ll_row", "left").withColumn("_ll_lost", F.coalesce("_ll_lost", F.lit(0)))

@@ -43,3 +43,21 @@ def test_clean_cuts_common_lines(spark):
             left = [x for x in r[1].split("\n") if (r[3], " ".join(brute.words(x.translate(brute.UP)))) not in common]
             assert got[r[0]] == "\n".join(left)
     assert out.select(F.max(F.length("text"))).first()[0] > 1000
+
+
+def test_line_of_a_large_host_needs_no_share(spark):
+    def text(i, line):
+        return line + " ".join(f"w{i}x{j}" for j in range(40))
+
+    line = "shared line that few of a large host's documents have\n"
+    data = [(i, text(i, line if i < 30 else ""), "en", "large", 1) for i in range(700)]
+    data += [(700 + i, line, "en", "large", 1) for i in range(5)] + [(800, line + text(800, ""), "en", "small", 1)]
+    docs = corpus.docs(spark, data)
+    by_share, _ = line_quality.judge(docs)
+    assert by_share.where("n_common_words > 0").count() == 0  # 35 of 705 documents are under 5 %
+    verdicts, common = line_quality.judge(docs, max_docs=34)
+    got = {r["doc_id"]: r["n_common_words"] for r in verdicts.collect()}
+    assert {i for i, n in got.items() if n} == {*range(30), *range(700, 705)} and common.count() == 1
+    assert line_quality.judge(docs, max_docs=35)[1].count() == 0
+    cut = {r["doc_id"]: r["text"] for r in line_quality.clean(docs, max_docs=34).collect()}
+    assert cut[3] == text(3, "") and cut[800] == line + text(800, "")
