@@ -6,7 +6,8 @@ at anchors, with what stands to their left, decide every window. (All suffixes
 of the corpus would be fourteen times as many, each with up to ``n`` bytes.)
 
 1. Anchors that occur in one document only cannot begin a shared window; a
-   first exchange of 32-bit fingerprints finds the others.
+   first exchange of 32-bit fingerprints finds the others, and those that would
+   send more than ``hot_rows`` different blocks to one merge.
 2. A task sorts its remaining suffixes (right context, then the left context
    backwards) and sends, for each part of the key space, one sorted run,
    front-coded: for each suffix the length that it shares with the one before
@@ -16,8 +17,13 @@ of the corpus would be fourteen times as many, each with up to ``n`` bytes.)
    equal blocks of windows; in a range of suffixes that share the anchor but
    differ later, windows are told apart by left and right context.
 
-Suffixes that are equal in a task are sent once for the smallest document, so a
-passage that a third of the documents share costs one suffix per batch.
+4. Where a passage that many documents share begins or ends, the blocks reach
+   into each document's own text and no two are equal. The windows of such hot
+   anchors are sent one by one instead, dealt by their own 128-bit hash.
+
+Suffixes (and windows) that are equal in a task are sent once for the smallest
+document, so a passage that a third of the documents share costs one suffix per
+batch, and an anchor never brings more than ``hot_rows`` rows to a merge.
 """
 
 from __future__ import annotations
@@ -38,14 +44,20 @@ from ._shared import release, settle
 
 _U = np.uint64
 _KEY = np.dtype("<i8")
-_FINGER = np.dtype([("h", "<u4"), ("doc", "<u2"), ("many", "u1")])
+#: much: different blocks in the batch, the top bit for several documents
+_FINGER = np.dtype([("h", "<u4"), ("doc", "<u2"), ("much", "<u2")])
+_SEVERAL = 1 << 15
+_HOT = np.dtype([("name", "<u8"), ("rows", "<i8")])
+_WINDOW = np.dtype([("h", "<u8"), ("h2", "<u8"), ("doc", "<u2"), ("a", "<u4")])
 _DOC = np.dtype([("key", "<i8"), ("id", "<i8")])
 _REF = np.dtype([("doc", "<u2"), ("p", "<u4"), ("lcp", "u1")])
 _TOLD = np.dtype([("key", "<i8"), ("a", "<u4"), ("n", "<u4")])
 _SEEN = np.dtype([("key", "<i8"), ("h", "<u4")])
-_ASIDE = 1 << 62
+_WINDOWS, _ASIDE = 1 << 61, 1 << 62  # keys of packs that hold windows, and results
 #: Documents whose suffixes are sorted into one run (some 5 to 10 MB of text).
 BATCH_ROWS = 2048
+#: Different blocks of an anchor that one merge takes, and windows sent at a time.
+HOT_ROWS, SEND_WINDOWS = 2048, 1 << 20
 #: Stands for a null id: larger than any other.
 NO_ID = np.iinfo(np.int64).max
 
@@ -65,28 +77,41 @@ def _finger(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h << _U(int(buckets).bit_length() - 1)) >> _U(32)).astype(np.uint32)
 
 
+def _name(h: np.ndarray, buckets: int) -> np.ndarray:
+    """The bits that name the bucket, and the 32 after them."""
+    return h >> _U(65 - int(buckets).bit_length()) << _U(32) | _finger(h, buckets).astype(np.uint64)
+
+
 def _aside(told: np.ndarray, spread: int) -> pa.RecordBatch:
     told = np.unique(told)
     return pa.RecordBatch.from_arrays([pa.array([_ASIDE + spread % 8191] if len(told) else [], pa.int64()), pa.array([told.tobytes()] if len(told) else [], pa.binary())], names=["key", "pack"])
 
 
-def shared_anchors(keyed: DataFrame, n: int, k: int, buckets: int) -> DataFrame:
-    """(_ll_key, hashes): fingerprints of each document's anchors that occur in
-    another document too (a few more, where fingerprints collide)."""
+def _hashes(keys: np.ndarray, records: np.ndarray, hot: bool) -> pa.RecordBatch:
+    rows = by_key(keys, np.ascontiguousarray(records))
+    return pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(rows), hot))], names=["_ll_key", "spans", "hot"])
+
+
+def shared_anchors(keyed: DataFrame, n: int, k: int, buckets: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(_ll_key, hot, hashes): fingerprints of each document's anchors that occur
+    in another document too (a few more, where fingerprints collide). Rows with
+    ``hot`` are no documents: their hashes are the names of anchors that have
+    more than ``hot_rows`` blocks that differ within their batches."""
 
     def fingers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, BATCH_ROWS):
-            keys, hashes, docs = b.column(0).to_numpy(), [], []
+            keys, hashes, blocks, docs = b.column(0).to_numpy(), [], [], []
             for first, _, data, offsets in W.runs(b.column(2)):
                 gram = byte_grams(data, k)
-                p, _, _, text = anchors(gram, offsets, n, k)
+                p, a, m, text = anchors(gram, offsets, n, k)
                 hashes.append(gram[p])
+                blocks.append(W.hash_spans(data, a, a + m - 1 + n, 1) ^ W.mix64((p - a).astype(np.uint64) << _U(32) | m.astype(np.uint64)))
                 docs.append(text + first)
             if not hashes:
                 continue
-            h, doc = np.concatenate(hashes), np.concatenate(docs)
-            order = np.lexsort((doc, h))
-            h, doc = h[order], doc[order]
+            h, block, doc = np.concatenate(hashes), np.concatenate(blocks), np.concatenate(docs)
+            order = np.lexsort((block, h))
+            h, block, doc = h[order], block[order], doc[order]
             new, group = groups(h)
             if not len(h):
                 continue
@@ -96,23 +121,30 @@ def shared_anchors(keyed: DataFrame, n: int, k: int, buckets: int) -> DataFrame:
             seen["key"], seen["h"] = keys[doc[mine]], _finger(h[mine], buckets)
             yield _aside(seen, int(keys[0]))
             send = np.zeros(len(new), _FINGER)
-            send["h"], send["doc"], send["many"] = _finger(h[new], buckets), doc[new], many
+            other = np.ones(len(h), np.int64)
+            other[1:] = (h[1:] != h[:-1]) | (block[1:] != block[:-1])
+            send["h"], send["doc"] = _finger(h[new], buckets), doc[new]
+            send["much"] = np.minimum(np.add.reduceat(other, new), _SEVERAL - 1) | many * _SEVERAL
             yield tabled_packs(h[new], send, buckets, keys)
 
     def meet(key: int, held: list[bytes]) -> Iterator[pa.RecordBatch]:
         if key >= _ASIDE:
             seen = np.frombuffer(b"".join(held), _SEEN)
-            yield by_key(seen["key"], np.ascontiguousarray(seen["h"]))
+            yield _hashes(seen["key"], seen["h"], False)
             return
         parts = [open_tabled(p, _KEY, _FINGER) for p in held]
         rec, doc = np.concatenate([r for _, r in parts]), np.concatenate([t[r["doc"]] for t, r in parts])
         order = np.argsort(rec["h"], kind="stable")
-        _, group = groups(rec["h"][order])
-        hit = order[(np.bincount(group)[group] > 1) & (rec["many"][order] == 0)] if len(order) else order
-        yield by_key(doc[hit], np.ascontiguousarray(rec["h"][hit]))
+        first, group = groups(rec["h"][order])
+        hit = order[(np.bincount(group)[group] > 1) & (rec["much"][order] < _SEVERAL)]
+        yield _hashes(doc[hit], rec["h"][hit], False)
+        rows = np.add.reduceat((rec["much"][order] & (_SEVERAL - 1)).astype(np.int64), first)
+        hot = np.zeros(int((rows > hot_rows).sum()), _HOT)
+        hot["name"], hot["rows"] = _U(key << 32) | rec["h"][order[first[rows > hot_rows]]].astype(np.uint64), rows[rows > hot_rows]
+        yield _hashes(np.full(len(hot), key), hot, True)
 
-    found = exchange(keyed.mapInArrow(fingers, SCHEMA), meet, "_ll_key bigint, spans binary")
-    return settle(found.groupBy("_ll_key").agg(F.collect_set("spans").alias("hashes")), "shared-anchors")
+    found = exchange(keyed.mapInArrow(fingers, SCHEMA), meet, "_ll_key bigint, spans binary, hot boolean")
+    return settle(found.groupBy("_ll_key", "hot").agg(F.collect_set("spans").alias("hashes")), "shared-anchors")
 
 
 def _block_matrix(data: np.ndarray, p: np.ndarray, a: np.ndarray, m: np.ndarray, n: int, k: int) -> np.ndarray:
@@ -243,10 +275,50 @@ def _smaller_windows(rows: np.ndarray, group: np.ndarray, least: np.ndarray, n:
     return out
 
 
-def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_ll_key, spans): for each text the packed (first window, number of
-    windows) of its windows of ``n`` bytes that also start in a document with a
-    smaller id."""
+def _neighbours(key: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Windows of documents as spans, neighbours joined."""
+    order = np.lexsort((a, key))
+    key, a = key[order], a[order].astype(np.int64)
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (a[1:] != a[:-1] + 1)
+    first = np.flatnonzero(new)
+    told = np.zeros(len(first), _TOLD)
+    told["key"], told["a"], told["n"] = key[first], a[first], np.diff(np.append(first, len(key)))
+    return told
+
+
+def _least_ids(h: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by window, and in it the smallest id of each one's window."""
+    order = np.lexsort((ids, h2, h))
+    h, h2, ids = h[order], h2[order], ids[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])
+    return order, ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+
+
+def _send_windows(rec: np.ndarray, table: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Each window for its smallest document, and the results for the others."""
+    ids = table["id"][rec["doc"]]
+    order, least = _least_ids(rec["h"], rec["h2"], ids)
+    later = ids[order] > least
+    mine = rec[order[later]]
+    yield _aside(_neighbours(table["key"][mine["doc"]], mine["a"]), int(table["key"][0]))
+    send = rec[order[~later]]
+    dealt = tabled_packs(send["h"], send, buckets, table)
+    yield pa.RecordBatch.from_arrays([pa.array(dealt.column(0).to_numpy() + _WINDOWS), dealt.column(1)], names=["key", "pack"])
+
+
+def _meet_windows(held: list[bytes]) -> pa.RecordBatch:
+    parts = [open_tabled(p, _DOC, _WINDOW) for p in held]
+    rec, who = np.concatenate([r for _, r in parts]), np.concatenate([t[r["doc"]] for t, r in parts])
+    order, least = _least_ids(rec["h"], rec["h2"], who["id"])
+    later = order[who["id"][order] > least]
+    return joined_spans(who["key"][later], rec["a"][later], np.ones(len(later), np.int64))
+
+
+def _dealt(docs: DataFrame, n: int, k: int, id_col: str, text_col: str, hot_rows: int) -> DataFrame:
+    """(key, pack): the runs of each part of the key space, the windows of hot
+    anchors and, aside, what a batch decides by itself."""
     import zstandard
 
     if not 1 <= k <= n or 2 * n - k + 2 > 255:
@@ -254,15 +326,18 @@ def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_
     w, width = n - k + 1, 2 * n - k + 2
     keyed = docs.select(F.xxhash64(id_col, text_col).alias("_ll_key"), F.col(id_col).cast("bigint").alias("_ll_id"), F.col(text_col).alias("_ll_text"))
     size = keyed.agg(F.sum(F.octet_length("_ll_text"))).first()[0] or 0
-    buckets = max(32, buckets_for(size * 2 / (w + 1)) // 8)
-    parts = buckets * 4  # of the key space: a merge holds the strings of one part
-    shared = shared_anchors(keyed, n, k, buckets)
+    buckets = buckets_for(size * 2 / (w + 1)) // 2
+    parts = buckets  # of the key space: a merge holds the strings of one part
+    hot_rows = max(hot_rows, int(size * 2 / (w + 1)) >> 20)  # a million hot anchors at most
+    shared = shared_anchors(keyed, n, k, buckets, hot_rows)
     release(docs.sparkSession)
+    hot = np.concatenate([np.zeros(0, _HOT), *[np.frombuffer(x, _HOT) for r in shared.where("hot").select("hashes").collect() for x in r["hashes"]]])
+    names, window_buckets = np.sort(hot["name"]), buckets_for(int(hot["rows"].sum()) * w)
 
     def sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=1)
         for b in small_batches(batches, BATCH_ROWS):
-            table, found = np.zeros(len(b), _DOC), []
+            table, found, windows = np.zeros(len(b), _DOC), [], []
             table["key"], table["id"] = b.column(0).to_numpy(), b.column(1).fill_null(NO_ID).to_numpy()
             wanted = list(of_rows(b.column(3), np.dtype("<u4")))
             for first, end, data, offsets in W.runs(b.column(2)):
@@ -271,8 +346,22 @@ def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_
                 want = np.concatenate([np.zeros(0, np.uint64), *[x.astype(np.uint64) | _U(i << 32) for i, x in enumerate(wanted[first:end])]])
                 take = np.isin(text.astype(np.uint64) << _U(32) | _finger(gram[p], buckets).astype(np.uint64), want)
                 p, a, m, text = p[take], a[take], m[take], text[take]
+                spread = np.isin(_name(gram[p], buckets), names)
+                if spread.any():
+                    begin, count, own = a[spread], m[spread], np.repeat(text[spread], m[spread])
+                    at = np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+                    rec = np.zeros(len(at), _WINDOW)
+                    rec["h"], rec["h2"] = W.hash_spans(data, at, at + n), W.hash_spans(data, at, at + n, 1)
+                    rec["doc"], rec["a"] = own + first, at - offsets[own]
+                    windows.append(rec)
+                    if sum(map(len, windows)) > SEND_WINDOWS:
+                        yield from _send_windows(np.concatenate(windows), table, window_buckets)
+                        windows = []
+                    p, a, m, text = p[~spread], a[~spread], m[~spread], text[~spread]
                 if len(p):
                     found.append((_block_matrix(data, p, a, m, n, k), gram[p], text + first, p - offsets[text]))
+            if windows:
+                yield from _send_windows(np.concatenate(windows), table, window_buckets)
             if not found:
                 continue
             rows, gram, doc, p = (np.concatenate(x) for x in zip(*found))
@@ -299,11 +388,26 @@ def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_
                 packs.append(np.array([len(used), y - x], np.uint32).tobytes() + table[used].tobytes() + ref.tobytes() + coder.compress(rests))
             yield pa.RecordBatch.from_arrays([pa.array(bucket[begin].astype(np.int64)), pa.array(packs, pa.binary())], names=["key", "pack"])
 
+    documents = shared.where("not hot").select("_ll_key", "hashes")
+    return keyed.join(documents, "_ll_key").select("_ll_key", "_ll_id", "_ll_text", "hashes").mapInArrow(sort_runs, SCHEMA)
+
+
+def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(_ll_key, spans): for each text the packed (first window, number of
+    windows) of its windows of ``n`` bytes that also start in a document with a
+    smaller id."""
+    import zstandard
+
+    width = 2 * n - k + 2
+
     def merge(key: int, held: list[bytes]) -> Iterator[pa.RecordBatch]:
         if key >= _ASIDE:
             told = np.frombuffer(b"".join(held), _TOLD)
             yield joined_spans(told["key"], told["a"], told["n"])
             return
+        if key >= _WINDOWS:
+            yield _meet_windows(held)
+            return
         coder, runs, tables, refs = zstandard.ZstdDecompressor(), [], [], []
         for pack in held:
             docs_n, rows_n = np.frombuffer(pack, "<u4", 2).tolist()
@@ -348,7 +452,7 @@ def earlier_spans(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_
             out.append((who["key"][at], p[at] - np.repeat(j, count), np.ones(len(at), np.int64)))
         yield joined_spans(*(np.concatenate(x) for x in zip(*out)))
 
-    dealt = keyed.join(shared, "_ll_key").select("_ll_key", "_ll_id", "_ll_text", "hashes").mapInArrow(sort_runs, SCHEMA)
+    dealt = _dealt(docs, n, k, id_col, text_col, hot_rows)
     told = settle(exchange(dealt, merge, "_ll_key bigint, spans binary"), "earlier-spans")
     release(docs.sparkSession)
     return told.groupBy("_ll_key").agg(F.collect_set("spans").alias("spans"))
@@ -364,7 +468,8 @@ def _chunks(rows: np.ndarray, group: np.ndarray, size: int) -> Iterator[np.ndarr
         at = end
 
 
-def remove_earlier(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+def remove_earlier(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc_id", text_col: str = "text", digest: bool = False,
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) for every row of ``docs``: bytes of
     the UTF-8 text that lie in a string of ``n`` bytes which also starts in a
     document with a smaller id are removed; ``kept`` (binary, as cuts may part a
@@ -375,7 +480,7 @@ def remove_earlier(docs: DataFrame, n: int = 50, k: int = 24, id_col: str = "doc
     texts are empty; texts of fewer than ``n`` bytes stay whole. An empty table
     gives an empty result. Other columns are not read.
     """
-    spans = earlier_spans(docs, n, k, id_col, text_col)
+    spans = earlier_spans(docs, n, k, id_col, text_col, hot_rows)
     keyed = docs.select(F.xxhash64(id_col, text_col).alias("_ll_key"), F.col(id_col).alias("_ll_id"), F.col(text_col).alias("_ll_text"))
     last = "kept_sha256" if digest else "kept"
 

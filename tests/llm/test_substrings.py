@@ -40,6 +40,33 @@ def test_earlier_bytes_equal_brute_force(spark, n, k):
     assert got == sorted((row[0], *w) for row, w in zip(rows, brute.repeated_bytes([r[:2] for r in rows], n)))
 
 
+def test_hot_anchors_are_spread(spark):
+    r = random.Random(8)
+    passage = " ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(40))
+    rows = [(i, "".join(r.choices("klmnop qrst", k=150)) + passage + "".join(r.choices("klmnop qrst", k=150)), "en", "s", 1) for i in range(400)]
+    docs = corpus.docs(spark, rows).repartition(3)
+    least, most = [], []
+    for hot_rows, hold in ((1 << 20, least), (20, most)):
+        for p in suffix_dedup._dealt(docs, 50, 24, "doc_id", "text", hot_rows).collect():
+            if p["key"] < suffix_dedup._WINDOWS:
+                hold.append((p["key"], int(np.frombuffer(p["pack"], "<u4", 2)[1])))
+    totals = [max(sum(n for k, n in hold if k == key) for key, _ in hold) for hold in (least, most)]
+    assert totals[0] >= 400 and totals[1] < 40  # rows that meet in one merge
+    want = sorted((row[0], *w) for row, w in zip(rows, brute.repeated_bytes([r[:2] for r in rows], 50)))
+    for hot_rows in (20, 1 << 20):
+        out = suffix_dedup.remove_earlier(docs, digest=True, hot_rows=hot_rows)
+        assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out.collect()) == want
+
+
+@pytest.mark.parametrize("hot_rows", [1, 3])
+def test_windows_of_hot_anchors_equal_brute_force(spark, hot_rows):
+    rows = data_rows() + [(None, data_rows()[4][1], None, None, None)]
+    out = suffix_dedup.remove_earlier(corpus.docs(spark, rows).repartition(3), n=20, k=8, digest=True, hot_rows=hot_rows)
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out.collect())
+    ids = [(1 << 62 if r[0] is None else r[0], r[1]) for r in rows]
+    assert got == sorted((str(row[0]), *w) for row, w in zip(rows, brute.repeated_bytes(ids, 20)))
+
+
 def test_null_ids_are_the_largest(spark):
     rows = [(1, "a" * 10 + "passage that is shared by both of these documents, all of it", None, None, None), (None, "passage that is shared by both of these documents, all of it", None, None, None)]
     out = {r["doc_id"]: r for r in suffix_dedup.remove_earlier(corpus.docs(spark, rows)).collect()}
