@@ -104,7 +104,7 @@ def shared_anchors(keyed: DataFrame, n: int, k: int, buckets: int, hot_rows: int
             for first, _, data, offsets in W.runs(b.column(2)):
                 gram = byte_grams(data, k)
                 p, a, m, text = anchors(gram, offsets, n, k)
-                hashes.append(gram[p])
+                hashes.append(W.mix64(gram[p]))  # the chosen ones are small: mixed again, they are dealt evenly
                 blocks.append(W.hash_spans(data, a, a + m - 1 + n, 1) ^ W.mix64((p - a).astype(np.uint64) << _U(32) | m.astype(np.uint64)))
                 docs.append(text + first)
             if not hashes:
@@ -343,10 +343,11 @@ def _dealt(docs: DataFrame, n: int, k: int, id_col: str, text_col: str, hot_rows
             for first, end, data, offsets in W.runs(b.column(2)):
                 gram = byte_grams(data, k)
                 p, a, m, text = anchors(gram, offsets, n, k)
+                gram = W.mix64(gram[p])
                 want = np.concatenate([np.zeros(0, np.uint64), *[x.astype(np.uint64) | _U(i << 32) for i, x in enumerate(wanted[first:end])]])
-                take = np.isin(text.astype(np.uint64) << _U(32) | _finger(gram[p], buckets).astype(np.uint64), want)
-                p, a, m, text = p[take], a[take], m[take], text[take]
-                spread = np.isin(_name(gram[p], buckets), names)
+                take = np.isin(text.astype(np.uint64) << _U(32) | _finger(gram, buckets).astype(np.uint64), want)
+                p, a, m, text, gram = p[take], a[take], m[take], text[take], gram[take]
+                spread = np.isin(_name(gram, buckets), names)
                 if spread.any():
                     begin, count, own = a[spread], m[spread], np.repeat(text[spread], m[spread])
                     at = np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
@@ -357,9 +358,9 @@ def _dealt(docs: DataFrame, n: int, k: int, id_col: str, text_col: str, hot_rows
                     if sum(map(len, windows)) > SEND_WINDOWS:
                         yield from _send_windows(np.concatenate(windows), table, window_buckets)
                         windows = []
-                    p, a, m, text = p[~spread], a[~spread], m[~spread], text[~spread]
+                    p, a, m, text, gram = p[~spread], a[~spread], m[~spread], text[~spread], gram[~spread]
                 if len(p):
-                    found.append((_block_matrix(data, p, a, m, n, k), gram[p], text + first, p - offsets[text]))
+                    found.append((_block_matrix(data, p, a, m, n, k), gram, text + first, p - offsets[text]))
             if windows:
                 yield from _send_windows(np.concatenate(windows), table, window_buckets)
             if not found:
