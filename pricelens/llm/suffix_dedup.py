@@ -23,7 +23,8 @@ of the corpus would be fourteen times as many, each with up to ``n`` bytes.)
 
 Suffixes (and windows) that are equal in a task are sent once for the smallest
 document, so a passage that a third of the documents share costs one suffix per
-batch, and an anchor never brings more than ``hot_rows`` rows to a merge.
+batch, and an anchor brings at most ``hot_rows`` blocks (a millionth of all
+anchors, if that is more) and their repeats within a document to a merge.
 """
 
 from __future__ import annotations
