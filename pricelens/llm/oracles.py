@@ -100,6 +100,43 @@ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 SELECT *, NOT base_failed AND NOT (n_common_words > 0 AND (n_words - n_common_words < 20 OR n_words - n_common_words < n_words * 0.3::DOUBLE)) AS kept FROM b
 """
 
+FILTER_AUDIT = f"""
+WITH letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_BLANK}) AS w FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM d LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+x AS (SELECT m.*, filter_order, coalesce(list_min([instr(filter_order, z) FOR z IN string_split(fails, '') IF z <> '']), 6) AS gone FROM m, o),
+r AS (SELECT part, filter_order, step, sum(CASE WHEN gone > step THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN gone = step THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN gone < step AND contains(fails, substr(filter_order, step, 1)) THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN fails = substr(filter_order, step, 1) THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN gone = step THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN gone = step THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM x, (SELECT unnest(range(1, 6))::INT AS step) GROUP BY part, filter_order, step)
+SELECT *, sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1))::BIGINT AS shapley FROM r
+"""
+
+SPELLING = f"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all({_LOW.format('text')}, '[A-Za-z\u00C0-\u00FF]+')) AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n FROM r WHERE length(w) >= 6 GROUP BY doc_id, w),
+b AS (SELECT w, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS bytes FROM c),
+h AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(bytes) * 4), lambda i: CASE WHEN i % 8 = 0 THEN ('0x' || substr(bytes, (i // 4 + 1)::BIGINT, 2))::BIGINT ELSE 0::BIGINT END)),
+        lambda s, z: xor(xor(s, z) >> 1, 3988292384::BIGINT * (xor(s, z) & 1))), 4294967295::BIGINT) AS crc FROM b),
+t AS (SELECT n, CASE WHEN crc % 199 = 0 THEN substr(w, 1, (crc % length(w))::BIGINT) || substr(w, (crc % length(w) + 2)::BIGINT) ELSE w END AS word FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM t WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+e AS (SELECT word, n, length(word) AS m, p, substr(word, 1, p - 1) || substr(word, p + 1) AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM v)),
+k AS (SELECT a.word, b.word AS near, b.n AS near_n FROM e a JOIN e b ON a.cut = b.cut AND a.p = b.p AND a.m = b.m AND a.word <> b.word
+      UNION SELECT e.word, v.word, v.n FROM e JOIN v ON e.cut = v.word UNION SELECT v.word, e.word, e.n FROM e JOIN v ON e.cut = v.word),
+g AS (SELECT word, count(*) AS n_near, max(near_n) AS best_n FROM k GROUP BY word),
+q AS (SELECT k.word, g.n_near, g.best_n, min(k.near) AS best FROM k JOIN g ON k.word = g.word AND k.near_n = g.best_n GROUP BY k.word, g.n_near, g.best_n),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 5 * v.n THEN best END AS form, CASE WHEN best_n >= 5 * v.n THEN best_n END AS form_n FROM v LEFT JOIN q USING (word)),
+z(word, root) AS (SELECT word, word FROM f WHERE form IS NULL UNION ALL SELECT f.word, z.root FROM f JOIN z ON f.form = z.word)
+SELECT f.word, f.form, z.root, f.n, f.n_near, f.form_n::BIGINT AS form_n FROM f JOIN z USING (word)
+"""
+
 ORACLE = {
     "op1_mixing": MIXING,
     "op2_decontamination": DECONTAMINATION,
@@ -108,4 +145,6 @@ ORACLE = {
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op8_warc": WARC,
     "op10_line_quality": LINE_QUALITY,
+    "op12_filter_audit": FILTER_AUDIT,
+    "op13_spelling": SPELLING,
 }

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_quality, mixing, ngram_join, quality_fm, substring_dedup, suffix_dedup, token_counts, token_output, warc
+from . import (decontam, filter_audit, line_quality, mixing, ngram_join, quality_fm, spelling, substring_dedup, suffix_dedup, token_counts,
+               token_output, warc)
 from ._shared import read, scratch
 from .oracles import ORACLE as ORACLE
 
@@ -82,6 +83,15 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_common_words", "base_failed", "kept")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_texts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(read(spark, sf_dir, "documents"), min_length=6, min_count=5, typo_every=199)
+    return spelling.group_variants(words, ratio=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -93,4 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_token_output": op9_token_output,
     "op10_line_quality": op10_line_quality,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_spelling": op13_spelling,
 }
