@@ -9,7 +9,8 @@ drops each where its budget is spent; the words in the leaves that it reaches
 are compared by their full counts, then letter by letter.
 
 The trie is cut at its first levels into parts, one sub-trie each; a word is
-sought in the parts whose path its budget allows (31 at five levels). A part
+sought in the parts whose path its budget allows (16 at five levels; of two
+neighbours only the one with the smaller path seeks the other). A part
 with many words or many words sought is divided further (salts of the words,
 slices of the sought), so no task holds more than ``PART_WORDS`` words, and
 nothing but letter counts passes through the driver.
@@ -17,7 +18,6 @@ nothing but letter counts passes through the driver.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import product
@@ -29,18 +29,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import _words as W
 from ._shared import settle
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 #: Groups of letters (16 counts fit a packed vector); words below a node that is not
 #: divided further; letters compared in rows; pairs compared at once.
 GROUPS, LEAF, WIDE, PAIRS = 16, 64, 32, 1 << 18
+#: Counts are capped here, to fit three bits.
+TOP = 7
 #: Words of a sub-trie, and words sought in one, in a task at once at most.
 PART_WORDS, SOUGHT = 100_000, 20_000
-#: Distinct words that a task counts before it hands them on.
-HELD_WORDS = 400_000
+
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = (_CRC >> np.uint32(1)) ^ (np.uint32(0xEDB88320) * (_CRC & np.uint32(1)))
 
 
 def lower(run: str) -> str:
@@ -48,35 +55,69 @@ def lower(run: str) -> str:
     return run.lower() if run.isascii() else run.translate(_LOWER)
 
 
-def _counted(min_length: int, typo_every: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+def _crc_on(state: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """crc32 of spans that go on from a crc32 each (that of their document's id)."""
+    state, last = state ^ np.uint32(0xFFFFFFFF), int((ends - starts).max(initial=0))
+    by_length = np.argsort(starts - ends, kind="stable")  # long ones first, so those left are a prefix
+    state, at, length = state[by_length], starts[by_length], (ends - starts)[by_length]
+    for k in range(last):
+        left = int(np.searchsorted(-length, -k, side="left"))  # spans of more than k bytes
+        state[:left] = _CRC[(state[:left] ^ data[at[:left] + k]) & np.uint32(255)] ^ (state[:left] >> np.uint32(8))
+    out = np.empty_like(state)
+    out[by_length] = state ^ np.uint32(0xFFFFFFFF)
+    return out
+
+
+def _runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of Latin letters: A-Z, a-z, and C3 80 to C3 BF in UTF-8."""
+    inside = _LETTER[data]
+    lead = np.flatnonzero(data == 0xC3)  # in valid UTF-8 the letter's second byte follows
+    inside[lead] = True
+    inside[lead + 1] = True
+    return W.spans(inside, offsets)
 
-        def out():
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-            held.clear()
 
+def _counted(min_length: int, typo_every: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                if not text:
-                    continue
-                head = ("" if id_ is None else str(id_)) + ":"
-                for word, n in Counter(RUN.findall(text)).items():
-                    if len(word) < min_length:
-                        continue
-                    word = lower(word)
-                    if typo_every:
-                        h = crc32((head + word).encode())
-                        if h % typo_every == 0:
-                            i = h % len(word)
-                            word = word[:i] + word[i + 1:]
-                            if len(word) < min_length:
-                                continue
-                    held[word] += n
-                if len(held) > HELD_WORDS:
-                    yield from out()
-        yield from out()
+            ids = batch.column(0).to_pylist()
+            for first, _, data, offsets in W.runs(batch.column(1)):
+                data = W.LOWER[data]
+                starts, ends = _runs(data, offsets)
+                wide = np.zeros(len(data) + 1, np.int64)
+                np.cumsum(data & 0xC0 != 0x80, out=wide[1:])
+                length = wide[ends] - wide[starts]
+                long = length >= min_length
+                starts, ends, length = starts[long], ends[long], length[long]
+                word, text = W.hash_spans(data, starts, ends), W.text_of(starts, offsets)
+                # a document's distinct words, then the distinct words of the run of texts
+                order = np.lexsort((word, text)) if typo_every else np.argsort(word, kind="stable")
+                w, t = word[order], text[order]
+                new = np.ones(len(w), bool)
+                new[1:] = (w[1:] != w[:-1]) | ((t[1:] != t[:-1]) if typo_every else False)
+                at = np.flatnonzero(new)
+                n, pick = np.diff(np.append(at, len(w))), order[at]
+                odd: Counter = Counter()
+                if typo_every and len(pick):
+                    heads = np.array([crc32((("" if i is None else str(i)) + ":").encode()) for i in ids[first:first + len(offsets) - 1]], np.uint32)
+                    crc = _crc_on(heads[text[pick]], data, starts[pick], ends[pick])
+                    hit = crc % typo_every == 0
+                    for p, c, k in zip(pick[hit], crc[hit].tolist(), n[hit].tolist()):
+                        full = data[starts[p]:ends[p]].tobytes().decode()
+                        c %= len(full)
+                        if len(full) > min_length:
+                            odd[full[:c] + full[c + 1:]] += k
+                    pick, n = pick[~hit], n[~hit]
+                order = np.argsort(word[pick], kind="stable")
+                pick, n, w = pick[order], n[order], word[pick][order]
+                new = np.ones(len(w), bool)
+                new[1:] = w[1:] != w[:-1]
+                at = np.flatnonzero(new)
+                raw = data.tobytes()
+                words = [raw[a:b] for a, b in zip(starts[pick[at]].tolist(), ends[pick[at]].tolist())]
+                counts = np.add.reduceat(n, at) if len(at) else n
+                yield pa.RecordBatch.from_arrays([pa.array(words + [x.encode() for x in odd], pa.binary()).cast(pa.string()), pa.array(np.append(counts, list(odd.values())).astype(np.int64))],
+                                                 names=["word", "n"])
 
     return run
 
@@ -88,8 +129,9 @@ def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     left out. With ``typo_every`` k, the run whose crc32 of ``<id>:<run>`` divides
     by k loses one letter first (a test's misspellings). Null texts have no words,
     a null id counts as the empty string. Repeated rows count each. Other columns
-    are not read. Tasks count before the shuffle, so a word in every document
-    moves once a task.
+    are not read. Words are told apart by 64-bit hashes within half a megabyte of
+    text and as strings beyond. Tasks count before the shuffle, so a word in every
+    document moves once a task.
     """
     counted = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_counted(min_length, typo_every), "word string, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
@@ -117,26 +159,27 @@ def letter_groups(words: DataFrame, groups: int = GROUPS) -> np.ndarray:
 
 
 def vectors(words: list[str], group: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """Group counts of each word, at most 127: capping brings counts closer, never
+    """Group counts of each word, at most 7: capping brings counts closer, never
     further apart, so no neighbour is lost."""
     data = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
     at = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    return np.minimum(np.bincount(at * groups + group[data], minlength=len(words) * groups), 127).astype(np.int8).reshape(-1, groups)
+    return np.minimum(np.bincount(at * groups + group[data], minlength=len(words) * groups), TOP).astype(np.int8).reshape(-1, groups)
 
 
 def _offsets(depth: int) -> list[tuple[int, ...]]:
-    """The steps from a path to those within a surplus and a deficit of one each."""
-    return [o for o in product((0, 1, -1), repeat=depth) if o.count(1) <= 1 and o.count(-1) <= 1]
+    """The steps from a path to those within a surplus and a deficit of one each. Of
+    two words the one with the smaller path seeks the other, so a surplus comes first."""
+    return [o for o in product((0, 1, -1), repeat=depth) if o.count(1) <= 1 and o.count(-1) <= 1 and (*(x for x in o if x), 1)[0] == 1]
 
 
 def _paths(words: list[str], group: np.ndarray, depth: int, groups: int):
     """(part of each word; (index of word, part) of every part where it is sought)."""
     head = vectors(words, group, groups)[:, :depth].astype(np.int64)
-    base = 128 ** np.arange(depth)[::-1]
+    base = (TOP + 1) ** np.arange(depth)[::-1]
     at, parts = [], []
     for o in _offsets(depth):
         moved = head + o
-        ok = np.flatnonzero(((moved >= 0) & (moved < 128)).all(axis=1))
+        ok = np.flatnonzero(((moved >= 0) & (moved <= TOP)).all(axis=1))
         at.append(ok)
         parts.append(moved[ok] @ base)
     return head @ base, np.concatenate(at), np.concatenate(parts)
@@ -158,9 +201,8 @@ _HIGH, _ONES = np.uint64(0x8888888888888888), np.uint64(0x1111111111111111)
 
 
 def packed(vec: np.ndarray) -> np.ndarray:
-    """The counts of up to 16 groups, at most 7 each, in four bits apiece."""
-    capped = np.minimum(vec, 7).astype(np.uint64)
-    return (capped << (np.arange(vec.shape[1], dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64)
+    """The counts of up to 16 groups in four bits apiece; ordered as the vectors are."""
+    return (vec.astype(np.uint64) << (np.arange(vec.shape[1], dtype=np.uint64)[::-1] * np.uint64(4))).sum(axis=1, dtype=np.uint64)
 
 
 def _at_most_one(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -184,8 +226,8 @@ def _first_gap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Words:
     """Words with what comparing them takes."""
 
-    def __init__(self, words: list[str], vec: np.ndarray):
-        self.words, self.vec, self.code = words, vec, packed(vec)
+    def __init__(self, words: list[str], vec: np.ndarray, counts: list[int]):
+        self.words, self.counts, self.vec, self.code = words, counts, vec, packed(vec)
         self.length = np.array([len(w) for w in words], np.int64)
         wide = int(min(WIDE, self.length.max(initial=1)))
         self.ahead, self.back = letters(words, wide), letters([w[::-1] for w in words], wide)
@@ -212,18 +254,20 @@ class Trie:
     def __init__(self, words: list[str], counts: list[int], group: np.ndarray, groups: int, depth: int):
         vec = vectors(words, group, groups)
         order = np.lexsort(vec.T[::-1])
-        self.held, self.counts = Words([words[i] for i in order], vec[order]), np.array(counts, np.int64)[order]
+        self.held = Words([words[i] for i in order], vec[order], [counts[i] for i in order])
         self.depth, self.groups = depth, groups
 
-    def neighbours(self, sought: list[str], vec: np.ndarray) -> dict[int, tuple[int, int, str]]:
-        """{index of a word sought: (neighbours, count of the best, the best)}; the
-        best has the largest count, then comes first in code-point order."""
-        found: dict[int, tuple[int, int, str]] = {}
+    def neighbours(self, sought: list[str], counts: list[int], vec: np.ndarray) -> dict[str, tuple[int, int, str]]:
+        """{word: (neighbours, count of the best, the best)} of the pairs of a word
+        sought and a word held whose vector is larger (or the word, if vectors are
+        equal), for both words of each pair; the best has the largest count, then
+        comes first in code-point order."""
+        found: dict[str, tuple[int, int, str]] = {}
         if self.held.words:  # a salt may have got none
-            asked = Words(sought, vec)
-            gap = self.held.vec[0, :self.depth].astype(np.int16) - vec[:, :self.depth]
-            surplus, deficit = np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1)
-            near = np.flatnonzero((surplus <= 1) & (deficit <= 1))
+            asked = Words(sought, vec, counts)
+            gap = self.held.vec[0, :self.depth] - vec[:, :self.depth]
+            surplus, deficit = np.maximum(gap, 0).sum(1, dtype=np.int8), np.maximum(-gap, 0).sum(1, dtype=np.int8)
+            near = np.flatnonzero((surplus <= 1) & (deficit <= surplus))
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
             self._down(0, len(self.held.words), self.depth, near, surplus[near], deficit[near], asked, pairs, found)
             self._verify(asked, pairs, found)
@@ -233,12 +277,13 @@ class Trie:
         if hi - lo <= LEAF or level == self.groups:
             return self._leaf(lo, hi, who, asked, pairs, found)
         column = self.held.vec[lo:hi, level]
-        cuts = np.flatnonzero(np.diff(column)) + 1
+        cuts = np.flatnonzero(column[1:] != column[:-1]) + 1
+        theirs = asked.vec[who, level]
         for a, b in zip((0, *cuts), (*cuts, hi - lo)):
-            gap = column[a].astype(np.int16) - asked.vec[who, level]
-            s, d = surplus + np.maximum(gap, 0), deficit + np.maximum(-gap, 0)
-            left = (s <= 1) & (d <= 1)
-            if left.any():
+            gap = column[a] - theirs
+            s, d = surplus + (gap > 0) * gap, deficit - (gap < 0) * gap
+            left = np.flatnonzero((s <= 1) & (d <= s))  # a surplus comes before the deficit
+            if len(left):
                 self._down(lo + a, lo + b, level + 1, who[left], s[left], d[left], asked, pairs, found)
 
     def _leaf(self, lo, hi, who, asked, pairs, found):
@@ -246,7 +291,7 @@ class Trie:
         for first in range(0, len(who), step):
             part = who[first:first + step]
             mine, theirs = self.held.code[None, lo:hi], asked.code[part, None]
-            i, j = np.nonzero(_at_most_one(mine, theirs) & _at_most_one(theirs, mine))
+            i, j = np.nonzero((mine >= theirs) & _at_most_one(mine, theirs) & _at_most_one(theirs, mine))
             pairs.append((part[i], lo + j))
             if sum(len(x) for x, _ in pairs) >= PAIRS:
                 self._verify(asked, pairs, found)
@@ -257,12 +302,20 @@ class Trie:
         i, j = (np.concatenate(x) for x in zip(*pairs))
         pairs.clear()
         ok = edits(asked, i, self.held, j)
-        for q, k in zip(i[ok].tolist(), j[ok].tolist()):
-            n, best_n, best = found.get(q, (0, 0, ""))
-            mine, word = int(self.counts[k]), self.held.words[k]
-            if mine > best_n or mine == best_n and word < best:
-                best_n, best = mine, word
-            found[q] = (n + 1, best_n, best)
+        i, j = i[ok], j[ok]
+        equal = self.held.code[j] == asked.code[i]
+        for q, k, same in zip(i.tolist(), j.tolist(), equal.tolist()):
+            one, other = asked.words[q], self.held.words[k]
+            if not same or one < other:
+                _better(found, one, other, self.held.counts[k])
+                _better(found, other, one, asked.counts[q])
+
+
+def _better(found: dict, word: str, other: str, n: int) -> None:
+    near, best_n, best = found.get(word, (0, 0, ""))
+    if n > best_n or n == best_n and other < best:
+        best_n, best = n, other
+    found[word] = (near + 1, best_n, best)
 
 
 _CELL = ["_ll_part", "_ll_salt", "_ll_slice"]
@@ -285,10 +338,10 @@ def _search(group: np.ndarray, depth: int, groups: int):
                 if trie is None:
                     trie, words, counts = Trie(words, counts, group, groups, depth), [], []
                 sought = text[a:b]
-                found = trie.neighbours(sought, vectors(sought, group, groups))
+                found = trie.neighbours(sought, n[a:b], vectors(sought, group, groups))
                 if found:
                     best = list(found.values())
-                    yield pa.RecordBatch.from_arrays([pa.array([sought[q] for q in found]), pa.array([x[0] for x in best], pa.int64()), pa.array([x[1] for x in best], pa.int64()),
+                    yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([x[0] for x in best], pa.int64()), pa.array([x[1] for x in best], pa.int64()),
                                                       pa.array([x[2] for x in best])], names=["word", "n_near", "best_n", "best"])
 
     return run
