@@ -100,6 +100,16 @@ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 SELECT *, NOT base_failed AND NOT (n_common_words > 0 AND (n_words - n_common_words < 20 OR n_words - n_common_words < n_words * 0.3::DOUBLE)) AS kept FROM b
 """
 
+#: What the tables' pages say of themselves: the article element. The operator does not rely on it.
+HTML_TEXT = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)</article>', 1) AS x FROM pages),
+b AS (SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '\s+', ' ', 'g'), '<br[^>]*>', ' ', 'g'),
+        '</?(p|h[1-6]|div|ul|ol|li|blockquote|section)(\s[^>]*)?>', chr(10), 'g'), '<[^>]*>', '', 'g'), chr(10)) AS parts FROM a),
+c AS (SELECT page_id, url, array_to_string([z FOR z IN [trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(q,
+        '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), ' +', ' ', 'g')) FOR q IN parts] IF z <> ''], chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c
+"""
+
 FILTER_AUDIT = f"""
 WITH letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
 o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
@@ -145,6 +155,7 @@ ORACLE = {
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op8_warc": WARC,
     "op10_line_quality": LINE_QUALITY,
+    "op11_html_text": HTML_TEXT,
     "op12_filter_audit": FILTER_AUDIT,
     "op13_spelling": SPELLING,
 }

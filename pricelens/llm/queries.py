@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontam, filter_audit, line_quality, mixing, ngram_join, quality_fm, spelling, substring_dedup, suffix_dedup, token_counts,
+from . import (decontam, filter_audit, html_text, line_quality, mixing, ngram_join, quality_fm, spelling, substring_dedup, suffix_dedup, token_counts,
                token_output, warc)
 from ._shared import read, scratch
 from .oracles import ORACLE as ORACLE
@@ -83,6 +83,10 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_common_words", "base_failed", "kept")
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"), html_text.built_in()).select("page_id", "url", "text", "n_chars")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_texts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_token_output": op9_token_output,
     "op10_line_quality": op10_line_quality,
+    "op11_html_text": op11_html_text,
     "op12_filter_audit": op12_filter_audit,
     "op13_spelling": op13_spelling,
 }
