@@ -204,6 +204,15 @@ def bad_records(evaluated: DataFrame, cat: DataFrame, keys: list[str],
               .withColumn("status", F.lit("NEW")))
 
 
+def with_payload(bad: DataFrame, rows: DataFrame, keys: list[str], batch_col: str = "source_batch_id") -> DataFrame:
+    """Bad records with the raw payload of their rows (one row per batch and key)."""
+    p = rows.select(F.col(batch_col).alias("_b"), *[F.col(k).alias(f"_k_{k}") for k in keys], "raw_payload")
+    on = bad[batch_col].eqNullSafe(p["_b"])
+    for k in keys:
+        on = on & bad[k].eqNullSafe(p[f"_k_{k}"])
+    return bad.join(p, on, "left").drop("_b", *[f"_k_{k}" for k in keys])
+
+
 def stamped(df: DataFrame, run_id: str | None, run_ts, column: str) -> DataFrame:
     """Rule output or bad records of one run: its id, and its time as ``column``."""
     if run_id is None:
@@ -257,8 +266,9 @@ def run_all(stg: DataFrame, countries: DataFrame, partners: DataFrame,
 
     ``fact_builder`` turns PRE_FACT_PASSED staging rows into fact rows. Every
     staged batch (and every one in ``batches``) has a row per active rule in
-    each stage, also when no row reached it. Returns (staging with dq_status,
-    facts, rule output, bad records).
+    each stage, also when no row reached it. Bad records carry the row's raw
+    payload where staging has it. Returns (staging with dq_status, facts, rule
+    output, bad records).
     """
     ids = stg.select(batch_col)
     batches = ids.distinct() if batches is None else batches.select(batch_col).unionByName(ids).distinct()
@@ -278,8 +288,11 @@ def run_all(stg: DataFrame, countries: DataFrame, partners: DataFrame,
     sem = evaluate(prepare_semantic(fact, bands), "SEMANTIC")
     out_s = stage_output(sem, "SEMANTIC", cat, batch_col, batches)
     bad_s = bad_records(sem, active_rules(cat), keys, batch_col)
+    bad = bad_i.unionByName(bad_p).unionByName(bad_s)
+    if "raw_payload" in stg.columns:
+        bad = with_payload(bad, stg, keys, batch_col)
     return (stg2, fact, stamped(out_i.unionByName(out_p).unionByName(out_s), run_id, run_ts, "run_ts"),
-            stamped(bad_i.unionByName(bad_p).unionByName(bad_s), run_id, run_ts, "detected_at"))
+            stamped(bad, run_id, run_ts, "detected_at"))
 
 
 # ---------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from pricelens.operators import review as RV
 from pricelens.plans import pipeline as P
 from pricelens.sources import feeds as FD
 from pricelens.sources import sinks as SK
+from pricelens.sources import store as ST
 
 HEAD = "CRAWL_TS,COUNTRY_VAL,PARTNER,PRODUCT_NAME_VAL,FULL PRICE,MONTHLY_INSTALMENT_AMT,INSTALMENT_MONTH,NOTE\n"
 
@@ -46,29 +47,46 @@ def test_feeds_to_published_tables(spark, tmp_path, world):
     a = feed(tmp_path, "a.csv", [day(1, 1999), day(2, 1999), day(3, 2199), 'bad,Atlantis,x,,abc,,,"a note\nover two lines"\n', "2025-10-04T09:00:00Z,Australia,x,iPad Air 11 128GB,,50.00,24,ok\n"])
     b = feed(tmp_path, "b.csv", ["2025-10-02T08:00:00Z,New Zealand,x,iPhone 17 Pro 256GB,2300,,,\n"])
     empty = feed(tmp_path, "c.csv", ["bad,Atlantis,x,,,,,\n"])
-    out = str(tmp_path / "store")
-    P.run_feeds(spark, [(a, "PA", "b1"), (b, "PB", "b2"), (empty, "PB", "b3")], ctx, registry, models, out)
-    facts = spark.read.parquet(f"{out}/facts")
+    store = ST.Store(spark, str(tmp_path / "store"))
+    P.run_feeds(spark, [(a, "PA", "b1"), (b, "PB", "b2"), (empty, "PB", "b3")], ctx, registry, models, store)
+    facts = store.read("facts")
     assert facts.groupBy("source_batch_id").count().orderBy("source_batch_id").collect() == [("b1", 4), ("b2", 1)]
     assert {str(r["crawl_month"])[:7] for r in facts.collect()} == {"2025-10"}
-    hist = spark.read.parquet(f"{out}/history/run_id=run-1")
+    hist = store.read("history")
     assert hist.filter("partner_id = 1 and payment_type = 'FULL'").count() == 2
-    rules = spark.read.parquet(f"{out}/dq_output")
+    rules = store.read("dq_output")
     # every batch has a row for every active rule, also where nothing reached the stage
     assert rules.groupBy("source_batch_id").count().orderBy("source_batch_id").collect() == [("b1", 13), ("b2", 13), ("b3", 13)]
     nothing = rules.filter("source_batch_id = 'b3' and target_stage = 'SEMANTIC'").collect()
     assert nothing and all(r["total_records"] == 0 and r["pass_rate"] == 1.0 for r in nothing)
-    assert {r["rule_id"] for r in spark.read.parquet(f"{out}/dq_bad_records").filter("source_batch_id = 'b1'").collect()} >= {"DQ_NULL_001", "DQ_NULL_004", "DQ_FMT_001"}
-    manifest = {r["source_batch_id"]: (r["total_records"], r["loaded_records"]) for r in spark.read.parquet(f"{out}/manifest").collect()}
-    assert manifest == {"b1": (5, 4), "b2": (1, 1), "b3": (1, 0)}
+    bad = store.read("dq_bad_records").filter("source_batch_id = 'b1'").collect()
+    assert {r["rule_id"] for r in bad} >= {"DQ_NULL_001", "DQ_NULL_004", "DQ_FMT_001"}
+    assert {r["raw_payload"]["NOTE"] for r in bad if r["rule_id"] == "DQ_FMT_001"} == {"a note\nover two lines"}
+    loads = {r["source_batch_id"]: (r["total_records"], r["loaded_records"]) for r in store.read("summary").collect()}
+    assert loads == {"b1": (5, 4), "b2": (1, 1), "b3": (1, 0)}
     # a second run of one batch keeps the first run's rule output and the other batches' facts
-    ctx.run_id, ctx.run_ts, ctx.history = "run-2", "2025-11-02 00:00:00", hist
-    P.run_feeds(spark, [(b, "PB", "b2")], ctx, registry, models, out)
-    assert spark.read.parquet(f"{out}/facts").count() == 5
-    rules = spark.read.parquet(f"{out}/dq_output")
+    ctx.run_id, ctx.run_ts = "run-2", "2025-11-02 00:00:00"
+    P.run_feeds(spark, [(b, "PB", "b2")], ctx, registry, models, store)
+    assert store.read("facts").count() == 5
+    rules = store.read("dq_output")
     assert rules.filter("source_batch_id = 'b2'").select("run_id").distinct().count() == 2
     latest = Q.latest_rule_results(rules).collect()
     assert len(latest) == 13 and {(r["run_id"], r["source_batch_id"]) for r in latest} == {("run-2", "b2")}
+    assert sorted(map(str, store.read("history").collect())) == sorted(map(str, hist.collect()))
+    # the first batch comes again without its last day: facts, months and history go with it
+    shorter = feed(tmp_path, "a2.csv", [day(1, 1999), day(2, 1999)])
+    ctx.run_id, ctx.run_ts = "run-3", "2025-11-03 00:00:00"
+    P.run_feeds(spark, [(shorter, "PA", "b1")], ctx, registry, models, store)
+    assert store.read("facts").groupBy("source_batch_id").count().orderBy("source_batch_id").collect() == [("b1", 2), ("b2", 1)]
+    assert store.read("history").filter("partner_id = 1").count() == 1 and store.read("history").filter("partner_id = 2").count() == 1
+    # replay from the payload, under a country map that knows Atlantis
+    ctx.run_id, ctx.run_ts, ctx.mapping = "run-4", "2025-11-04 00:00:00", {"Atlantis": "NZ", "Australia": "AU", "New Zealand": "NZ"}
+    P.replay("b3", ctx, store, registry, models)
+    rules = store.read("dq_output").filter("source_batch_id = 'b3' and run_id = 'run-4'")
+    assert rules.count() == 13 and rules.filter("rule_id = 'DQ_FMT_001'").first()["failed_records"] == 0
+    assert store.read("staging").filter("source_batch_id = 'b3'").first()["country_code"] == "NZ"
+    with pytest.raises(KeyError):
+        P.replay("b9", ctx, store, registry, models)
 
 
 def offers(spark, rows):
