@@ -76,6 +76,42 @@ def scd2_apply(history: DataFrame, batch_offers: DataFrame, key=KEY,
     return closed_before.unionByName(o).unionByName(inserts.select(*cols))
 
 
+def scd2_fold(history: DataFrame, offers: DataFrame, key=KEY, date_col: str = "crawl_date", batch_col: str = "source_batch_id") -> DataFrame:
+    """HIS-2 for several batches in one pass: what :func:`scd2_apply` gives for them
+    one after the other, in the order of their first crawl (ties by batch id).
+
+    Per key the batches' latest offers, one a batch, are folded onto the open row;
+    closed rows pass by untouched. Two shuffles on the key, whatever the number of
+    batches; a key's list is as long as the batches of the call.
+    """
+    cols = list(key) + VALUE + ["valid_from_date", "valid_to_date"]
+    first = offers.groupBy(F.col(batch_col).alias("_batch")).agg(F.min("crawl_ts_utc").alias("_first"))
+    latest = latest_per_key(offers.withColumn("_batch", F.col(batch_col)), [*key, "_batch"], date_col)
+    latest = latest.join(first, latest["_batch"].eqNullSafe(first["_batch"])).drop(first["_batch"])
+    row = F.struct(*VALUE, "valid_from_date")
+    found = latest.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("_first").alias("t"), F.col("_batch").alias("b"), row.alias("r")))).alias("_l"))
+    history = history.select(*cols)
+    open_ = history.filter(F.col("valid_to_date").isNull()).select(*key, row.alias("_open"))
+    on = None
+    for k in key:
+        same = open_[k].eqNullSafe(found[k])
+        on = same if on is None else on & same
+    j = open_.join(found, on, "full").select(*[F.coalesce(open_[k], found[k]).alias(k) for k in key], "_open", "_l")
+    news = F.transform(F.coalesce("_l", F.expr("array()").cast(found.schema["_l"].dataType)), lambda x: x["r"])
+    start = F.when(F.col("_open").isNotNull(), F.array("_open")).otherwise(F.slice(news, 1, 1))
+
+    def accept(rows, x):
+        last = F.element_at(rows, -1)
+        newer = (x["effective_total_usd"] != last["effective_total_usd"]) & (x["valid_from_date"] > last["valid_from_date"])
+        return F.when(newer, F.concat(rows, F.array(x))).otherwise(rows)
+
+    j = j.select(*key, F.aggregate(news, start, accept).alias("_rows"))
+    r = j.select(*key, "_rows", F.posexplode("_rows").alias("_i", "_r"))
+    ends = F.date_sub(F.get("_rows", F.col("_i") + 1)["valid_from_date"], 1)
+    return history.filter(F.col("valid_to_date").isNotNull()).unionByName(
+        r.select(*key, *[F.col("_r")[v].alias(v) for v in [*VALUE, "valid_from_date"]], ends.alias("valid_to_date")).select(*cols))
+
+
 def price_as_of(history: DataFrame, as_of) -> DataFrame:
     """HIS-4: the row valid on a date."""
     d = F.lit(as_of).cast("date")
