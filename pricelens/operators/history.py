@@ -85,18 +85,18 @@ def scd2_fold(history: DataFrame, offers: DataFrame, key=KEY, date_col: str = "c
     batches; a key's list is as long as the batches of the call.
     """
     cols = list(key) + VALUE + ["valid_from_date", "valid_to_date"]
-    first = offers.groupBy(F.col(batch_col).alias("_batch")).agg(F.min("crawl_ts_utc").alias("_first"))
+    first = offers.groupBy(F.col(batch_col).alias("_of")).agg(F.min("crawl_ts_utc").alias("_first"))
     latest = latest_per_key(offers.withColumn("_batch", F.col(batch_col)), [*key, "_batch"], date_col)
-    latest = latest.join(first, latest["_batch"].eqNullSafe(first["_batch"])).drop(first["_batch"])
+    latest = latest.join(first, F.col("_batch").eqNullSafe(F.col("_of")))
     row = F.struct(*VALUE, "valid_from_date")
-    found = latest.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("_first").alias("t"), F.col("_batch").alias("b"), row.alias("r")))).alias("_l"))
+    found = latest.groupBy(*[F.col(k).alias(f"_n_{k}") for k in key]).agg(F.array_sort(F.collect_list(F.struct(F.col("_first").alias("t"), F.col("_batch").alias("b"), row.alias("r")))).alias("_l"))
     history = history.select(*cols)
-    open_ = history.filter(F.col("valid_to_date").isNull()).select(*key, row.alias("_open"))
+    open_ = history.filter(F.col("valid_to_date").isNull()).select(*[F.col(k).alias(f"_o_{k}") for k in key], row.alias("_open"))
     on = None
     for k in key:
-        same = open_[k].eqNullSafe(found[k])
+        same = F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}"))
         on = same if on is None else on & same
-    j = open_.join(found, on, "full").select(*[F.coalesce(open_[k], found[k]).alias(k) for k in key], "_open", "_l")
+    j = open_.join(found, on, "full").select(*[F.coalesce(f"_o_{k}", f"_n_{k}").alias(k) for k in key], "_open", "_l")
     news = F.transform(F.coalesce("_l", F.expr("array()").cast(found.schema["_l"].dataType)), lambda x: x["r"])
     start = F.when(F.col("_open").isNotNull(), F.array("_open")).otherwise(F.slice(news, 1, 1))
 

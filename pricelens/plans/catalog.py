@@ -2135,9 +2135,9 @@ def q_asof_events(spark, sf_dir):
                       F.col("prev_value"))
 
 
-@query("stream_feeds", "SELECT event_type, count(*) AS events, round(sum(value), 2) AS total_value FROM events GROUP BY 1")
-def q_stream_feeds(spark, sf_dir):
-    """PIPE-3: events written as feed files, loaded by the streaming loader in
+@query("stream_events", "SELECT event_type, count(*) AS events, round(sum(value), 2) AS total_value FROM events GROUP BY 1")
+def q_stream_events(spark, sf_dir):
+    """PIPE-3, the loop alone: events written as files, loaded by the streaming loader in
     bounded chunks (availableNow), then summarised; equals the batch result."""
     import uuid
     from pyspark.sql import types as TT
@@ -2175,7 +2175,7 @@ def q_path_b_rules(spark, sf_dir):
 REPLAY_BATCH = 1999
 
 
-@query("replay", T.with_sql(T.OFFERS_SQL, T.STAGING_SQL) + f""",
+@query("replay_ingest", T.with_sql(T.OFFERS_SQL, T.STAGING_SQL) + f""",
 fixed AS (SELECT * REPLACE (CASE WHEN country_name = 'Atlantis' THEN 0 ELSE country_code END AS country_code)
           FROM staging WHERE source_batch_id = {REPLAY_BATCH}),
 ing AS (SELECT source_batch_id, {_flag_cols(INGEST_FLAGS)} FROM fixed)
@@ -2183,8 +2183,8 @@ SELECT rule_id, failed_records FROM (
   SELECT {', '.join(f'CAST(sum(CASE WHEN f_{r} THEN 1 ELSE 0 END) AS BIGINT) AS {r}' for r in INGEST_FLAGS)} FROM ing)
 UNPIVOT (failed_records FOR rule_id IN ({', '.join(INGEST_FLAGS)}))
 """)
-def q_replay(spark, sf_dir):
-    """REV-3: re-run one batch's INGEST rules from its stored rows with an updated
+def q_replay_ingest(spark, sf_dir):
+    """REV-3, one stage: re-run one batch's INGEST rules from its stored rows with an updated
     country map (the unknown name now resolves)."""
     def run(b):
         b = b.withColumn("country_code", F.when(F.col("country_name") == "Atlantis", F.lit(0))
@@ -2267,3 +2267,6 @@ def q_harmonise_samples(spark, sf_dir):
                               lambda names: HM.match_top_k(names, reg, 1, None, TEST_DICT, "levenshtein"))
     return out.select("stratum", F.col("stratum_order").cast("int").alias("stratum_order"), "name",
                       "model_key", "score", "confidence", "attr_match", "token_jaccard", "char_fuzz")
+
+
+from pricelens.plans import feed_queries as feed_queries  # noqa: E402  registers its queries here

@@ -97,7 +97,7 @@ def test_streamed_chunks_equal_the_batch_after_a_restart(spark, tmp_path, world,
     src = tmp_path / "src"
     src.mkdir()
     row = lambda d, p, price: f'2025-10-{d:02d}T10:00,{"Australia" if p == "PA" else "New Zealand"},{p},iP 17 Pro 256GB,{price},,,"n\n{d}"\n'
-    for i, rows in enumerate(([row(1, "PA", 1999), row(2, "PB", 2300)], [row(3, "PA", 2199), "bad,Atlantis,PA,,,,,\n"], [row(5, "PA", 2199), row(6, "PB", 2100)])):
+    for i, rows in enumerate(([row(1, "PA", 1999), row(2, "PB", 2300)], [row(3, "PA", 2199), "bad,Atlantis,PA,,,,,\n", row(6, "PB", 2100)])):
         feed(src, f"{i}.csv", rows)
         import os
         os.utime(src / f"{i}.csv", (1_700_000_000 + i, 1_700_000_000 + i))  # oldest first
@@ -110,7 +110,7 @@ def test_streamed_chunks_equal_the_batch_after_a_restart(spark, tmp_path, world,
                 self.write(name, df, run_id)
             raise RuntimeError("killed")
         version = publish(self, outputs, batches, run_id, *a, **k)
-        if len(seen) == 4:  # committed, but the stream does not hear of it
+        if len(seen) == 1:  # committed, but the stream does not hear of it
             raise RuntimeError("killed after its commit")
         return version
 
@@ -119,15 +119,15 @@ def test_streamed_chunks_equal_the_batch_after_a_restart(spark, tmp_path, world,
         with pytest.raises(Exception):
             stream_pipeline(spark, str(src), ctx, registry, models, store, F.col("PARTNER"), max_files=1, name="f")
     stream_pipeline(spark, str(src), ctx, registry, models, store, F.col("PARTNER"), max_files=1, name="f")
-    assert seen == ["f-00000000", "f-00000001", "f-00000001", "f-00000002"] and store.commit().version == 3
+    assert seen == ["f-00000000", "f-00000001", "f-00000001"] and store.commit().version == 2
     monkeypatch.setattr(ST.Store, "publish", publish)
     whole = ST.Store(spark, str(tmp_path / "batch"))
     ctx.run_id = "all"
-    P.run_feeds(spark, [([str(src / f"{i}.csv")], F.col("PARTNER"), f"f-{i:08d}") for i in range(3)], ctx, registry, models, whole)
+    P.run_feeds(spark, [([str(src / f"{i}.csv")], F.col("PARTNER"), f"f-{i:08d}") for i in range(2)], ctx, registry, models, whole)
     for table, off in (("facts", []), ("staging", []), ("history", []), ("summary", ["anomalies_detected"]), ("dq_bad_records", ["run_id"])):
         cols = sorted(set(whole.read(table).columns) - set(off) - {"raw_payload"})
         assert sorted(map(str, store.read(table).select(*cols).collect())) == sorted(map(str, whole.read(table).select(*cols).collect())), table
-    assert store.read("facts").count() == 5
+    assert store.read("facts").count() == 4
 
 
 def offers(spark, rows):
@@ -149,7 +149,7 @@ def test_a_fold_of_many_batches_equals_them_in_turn(spark):
     r = random.Random(8)
     t = lambda d: dt.datetime(2025, 1, 1) + dt.timedelta(days=d)
     cols = H.KEY + H.VALUE + ["valid_from_date", "valid_to_date"]
-    for _ in range(3):
+    for _ in range(2):
         rows = [(r.choice((100, 110, 120)), t(r.randint(0, 25)), f"b{r.randint(0, 6)}") for _ in range(60)]
         all_ = offers(spark, rows).withColumn("partner_id", F.pmod(F.expr("cast(substr(offer_id, 2) as bigint)"), F.lit(4)))
         first = H.scd2_rebuild(all_.where("source_batch_id = 'b0'")) if r.random() < .7 else H.scd2_rebuild(all_.limit(0))
@@ -157,6 +157,7 @@ def test_a_fold_of_many_batches_equals_them_in_turn(spark):
         order = sorted({b for _, _, b in rows} - {"b0"}, key=lambda b: (min(x for _, x, c in rows if c == b), b))
         for b in order:
             turn = H.scd2_apply(turn, all_.where(F.col("source_batch_id") == b))
+            turn = spark.createDataFrame(turn.collect(), turn.schema)
         fold = H.scd2_fold(first, all_.where("source_batch_id != 'b0'"))
         assert sorted(map(str, fold.select(*cols).collect())) == sorted(map(str, turn.select(*cols).collect()))
 
