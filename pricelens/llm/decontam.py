@@ -1,9 +1,11 @@
 """Benchmark decontamination with DataFrame functions only.
 
-Benchmark texts are cut into windows of normalised words; the set of window
-hashes is broadcast (its size is checked first; beyond the bound the same join
-is shuffled), every window of every document is probed against it, each hit is
-verified word by word, and hit words or hit documents are removed.
+Benchmark texts are cut into windows of normalised words. Each window is filed
+under one of its words, the one that fewest windows hold; the hash set of these
+is broadcast (its size is checked first; beyond the bound the same join is
+shuffled). Every document is cut into words once; a word found in the set places
+its windows over the document, each placed window is verified word by word, and
+hit words or hit documents are removed.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PIECE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*+[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 TAIL = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Windows whose hashes and words are sent to every executor at most (about 30 MB).
-BROADCAST_WINDOWS = 200_000
+#: Windows, and bytes of their words and item ids, that are sent to every executor at most.
+BROADCAST_WINDOWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def words(text: Column) -> Column:
@@ -36,7 +38,7 @@ def _barrier(df: DataFrame, *columns: Column) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(_ll_m, _ll_hash, _ll_gram, _ll_items): the distinct windows of the items.
+    """(_ll_m, _ll_gram, _ll_items): the distinct windows of the items.
 
     An item of fewer than ``n`` words, but not none, is one window. A null id
     counts as the string ``null``.
@@ -45,8 +47,18 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10, id_col: str = "item_id"
     w = w.where(F.size("_ll_words") > 0).withColumn("_ll_m", F.least(F.size("_ll_words"), F.lit(n)))
     w = w.select("_ll_item", "_ll_words", "_ll_m", F.explode(F.sequence(F.lit(1), F.size("_ll_words") - F.col("_ll_m") + 1)).alias("_ll_pos"))
     return (w.select("_ll_item", "_ll_m", F.slice("_ll_words", F.col("_ll_pos"), F.col("_ll_m")).alias("_ll_gram"))
-            .groupBy("_ll_m", "_ll_gram").agg(F.collect_set("_ll_item").alias("_ll_items"))
-            .withColumn("_ll_hash", F.xxhash64("_ll_gram")))
+            .groupBy("_ll_m", "_ll_gram").agg(F.collect_set("_ll_item").alias("_ll_items")))
+
+
+def anchored(grams: DataFrame) -> DataFrame:
+    """The windows with ``_ll_word``, the word under which each is filed, and
+    ``_ll_offset``, its place in the window (from 0). The word is the one that
+    fewest windows hold; of those the longest, then the first in code-point order."""
+    placed = grams.select("_ll_m", "_ll_gram", F.posexplode("_ll_gram").alias("_ll_offset", "_ll_word"))
+    spread = placed.groupBy("_ll_word").agg(F.count(F.lit(1)).alias("_ll_in"))
+    best = F.min(F.struct("_ll_in", (-F.length("_ll_word")).alias("l"), "_ll_word", "_ll_offset"))
+    chosen = placed.join(spread, "_ll_word").groupBy("_ll_m", "_ll_gram").agg(best.alias("_ll_b"))
+    return grams.join(chosen, ["_ll_m", "_ll_gram"]).select("_ll_m", "_ll_gram", "_ll_items", "_ll_b._ll_word", "_ll_b._ll_offset")
 
 
 def _text_key(id_col: str, text_col: str) -> list[Column]:
@@ -57,32 +69,40 @@ def _text_key(id_col: str, text_col: str) -> list[Column]:
 KEY = ["_ll_id", "_ll_text"]
 
 
+def _found(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str, item_id_col: str, item_text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(hits, counts) from one pass over the texts: hits as :func:`window_hits` says,
+    counts (_ll_id, _ll_text, _ll_n), one or more alike a text."""
+    grams = settle(anchored(benchmark_windows(benchmark, n, item_id_col, item_text_col)), "benchmark-windows")
+    size = grams.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.concat_ws(" ", "_ll_gram")) + F.octet_length(F.concat_ws(" ", "_ll_items"))).alias("bytes")).first()
+    small = size["n"] <= BROADCAST_WINDOWS and (size["bytes"] or 0) <= BROADCAST_BYTES
+    probes = grams.select(F.col("_ll_word").alias("_ll_anchor"), "_ll_offset", "_ll_m", "_ll_gram", "_ll_items")
+    d = _barrier(docs, *_text_key(id_col, text_col), words(F.col(text_col)).alias("_ll_words"))
+    listed = F.col("_ll_words")
+    if small:
+        # the empty string, which no word is, ends each document: its place tells the number of words
+        none = F.array().cast("array<string>")
+        end = docs.sparkSession.range(1).select(F.lit("").alias("_ll_anchor"), F.lit(0).alias("_ll_offset"), F.lit(0).alias("_ll_m"), none.alias("_ll_gram"), none.alias("_ll_items"))
+        probes, listed = F.broadcast(probes.unionByName(end)), F.concat(listed, F.array(F.lit("")))
+    w = d.select(*KEY, "_ll_words", F.posexplode(listed).alias("_ll_at", "_ll_w"))
+    first = F.col("_ll_at") - F.col("_ll_offset")
+    hit = w.join(probes, (F.col("_ll_w") == F.col("_ll_anchor")) & (first >= 0)
+                 & (F.slice("_ll_words", F.greatest(first + 1, F.lit(1)), F.col("_ll_m")) == F.col("_ll_gram")))
+    found = settle(hit.select(*KEY, (first + 1).alias("_ll_pos"), "_ll_m", "_ll_items"), "window-hits")
+    if small:
+        counts = found.where("_ll_m = 0").select(*KEY, (F.col("_ll_pos") - 1).cast("long").alias("_ll_n"))
+    else:
+        counts = docs.select(*_text_key(id_col, text_col), F.size(words(F.col(text_col))).cast("long").alias("_ll_n"))
+    return found.where("_ll_m > 0"), counts
+
+
 def window_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
                 item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(_ll_id, _ll_text, _ll_pos, _ll_m, _ll_items): every verified hit, 1-based.
 
     The result is settled in the shared folder; it is as large as the
-    contamination, not as the corpus.
+    contamination, not as the corpus, but for one short row a document.
     """
-    grams = settle(benchmark_windows(benchmark, n, item_id_col, item_text_col), "benchmark-windows")
-    lengths = sorted(r[0] for r in grams.select("_ll_m").distinct().collect())  # at most n values
-    probes = grams.select(F.col("_ll_m").alias("_ll_gm"), F.col("_ll_hash").alias("_ll_gh"), "_ll_gram", "_ll_items")
-    if grams.count() <= BROADCAST_WINDOWS:
-        probes = F.broadcast(probes)
-    d = _barrier(docs, *_text_key(id_col, text_col), words(F.col(text_col)).alias("_ll_words"))
-
-    def at_length(m: int) -> Column:
-        starts = F.when(F.size("_ll_words") >= m, F.sequence(F.lit(1), F.size("_ll_words") - (m - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.xxhash64(F.slice("_ll_words", i, m)))
-
-    found = None
-    for m in lengths or [n]:
-        w = d.select(*KEY, "_ll_words", F.posexplode(at_length(m)).alias("_ll_pos", "_ll_h"))
-        hit = w.join(probes.where(F.col("_ll_gm") == m), (F.col("_ll_h") == F.col("_ll_gh"))
-                     & (F.slice("_ll_words", F.col("_ll_pos") + 1, m) == F.col("_ll_gram")))
-        hit = hit.select(*KEY, (F.col("_ll_pos") + 1).alias("_ll_pos"), F.lit(m).alias("_ll_m"), "_ll_items")
-        found = hit if found is None else found.unionByName(hit)
-    return settle(found, "window-hits")
+    return _found(docs, benchmark, n, id_col, text_col, item_id_col, item_text_col)[0]
 
 
 def hit_words(hits: DataFrame) -> DataFrame:
@@ -99,13 +119,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: st
     same result; an empty benchmark hits nothing. Input columns named like an
     output column are replaced.
     """
-    hits = window_hits(docs, benchmark, n, id_col, text_col, item_id_col, item_text_col)
+    hits, counts = _found(docs, benchmark, n, id_col, text_col, item_id_col, item_text_col)
     n_hit = hit_words(hits).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_ll_n_hit"))
     items = (hits.select(*KEY, F.explode("_ll_items").alias("_ll_item")).groupBy(*KEY)
              .agg(F.array_sort(F.collect_set("_ll_item")).alias("_ll_items")))
     kept = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "n_items", "contaminated")]
-    base = docs.select(*kept, *_text_key(id_col, text_col), F.size(words(F.col(text_col))).cast("long").alias("n_words"))
-    out = join_null_safe(base, join_null_safe(n_hit, items, KEY), KEY, "left")
+    base = docs.select(*kept, *_text_key(id_col, text_col))
+    known = counts.groupBy(*KEY).agg(F.max("_ll_n").alias("n_words"))
+    out = join_null_safe(join_null_safe(base, known, KEY), join_null_safe(n_hit, items, KEY), KEY, "left")
     found = F.coalesce("_ll_items", F.array().cast("array<string>"))
     hit = F.coalesce("_ll_n_hit", F.lit(0)).cast("long")
     return out.select(*kept, "n_words", hit.alias("n_hit"), found.alias("items"), F.size(found).cast("long").alias("n_items"), (hit > 0).alias("contaminated"))
