@@ -12,12 +12,15 @@ agree by chance, out of the join. Texts are joined on (band, part, XOR-hash of t
 part); candidates are verified on the sets themselves.
 
 Equal sets are one node. Within a batch, and then within a bucket, the nodes of
-one sketch word are linked to the smallest of them only (a star). Stars whose
-verified links leave members in different components are gone through once
-more: all pairs across components, filtered by Hamming distance and verified.
-So no link between components is lost, a group of copies costs a star, and
-pairs are compared only where a star has failed; a large failed star is split
-into cells of about ``CELL`` members.
+one sketch word are linked to the smallest of them only (a star). Candidates are
+filtered by the Hamming distance of sketches with about one bit a shingle (a power
+of two of words; a longer one is folded to a shorter one's length), and only what
+is left has its sets compared. Stars whose verified links leave members in
+different components are gone through again: first a spanning forest of the
+members that are near each other, then, of what is still apart, all pairs. So no
+link between components is lost, a group of copies costs a star, and pairs are
+compared only where a star has failed; a large failed star is split into cells of
+about ``CELL`` members.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from ._shared import release, settle
 _U = np.uint64
 #: Members of a failed star that are compared in one task.
 CELL = 1000
-#: Words of the fixed sketches that candidates are filtered by before their sets are compared.
+#: Words of the sketches that candidates are filtered by, at least.
 PARTS = 16
 _DOC_BITS = 12  # texts in a run at most 2**12; shingle hashes keep the other 52 bits
 _SHINGLE = _U((1 << 64 - _DOC_BITS) - 1)
@@ -99,6 +102,12 @@ def sketch(offsets: np.ndarray, shingles: np.ndarray, parts: np.ndarray) -> tupl
     return first, np.packbits(odd, bitorder="little").view("<u8")
 
 
+def widths(sizes: np.ndarray) -> np.ndarray:
+    """Words of a filter sketch: a power of two with a bit a shingle or more. Linked
+    sets (at a similarity of 0.5 or more) have widths that differ by one fold at most."""
+    return np.maximum(PARTS, 1 << np.ceil(np.log2(np.maximum(sizes, 1) / 64)).clip(0).astype(np.int64))
+
+
 def part_words(offsets: np.ndarray, shingles: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first part of each set, words, shingles dealt to each part) of sketches
     with 2**20 bits a part, each part given by its XOR-hash: the exclusive or of a
@@ -197,24 +206,36 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
     release(docs.sparkSession)
     pairs = settle(stars.select("node", "pivot").distinct(), "star-pairs")
 
-    # the sets of all candidates, from one text for each
-    wanted = pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct()
-    texts = slim.join(wanted, "node").groupBy("node").agg(F.min("_ll_key").alias("_ll_key")).select("_ll_key").distinct()
     one = F.row_number().over(Window.partitionBy("_ll_key").orderBy("_ll_key"))
-    # the candidates' ids grow with the corpus: the join is shuffled at every size
-    texts = narrow.select("_ll_key", "_ll_text").join(texts.hint("merge"), "_ll_key").withColumn("_ll_k", one).where("_ll_k = 1").select("_ll_text")
-
-    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for _, _, at, s in shingle_sets(b.column(0), n):
-                _, words = sketch(at, s, np.full(len(at) - 1, PARTS))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes_of(at, s).view(np.int64)), pa.array(np.diff(at)), _lists(words.view(np.int64), np.arange(len(at)) * PARTS), _lists(s.view(np.int64), at)],
-                                                 names=["node", "n", "sketch", "shingles"])
 
-    sets = settle(texts.mapInArrow(load, "node bigint, n bigint, sketch array<bigint>, shingles array<bigint>"), "candidate-sets")
-    release(docs.sparkSession)
-    links = settle(_verified(_near(pairs, sets, num, den), sets, num, den), "links")
-    release(docs.sparkSession)
+    def load(whole: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for _, _, at, s in shingle_sets(b.column(0), n):
+                    size = np.diff(at)
+                    first, words = (at, s) if whole else sketch(at, s, widths(size))
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes_of(at, s).view(np.int64)), pa.array(size), _lists(words.view(np.int64), first)], names=["node", "n", "sketch"])
+
+        return run
+
+    def loaded(of: DataFrame, whole: bool, name: str) -> DataFrame:
+        """Sketches or sets of the nodes in pairs, from one text for each."""
+        wanted = of.select("node").unionByName(of.select(F.col("pivot").alias("node"))).distinct()
+        texts = slim.join(wanted, "node").groupBy("node").agg(F.min("_ll_key").alias("_ll_key")).select("_ll_key").distinct()
+        # the candidates' ids grow with the corpus: the join is shuffled at every size
+        texts = narrow.select("_ll_key", "_ll_text").join(texts.hint("merge"), "_ll_key").withColumn("_ll_k", one).where("_ll_k = 1").select("_ll_text")
+        out = settle(texts.mapInArrow(load(whole), "node bigint, n bigint, sketch array<bigint>"), name)
+        release(docs.sparkSession)
+        return out
+
+    def verified(of: DataFrame, name: str) -> DataFrame:
+        of = settle(of, f"{name}-near")
+        out = settle(_verified(of, loaded(of, True, f"{name}-sets"), num, den), name)
+        release(docs.sparkSession)
+        return out
+
+    sketches = loaded(pairs, False, "candidate-sketches")
+    links = verified(_near(pairs, sketches, num, den), "links")
     roots = settle(components(links, "node", "pivot"), "roots")
 
     # stars whose members did not all come together
@@ -223,35 +244,43 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
     failed = stars.join(apart, ["node", "pivot"], "left_semi").select("sig").distinct()
     failed = settle(stars.join(failed, "sig"), "failed-stars")
     members = failed.select("sig", "node").unionByName(failed.select("sig", F.col("pivot").alias("node"))).distinct()
-    large = members.groupBy("sig").agg(F.count(F.lit(1)).alias("_ll_m")).where("_ll_m > 2")  # two members have been compared
-    large = large.select("sig", F.ceil(F.col("_ll_m") / CELL).cast("int").alias("_ll_cells"))
-    members = members.join(large, "sig").join(roots, "node", "left").join(sets.select("node", "n", "sketch"), "node").withColumn("root", F.coalesce("root", "node"))
-    mine, other = F.pmod(F.xxhash64("node"), F.col("_ll_cells")).cast("int"), F.col("_ll_o")
-    again = (members.withColumn("_ll_c", mine).withColumn("_ll_o", F.explode(F.sequence(F.lit(0), F.col("_ll_cells") - 1)))
-             .select("sig", F.least("_ll_c", other).alias("x"), F.greatest("_ll_c", other).alias("y"), "node", "root", "n", (F.col("_ll_c") <= other).alias("left"), "sketch"))
-
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, []
-        for b in batches:
-            keys = list(zip(*(b.column(i).to_pylist() for i in range(3))))
-            at = 0
-            while at < len(keys):
-                end = at
-                while end < len(keys) and keys[end] == keys[at]:
-                    end += 1
-                if keys[at] != last:
-                    yield from _across(last, held, num, den)
-                    last, held = keys[at], []
-                held.append(b.slice(at, end - at))
-                at = end
-        yield from _across(last, held, num, den)
-
-    dealt = again.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
-    more = settle(dealt.mapInArrow(across, "node bigint, pivot bigint").distinct(), "second-pairs")
+    # two members have been compared; of stars with the same members one is enough
+    large = members.groupBy("sig").agg(F.count(F.lit(1)).alias("_ll_m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_ll_h")).where("_ll_m > 2")
+    large = large.groupBy("_ll_m", "_ll_h").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("_ll_m") / CELL).cast("int").alias("_ll_cells"))
+    members = settle(members.join(large, "sig"), "members")
     release(docs.sparkSession)
-    every = settle(links.unionByName(_verified(more, sets, num, den)), "all-links")
-    release(docs.sparkSession)
-    roots = settle(components(every, "node", "pivot"), "roots")
+
+    def across(forest: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last, held = None, []
+            for b in batches:
+                keys = list(zip(*(b.column(i).to_pylist() for i in range(3))))
+                at = 0
+                while at < len(keys):
+                    end = at
+                    while end < len(keys) and keys[end] == keys[at]:
+                        end += 1
+                    if keys[at] != last:
+                        yield from _across(last, held, num, den, forest)
+                        last, held = keys[at], []
+                    held.append(b.slice(at, end - at))
+                    at = end
+            yield from _across(last, held, num, den, forest)
+
+        return run
+
+    for forest in (True, False):
+        mine, other = F.pmod(F.xxhash64("node"), F.col("_ll_cells")).cast("int"), F.col("_ll_o")
+        known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = known.groupBy("sig").agg((F.min("root") < F.max("root")).alias("_ll_apart")).where("_ll_apart").select("sig")
+        known = known.join(apart, "sig").join(sketches, "node")
+        again = (known.withColumn("_ll_c", mine).withColumn("_ll_o", F.explode(F.sequence(F.lit(0), F.col("_ll_cells") - 1)))
+                 .select("sig", F.least("_ll_c", other).alias("x"), F.greatest("_ll_c", other).alias("y"), "node", "root", "n", (F.col("_ll_c") <= other).alias("left"), "sketch"))
+        dealt = again.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
+        name = "forest-links" if forest else "other-links"
+        more = verified(dealt.mapInArrow(across(forest), "node bigint, pivot bigint").distinct(), name)
+        links = settle(links.unionByName(more), "all-links")
+        roots = settle(components(links, "node", "pivot"), "roots")
     return slim.join(roots, "node", "left").select("_ll_key", "_ll_id", "n_shingles", F.when(F.col("node") != 0, F.coalesce("root", "node")).alias("root"))
 
 
@@ -291,42 +320,80 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
 
-def _near(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs that sizes and sketches of ``PARTS`` words do not rule out."""
-    a = sets.select("node", F.col("n").alias("_ll_na"), F.col("sketch").alias("_ll_sa"))
-    b = sets.select(F.col("node").alias("pivot"), F.col("n").alias("_ll_nb"), F.col("sketch").alias("_ll_sb"))
+def _near(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that sizes and sketches do not rule out."""
+    a = sketches.select("node", F.col("n").alias("_ll_na"), F.col("sketch").alias("_ll_sa"))
+    b = sketches.select(F.col("node").alias("pivot"), F.col("n").alias("_ll_nb"), F.col("sketch").alias("_ll_sb"))
     na, nb = F.col("_ll_na"), F.col("_ll_nb")
-    apart = F.aggregate(F.zip_with("_ll_sa", "_ll_sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    return (pairs.join(a, "node").join(b, "pivot")
-            .where((na * den >= nb * num) & (nb * den >= na * num) & (apart * (den + num) <= (na + nb) * (den - num))).select("node", "pivot"))
+
+    def folded(c: str, to: str):
+        half = F.transform(F.sequence(F.lit(0), (F.size(c) / 2 - 1).cast("int")), lambda i: F.get(c, (2 * i).cast("int")).bitwiseXOR(F.get(c, (2 * i + 1).cast("int"))))
+        return F.when(F.size(c) > F.size(to), half).otherwise(F.col(c))
+
+    both = pairs.join(a, "node").join(b, "pivot").where((na * den >= nb * num) & (nb * den >= na * num))
+    one_fold = (F.size("_ll_sa") <= 2 * F.size("_ll_sb")) & (F.size("_ll_sb") <= 2 * F.size("_ll_sa"))  # else the sets decide
+    apart = F.aggregate(F.zip_with(folded("_ll_sa", "_ll_sb"), folded("_ll_sb", "_ll_sa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    return both.where(F.when(one_fold, apart * (den + num) <= (na + nb) * (den - num)).otherwise(True)).select("node", "pivot")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose sets meet the threshold."""
-    a = sets.select("node", F.col("shingles").alias("_ll_a"))
-    b = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("_ll_b"))
+    a = sets.select("node", F.col("sketch").alias("_ll_a"))
+    b = sets.select(F.col("node").alias("pivot"), F.col("sketch").alias("_ll_b"))
     both = pairs.join(a, "node").join(b, "pivot")
     inter = F.size(F.array_intersect("_ll_a", "_ll_b"))
     return both.where(inter * den >= (F.size("_ll_a") + F.size("_ll_b") - inter) * num).select("node", "pivot")
 
 
-def _across(key: tuple | None, held: list[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of members in different components whose sizes and sketches are near enough."""
+def _fold(words: np.ndarray, width: int) -> np.ndarray:
+    while words.shape[-1] > width:
+        words = words[..., 0::2] ^ words[..., 1::2]
+    return words
+
+
+def _across(key: tuple | None, held: list[pa.RecordBatch], num: int, den: int, forest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of members in different components whose sizes and sketches are near
+    enough: all, or with ``forest`` as many as join what can be joined."""
     if not held:
         return
     table = pa.Table.from_batches(held).combine_chunks()
     node, root, size, left = (table[c].to_numpy() for c in ("node", "root", "n", "left"))
     if len(node) < 2 or (root == root[0]).all():
         return
-    words = table["sketch"].chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(node), PARTS)
+    lists = table["sketch"].chunk(0)
+    flat, start, width = lists.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]), lists.value_lengths().to_numpy()
+    at_width = {int(w): np.flatnonzero(width == w) for w in np.unique(width)}
+    rows = {w: np.stack([flat[start[i]:start[i] + w] for i in at]) for w, at in at_width.items()}
     same = key[1] == key[2]
-    for i in range(len(node)):
-        if not same and not left[i]:
-            continue
-        at = np.flatnonzero((root != root[i]) & ((node > node[i]) if same else ~left))
-        at = at[(size[at] * den >= size[i] * num) & (size[i] * den >= size[at] * num)]
-        if len(at):
-            apart = np.bitwise_count(words[at] ^ words[i]).sum(1, dtype=np.int64)
-            at = at[apart * (den + num) <= (size[at] + size[i]) * (den - num)]
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), node[i])), pa.array(node[at])], names=["node", "pivot"])
+    up = {r: r for r in root.tolist()}  # components joined by what has been yielded
+
+    def top(x):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for w, at in at_width.items():
+        against = [(at, rows[w], True)] + [(at_width[x], _fold(rows[x], w), False) for x in at_width if x > w]
+        for k, i in enumerate(at):
+            for others, words, own in against:
+                ok = root[others] != root[i]
+                if own:
+                    ok &= (node[others] > node[i]) if same else (left[i] & ~left[others])
+                elif not same:
+                    ok &= left[others] != left[i]
+                ok &= (size[others] * den >= size[i] * num) & (size[i] * den >= size[others] * num)
+                j = np.flatnonzero(ok)
+                if not len(j):
+                    continue
+                gap = np.bitwise_count(words[j] ^ rows[w][k]).sum(1, dtype=np.int64)
+                j = others[j[gap * (den + num) <= (size[others[j]] + size[i]) * (den - num)]]
+                if forest and len(j):
+                    fresh = []
+                    for x in j:
+                        a, b = top(int(root[i])), top(int(root[x]))
+                        if a != b:
+                            up[a] = b
+                            fresh.append(x)
+                    j = np.array(fresh, np.int64)
+                if len(j):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(node[j], node[i])), pa.array(np.minimum(node[j], node[i]))], names=["node", "pivot"])
