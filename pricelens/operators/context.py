@@ -14,27 +14,43 @@ from pricelens import config
 from pricelens.session import cut_lineage
 
 
+def match_wildcards(keys: DataFrame, rules: DataFrame, dims: dict[str, str], on: dict[str, str] | None = None) -> DataFrame:
+    """Every pair of a key and a rule that agree in all of ``dims`` (key column to
+    rule column) and are equal in ``on``; a NULL in a rule agrees with anything, a
+    NULL in a key with such rules only. Column names must not clash.
+
+    Rules are filed under the set of columns that they name. A key looks itself up
+    once in each set that rules have, by its values in that set's columns, so this
+    is one equi-join without nested loops; keys should be distinct.
+    """
+    bits = [(1 << i, k, r) for i, (k, r) in enumerate(dims.items())]
+    filed = rules.withColumn("_names", sum((F.when(F.col(r).isNotNull(), b).otherwise(0) for b, _, r in bits), F.lit(0)))
+    seek = keys.withColumn("_set", F.explode(F.sequence(F.lit(0), F.lit((1 << len(bits)) - 1))))
+    match = F.col("_set") == F.col("_names")
+    for b, k, r in bits:
+        named = F.col("_set").bitwiseAND(b) != 0
+        seek = seek.filter(~named | F.col(k).isNotNull()).withColumn(f"_at_{k}", F.when(named, F.col(k)))
+        match = match & F.col(f"_at_{k}").eqNullSafe(F.col(r))
+    for k, r in (on or {}).items():
+        match = match & (F.col(k) == F.col(r))
+    return seek.join(filed, match).drop("_set", "_names", *[f"_at_{k}" for _, k, _ in bits])
+
+
 def resolve_thresholds(cfg: DataFrame, keys: DataFrame) -> DataFrame:
     """ANO-13: most specific config value per (config_key, category, country).
 
     A row matches when its category/country equal the key's or are NULL;
-    category match outranks country match, which outranks global.
-    ``keys`` has category_code, country_code; ``cfg`` has config_key,
-    config_value, category_code?, country_code?.
+    category match outranks country match, which outranks global; of equally
+    specific rows the largest value counts. ``keys`` has category_code,
+    country_code; ``cfg`` has config_key, config_value, category_code?, country_code?.
     """
     c = cfg.select("config_key", "config_value", F.col("category_code").alias("c_cat"),
                    F.col("country_code").alias("c_cty"))
-    # equi-join on the config key set: each key row meets every config row of
-    # its key name (a fixed, small table), filtered by the wildcard rule
     k = keys.select("category_code", "country_code").distinct()
-    j = k.join(F.broadcast(c), (F.col("c_cat").isNull() | (F.col("c_cat") == F.col("category_code")))
-               & (F.col("c_cty").isNull() | (F.col("c_cty") == F.col("country_code"))))
+    j = match_wildcards(k, c, {"category_code": "c_cat", "country_code": "c_cty"})
     spec = F.when(F.col("c_cat").isNotNull(), 2).otherwise(0) + F.when(F.col("c_cty").isNotNull(), 1).otherwise(0)
-    w = Window.partitionBy("config_key", "category_code", "country_code").orderBy(F.desc("_spec"))
-    return (j.withColumn("_spec", spec).withColumn("_rn", F.row_number().over(w))
-             .filter(F.col("_rn") == 1)
-             .select("config_key", "category_code", "country_code", "config_value",
-                     F.col("_spec").alias("specificity")))
+    best = j.groupBy("config_key", "category_code", "country_code").agg(F.max(F.struct(spec.alias("s"), "config_value")).alias("_b"))
+    return best.select("config_key", "category_code", "country_code", "_b.config_value", F.col("_b.s").alias("specificity"))
 
 
 def lifecycle_status(models: DataFrame, categories: DataFrame, as_of) -> DataFrame:
@@ -72,9 +88,8 @@ def suppress_events(anoms: DataFrame, events: DataFrame) -> DataFrame:
     best = e.groupBy("crawl_date", "_cty", "_cat").agg(F.min(F.struct("suppression_factor", "event_id")).alias("_b"))
     # the best event for each (day, country, category) that anomalies ask for
     asked = anoms.select("crawl_date", "country_code", "category_code").distinct()
-    hit = asked.join(best, "crawl_date").filter(
-        (F.col("_cty").isNull() | (F.col("_cty") == F.col("country_code")))
-        & (F.col("_cat").isNull() | (F.col("_cat") == F.col("category_code"))))
+    hit = match_wildcards(asked, best.withColumnRenamed("crawl_date", "_day"), {"country_code": "_cty", "category_code": "_cat"},
+                          {"crawl_date": "_day"})
     hit = hit.groupBy("crawl_date", "country_code", "category_code").agg(F.min("_b").alias("_b"))
     hit = hit.select(*[F.col(c).alias(f"_h_{c}") for c in ("crawl_date", "country_code", "category_code")], "_b")
     on = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in ("crawl_date", "country_code", "category_code")]
@@ -100,26 +115,24 @@ def route_alerts(anoms: DataFrame, policies: DataFrame) -> DataFrame:
     """ANO-17: every active policy an anomaly matches (severity ≥ minimum;
     type, country, category equal or NULL), with a quiet-hours flag.
 
-    The join key is the severity level: each anomaly meets the policies whose
-    minimum it reaches, then the NULL-wildcard filters apply.
+    Policies are looked up for the distinct scopes of the anomalies (type,
+    country, category, severity) only; the anomalies then join on their scope.
     """
     rank = F.create_map(*[x for k, v in config.SEVERITY_RANK.items() for x in (F.lit(k), F.lit(v))])
-    p = policies.filter(F.col("is_active")).withColumn("_min", rank[F.col("min_severity")])
-    # one policy row per severity level it accepts (at most 3), then equi-join
-    p = p.withColumn("_lvl", F.explode(F.sequence(F.col("_min"), F.lit(3))))
-    a = anoms.withColumn("_lvl", rank[F.col("severity")])
-    j = a.join((p.select("_lvl", "policy_id", F.col("anomaly_type").alias("_t"),
-                                    F.col("country_code").alias("_c"), F.col("category_code").alias("_g"),
-                                    "channel", "recipient", "quiet_start", "quiet_end")), "_lvl")
-    j = j.filter((F.col("_t").isNull() | (F.col("_t") == F.col("anomaly_type")))
-                 & (F.col("_c").isNull() | (F.col("_c") == F.col("country_code")))
-                 & (F.col("_g").isNull() | (F.col("_g") == F.col("category_code"))))
+    scope = ["anomaly_type", "country_code", "category_code", "severity"]
+    p = policies.filter(F.col("is_active")).select(
+        "policy_id", *[F.col(c).alias(f"_p_{c}") for c in scope[:3]], "channel", "recipient", "quiet_start", "quiet_end",
+        # one row for each severity that it accepts (at most 3)
+        F.explode(F.sequence(rank[F.col("min_severity")], F.lit(3))).alias("_p_lvl"))
+    asked = anoms.select(*[F.col(c).alias(f"_h_{c}") for c in scope]).distinct().withColumn("_lvl", rank[F.col("_h_severity")])
+    hit = match_wildcards(asked, p, {f"_h_{c}": f"_p_{c}" for c in scope[:3]}, {"_lvl": "_p_lvl"})
+    j = anoms.join(hit, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in scope])
     minute = F.hour("crawl_ts_utc") * 60 + F.minute("crawl_ts_utc")
     qs, qe = F.col("quiet_start"), F.col("quiet_end")
     quiet = F.when(qs.isNull() | qe.isNull(), F.lit(False)) \
              .when(qs <= qe, (minute >= qs) & (minute < qe)) \
              .otherwise((minute >= qs) | (minute < qe))
-    return j.withColumn("in_quiet_hours", quiet).drop("_lvl", "_t", "_c", "_g")
+    return j.withColumn("in_quiet_hours", quiet).drop("_lvl", "_p_lvl", *[f"_h_{c}" for c in scope], *[f"_p_{c}" for c in scope[:3]])
 
 
 def _pcts(df: DataFrame, col: str, ps=(0.5, 0.9, 0.99)) -> DataFrame:

@@ -843,8 +843,8 @@ def q_name_topk(spark, sf_dir):
 
 @query("name_match_exact")
 def q_name_match_exact(spark, sf_dir):
-    """HRM-7/8/10: top match per name with the exact difflib character signal (no SQL form)."""
-    m = HM.match_top_k(testbed_names(spark, sf_dir), _registry(spark, sf_dir), 1, None, TEST_DICT, "difflib")
+    """HRM-7/8/10: top match per name with the matching-block ratio as character signal (no SQL form)."""
+    m = HM.match_top_k(testbed_names(spark, sf_dir), _registry(spark, sf_dir), 1, None, TEST_DICT, "blocks")
     return m.select("name", "model_key", "score", "confidence", "attr_match", "token_jaccard", "char_fuzz")
 
 
