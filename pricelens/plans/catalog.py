@@ -1916,7 +1916,7 @@ ANOMS_WITH_OFFER_SQL = ("aw AS (SELECT a.*, o.category_code, o.country_code, o.c
                         + T.with_sql(T.OFFERS_SQL) + " SELECT * FROM offers) o USING (offer_id))")
 
 
-@query("suppression", "WITH " + EVENTS_SQL.strip() + ",\n" + ANOMS_WITH_OFFER_SQL + """,
+@query("suppression", "WITH " + EVENTS_SQL.strip() + ",\n" + ANOMS_WITH_OFFER_SQL.replace("aw AS (", "aw AS MATERIALIZED (", 1) + """,
 days AS (
   SELECT event_id, suppression_factor, affected_country_code AS cty, affected_category_code AS cat,
          CAST(unnest(generate_series(event_date - suppression_window_days, event_date + suppression_window_days, INTERVAL 1 DAY)) AS DATE) AS day
@@ -1925,16 +1925,18 @@ days AS (
 scoped AS (SELECT day, cty, cat, min(suppression_factor) AS f, min(event_id) FILTER (WHERE first) AS ev
            FROM (SELECT *, suppression_factor = min(suppression_factor) OVER (PARTITION BY day, cty, cat) AS first FROM days)
            GROUP BY day, cty, cat),
+asked AS (SELECT DISTINCT crawl_date, country_code, category_code FROM aw),
 m AS (
-  SELECT aw.offer_id, aw.anomaly_type, s.f, s.ev
-  FROM aw JOIN scoped s ON aw.crawl_date = s.day
-   AND (s.cty IS NULL OR s.cty = aw.country_code) AND (s.cat IS NULL OR s.cat = aw.category_code)
+  SELECT asked.*, s.f, s.ev
+  FROM asked JOIN scoped s ON asked.crawl_date = s.day
+   AND (s.cty IS NULL OR s.cty = asked.country_code) AND (s.cat IS NULL OR s.cat = asked.category_code)
 ),
-best AS (SELECT offer_id, anomaly_type, min(f) AS f, min(ev) FILTER (WHERE first) AS ev
-         FROM (SELECT *, f = min(f) OVER (PARTITION BY offer_id, anomaly_type) AS first FROM m) GROUP BY 1, 2)
+best AS (SELECT crawl_date, country_code, category_code, min(f) AS f, min(ev) FILTER (WHERE first) AS ev
+         FROM (SELECT *, f = min(f) OVER (PARTITION BY crawl_date, country_code, category_code) AS first FROM m) GROUP BY 1, 2, 3)
 SELECT aw.offer_id, aw.anomaly_type, COALESCE(b.f, 1.0) AS suppression_factor, b.ev AS suppressing_event_id,
        b.ev IS NOT NULL AS suppression_applied
-FROM aw LEFT JOIN best b USING (offer_id, anomaly_type)
+FROM aw LEFT JOIN best b ON aw.crawl_date = b.crawl_date AND aw.country_code IS NOT DISTINCT FROM b.country_code
+ AND aw.category_code IS NOT DISTINCT FROM b.category_code
 """)
 def q_suppression(spark, sf_dir):
     """ANO-15: anomalies inside a market event window of their country/category; lowest factor wins."""
