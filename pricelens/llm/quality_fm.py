@@ -6,9 +6,9 @@ weight per feature and low-rank pairwise interactions, scored in time linear in
 the features by the identity
 ``sum_{i<j} <v_i, v_j> x_i x_j = 1/2 sum_f [(sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2]``.
 
-It is fitted on the driver on at most ``max_rows`` labelled rows (the bound
-keeps the fitted sample at some tens of MB whatever the corpus), and scores
-every whole text on the executors.
+It is fitted on the driver on at most ``max_rows`` labelled rows with at most
+``max_features`` features in all (some 200 MB, whatever the corpus and however
+long its texts), and scores every whole text on the executors.
 """
 
 from __future__ import annotations
@@ -18,13 +18,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _words as W
+from ._shared import settle
 
 #: Labelled rows that the machine is fitted on at most.
 MAX_ROWS = 12_000
+#: Features (eight bytes each) of all rows that are fitted on.
+MAX_FEATURES = 24_000_000
 WORD_BITS, FACTORS, BINS = 14, 6, 12
 
 _UPPER, _DIGIT, _SYMBOL, _PUNCT, _BANG, _HIGH = (np.zeros(256, bool) for _ in range(6))
@@ -172,13 +175,15 @@ def _inputs(text_col: str, metadata: Sequence[str]) -> list[Column]:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          metadata: Sequence[str] = (), max_rows: int = MAX_ROWS, **options) -> Machine:
+          metadata: Sequence[str] = (), max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES, **options) -> Machine:
     """A machine fitted on the labelled rows for which ``learn`` (a condition on
     the id) holds; where there are more than ``max_rows`` of them, on those with
     the smallest hashes of their ids.
 
     Rows without an id or a label are not learnt from; of several labels of one
-    id the largest counts.
+    id the largest counts, of several rows that with the smallest hash. Rows are
+    taken in the order of their ids' hashes as long as they have ``max_features``
+    features in all; both cuts come before anything is sent to the driver.
     """
     known = (labels.select(F.col(id_col).alias("_ll_id"), F.col(label_col).cast("double").alias("_ll_y")).na.drop().groupBy("_ll_id").agg(F.max("_ll_y").alias("_ll_y"))
              .withColumnRenamed("_ll_id", id_col).where(learn).withColumnRenamed(id_col, "_ll_id"))
@@ -186,6 +191,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     share = min(1.0, 1.1 * max_rows / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("_ll_id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("_ll_id"), "_ll_id").limit(max_rows)
     rows = docs.select(F.col(id_col).alias("_ll_id"), *_inputs(text_col, metadata)).join(chosen, "_ll_id")
+    # one row per id, found by partial aggregation, so that repeats cost nothing further on
+    parts = [c for c in rows.columns if c not in ("_ll_id", "_ll_y")]
+    rows = (rows.groupBy("_ll_id").agg(F.max("_ll_y").alias("_ll_y"), F.min_by(F.struct(*parts), F.xxhash64(*parts)).alias("_ll_row"))
+            .select("_ll_id", "_ll_y", "_ll_row.*"))
     k = len(metadata)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,9 +206,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
                 yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("_ll_id")).slice(first, n).cast(pa.string()), y.slice(first, n), pa.ListArray.from_arrays(at, pa.array(f.astype(np.int32))),
                                                   pa.ListArray.from_arrays(at, pa.array(x))], names=["i", "y", "f", "x"])
 
-    got = rows.mapInArrow(vectors, "i string, y double, f array<int>, x array<float>").toArrow().sort_by([("i", "ascending")])
-    # repeated documents add rows; the bound holds for them too
-    got = got.slice(0, max_rows)
+    made = settle(rows.mapInArrow(vectors, "i string, y double, f array<int>, x array<float>"), "fm-rows")
+    sizes = made.select("i", F.size("f").cast("long").alias("n"))
+    # at most max_rows rows are left, so this window is a small one
+    fits = sizes.withColumn("upto", F.sum("n").over(Window.orderBy(F.xxhash64("i"), "i"))).where(F.col("upto") <= max_features).select("i")
+    got = made.join(fits, "i").select("i", "y", "f", "x").toArrow().sort_by([("i", "ascending")])
     f, x, y = got["f"], got["x"], got["y"].to_numpy()
     vec = [(f[i].values.to_numpy(), x[i].values.to_numpy()) for i in range(len(y))]
     return fit(vec, (y >= 0.5).astype(np.float32), k, tuple(metadata), **options)

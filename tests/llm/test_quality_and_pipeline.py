@@ -72,20 +72,27 @@ def test_training_without_rows(spark):
     assert [r["score"] for r in quality_fm.score(corpus.docs(spark, [(1, "x", None, None, None)]), machine, keep=["doc_id"]).collect()] == [0.5]
 
 
-def test_bound_on_the_sample(spark):
-    rows, labels = junk_and_prose()
-    seen = {}
+def _fitted_on(monkeypatch, *args, **bounds):
+    seen = []
 
     def fit(vectors, y, *_, **__):
-        seen["n"] = len(vectors)
+        seen.extend(vectors)
         return quality_fm.Machine(0.0, None, None)
 
-    original, quality_fm.fit = quality_fm.fit, fit
-    try:
-        quality_fm.train(corpus.docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), ~held_out(), max_rows=40)
-    finally:
-        quality_fm.fit = original
-    assert 20 <= seen["n"] <= 40
+    monkeypatch.setattr(quality_fm, "fit", fit)
+    quality_fm.train(*args, ~held_out(), **bounds)
+    return seen
+
+
+def test_bound_on_the_sample(spark, monkeypatch):
+    rows, labels = junk_and_prose()
+    docs, lab = corpus.docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    assert 20 <= len(_fitted_on(monkeypatch, docs, lab, max_rows=40)) <= 40
+    # repeated rows of an id count once, before anything is collected
+    assert len(_fitted_on(monkeypatch, docs.unionAll(docs).unionAll(docs), lab, max_rows=40)) == len(_fitted_on(monkeypatch, docs, lab, max_rows=40))
+    # long texts: rows are taken while their features fit
+    some = _fitted_on(monkeypatch, docs, lab, max_features=2000)
+    assert 0 < sum(len(f) for f, _ in some) <= 2000 < sum(len(f) for f, _ in _fitted_on(monkeypatch, docs, lab))
 
 
 def test_pipeline(spark, tmp_path):
