@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens import config
+from pricelens.operators.review import newest_first
 
 
 def batch_summary(stg: DataFrame, fact: DataFrame, bad: DataFrame,
@@ -111,18 +112,20 @@ def confidence_distribution(fact: DataFrame, spark) -> DataFrame:
         "harmonise_confidence", F.coalesce("offers", F.lit(0).cast("bigint")).alias("offers"))
 
 
-def recent_bad(bad: DataFrame, cat: DataFrame, n: int = 20,
-               order=("source_batch_id", "offer_id", "rule_id")) -> DataFrame:
-    """RPT-7: newest n bad records with their stage (a top-n report)."""
+def recent_bad(bad: DataFrame, cat: DataFrame, n: int = 20, order=None) -> DataFrame:
+    """RPT-7: newest n bad records with their stage (a top-n report), by the time of
+    detection where they are stamped with it."""
     c = F.broadcast(cat.select("rule_id", "target_stage"))
-    return bad.join(c, "rule_id").orderBy(*[F.desc(o) for o in order]).limit(n)
+    return bad.join(c, "rule_id").orderBy(*[F.desc(o) for o in order or newest_first(bad)]).limit(n)
 
 
 def blocked_rows(bad: DataFrame, cat: DataFrame, keys=("source_batch_id", "offer_id")) -> DataFrame:
-    """RPT-8: first PRE_FACT violation per row (by rule id)."""
+    """RPT-8: first PRE_FACT violation per row: the earliest detected where records
+    are stamped with the time, then the smallest rule id."""
     pre = F.broadcast(cat.filter(F.col("target_stage") == "PRE_FACT").select("rule_id"))
     b = bad.join(pre, "rule_id", "left_semi")
-    first = F.min_by(F.struct("rule_id", "failed_field", "error_message"), "rule_id")
+    by = [c for c in ("detected_at", "rule_id") if c in bad.columns]
+    first = F.min_by(F.struct("rule_id", "failed_field", "error_message"), F.struct(*by))
     return b.groupBy(*keys).agg(first.alias("f")).select(*keys, "f.*")
 
 

@@ -11,10 +11,17 @@ def _sev_order():
     return F.create_map(*[x for k, v in config.SEVERITY_RANK.items() for x in (F.lit(k), F.lit(v))])
 
 
+def newest_first(bad: DataFrame) -> list[str]:
+    """The columns that order bad records, the time of detection first where they
+    are stamped with it; ties go by batch, offer and rule."""
+    return [c for c in ("detected_at", "source_batch_id", "offer_id", "rule_id") if c in bad.columns]
+
+
 def review_queue(bad: DataFrame, status=None, severity=None, assignee=None,
                  page: int = 1, size: int = 50,
-                 order=("source_batch_id", "offer_id", "rule_id")):
-    """REV-1: filtered queue, newest first, one page; returns (page, total)."""
+                 order=None):
+    """REV-1: filtered queue, newest first (:func:`newest_first`, or the columns of
+    ``order``, each descending), one page; returns (page, total)."""
     b = bad
     if status is not None:
         b = b.filter(F.col("status") == status)
@@ -23,7 +30,7 @@ def review_queue(bad: DataFrame, status=None, severity=None, assignee=None,
     if assignee is not None:
         b = b.filter(F.col("assignee") == assignee)
     total = b.agg(F.count(F.lit(1)).alias("total"))
-    pg = b.orderBy(*[F.desc(o) for o in order]).offset((page - 1) * size).limit(size)
+    pg = b.orderBy(*[F.desc(o) for o in order or newest_first(bad)]).offset((page - 1) * size).limit(size)
     return pg, total
 
 

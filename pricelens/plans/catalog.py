@@ -1544,6 +1544,56 @@ def q_blocked_rows(spark, sf_dir):
         "source_batch_id", "offer_id", "rule_id")
 
 
+# When the testbed's bad records were detected: a rerun within the year, and the first
+# PRE_FACT rule a month after the others, so that time follows neither batch nor rule id.
+LATE_RULE = min(PREFACT_FLAGS)
+STAMPED_SQL = BAD_SQL + f""",
+stamped AS (
+  SELECT *, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(COALESCE(TRY_CAST(split_part(offer_id, ':', 1) AS BIGINT), 0) % 365 + CASE WHEN rule_id = '{LATE_RULE}' THEN 30 ELSE 0 END AS INTEGER)) AS detected_at
+  FROM bad_records
+)"""
+
+
+def stamped_records(spark, sf_dir):
+    first = F.split_part(F.col("offer_id"), F.lit(":"), F.lit(1)).try_cast("bigint")
+    days = F.coalesce(first, F.lit(0)) % 365 + F.when(F.col("rule_id") == LATE_RULE, 30).otherwise(0)
+    return bad_records(spark, sf_dir).withColumn(
+        "detected_at", F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days.cast("int")))
+
+
+@query("review_newest", STAMPED_SQL + """
+SELECT source_batch_id, offer_id, rule_id, severity, strftime(detected_at, '%Y-%m-%d') AS detected_on FROM stamped
+WHERE severity = 'HIGH'
+ORDER BY detected_at DESC, source_batch_id DESC, offer_id DESC, rule_id DESC LIMIT 25 OFFSET 25
+""")
+def q_review_newest(spark, sf_dir):
+    """REV-1: second page (25 per page) of the HIGH-severity queue, by time of detection."""
+    page, _ = RV.review_queue(stamped_records(spark, sf_dir), status="NEW", severity="HIGH", page=2, size=25)
+    return page.select("source_batch_id", "offer_id", "rule_id", "severity",
+                       F.date_format("detected_at", "yyyy-MM-dd").alias("detected_on"))
+
+
+@query("recent_bad_newest", STAMPED_SQL + """
+SELECT source_batch_id, offer_id, rule_id, target_stage, strftime(detected_at, '%Y-%m-%d') AS detected_on FROM stamped
+ORDER BY detected_at DESC, source_batch_id DESC, offer_id DESC, rule_id DESC LIMIT 20
+""")
+def q_recent_bad_newest(spark, sf_dir):
+    """RPT-7: the twenty bad records detected last, with their stage (a top-n report)."""
+    return R.recent_bad(stamped_records(spark, sf_dir), Q.catalog(spark), 20).select(
+        "source_batch_id", "offer_id", "rule_id", "target_stage",
+        F.date_format("detected_at", "yyyy-MM-dd").alias("detected_on"))
+
+
+@query("blocked_first", STAMPED_SQL + """
+SELECT source_batch_id, offer_id, arg_min(rule_id, (detected_at, rule_id)) AS rule_id FROM stamped
+WHERE target_stage = 'PRE_FACT' GROUP BY 1, 2
+""")
+def q_blocked_first(spark, sf_dir):
+    """RPT-8: the PRE_FACT violation of every blocked row that was detected first."""
+    return R.blocked_rows(stamped_records(spark, sf_dir), Q.catalog(spark)).select(
+        "source_batch_id", "offer_id", "rule_id")
+
+
 @query("low_confidence", BAD_SQL + """
 SELECT source_batch_id, offer_id FROM bad_records WHERE rule_id = 'DQ_HARM_001'
 """)
