@@ -23,9 +23,10 @@ def _offers(spark, n=700):
     rows = []
     for i in range(n):
         day = dt.date(2024, 1, 1) + dt.timedelta(days=r.randrange(60))
-        usd = D(r.choice([0, 90, 100, 101, 120, 300, 5000])) + D(r.randrange(100)) / 100
+        usd = D(r.choice([0, 90, 100, 101, 120, 300, 5000])) + D(r.randrange(100)) / 100 if i % 17 else None
+        ts = dt.datetime.combine(day, dt.time(r.randrange(24))) if i % 13 else None
         rows.append((f"o{i if i % 9 else 0}", 1, r.choice(["m1", "m2", None]) if i % 3 else "m1", r.choice([1, 2, 3, None]) if i % 4 else 1,
-                     r.choice([1, 2, None]), r.choice(["FULL", "INSTALMENT"]), "USD", usd, usd, dt.datetime.combine(day, dt.time(r.randrange(24))), day,
+                     r.choice([1, 2, None]), r.choice(["FULL", "INSTALMENT"]), "USD", usd, usd, ts, day if ts else None,
                      r.choice(["MAC", "IPAD"])))
     return cut_lineage(spark.createDataFrame(rows, SCHEMA))
 
