@@ -94,6 +94,14 @@ def append_baselines(store: DataFrame, new: DataFrame,
 GRAIN = ["partner_id", "country_code", "product_model_id", "payment_type"]
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by their group over ``spark.sql.shuffle.partitions`` tasks, before
+    they are aggregated. Groups here are about as many as rows, so an aggregation in
+    the task that reads a file holds a whole row group in its hash map and sends as
+    many rows as it got; and without a number of partitions AQE would merge them."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def daily_prices(fact: DataFrame) -> DataFrame:
     """AGG-3: per UTC day and grain: count, min, avg, median, max, stddev.
 
@@ -103,7 +111,8 @@ def daily_prices(fact: DataFrame) -> DataFrame:
     g = ["utc_date"] + GRAIN
     base = fact.select(F.to_date("crawl_ts_utc").alias("utc_date"), *GRAIN,
                        cents("effective_total_usd").alias("pc"))
-    per = base.groupBy(*g, "pc").agg(F.count(F.lit(1)).alias("k"))
+    # both aggregations find the groups dealt already
+    per = _spread(base, *g).groupBy(*g, "pc").agg(F.count(F.lit(1)).alias("k"))
     pc = F.col("pc").cast("double")
     med = F.percentile(pc, F.lit(0.5), F.col("k"))
     agg = per.groupBy(*g).agg(
@@ -125,8 +134,8 @@ def hourly_prices(fact: DataFrame) -> DataFrame:
     so hours can be re-aggregated into any day)."""
     g = ["utc_hour"] + GRAIN
     c = cents("effective_total_usd")
-    agg = (fact.select(F.date_trunc("hour", "crawl_ts_utc").alias("utc_hour"), *GRAIN, c.alias("pc"))
-               .groupBy(*g).agg(F.count(F.lit(1)).alias("offer_count"),
+    base = fact.select(F.date_trunc("hour", "crawl_ts_utc").alias("utc_hour"), *GRAIN, c.alias("pc"))
+    agg = (_spread(base, *g).groupBy(*g).agg(F.count(F.lit(1)).alias("offer_count"),
                                 F.sum("pc").alias("sum_cents"),
                                 F.min("pc").alias("mn"), F.max("pc").alias("mx")))
     n = F.col("offer_count")
@@ -140,7 +149,9 @@ def hourly_prices(fact: DataFrame) -> DataFrame:
 def rezone_daily(hourly: DataFrame, tz: str) -> DataFrame:
     """AGG-5: hours → days of any zone: summed counts, average of hourly averages."""
     local_day = F.to_date(F.from_utc_timestamp("utc_hour", tz))
-    agg = (hourly.groupBy(local_day.alias("local_date"), *GRAIN)
+    g = ["local_date"] + GRAIN
+    hours = hourly.select(local_day.alias("local_date"), *GRAIN, "offer_count", "avg_price_usd")
+    agg = (_spread(hours, *g).groupBy(*g)
            .agg(F.sum("offer_count").cast("bigint").alias("offer_count"),
                 F.count(F.lit(1)).alias("_k"),
                 F.sum(cents("avg_price_usd")).alias("_s")))
