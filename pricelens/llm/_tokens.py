@@ -60,6 +60,18 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut) + 1
 
 
+class _Known(dict):
+    """Ids by piece; pieces asked for in vain are noted, so that a batch of known
+    pieces costs one look-up each."""
+
+    def __init__(self):
+        super().__init__()
+        self.missed: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> None:
+        self.missed.append(piece)
+
+
 class Encoder:
     """Token ids of texts, little-endian in ``dtype`` (16 bits if they fit)."""
 
@@ -77,7 +89,7 @@ class Encoder:
         self.special = [] if special_as_text else [t["content"].encode() for t in told.get("added_tokens", [])]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known()
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -94,13 +106,16 @@ class Encoder:
             begins[piece_starts(data, offsets)] = True
             starts = np.flatnonzero(begins[:-1])
             pieces = np.insert(data, starts[1:], 0xFF).tobytes().split(b"\xff") if len(data) else []
-            new = list(set(pieces).difference(self.known))
-            if new:
+            ids = list(map(self.known.__getitem__, pieces))
+            if self.known.missed:
+                new = list(set(self.known.missed))
+                self.known.missed.clear()
                 if len(self.known) + len(new) > MAX_PIECES:
                     self.known.clear()
                     new = list(set(pieces))
                 self.known.update(zip(new, self.whole([p.decode() for p in new])))
-            ids, at = list(map(self.known.__getitem__, pieces)), np.searchsorted(starts, offsets)
+                ids = list(map(self.known.__getitem__, pieces))
+            at = np.searchsorted(starts, offsets)
             special = any(s in raw for s in self.special)
             for i in range(end - first):
                 if special and any(s in raw[offsets[i]:offsets[i + 1]] for s in self.special):

@@ -89,3 +89,13 @@ def test_any_flat_file(spark, tmp_path, ids, want):
     path.write_bytes(np.array(ids, "<u4").tobytes())
     out = token_counts.count_tokens(spark.createDataFrame([(str(path),), (str(path),)], "path string"), 9, item_bytes=4, block_tokens=2)
     assert sorted((r["start"], r["n_tokens"], r["terminated"]) for r in out.collect()) == want
+
+
+def test_pieces_are_looked_up_once_when_known():
+    from pricelens.llm import _tokens
+
+    known = _tokens._Known()
+    assert list(map(known.__getitem__, [b"a", b"b", b"a"])) == [None] * 3 and known.missed == [b"a", b"b", b"a"]
+    known.missed.clear()
+    known.update({b"a": b"1", b"b": b"2"})
+    assert list(map(known.__getitem__, [b"a", b"b"])) == [b"1", b"2"] and not known.missed
