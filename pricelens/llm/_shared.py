@@ -37,13 +37,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now: it does so when
     the driver collects its garbage, which a small driver heap may put off until
-    a long job has ended."""
+    a long job has ended. The driver's heap and Arrow's pool shrink as well to what
+    is in use."""
+    import pyarrow as pa
+
     jvm = getattr(getattr(spark, "sparkContext", None), "_jvm", None)
     for _ in range(2):  # the second time what the first has let go of
         gc.collect()
         if jvm is not None:
             jvm.System.gc()
             time.sleep(0.2)
+    pa.default_memory_pool().release_unused()
 
 
 def filesystem(uri: str):

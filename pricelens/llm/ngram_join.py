@@ -228,15 +228,20 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
         release(docs.sparkSession)
         return out
 
-    def verified(of: DataFrame, name: str) -> DataFrame:
+    def verified(of: DataFrame, name: str) -> DataFrame | None:
+        """The linked ones of the pairs; None where there are no pairs."""
         of = settle(of, f"{name}-near")
+        if of.isEmpty():
+            return None
         out = settle(_verified(of, loaded(of, True, f"{name}-sets"), num, den), name)
         release(docs.sparkSession)
         return out
 
     sketches = loaded(pairs, False, "candidate-sketches")
-    links = verified(_near(pairs, sketches, num, den), "links")
-    roots = settle(components(links, "node", "pivot"), "roots")
+    found = verified(_near(pairs, sketches, num, den), "links")
+    if found is None:
+        found = pairs.limit(0)
+    roots = settle(components(found, "node", "pivot"), "roots")
 
     # stars whose members did not all come together
     apart = pairs.join(roots.select("node", F.col("root").alias("rn")), "node", "left").join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("rp")), "pivot", "left")
@@ -279,8 +284,10 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
         dealt = again.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
         name = "forest-links" if forest else "other-links"
         more = verified(dealt.mapInArrow(across(forest), "node bigint, pivot bigint").distinct(), name)
-        links = settle(links.unionByName(more), "all-links")
-        roots = settle(components(links, "node", "pivot"), "roots")
+        if more is None:  # a forest of all pairs that may link is empty only if they are
+            break
+        # a component so far is the star of its root
+        roots = settle(components(roots.select("node", F.col("root").alias("pivot")).unionByName(more), "node", "pivot"), "roots")
     return slim.join(roots, "node", "left").select("_ll_key", "_ll_id", "n_shingles", F.when(F.col("node") != 0, F.coalesce("root", "node")).alias("root"))
 
 
