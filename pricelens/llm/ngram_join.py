@@ -21,6 +21,12 @@ members that are near each other, then, of what is still apart, all pairs. So no
 link between components is lost, a group of copies costs a star, and pairs are
 compared only where a star has failed; a large failed star is split into cells of
 about ``CELL`` members.
+
+A passage that many texts share fails a large star for each part that it fills alone.
+A set that joins on r parts of two shingles or more, r above D, agrees with a linked
+one on r - D of them at least. So it leaves r - D - 1 of its failed stars (``spare``),
+the largest: all sets rank stars alike, so of what two linked sets share one is left
+to both (the prefix filter of set joins; sets that join on all parts leave none).
 """
 
 from __future__ import annotations
@@ -42,6 +48,8 @@ _U = np.uint64
 CELL = 1000
 #: Words of the sketches that candidates are filtered by, at least.
 PARTS = 16
+#: Pairs of a task that are looked at together.
+_PAIRS = 200_000
 _DOC_BITS = 12  # texts in a run at most 2**12; shingle hashes keep the other 52 bits
 _SHINGLE = _U((1 << 64 - _DOC_BITS) - 1)
 
@@ -123,6 +131,24 @@ def part_words(offsets: np.ndarray, shingles: np.ndarray, parts: np.ndarray) ->
     return first, words, np.bincount(part, minlength=first[-1])
 
 
+def signed(bands: Bands, offsets: np.ndarray, shingles: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For the joins of each set, its own band's and the next one's: the signatures of
+    all parts, each part's set, whether it is sent, and how many signatures that others
+    rank highest a set may do without. The lowest bit of a signature is its join's."""
+    size = np.diff(offsets)
+    for more in (0, 1):
+        join = bands.of(size) + more
+        far = bands.difference(join)
+        parts = (far + 1) * 3 // 2 + 1
+        far = np.minimum(far, size * (bands.den - bands.num) // bands.num)  # from any linked set, by the own size
+        first, words, dealt = part_words(offsets, shingles, parts)
+        owner = np.repeat(np.arange(len(size)), parts)
+        place = W.mix64(join[owner].astype(np.uint64) << _U(32) | (np.arange(len(words)) - first[owner]).astype(np.uint64))
+        rich = dealt > 1
+        some = np.bincount(owner, rich, len(size)).astype(np.int64)
+        yield W.mix64(words ^ place) & ~_U(1) | (join[owner] & 1).astype(np.uint64), owner, rich | (some <= far)[owner], np.maximum(some - far - 1, 0)
+
+
 _SIGNED = np.dtype([("sig", "<u8"), ("node", "<u8")])
 _STAR = np.dtype([("sig", "<u8"), ("node", "<u8"), ("pivot", "<u8")])
 
@@ -177,17 +203,9 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
                 own = np.zeros(len(size), bool)
                 own[fresh] = True
                 mine, where = shingles[np.repeat(own, size)], np.concatenate([[0], np.cumsum(size[fresh])])
-                for more in (0, 1):
-                    join = bands.of(size[fresh]) + more
-                    far = bands.difference(join)
-                    parts = (far + 1) * 6 // 5 + 1
-                    first, words, dealt = part_words(where, mine, parts)
-                    owner = np.repeat(np.arange(len(fresh)), parts)
-                    place = W.mix64(join[owner].astype(np.uint64) << _U(32) | (np.arange(len(words)) - first[owner]).astype(np.uint64))
-                    rich = dealt > 1
-                    send = rich | (np.add.reduceat(rich, first[:-1], dtype=np.int64) <= far)[owner]
+                for sig, owner, send, _ in signed(bands, where, mine):
                     rec = np.zeros(int(send.sum()), _SIGNED)
-                    rec["sig"], rec["node"] = W.mix64(words ^ place)[send], node[fresh][owner[send]]
+                    rec["sig"], rec["node"] = sig[send], node[fresh][owner[send]]
                     out.append(rec)
             if out:
                 star, rest = _stars(np.concatenate(out))
@@ -210,11 +228,14 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
 
     def load(whole: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bands = Bands(num, den)
             for b in batches:
                 for _, _, at, s in shingle_sets(b.column(0), n):
                     size = np.diff(at)
                     first, words = (at, s) if whole else sketch(at, s, widths(size))
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes_of(at, s).view(np.int64)), pa.array(size), _lists(words.view(np.int64), first)], names=["node", "n", "sketch"])
+                    spare = [] if whole else [pa.array(bands.of(size) & 1), *(pa.array(x) for *_, x in signed(bands, at, s))]
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes_of(at, s).view(np.int64)), pa.array(size), _lists(words.view(np.int64), first), *spare],
+                                                     names=["node", "n", "sketch", *["_ll_own", "_ll_spare0", "_ll_spare1"][:len(spare)]])
 
         return run
 
@@ -224,7 +245,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
         texts = slim.join(wanted, "node").groupBy("node").agg(F.min("_ll_key").alias("_ll_key")).select("_ll_key").distinct()
         # the candidates' ids grow with the corpus: the join is shuffled at every size
         texts = narrow.select("_ll_key", "_ll_text").join(texts.hint("merge"), "_ll_key").withColumn("_ll_k", one).where("_ll_k = 1").select("_ll_text")
-        out = settle(texts.mapInArrow(load(whole), "node bigint, n bigint, sketch array<bigint>"), name)
+        spare = "" if whole else ", _ll_own bigint, _ll_spare0 bigint, _ll_spare1 bigint"
+        out = settle(texts.mapInArrow(load(whole), f"node bigint, n bigint, sketch array<bigint>{spare}"), name)
         release(docs.sparkSession)
         return out
 
@@ -249,28 +271,35 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
     failed = stars.join(apart, ["node", "pivot"], "left_semi").select("sig").distinct()
     failed = settle(stars.join(failed, "sig"), "failed-stars")
     members = failed.select("sig", "node").unionByName(failed.select("sig", F.col("pivot").alias("node"))).distinct()
-    # two members have been compared; of stars with the same members one is enough
-    large = members.groupBy("sig").agg(F.count(F.lit(1)).alias("_ll_m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_ll_h")).where("_ll_m > 2")
+    # two members have been compared; each node leaves the largest stars that it may
+    crowded = members.groupBy("sig").agg(F.count(F.lit(1)).alias("_ll_m")).where("_ll_m > 2")
+    spares = sketches.select("node", "_ll_own", "_ll_spare0", "_ll_spare1")
+    mine = F.col("sig").bitwiseAND(F.lit(1)) == F.col("_ll_own")
+    place = F.row_number().over(Window.partitionBy("node", "_ll_mine").orderBy(F.desc("_ll_m"), F.desc("sig")))
+    members = members.join(crowded, "sig").join(spares, "node").withColumn("_ll_mine", mine).withColumn("_ll_place", place)
+    members = settle(members.where(F.col("_ll_place") > F.when(F.col("_ll_mine"), F.col("_ll_spare0")).otherwise(F.col("_ll_spare1"))).select("sig", "node"), "staying")
+    # of stars with the same members one is enough
+    large = members.groupBy("sig").agg(F.count(F.lit(1)).alias("_ll_m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_ll_h")).where("_ll_m > 1")
     large = large.groupBy("_ll_m", "_ll_h").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("_ll_m") / CELL).cast("int").alias("_ll_cells"))
     members = settle(members.join(large, "sig"), "members")
     release(docs.sparkSession)
 
     def across(forest: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, held = None, []
+            held = []  # rows of the cell that the last batch ended in
             for b in batches:
-                keys = list(zip(*(b.column(i).to_pylist() for i in range(3))))
-                at = 0
-                while at < len(keys):
-                    end = at
-                    while end < len(keys) and keys[end] == keys[at]:
-                        end += 1
-                    if keys[at] != last:
-                        yield from _across(last, held, num, den, forest)
-                        last, held = keys[at], []
-                    held.append(b.slice(at, end - at))
-                    at = end
-            yield from _across(last, held, num, den, forest)
+                if not len(b):
+                    continue
+                keys = np.stack([b.column(i).to_numpy() for i in range(3)])
+                starts, _ = groups_of(keys)
+                if held and [held[0].column(i)[0].as_py() for i in range(3)] == keys[:, 0].tolist():
+                    held.append(b.slice(0, starts[1] if len(starts) > 1 else len(b)))
+                    starts = starts[1:]
+                if len(starts):
+                    yield from _across(held, num, den, forest)
+                    yield from _across([b.slice(starts[0], starts[-1] - starts[0])], num, den, forest)
+                    held = [b.slice(starts[-1])]
+            yield from _across(held, num, den, forest)
 
         return run
 
@@ -278,7 +307,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den:
         mine, other = F.pmod(F.xxhash64("node"), F.col("_ll_cells")).cast("int"), F.col("_ll_o")
         known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         apart = known.groupBy("sig").agg((F.min("root") < F.max("root")).alias("_ll_apart")).where("_ll_apart").select("sig")
-        known = known.join(apart, "sig").join(sketches, "node")
+        known = known.join(apart, "sig").join(sketches.select("node", "n", "sketch"), "node")
         again = (known.withColumn("_ll_c", mine).withColumn("_ll_o", F.explode(F.sequence(F.lit(0), F.col("_ll_cells") - 1)))
                  .select("sig", F.least("_ll_c", other).alias("x"), F.greatest("_ll_c", other).alias("y"), "node", "root", "n", (F.col("_ll_c") <= other).alias("left"), "sketch"))
         dealt = again.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
@@ -358,49 +387,66 @@ def _fold(words: np.ndarray, width: int) -> np.ndarray:
     return words
 
 
-def _across(key: tuple | None, held: list[pa.RecordBatch], num: int, den: int, forest: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of members in different components whose sizes and sketches are near
-    enough: all, or with ``forest`` as many as join what can be joined."""
-    if not held:
+def _across(held: list[pa.RecordBatch], num: int, den: int, forest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of a cell's members in different components whose sizes and sketches are
+    near enough: all, or with ``forest`` as many as join what can be joined. The cells
+    stand one after the other, each whole."""
+    table = pa.Table.from_batches(held).combine_chunks() if held else []
+    if len(table) < 2:
         return
-    table = pa.Table.from_batches(held).combine_chunks()
+    keys = np.stack([table[c].to_numpy() for c in ("sig", "x", "y")])
     node, root, size, left = (table[c].to_numpy() for c in ("node", "root", "n", "left"))
-    if len(node) < 2 or (root == root[0]).all():
-        return
+    whole = keys[1] == keys[2]
+    first, cell = groups_of(keys)
+    after = np.append(first[1:], len(node))[cell] - np.arange(len(node)) - 1  # members of the cell behind each
     lists = table["sketch"].chunk(0)
-    flat, start, width = lists.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]), lists.value_lengths().to_numpy()
-    at_width = {int(w): np.flatnonzero(width == w) for w in np.unique(width)}
-    rows = {w: np.stack([flat[start[i]:start[i] + w] for i in at]) for w, at in at_width.items()}
-    same = key[1] == key[2]
-    up = {r: r for r in root.tolist()}  # components joined by what has been yielded
+    flat, width = lists.flatten().to_numpy().view(np.uint64), lists.value_lengths().to_numpy().astype(np.int64)
+    start, upto = np.cumsum(width) - width, np.concatenate([[0], np.cumsum(after)])
+    up: dict[tuple, tuple] = {}  # components joined by what has been yielded
 
     def top(x):
-        while up[x] != x:
+        while up.setdefault(x, x) != x:
             up[x] = x = up[up[x]]
         return x
 
-    for w, at in at_width.items():
-        against = [(at, rows[w], True)] + [(at_width[x], _fold(rows[x], w), False) for x in at_width if x > w]
-        for k, i in enumerate(at):
-            for others, words, own in against:
-                ok = root[others] != root[i]
-                if own:
-                    ok &= (node[others] > node[i]) if same else (left[i] & ~left[others])
-                elif not same:
-                    ok &= left[others] != left[i]
-                ok &= (size[others] * den >= size[i] * num) & (size[i] * den >= size[others] * num)
-                j = np.flatnonzero(ok)
-                if not len(j):
-                    continue
-                gap = np.bitwise_count(words[j] ^ rows[w][k]).sum(1, dtype=np.int64)
-                j = others[j[gap * (den + num) <= (size[others[j]] + size[i]) * (den - num)]]
-                if forest and len(j):
-                    fresh = []
-                    for x in j:
-                        a, b = top(int(root[i])), top(int(root[x]))
-                        if a != b:
-                            up[a] = b
-                            fresh.append(x)
-                    j = np.array(fresh, np.int64)
-                if len(j):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(node[j], node[i])), pa.array(np.minimum(node[j], node[i]))], names=["node", "pivot"])
+    at = 0
+    while at < len(node):  # some 200,000 pairs at a time, and a member's own at least
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + _PAIRS, side="right")) - 1)
+        i = np.repeat(np.arange(at, end), after[at:end])
+        j = i + 1 + np.arange(len(i)) - (upto[i] - upto[at])
+        ok = (root[i] != root[j]) & (whole[i] | (left[i] != left[j])) & (size[i] * den >= size[j] * num) & (size[j] * den >= size[i] * num)
+        i, j, at = i[ok], j[ok], end
+        near = _gaps(flat, start, width, i, j) * (den + num) <= (size[i] + size[j]) * (den - num)
+        i, j = i[near], j[near]
+        if forest:
+            fresh = np.zeros(len(i), bool)
+            for k, (c, p, q) in enumerate(zip(cell[i].tolist(), root[i].tolist(), root[j].tolist())):
+                p, q = top((c, p)), top((c, q))
+                if p != q:
+                    up[p], fresh[k] = q, True
+            i, j = i[fresh], j[fresh]
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(node[i], node[j])), pa.array(np.minimum(node[i], node[j]))], names=["node", "pivot"])
+
+
+def groups_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First position of each run of equal columns, and the run of each position."""
+    new = np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(0)]
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _gaps(flat: np.ndarray, start: np.ndarray, width: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Hamming distances of the sketches of rows i and j, the longer one folded."""
+    out, narrow = np.zeros(len(i), np.int64), np.minimum(width[i], width[j])
+    for w in np.unique(narrow):
+        at = np.flatnonzero(narrow == w)
+        rows, where = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        words = np.empty((len(rows), w), np.uint64)
+        for x in np.unique(width[rows]):
+            mine = np.flatnonzero(width[rows] == x)
+            words[mine] = _fold(flat[start[rows[mine]][:, None] + np.arange(x)], w)
+        a, b = where[:len(at)], where[len(at):]
+        step = max(1, _PAIRS * 4 // int(w))  # words of both sides: some 13 MB
+        for k in range(0, len(at), step):
+            out[at[k:k + step]] = np.bitwise_count(words[a[k:k + step]] ^ words[b[k:k + step]]).sum(1, dtype=np.int64)
+    return out

@@ -82,3 +82,39 @@ def test_keep_one(spark):
     assert out.where("doc_id is null").count() == 1
     assert ngram_join.keep_one(corpus.docs(spark, [])).count() == 0
     assert ngram_join.jaccard_components(corpus.docs(spark, [])).count() == 0
+
+
+def test_linked_sets_keep_a_common_signature():
+    """However signatures are ranked, the sets that link still share one that neither leaves out."""
+    r = np.random.default_rng(4)
+    spared = 0
+    for num, den in ((80, 100), (90, 100)):
+        for _ in range(150):
+            a = np.unique(r.integers(0, 1 << 52, r.integers(5, 500)).astype(np.uint64))
+            cut = int(r.integers(0, len(a) * (den - num) // den + 1))
+            b = np.unique(np.concatenate([a[cut:], r.integers(0, 1 << 52, r.integers(0, 1 + len(a) // 9)).astype(np.uint64)]))
+            inter = len(np.intersect1d(a, b))
+            if inter * den < (len(a) + len(b) - inter) * num:
+                continue
+            kept = []
+            for x in (a, b):
+                mine = set()
+                for sig, _, send, spare in ngram_join.signed(ngram_join.Bands(num, den), np.array([0, len(x)]), x):
+                    sig = sorted(sig[send].tolist(), key=lambda s: hash((s, 7)))
+                    mine |= set(sig[:len(sig) - int(spare[0])])
+                    spared += int(spare[0])
+                kept.append(mine)
+            assert kept[0] & kept[1]
+    assert spared > 1000
+
+
+def test_a_common_passage_compares_few_pairs(spark, monkeypatch):
+    """A tenth to a third of each text is a passage that all share; none of them link."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(9000)]
+    passage = r.choices(words, k=60)
+    data = [(i, " ".join(passage + r.choices(words, k=120 + 5 * (i % 40))), "en", "s", 1) for i in range(300)]
+    sizes = {}
+    monkeypatch.setattr(ngram_join, "settle", lambda df, name, f=ngram_join.settle: sizes.setdefault(name, f(df, name)))
+    check(spark, data)
+    assert sizes["star-pairs"].count() < 1500 and sizes["members"].count() < 100
