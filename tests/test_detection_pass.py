@@ -10,7 +10,7 @@ from pricelens.operators import anomalies as A
 from pricelens.operators import history as H
 from pricelens.operators import quality as Q
 from pricelens.plans import catalog as C
-from pricelens.session import cut_lineage
+from pricelens.session import cut_and_deal, cut_lineage
 
 SCHEMA = ("offer_id string, source_batch_id int, product_model_id string, partner_id long, country_code int, payment_type string, "
           "currency_code string, effective_total_local decimal(12,2), effective_total_usd decimal(12,2), crawl_ts_utc timestamp, "
@@ -74,3 +74,21 @@ def test_status_is_told_without_messages(spark):
     assert sorted(map(tuple, status.collect())) == [(1, "INGEST_PASSED", 0), (2, "PENDING", 1), (3, "PENDING", 1)]
     passed = status.filter("dq_status = 'INGEST_PASSED'").drop("n")
     assert "error_message" not in passed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _plan(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_dealt_offers_are_not_shuffled_again(spark, capsys):
+    """History and the previous price move days, not offers."""
+    o = cut_and_deal(_offers(spark), [*H.KEY, "crawl_date"])
+    assert _rows(o) == _rows(_offers(spark))
+    assert _plan(H.daily_latest(o), capsys).count("Exchange") == 0
+    h = cut_lineage(H.scd2_rebuild(o))
+    assert _rows(h) == _rows(H.scd2_rebuild(_offers(spark)))
+    found = A.detect_temporal(o.hint("merge"), h)
+    assert _plan(found, capsys).count("Exchange hashpartitioning") == 2  # days to their key, and back
+    assert _rows(found) == _rows(A.detect_temporal(_offers(spark), h))
