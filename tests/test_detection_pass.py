@@ -92,3 +92,14 @@ def test_dealt_offers_are_not_shuffled_again(spark, capsys):
     found = A.detect_temporal(o.hint("merge"), h)
     assert _plan(found, capsys).count("Exchange hashpartitioning") == 2  # days to their key, and back
     assert _rows(found) == _rows(A.detect_temporal(_offers(spark), h))
+
+
+def test_stored_days_serve_both_detectors(spark, capsys):
+    o = cut_and_deal(_offers(spark), [*H.KEY, "crawl_date"])
+    h = cut_lineage(H.scd2_rebuild(o))
+    days = cut_and_deal(A.day_context(o, h), [*H.KEY, "crawl_date"], name="days")
+    for detect in (A.detect_temporal, A.detect_cross_partner):
+        with_days = detect(o, h, days=days)
+        assert _rows(with_days.select(*A.ANOMALY_COLS)) == _rows(detect(o, h).select(*A.ANOMALY_COLS))
+        assert with_days.count() > 0
+    assert "Exchange" not in _plan(A.detect_temporal(o.hint("merge"), h, days=days), capsys)
