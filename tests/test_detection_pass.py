@@ -103,3 +103,12 @@ def test_stored_days_serve_both_detectors(spark, capsys):
         assert _rows(with_days.select(*A.ANOMALY_COLS)) == _rows(detect(o, h).select(*A.ANOMALY_COLS))
         assert with_days.count() > 0
     assert "Exchange" not in _plan(A.detect_temporal(o.hint("merge"), h, days=days), capsys)
+
+
+def test_the_chart_derives_the_offers_once(spark, monkeypatch):
+    from tests.conftest import SMALL
+
+    calls, real = [], C.T.offers
+    monkeypatch.setattr(C.T, "offers", lambda *a, **b: calls.append(1) or real(*a, **b))
+    read = [line for line in C.q_anom_series(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "l_orderkey" in line]
+    assert len(calls) == 1 and not read
