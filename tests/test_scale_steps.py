@@ -72,3 +72,17 @@ def test_a_rerun_derives_the_offers_once(spark, monkeypatch):
     monkeypatch.setattr(FQ.T, "offers", lambda *a: calls.append(1) or real(*a))
     FQ.q_store_rerun(spark, SMALL)
     assert len(calls) == 1
+
+
+def test_each_batch_of_a_few_files_has_its_own_task(spark, tmp_path):
+    from pricelens.plans import feed_queries as FQ
+    from tests.conftest import SMALL
+
+    few, many = tmp_path / "few", tmp_path / "many"
+    FQ.write_feeds(spark, SMALL, str(few), files=2)
+    FQ.write_feeds(spark, SMALL, str(many))
+    files = {d.name: [f for f in d.glob("*.csv") if f.stat().st_size] for d in few.glob("source_batch_id=*")}
+    assert len(files) > 2 and all(len(f) == 1 for f in files.values())
+    for name, (one,) in files.items():
+        ranges = [f.read_text().split("\n", 1)[1] for f in sorted((many / name).glob("*.csv")) if f.stat().st_size]
+        assert one.read_text().split("\n", 1)[1] == "".join(ranges)  # the same rows in the same order
